@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, kd_shards, line_dedup, packing
+from . import bpe_lexicon, exact_dedup, kd_shards, line_dedup, near_dedup, packing, pii
 
 QUERIES = {
+    "op1_bpe_transducer": bpe_lexicon.query,
+    "op2_odd_sketches": near_dedup.query,
     "op3_content_sort": exact_dedup.query,
+    "op4_pii_checksums": pii.query,
     "op5_sum_of_squares_packing": packing.query,
     "op9_line_windows": line_dedup.query,
     "op10_kd_tree_shards": kd_shards.query,
 }
-ORACLES = {"op3_content_sort": exact_dedup.ORACLE, "op9_line_windows": line_dedup.ORACLE}
+ORACLES = {"op2_odd_sketches": near_dedup.ORACLE, "op3_content_sort": exact_dedup.ORACLE, "op9_line_windows": line_dedup.ORACLE}
