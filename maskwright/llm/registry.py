@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_lexicon, exact_dedup, kd_shards, line_dedup, near_dedup, packing, pii
+from . import bpe_lexicon, exact_dedup, kd_shards, line_dedup, near_dedup, packing, pii, token_counts, toxicity
 
 QUERIES = {
     "op1_bpe_transducer": bpe_lexicon.query,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_content_sort": exact_dedup.query,
     "op4_pii_checksums": pii.query,
     "op5_sum_of_squares_packing": packing.query,
+    "op6_string_kernel_toxicity": toxicity.query,
+    "op8_viterbi_counts": token_counts.query,
     "op9_line_windows": line_dedup.query,
     "op10_kd_tree_shards": kd_shards.query,
 }
