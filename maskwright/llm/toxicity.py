@@ -18,10 +18,13 @@ result.  Only id and text are read.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .common import body, table, text_batches
 from .words import SPACE, Pieces, char_hash, classes, code_points
@@ -299,6 +302,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, f"_id {kind}, score double").withColumnRenamed("_id", id_col)
 
 
+def with_score(docs: DataFrame, model: Model, into: str = "toxicity", text_col: str = "text") -> DataFrame:
+    """`docs` with a column `into`: the score of each row's text."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(DoubleType())
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = held.value.scorer()
+        for texts in batches:
+            cut = np.cumsum(texts.str.len().to_numpy()) // SLICE
+            yield pd.concat([pd.Series(scorer(part.tolist())) for _, part in texts.groupby(cut)], ignore_index=True) if len(texts) else pd.Series([], dtype=float)
+
+    return docs.withColumn(into, scores(body(text_col)))
+
+
 def query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
