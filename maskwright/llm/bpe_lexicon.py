@@ -18,6 +18,7 @@ import json
 import os
 import tempfile
 import unicodedata
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -287,7 +288,7 @@ def build_lexicon(words: list[str], path: str) -> bytes:
 
 def ship(spark, data: bytes) -> str:
     """Sends a file to every executor; its name there (SparkFiles.get)."""
-    name = f"lexicon-{hashlib.sha256(data).hexdigest()[:16]}.bin"
+    name = f"lexicon-{hashlib.sha256(data).hexdigest()[:16]}-{uuid.uuid4().hex[:8]}.bin"
     folder = tempfile.mkdtemp(prefix="maskwright-")
     with open(path := f"{os.path.realpath(folder)}/{name}", "wb") as f:
         f.write(data)
