@@ -2,11 +2,12 @@
 
 1. One scan shingles each whole text (five words; fewer words: the sequence), and writes the set's size and fingerprint,
    BANDS band keys of ROWS MinHash samples each, and the odd sketch: the samples' parity bitmap.
-2. Equal sets collapse to the smallest id.  In each band bucket every set is paired with the bucket's smallest id; the
-   pair that shares most bands is confirmed on full sets, and confirmed links give first components.
-3. Within buckets that still hold several components, all pairs across components are looked at: sizes and the sketches'
-   XOR population count leave candidates, which are confirmed on full sets too.  Large buckets are dealt out as pairs of
-   blocks; pairs inside the bucket's largest component need no look, as they can't change the result.
+2. Equal sets collapse to the smallest id.  In each band bucket the set that shares buckets with most others leads; each
+   set is confirmed on full sets against its most central lead, and confirmed links give first components.
+3. Buckets that still hold several components are searched across components: sizes and the sketches' XOR population
+   count leave candidates, which join sets into groups; within a group all pairs across components that sizes and sketches
+   allow are confirmed on full sets.  Buckets and groups are dealt out as pairs of blocks, and a block returns at most one
+   edge a row.  Pairs inside the largest component need no look, as they can't change the result.
 So no link between texts that share a bucket is lost; a pair at the threshold of 0.75 shares none with a chance of 5e-6.
 
 Nulls: a null or blank text has an empty set and no links; a null id links with nothing.  Repeated rows (one id) are one
@@ -21,16 +22,18 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import body, drop_written, parallelism, table, text_batches, written
+from .common import body, parallelism, table, text_batches, written
 from .components import components
 from .words import Hash, mixed
 
 WORDS = 5
 BANDS, ROWS = 32, 4
 BITS = 512
-#: Sketches of sets at 0.75 differ in 57 bits on average; more than CUT differ with a chance under 1e-8.
-CUT = 104
+#: Sketches of sets at 0.75 differ in 57 bits on average; more than CUT differ with a chance under 1e-6.
+CUT = 98
 BLOCK = 1024
+#: Up to so many ids (and the ids they are compared with first) are sent to every executor to pick texts; beyond, texts are shuffled.
+BROADCAST_ROWS = 1_000_000
 SLICE = 1_500_000
 
 
@@ -123,8 +126,8 @@ def _sets(batches):
     import pyarrow as pa
 
     for batch in text_batches(batches, "text", SLICE):
-        h, at = shingles(batch.column(1).to_pylist())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "words"])
+        h, at = shingles(batch.column(2).to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([h[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "lead", "words"])
 
 
 def _linked(percent: int):
@@ -135,71 +138,113 @@ def _linked(percent: int):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                same = len(p) + len(q) - len(np.union1d(p, q))
+                same = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * same >= percent * (len(p) + len(q) - same))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets overlap by `percent`; `docs`: id, text."""
-    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    sets = written(docs.join(wanted, "id", "left_semi").mapInArrow(_sets, "id long, words binary"), "sets")
-    left, right = sets.select(F.col("id").alias("u"), F.col("words").alias("a")), sets.select(F.col("id").alias("v"), F.col("words").alias("b"))
-    out = written(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(_linked(percent), "u long, v long"), "links")
-    drop_written(sets)
-    return out
-
-
-def _across(percent: int):
-    """Pairs across components in each (bucket, block, block): rows come sorted by these."""
-
-    def pairs(rows):
+def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest place in each place's component under edges a-b."""
+    lab = np.arange(n)
+    while True:
+        least = np.minimum(lab[a], lab[b])
+        new = lab.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == lab).all():
+            return lab
+        lab = new
+
+
+def _candidates(rows, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs (left, right) in different components whose sizes and sketches allow a link."""
+    side = rows.side.to_numpy()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(left) or not len(right):
+        return left[:0], right[:0]
+    comp, n = rows.comp.to_numpy(), rows.n.to_numpy()
+    sketch = np.frombuffer(b"".join(rows.sketch), np.uint64).reshape(len(rows), BITS // 64)
+    x, y = n[left][:, None], n[right][None, :]
+    i, j = np.nonzero((comp[left][:, None] != comp[right][None, :]) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y)))
+    near = np.bitwise_count(sketch[left[i]] ^ sketch[right[j]]).sum(1) <= CUT
+    return left[i[near]], right[j[near]]
+
+
+def _overlapping(rows, a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs a-b those whose full sets overlap by `percent`."""
+    if not len(a):
+        return a, b
+    sets = [np.frombuffer(w, np.uint64) for w in rows.words]
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat, cut = np.concatenate(sets), np.concatenate([[0], np.cumsum(size)])
+    _, number = np.unique(flat, return_inverse=True)
+    mark, keep = np.zeros(int(number.max()) + 1, bool), np.zeros(len(a), bool)
+    order = np.argsort(a, kind="stable")
+    for run in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+        own, others = a[run[0]], b[run]
+        mine = number[cut[own] : cut[own + 1]]
+        mark[mine] = True
+        lengths = size[others]
+        where = np.repeat(cut[others] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+        same = np.add.reduceat(mark[number[where]].astype(np.int64), np.cumsum(lengths) - lengths)
+        keep[run] = 100 * same >= percent * (size[own] + lengths - same)
+        mark[mine] = False
+    return a[keep], b[keep]
+
+
+def _in_groups(percent: int, exact: bool):
+    """For rows sorted by (group, i, j): edges (u, v) that join what candidates, or with `exact` links, connect in a group.
+
+    At most one edge a row comes out, however many pairs there are.
+    """
+
+    def edges(rows):
         import pandas as pd
 
-        left, right = rows[rows.side == 0], rows[rows.side == 1]
-        a, b = (np.frombuffer(b"".join(x.sketch), np.uint64).reshape(len(x), BITS // 64) for x in (left, right))
-        n, m = left.n.to_numpy()[:, None], right.n.to_numpy()[None, :]
-        ok = (left.comp.to_numpy()[:, None] != right.comp.to_numpy()[None, :]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-        i, j = np.nonzero(ok)
-        far = np.bitwise_count(a[i] ^ b[j]).sum(1)
-        i, j = i[far <= CUT], j[far <= CUT]
-        u, v = left.id.to_numpy()[i], right.id.to_numpy()[j]
-        return pd.DataFrame({"u": np.maximum(u, v), "v": np.minimum(u, v)}).drop_duplicates()
+        a, b = _candidates(rows, percent)
+        if exact:
+            a, b = _overlapping(rows, a, b, percent)
+        if not len(a):
+            return None
+        lab, ids = _labels(len(rows), a, b), rows.id.to_numpy()
+        on = lab != np.arange(len(rows))
+        out = pd.DataFrame({"u": ids[on], "v": ids[lab[on]]})
+        return out[out.u != out.v]
 
     def run(frames):
         import pandas as pd
 
         held = None
         for frame in frames:
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            held = frame if held is None or not len(held) else pd.concat([held, frame], ignore_index=True)
             if not len(held):
                 continue
-            key = held[["band", "i", "j"]].to_numpy()
+            key = held[["group", "i", "j"]].to_numpy()
             cut = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1])
-            for s, e in zip(cut[:-1], cut[1:], strict=True):
-                yield pairs(held.iloc[s:e])
-            held = held.iloc[cut[-1] :]
-        if held is not None and len(held):
-            yield pairs(held)
+            found = [x for x in (edges(held.iloc[s:e].reset_index(drop=True)) for s, e in zip(cut[:-1], cut[1:], strict=True)) if x is not None]
+            if found:
+                yield pd.concat(found)
+            held = held.iloc[cut[-1] :].reset_index(drop=True)
+        if held is not None and len(held) and (last := edges(held)) is not None:
+            yield last
 
     return run
 
 
-def across(members: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidates (u, v) across components within buckets.  `members`: band, id; `comps`: u, v; `sets`: id, n, sketch."""
-    rows = members.join(comps.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    parts = rows.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("k"))
-    open_bands = parts.groupBy("band").agg(F.sum("k").alias("all"), F.max(F.struct("k", "comp")).alias("top")).filter("all > top.k")
-    rows = rows.join(open_bands, "band").join(sets.select("id", "n", "sketch"), "id")
+def _blocks(rows: DataFrame, carry: list[str]) -> DataFrame:
+    """Deals rows (group, id, comp, ...) out as pairs of blocks: all rows (side 0) against those outside the group's largest component (side 1)."""
+    parts = rows.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("k"))
+    open_groups = parts.groupBy("group").agg(F.sum("k").alias("all"), F.max(F.struct("k", "comp")).alias("top")).filter("all > top.k")
+    rows = rows.join(open_groups, "group")
     blocks, minor = F.ceil(F.col("all") / BLOCK), F.ceil((F.col("all") - F.col("top.k")) / BLOCK)
     rows = rows.withColumns({"bi": F.pmod(F.xxhash64("id"), blocks), "bj": F.pmod(F.xxhash64("id"), minor), "blocks": blocks, "minors": minor})
-    out = [F.col("band"), F.col("id"), F.col("comp"), F.col("n"), F.col("sketch")]
+    out = [F.col(c) for c in ["group", "id", "comp", *carry]]
     left = rows.select(*out, F.lit(0).alias("side"), F.col("bi").alias("i"), F.explode(F.expr("sequence(0L, minors - 1)")).alias("j"))
     right = rows.filter("comp <> top.comp").select(*out, F.lit(1).alias("side"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("i"), F.col("bj").alias("j"))
-    dealt = left.unionByName(right).repartition(parallelism(rows.sparkSession), "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return dealt.mapInPandas(_across(percent), "u long, v long").distinct()
+    return left.unionByName(right).repartition(parallelism(rows.sparkSession), "group", "i", "j").sortWithinPartitions("group", "i", "j")
 
 
 def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,23 +254,39 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
     heads = signed.filter("n > 0 AND id IS NOT NULL").groupBy("f1", "f2", "n").agg(F.min("id").alias("id"))
     sets = signed.join(heads, ["id", "f1", "f2", "n"], "left_semi").select("id", "n", "bands", "sketch").dropDuplicates(["id", "n"])
     banded = sets.select("id", F.explode("bands").alias("band"))
-    leads = banded.groupBy("band").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").drop("last")
-    members = written(banded.join(leads, "band"), "members")
-    shared = members.filter("id <> lead").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("k"))
-    first = written(shared.groupBy(F.col("id").alias("u")).agg(F.max_by("lead", F.struct("k", -F.col("lead"))).alias("v")), "pairs")
-    links = confirm(first, rows, percent)
+    counts = banded.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    members = written(banded.join(counts, "band"), "members")
+    degree = members.groupBy("id").agg(F.sum("k").alias("degree"))
+    ranked = members.join(degree, "id")
+    leads = ranked.groupBy("band").agg(F.max(F.struct("degree", F.col("id").alias("lead"))).alias("top"))
+    pairs = members.join(leads, "band").groupBy("id").agg(F.max("top").alias("top")).select("id", F.col("top.lead").alias("lead"))
+    wanted = written(pairs.union(pairs.select(F.col("lead").alias("id"), "lead")).groupBy("id").agg(F.max_by("lead", F.col("lead") != F.col("id")).alias("lead")), "wanted")
+    few = wanted.count() <= BROADCAST_ROWS
+    full = written(rows.join(F.broadcast(wanted) if few else wanted, "id").select("id", "lead", "text").mapInArrow(_sets, "id long, lead long, words binary"), "sets")
+    own, lead = full.filter("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v"), F.col("words").alias("a")), full.select(F.col("id").alias("v"), F.col("words").alias("b"))
+    links = written(own.join(lead, "v").select("u", "v", "a", "b").mapInArrow(_linked(percent), "u long, v long"), "links")
     found = components(links)
-    second = written(across(members.select("band", "id"), found, sets, percent).join(first, ["u", "v"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        found = components(confirm(second, rows, percent).union(found.select("u", "v")))
-    for t in (members, first):
-        drop_written(t)
+    comp_of = lambda ids: ids.join(found.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    in_bands = comp_of(members.select(F.col("band").alias("group"), "id"))
+    few_in_bands = _open(in_bands).join(sets.select("id", "n", "sketch"), "id")
+    hints = components(_blocks(few_in_bands, ["n", "sketch"]).mapInPandas(_in_groups(percent, False), "u long, v long"))
+    groups = written(hints.select(F.col("u").alias("id"), F.col("v").alias("group")).union(hints.select("v", "v").distinct()), "groups")
+    if not groups.isEmpty():
+        at_hand = comp_of(groups).join(sets.select("id", "n", "sketch"), "id").join(full.select("id", "words"), "id")
+        more = _blocks(at_hand, ["n", "sketch", "words"]).mapInPandas(_in_groups(percent, True), "u long, v long")
+        found = components(more.union(found.select("u", "v")))
     of_set = heads.join(found.select(F.col("u").alias("id"), F.col("v").alias("c")), "id", "left").select("f1", "f2", "n", F.coalesce("c", "id").alias("c"))
     out = signed.select("id", "n", "f1", "f2").join(of_set, ["f1", "f2", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows (group, id, comp) of groups that hold more than one component."""
+    mixed_groups = rows.groupBy("group").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("group")
+    return rows.join(mixed_groups, "group", "left_semi")
+
+
 def query(spark, sf_dir):
     return near_dedup(table(spark, sf_dir, "documents"))
 
