@@ -1,0 +1,134 @@
+"""The correspondence validator: model text to caption, groups and ordered findings, one image a row.
+
+Without a parser: mentions are the groups' own surfaces, and semantic rules compare normalised terms.  The pure functions
+are tested on their own; the frame operator is one vectorised call a batch.
+"""
+
+from __future__ import annotations
+
+import json
+import re
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import adapters as A
+from ..functions.jsonx import salvage
+from .spans import parse_tags, repair_span
+
+# Stock predicates and the wording of counts that findings are made of.
+STOCK = ("is visible", "is shown", "is present", "appears")
+PRONOUNS = {"it", "they", "them", "he", "she", "him", "her", "its", "their", "his"}
+
+
+def resolve_id(raw: str, ids: list[str]) -> str | None:
+    """A mask id as given, by its overlay number, or by a suffix that only one mask has."""
+    raw = str(raw).strip()
+    if raw in ids:
+        return raw
+    if raw.isdigit() and 1 <= int(raw) <= len(ids):
+        return ids[int(raw) - 1]
+    m = re.search(r"_p\d+_m\d+$", raw)
+    found = [i for i in ids if m and i.endswith(m[0])]
+    return found[0] if len(found) == 1 else None
+
+
+def without_nested(spans: list[tuple[int, int]], caption: str) -> list[tuple[int, int]]:
+    """Spans that lie in a longer one go, pronouns stay."""
+    inside = lambda s: any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans)
+    return [s for s in spans if caption[s[0] : s[1]].lower() in PRONOUNS or not inside(s)]
+
+
+def quality_findings(caption: str, links: list[dict]) -> list[str]:
+    """Sentence rules: stock predicates, inventories, punctuation."""
+    out, cuts, at = [], [], 0
+    for m in re.finditer(r"[.!?](?:\s+|$)", caption):
+        cuts.append((at, m.end()))
+        at = m.end()
+    if at < len(caption):
+        cuts.append((at, len(caption)))
+    per = [len({k["id"] for k in links if k["start"] < e and s < k["end"]}) for s, e in cuts]
+    groups = len({k["id"] for k in links})
+    if groups >= 4 and sum(caption.lower().count(p) for p in STOCK) >= 2:
+        out.append("caption quality: stock predicate repeated")
+    if groups >= 4 and per and max(per) < 2:
+        out.append("caption quality: inventory, one-sentence-per-mask")
+    if re.search(r"\s[,.;]|,,|\.\.", caption):
+        out.append("malformed punctuation")
+    return out
+
+
+def validate(raw: str, ids: list[str], minimum: int = 1) -> dict:
+    """caption, links (mask ids with spans), findings in order, parseable."""
+    record = salvage(raw)
+    if record is None:
+        return {"caption": "", "links": [], "findings": ["no JSON object in the answer"], "parseable": False}
+    findings: list[str] = []
+    if record.get("tagged_caption"):
+        parsed = parse_tags(str(record["tagged_caption"]))
+        caption, found = parsed["caption"], [(str(k["id"]), (k["start"], k["end"])) for k in parsed["links"]]
+        findings += parsed["errors"]
+    else:
+        caption, found, taken = str(record.get("caption") or ""), [], {}
+        for g in record.get("groups") or []:
+            own = taken.setdefault(str(g.get("mask_id")), [])
+            spans = g.get("char_spans") or []
+            for k, text in enumerate(g.get("text") or []):
+                want = tuple(spans[k]) if k < len(spans) else None
+                span = repair_span(caption, str(text), want, own)
+                if span is None:
+                    findings.append(f"text entry {text!r} has no free occurrence")
+                else:
+                    own.append(span)
+                    found.append((str(g.get("mask_id")), span))
+    links: list[dict] = []
+    for raw_id, (s, e) in found:
+        mask = resolve_id(raw_id, ids)
+        if mask is None:
+            findings.append(f"unknown mask {raw_id}")
+        else:
+            links.append({"id": mask, "start": s, "end": e})
+    for mask in dict.fromkeys(k["id"] for k in links):
+        spans = [(k["start"], k["end"]) for k in links if k["id"] == mask]
+        keep = without_nested(spans, caption)
+        links = [k for k in links if k["id"] != mask or (k["start"], k["end"]) in keep]
+        if any(a < d and c < b and a != c for a, b in keep for c, d in keep):
+            findings.append(f"span overlap within mask {mask}")
+    by_span: dict[tuple[int, int], set[str]] = {}
+    for k in links:
+        by_span.setdefault((k["start"], k["end"]), set()).add(k["id"])
+    for (s, e), owners in by_span.items():
+        word = caption[s:e].lower()
+        if len(owners) > 1 and not word.endswith("s"):
+            findings.append(f"same-type instance links share a singular span [{s}, {e})")
+    findings += quality_findings(caption, links)
+    gone = [i for i in ids if i not in {k["id"] for k in links}]
+    if gone:
+        findings.append(f"accepted masks are missing groups: {len(gone)}")
+    if len({k["id"] for k in links}) < minimum:
+        findings.append(f"only {len({k['id'] for k in links})} linked masks")
+    links.sort(key=lambda k: (ids.index(k["id"]), k["start"], k["end"]))
+    return {"caption": caption, "links": links, "findings": list(dict.fromkeys(findings)), "parseable": bool(caption.strip()) and bool(links)}
+
+
+def validated(rows: DataFrame, raw: str = "raw", ids: str = "mask_ids", minimum: int = 1) -> DataFrame:
+    """Adds `checked`: struct(caption, links, findings, parseable)."""
+    kind = "caption string, links array<struct<id:string,start:int,end:int>>, findings array<string>, parseable boolean"
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, masks: pd.Series) -> pd.Series:
+        return pd.Series([json.dumps(validate(t or "", [str(x) for x in m], minimum)) for t, m in zip(texts, masks, strict=True)])
+
+    return rows.withColumn("checked", F.from_json(run(raw, ids), kind))
+
+
+def _rows(s, d):
+    t = A.table(s, d, "documents").select("doc_id", F.filter(F.slice(F.split(F.regexp_replace("text", r"[^\p{L} ]", ""), " +"), 1, 6), lambda x: x != "").alias("w"))
+    w = lambda i: F.coalesce(F.try_element_at("w", F.lit(i)), F.lit("x"))
+    raw = F.concat(F.lit('note {"tagged_caption": "[1]'), w(1), F.lit("[/1] near [2]"), w(2), F.lit("[/2]"), F.when(F.col("doc_id") % 3 == 0, " and [7]thing[/7]").otherwise(""), F.lit('."}'))
+    return t.select("doc_id", raw.alias("raw"), F.array(F.lit("a_p000_m0001"), F.lit("a_p000_m0002"), F.lit("a_p001_m0001")).alias("mask_ids"))
+
+
+QUERIES = {"validator": lambda s, d: validated(_rows(s, d)).select("doc_id", F.size("checked.links").alias("links"), F.array_join("checked.findings", "; ").alias("findings"), "checked.parseable")}
+ORACLES = {"validator": "SELECT doc_id, CAST(2 AS INT) AS links, CASE WHEN doc_id % 3 = 0 THEN 'unknown mask 7; ' ELSE '' END || 'accepted masks are missing groups: 1' AS findings, true AS parseable FROM documents"}
