@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["plans.ledger", "plans.export", "functions.geometry", "functions.text", "functions.masks", "operators.suppress", "operators.audit", "operators.spans", "operators.canonical", "operators.taxonomy", "functions.jsonx", "operators.incremental", "operators.selection", "operators.providers", "operators.validate", "streaming.logs"]
+MODULES = ["plans.ledger", "plans.export", "functions.geometry", "functions.text", "functions.masks", "operators.suppress", "operators.audit", "operators.spans", "operators.canonical", "operators.taxonomy", "functions.jsonx", "operators.incremental", "operators.selection", "operators.records", "operators.providers", "operators.validate", "streaming.logs"]
 
 
 def queries() -> dict:
