@@ -186,14 +186,21 @@ def choose(texts: list[str], toxic: np.ndarray, most: int = LANDMARKS, hard: int
     """Landmarks: tokens and heads by toxic texts less four times the clean ones (in proportion),
     then the clean tokens nearest to them.
     """
-    own = []
-    for t in texts:
-        tokens = _tokens(t)
-        own.append({w + WHOLE for w in tokens} | {w[:k] + MORE for w in tokens for k in range(4, 9) if len(w) > k})
-    clean_df = Counter(c for x, y in zip(own, toxic, strict=True) if not y for c in x)
-    dirty_df = Counter(c for x, y in zip(own, toxic, strict=True) if y for c in x)
-    scale = max(int(toxic.sum()), 1) / max(int((~toxic).sum()), 1)
+    def candidates(text: str) -> set[str]:
+        tokens = _tokens(text)
+        return {w + WHOLE for w in tokens} | {w[:k] + MORE for w in tokens for k in range(4, 9) if len(w) > k}
+
+    dirty_df: Counter[str] = Counter()
+    for t, y in zip(texts, toxic, strict=True):
+        if y:
+            dirty_df.update(candidates(t))
     few = max(2, round(0.01 * int(toxic.sum())))
+    dirty_df = Counter({c: k for c, k in dirty_df.items() if k >= few or c[-1] == WHOLE})
+    clean_df: Counter[str] = Counter()  # of heads only those that may become landmarks
+    for t, y in zip(texts, toxic, strict=True):
+        if not y:
+            clean_df.update(c for c in candidates(t) if c[-1] == WHOLE or c in dirty_df)
+    scale = max(int(toxic.sum()), 1) / max(int((~toxic).sum()), 1)
     good = {c for c, k in dirty_df.items() if k >= few and k > 4 * scale * clean_df[c] + 1}
     chosen = sorted(good, key=lambda c: (4 * scale * clean_df[c] - dirty_df[c], -len(c), c))[:most]
     if chosen and hard:
