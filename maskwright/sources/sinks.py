@@ -31,8 +31,7 @@ def write_parquet_shards(df: DataFrame, path: str, key: str, order: str, rows: i
     manifest = shard_manifest(numbered)
     done = valid_shards(spark, path, manifest)
     todo = numbered.join(done.select("shard"), "shard", "left_anti") if done is not None else numbered
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    todo.repartitionByRange("shard").sortWithinPartitions("shard", "row_index").write.mode("overwrite").option("compression", "zstd").partitionBy("shard").parquet(path)
+    todo.repartitionByRange("shard").sortWithinPartitions("shard", "row_index").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("shard").parquet(path)
     return manifest
 
 
