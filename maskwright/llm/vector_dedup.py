@@ -5,10 +5,12 @@
    in a part start each vector's list of its K nearest.
 3. Rounds of neighbours of neighbours: around each vector its neighbours and those that name it meet, and a pair enters a
    list if it beats the list's last place.  Hubs are dealt out in parts.
-4. Pairs at the threshold are edges.  A list whose K places are all edges is saturated: lists grow to the whole component,
-   in which all pairs are compared exactly, in double precision, block against block; only counts come out.
+4. Pairs at the threshold are edges.  A vector whose K places are all edges is saturated: it may have more links than its
+   list holds, so it is compared exactly, in double precision, with all vectors of its label, block against block; links to
+   other components become edges.  Within components all pairs are compared the same way; only counts come out.
 5. Audit: AUDIT vectors in hash order are compared with all vectors of their labels; while under LEAST of their links lie
-   within components, trees with new hyperplanes join in.
+   within components, trees with new hyperplanes join in.  If the last try stays under it, all vectors are compared as the
+   saturated ones are.
 
 Nulls: vectors that are null, empty, zero or hold null or non-finite components, and rows without label or id, link with
 nothing.  Repeated rows (equal id and vector) count once each as links of one another.  Vectors of different length never
@@ -192,6 +194,46 @@ def degrees(units: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInPandas(_degrees(threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
 
 
+def _across(threshold: float):
+    def run(frames):
+        import pandas as pd
+
+        parts, held = [], 0
+        for rows in _runs(frames, ["label", "dim", "i", "j"]):
+            side = rows.side.to_numpy()
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if not len(left) or not len(right):
+                continue
+            x, ids, comp = np.stack([np.frombuffer(b, np.float64) for b in rows.vec]), rows.id.to_numpy(), rows.comp.to_numpy()
+            i, j = np.nonzero((x[left] @ x[right].T >= threshold) & (comp[left][:, None] != comp[right][None, :]))
+            _, one = np.unique(np.stack([comp[left[i]], comp[right[j]]]), axis=1, return_index=True)
+            parts.append(pd.DataFrame({"u": ids[left[i[one]]], "v": ids[right[j[one]]]}))
+            held += len(one)
+            if held > 50_000:
+                yield pd.concat(parts)
+                parts, held = [], 0
+        if parts:
+            yield pd.concat(parts)
+
+    return run
+
+
+def across(units: DataFrame, asked: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
+    """Links (u, v) of the vectors `asked` (id) to vectors of other components of their label: all pairs are compared, one link
+    for each two components comes out of a block.
+    """
+    rows = units.select("id", "label", "dim", "vec").join(comps.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    some, on = rows.join(asked.select("id").distinct(), "id", "left_semi"), ["label", "dim"]
+    sizes = lambda df, name: df.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias(name))
+    blocks = sizes(some, "lefts").join(sizes(rows, "rights"), on)
+    every, at = (lambda c: F.explode(F.expr(f"sequence(0L, {c} - 1)"))), (lambda c: F.pmod(F.xxhash64("id"), c))
+    left = some.join(blocks, on).select(*on, "id", "vec", "comp", F.lit(0).alias("side"), at("lefts").alias("i"), every("rights").alias("j"))
+    right = rows.join(blocks, on).select(*on, "id", "vec", "comp", F.lit(1).alias("side"), every("lefts").alias("i"), at("rights").alias("j"))
+    keys = [*on, "i", "j"]
+    dealt = left.unionByName(right).repartition(parallelism(units.sparkSession), *keys).sortWithinPartitions(*keys)
+    return dealt.mapInPandas(_across(threshold), "u long, v long")
+
+
 def audit(units: DataFrame, comps: DataFrame, threshold: float, most: int = AUDIT) -> float:
     """Recall of links of `most` vectors against all vectors of their label; 1 if they have none."""
     asked = units.orderBy(F.xxhash64(F.lit(5), "id"), "id").limit(most).select("id", "label", "vec").collect()
@@ -242,8 +284,13 @@ def vector_dedup(vectors: DataFrame, threshold: float = 0.93, k: int = K, trees:
         vec = units.select("id", "vec")
         exact = near.join(vec.select(F.col("id").alias("u"), F.col("vec").alias("a")), "u").join(vec.select(F.col("id").alias("v"), F.col("vec").alias("b")), "v").select("u", "v", "a", "b")
         comps = components(exact.mapInArrow(_at_least(threshold), "u long, v long"))
+        full = lists.filter((F.size("near") >= k) & (F.element_at("near", -1)["cos"] >= threshold - 1e-5)).select(F.col("u").alias("id"))
+        if not full.isEmpty():
+            comps = components(comps.union(across(units, full, comps, threshold)))
         if audit(units, comps, threshold) >= LEAST:
             break
+    else:
+        comps = components(comps.union(across(units, units, comps, threshold)))
     counts = degrees(units, comps, threshold)
     of_key = heads.join(comps.select(F.col("u").alias("id"), F.col("v").alias("c")), "id", "left").join(counts, "id", "left")
     of_key = of_key.select("label", "dim", "key", F.coalesce("c", "id").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("n_links"))

@@ -293,6 +293,33 @@ def test_vectors(spark):
     assert vector_dedup.vector_dedup(df.limit(0)).count() == 0
 
 
+def _blobs(sizes, seed):
+    """Tight groups whose centres are at 0.95: every list fills inside its own group, links across stay below its places."""
+    rng, rows = np.random.default_rng(seed), []
+    for g, n in enumerate(sizes):
+        centre = np.zeros(16)
+        centre[0], centre[1 + g] = 0.95**0.5, 0.05**0.5
+        rows += [(len(rows) + i, (centre + 0.002 * rng.standard_normal(16)).tolist(), 0) for i in range(n)]
+    return rows
+
+
+def test_vectors_saturated_lists(spark):
+    rows = _blobs([30, 30, 5], 6)
+    rows += [(100 + i, v, 1) for i, v, _ in _blobs([20, 20], 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.vector_dedup(df).collect()}
+    assert got == _links(rows, 0.93) and got[0] == (64, 0) and got[100] == (39, 100)
+
+
+def test_vectors_failing_audit_compares_all(spark, monkeypatch):
+    rows = _blobs([9, 8], 8)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    begin = vector_dedup.start
+    monkeypatch.setattr(vector_dedup, "start", lambda *a: begin(*a).limit(0))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.vector_dedup(df, most_tries=1).collect()}
+    assert got == _links(rows, 0.93)
+
+
 # ---- 8
 def test_counts_equal_library(spark, documents):
     import public_tokenizers
