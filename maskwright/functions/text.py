@@ -7,7 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from .. import adapters as A
 
@@ -137,10 +137,18 @@ def input_limit_error(error: Column) -> Column:
     return F.when(error.rlike(r"(?i)(?:maximum|max).{0,40}(?:context|model) ?len"), "context_length").when(error.rlike(r"(?i)(?:decoder )?prompt.{0,40}(?:longer|too long|exceed)"), "prompt_length").when(error.rlike(r"(?i)multi.?modal.{0,40}(?:limit|exceed)"), "visual_tokens").otherwise("")
 
 
-def occurrences(text: Column, needle: Column) -> Column:
-    """All 0-based places of a substring, overlapping ones too (code points)."""
-    last = F.length(text) - F.length(needle) + 1
-    return F.when((F.length(needle) > 0) & (last > 0), F.filter(F.transform(F.sequence(F.lit(1), last), lambda i: i - 1), lambda i: F.substr(text, i + 1, F.length(needle)) == needle)).otherwise(F.array().cast("array<int>"))
+@F.pandas_udf(ArrayType(IntegerType()))
+def occurrences(texts: pd.Series, needles: pd.Series) -> pd.Series:
+    """All 0-based places of a substring, overlapping ones too (code points); none where either is null or empty."""
+
+    def places(text: str | None, needle: str | None) -> list[int]:
+        out, at = [], text.find(needle) if text and needle else -1
+        while at >= 0:
+            out.append(at)
+            at = text.find(needle, at + 1)
+        return out
+
+    return pd.Series([places(t, n) for t, n in zip(texts, needles, strict=True)], dtype=object)
 
 
 @F.pandas_udf(StringType())
@@ -165,9 +173,10 @@ def paired_text(values: Column) -> Column:
     return F.slice(F.array_distinct(F.filter(tidy, lambda v: v != "")), 1, 8)
 
 
-def _words(s, d) -> DataFrame:
+def _words(s, d, whole: bool = False) -> DataFrame:
+    """First and last word of each document, and its text: the first 60 characters, or all of it."""
     w = F.split(F.col("text"), " ")
-    return A.table(s, d, "documents").select("doc_id", F.lower(F.regexp_replace(F.slice(w, 1, 1)[0], "[^A-Za-z]", "")).alias("w1"), F.regexp_replace(F.element_at(w, -1), "[^A-Za-z]", "").alias("w2"), F.left("text", F.lit(60)).alias("t"))
+    return A.table(s, d, "documents").select("doc_id", F.lower(F.regexp_replace(F.slice(w, 1, 1)[0], "[^A-Za-z]", "")).alias("w1"), F.regexp_replace(F.element_at(w, -1), "[^A-Za-z]", "").alias("w2"), (F.col("text") if whole else F.left("text", F.lit(60))).alias("t"))
 
 
 def _terms(s, d):
@@ -176,9 +185,22 @@ def _terms(s, d):
     return c.select("doc_id", term(F.col("p")).alias("term"), term(last).alias("head_term"), pluralized(F.lower("p")).alias("plural"), is_plural(F.col("p")).alias("is_plural"), possessive(F.col("p")).alias("owner"))
 
 
-def _captions(s, d):
+def _captions(s, d, whole: bool = False):
     t = F.concat(F.lit("a photo of "), F.regexp_replace("t", "[^A-Za-z ]", ""), F.when(F.col("doc_id") % 2 == 0, " standing against a plain background").otherwise(" , and"))
-    return _words(s, d).select("doc_id", cleaned_caption(t).alias("c")).select("doc_id", "c.caption", "c.changed", "c.valid")
+    return _words(s, d, whole).select("doc_id", cleaned_caption(t).alias("c")).select("doc_id", "c.caption", "c.changed", "c.valid")
+
+
+def _tokens(s, d, whole: bool = False):
+    both = tokens(F.concat("w1", F.lit(" "), "w2"))
+    return _words(s, d, whole).select("doc_id", F.array_join(F.array_sort(tokens(F.col("t"))), " ").alias("tokens"), F.round(jaccard(tokens(F.col("t")), both), 6).alias("jaccard"))
+
+
+def _occurrences(s, d, whole: bool = False):
+    return _words(s, d, whole).select("doc_id", F.array_join(occurrences(F.col("t"), F.left("t", F.lit(2))), ",").alias("at"))
+
+
+def _paired(s, d, whole: bool = False):
+    return _words(s, d, whole).select("doc_id", F.array_join(paired_text(F.array("t", F.concat("t", F.lit("  ")), "w1", F.lit(None).cast("string"), "w2")), "|").alias("texts"))
 
 
 def _idents(s, d):
@@ -210,12 +232,16 @@ QUERIES = {
     "text_terms": _terms,
     "text_captions": _captions,
     "text_identifiers": _idents,
-    "text_tokens": lambda s, d: _words(s, d).select("doc_id", F.array_join(F.array_sort(tokens(F.col("t"))), " ").alias("tokens"), F.round(jaccard(tokens(F.col("t")), tokens(F.concat("w1", F.lit(" "), "w2"))), 6).alias("jaccard")),
-    "text_occurrences": lambda s, d: _words(s, d).select("doc_id", F.array_join(occurrences(F.col("t"), F.left("t", F.lit(2))), ",").alias("at")),
+    "text_tokens": _tokens,
+    "text_occurrences": _occurrences,
     "text_fill": lambda s, d: A.table(s, d, "labels").select("doc_id", fill("doc {doc_id}: q={quality} t={toxic}", {c: F.col(c) for c in ("doc_id", "quality", "toxic")}).alias("prompt")),
     "text_attributes": lambda s, d: _words(s, d).select("doc_id", F.array_join(cleaned_attributes(F.array("w1", F.lit(" a scene "), "w2", "w1", F.lit("Close-up"))), "|").alias("attributes")),
-    "text_paired": lambda s, d: _words(s, d).select("doc_id", F.array_join(paired_text(F.array("t", F.concat("t", F.lit("  ")), "w1", F.lit(None).cast("string"), "w2")), "|").alias("texts")),
+    "text_paired": _paired,
     "text_gibberish": lambda s, d: A.table(s, d, "documents").select("doc_id", not_gibberish(F.col("text")).alias("ok")),
+    "text_captions_whole": lambda s, d: _captions(s, d, True),
+    "text_tokens_whole": lambda s, d: _tokens(s, d, True),
+    "text_occurrences_whole": lambda s, d: _occurrences(s, d, True),
+    "text_paired_whole": lambda s, d: _paired(s, d, True),
 }
 _P = "w1 || ' ' || CASE doc_id % 5 WHEN 0 THEN 'children' WHEN 1 THEN 'Puppies' WHEN 2 THEN 'glass' ELSE w2 END"
 _L = "regexp_extract(lower(p), '([^ ]*)$', 1)"
@@ -244,3 +270,5 @@ ORACLES = {
       m AS (SELECT doc_id, max(n) AS most, sum(n) AS total FROM c GROUP BY 1)
       SELECT d.doc_id, length(trim(text)) >= 8 AND coalesce(most, 0) < greatest(20.0, 0.55 * coalesce(total, 0)) AS ok FROM documents d LEFT JOIN m USING (doc_id)""",
 }
+#: the same SQL over whole texts; occurrences has none (its substr for each character is too slow there), a fixture holds it
+ORACLES |= {f"{k}_whole": ORACLES[k].replace("left(text, 60)", "text") for k in ("text_captions", "text_tokens", "text_paired")}

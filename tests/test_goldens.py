@@ -139,3 +139,15 @@ def test_nms_is_partition_invariant(spark):
     b = adapters.boxes(spark, "/root/testdata/sf0.001").withColumns({"x": F.expr("x % 40"), "y": F.expr("y % 30")})
     one, two = greedy_nms(b.repartition(1), 0.3), greedy_nms(b.repartition(7, "raw_index"), 0.3)
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
+def test_whole_texts_past_60_characters(spark, tmp_path):
+    from maskwright.functions import text
+
+    long = "ab " + "x" * 70 + " ab zebra ab"
+    spark.createDataFrame([(1, long), (2, "aaa"), (3, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = lambda name, col: {r["doc_id"]: r[col] for r in text.QUERIES[name](spark, str(tmp_path)).collect()}
+    assert rows("text_occurrences_whole", "at") == {1: "0,74,83", 2: "0,1", 3: ""}
+    assert rows("text_tokens_whole", "tokens")[1] == "ab " + "x" * 70 + " zebra"
+    assert rows("text_paired_whole", "texts")[1] == f"{long}|ab"
+    assert "zebra ab" in rows("text_captions_whole", "caption")[1]
