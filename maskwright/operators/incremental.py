@@ -106,6 +106,12 @@ def _units(s, d):
     return A.sources(s, d).groupBy(F.col("campaign_unit").alias("unit")).agg((F.sum("n_chars") % 61 != 0).alias("done"))
 
 
+def _publish_all(s, d):
+    """All pairs; a unit is done when its eight rows are there."""
+    pairs = A.sources(s, d).withColumnRenamed("campaign_unit", "unit").select("image_id", "unit", "source_manifest_index")
+    return publish(pairs, pairs.groupBy("unit").agg((F.count_distinct("image_id") == 8).alias("done")))
+
+
 def _claims(s, d):
     e = A.table(s, d, "events")
     kind = F.when(F.col("event_type") == "purchase", "claim").when(F.col("event_type") == "signup", "claim").when(F.col("event_type") == "error", "release").otherwise("renew")
@@ -136,6 +142,7 @@ QUERIES = {
     "extent_extend": _extend,
     "prefix_units": lambda s, d: completed_prefix(_units(s, d)).select("unit"),
     "publish_pairs": lambda s, d: publish(A.sources(s, d).filter("n_chars % 3 <> 0").withColumnRenamed("campaign_unit", "unit").select("image_id", "unit", "source_manifest_index"), _units(s, d).withColumn("done", F.col("unit") < 90)),
+    "publish_pairs_all": _publish_all,
     "pack_batches": lambda s, d: packed(A.boxes(s, d).select(F.expr("image_id % 500").alias("g"), (F.col("h") / 7).cast("int").alias("rows"), (F.col("w") * 100).cast("long").alias("tokens"), (F.col("image_id") * 100 + F.col("raw_index")).alias("id")), "g", 8, 20_000),
     "merge_byte_shards": lambda s, d: byte_shards(A.sources(s, d).groupBy(F.col("campaign_unit").alias("unit")).agg(F.sum("n_chars").alias("bytes")), 60_000),
     "unit_integrity": _integrity,
@@ -150,6 +157,9 @@ ORACLES = {
     "prefix_units": f"{_U} SELECT unit FROM u, g WHERE unit < gap",
     "publish_pairs": f"""{_S}, p AS (SELECT image_id, campaign_unit AS unit, source_manifest_index, row_number() OVER (ORDER BY campaign_unit, source_manifest_index) - 1 AS pair_index FROM sources WHERE n_chars % 3 <> 0 AND campaign_unit < 90)
       SELECT *, pair_index // 100 AS milestone FROM p""",
+    "publish_pairs_all": f"""{_S}, u AS (SELECT campaign_unit AS unit, count(DISTINCT image_id) = 8 AS done FROM sources GROUP BY 1), g AS (SELECT min(unit) FILTER (NOT done) AS gap FROM u),
+      f AS (SELECT image_id, min(campaign_unit) AS unit, min(source_manifest_index) AS source_manifest_index FROM sources, g WHERE gap IS NULL OR campaign_unit < gap GROUP BY 1),
+      p AS (SELECT *, row_number() OVER (ORDER BY unit, source_manifest_index) - 1 AS pair_index FROM f) SELECT *, pair_index // 100 AS milestone FROM p""",
     "pack_batches": f"""WITH RECURSIVE {A.BOXES}, i AS (SELECT image_id % 500 AS g, image_id * 100 + raw_index AS id, CAST(w * 100 AS BIGINT) AS tokens, row_number() OVER (PARTITION BY image_id % 500 ORDER BY (h - 1) // 7, w * 100, image_id * 100 + raw_index) AS k FROM boxes),
       r AS (SELECT g, id, k, 0 AS batch, 1 AS n, tokens AS t FROM i WHERE k = 1 UNION ALL SELECT i.g, i.id, i.k, CASE WHEN r.n >= 8 OR r.t + i.tokens > 20000 THEN r.batch + 1 ELSE r.batch END, CASE WHEN r.n >= 8 OR r.t + i.tokens > 20000 THEN 1 ELSE r.n + 1 END,
         CASE WHEN r.n >= 8 OR r.t + i.tokens > 20000 THEN i.tokens ELSE r.t + i.tokens END FROM r JOIN i ON i.g = r.g AND i.k = r.k + 1) SELECT g, id, batch FROM r""",

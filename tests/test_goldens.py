@@ -151,3 +151,12 @@ def test_whole_texts_past_60_characters(spark, tmp_path):
     assert rows("text_tokens_whole", "tokens")[1] == "ab " + "x" * 70 + " zebra"
     assert rows("text_paired_whole", "texts")[1] == f"{long}|ab"
     assert "zebra ab" in rows("text_captions_whole", "caption")[1]
+
+
+def test_publish_all_units(spark, tmp_path):
+    from maskwright.operators import incremental
+
+    docs = spark.range(1603).selectExpr("id AS doc_id", "'t' AS text", "'en' AS lang", "'s' AS source", "3L AS n_chars")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = incremental.QUERIES["publish_pairs_all"](spark, str(tmp_path)).collect()
+    assert sorted(r["pair_index"] for r in rows) == list(range(1600)) and max(r["unit"] for r in rows) == 199
