@@ -160,3 +160,11 @@ def test_publish_all_units(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     rows = incremental.QUERIES["publish_pairs_all"](spark, str(tmp_path)).collect()
     assert sorted(r["pair_index"] for r in rows) == list(range(1600)) and max(r["unit"] for r in rows) == 199
+
+
+def test_canonical_long_chain(spark):
+    from maskwright.operators.canonical import canonical
+
+    masks = spark.range(60).selectExpr("id AS mask_id", "cast(id AS double) AS score")
+    rows = canonical(masks, spark.range(59).selectExpr("id AS u", "id + 1 AS v")).collect()
+    assert {(r["canonical_id"], r["members"]) for r in rows} == {(59, 60)} and sum(r["kept"] for r in rows) == 1
