@@ -55,6 +55,32 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def _iban_end(code: str) -> int:
+    """Length of the longest cut of `code`, at a blank or its end, that the checksum confirms; 0 if there is none.
+
+    15 to 34 characters without blanks, as the pattern has it.
+    """
+    while len(code.replace(" ", "")) >= 15:
+        if mod97(code):
+            return len(code)
+        code = code[: max(code.rfind(" "), 0)]
+    return 0
+
+
+def _ibans(text: str):
+    """Spans that the checksum confirms; after one, or one character after a place without, the search goes on."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        end = m.start() + _iban_end(m[0])
+        if end > m.start():
+            yield m.start(), end
+        at = max(end, m.start() + 1)
+
+
+def _spans_of(pattern: re.Pattern):
+    return lambda text: ((m.start(), m.end()) for m in pattern.finditer(text))
+
+
 def _emails(text: str):
     end = 0
     for m in _HOST.finditer(text):
@@ -89,13 +115,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int, float]]:
     out = []
-    for kind, pattern, score, check in (("iban", _IBAN, 0.3, mod97), ("national", _NATIONAL, 0.2, None), ("local", _NUMBER, 0.2, None)):
-        for m in pattern.finditer(text):
-            s, e = m.span()
-            if any(a < e and s < b for _, a, b in base) or (check and not check(m[0])):
+    for kind, spans, score, check in (("iban", _ibans, 0.3, True), ("national", _spans_of(_NATIONAL), 0.2, False), ("local", _spans_of(_NUMBER), 0.2, False)):
+        for s, e in spans(text):
+            if any(a < e and s < b for _, a, b in base):
                 continue
             near = bool(_NEAR[kind].search(text, max(0, s - CONTEXT), s) or _NEAR[kind].search(text, e, e + CONTEXT))
-            if (total := score + 0.4 * bool(check) + 0.4 * near) >= THRESHOLD:
+            if (total := score + 0.4 * check + 0.4 * near) >= THRESHOLD:
                 out.append((kind, s, e, total))
     return out
 

@@ -176,6 +176,15 @@ def test_pii_added_and_redacted(awkward, empty):
     assert pii.find_pii(empty).count() == 0 == pii.redact(empty).count()
 
 
+def test_pii_iban_before_other_tokens():
+    code = "DE89370400440532013000"
+    assert pii.redacted(f"IBAN {code} EUR 100") == "IBAN [IBAN] EUR 100"
+    assert pii.redacted("IBAN GB82 WEST 1234 5698 7654 32 BIC X1") == "IBAN [IBAN] BIC X1"
+    assert pii.find(f"IBAN {code[:-1]}1 EUR") == []
+    assert pii.redacted("bank NO9386011117947 NO9386011117947 X") == "bank [IBAN] [IBAN] X"
+    assert pii.redacted(f"bank AB12 CODE {code}") == "bank AB12 CODE [IBAN]"
+
+
 # ---- 5
 def test_packing(spark, documents):
     _check_pieces(packing.query(spark, DATA).collect(), documents)
