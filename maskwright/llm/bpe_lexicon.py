@@ -199,7 +199,7 @@ class Coder:
         self.bytes_of = {c: b for b, c in enumerate(byte_characters())}
 
     def word_ids(self, words: list[bytes]) -> list[list[int]]:
-        if not self.lexicon or not words:
+        if not self.lexicon or len(self.lexicon.cut) < 2 or not words:  # no lexicon, or one without words
             return list(map(self.merges.encode, words))
         places = self.lexicon.places(words)
         cut = self.lexicon.cut

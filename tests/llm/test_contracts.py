@@ -62,6 +62,15 @@ def test_bpe_awkward(awkward, empty):
     assert bpe_lexicon.encode_decode(empty).count() == 0
 
 
+def test_tokens_without_repeated_words(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode("hello world", add_special_tokens=False).ids
+    got = bpe_lexicon.encode_decode(spark.createDataFrame([(1, "hello world")], "doc_id long, text string")).collect()
+    assert [bytes(r["ids"]) for r in got] == [np.array(want, "<u4").tobytes()]
+
+
 def test_lexicon_is_minimal_and_exact(tmp_path):
     words = sorted({w.encode() for w in ("tap", "taps", "top", "tops", "stop", "stops", "é", "a")})
     arrays = bpe_lexicon.compile_lexicon(words)
