@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import adapters as A
+from ..operators.incremental import running
 from ..operators.keyed import last_wins
 from .ledger import WITH, export_parseable
 
@@ -37,11 +38,8 @@ def histogram(rows: DataFrame, value: str) -> DataFrame:
 
 
 def sharded(rows: DataFrame, key: str, order: str, size: int, pieces: int = 64) -> DataFrame:
-    """Adds shard = place in key order div size.  Places come from counts of ranges, so no task sees all rows."""
-    ranged = rows.repartitionByRange(pieces, order).withColumn("_p", F.spark_partition_id())
-    kept = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(order, key)))
-    before = ranged.groupBy("_p").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    return kept.join(F.broadcast(before), "_p").withColumn("row_index", F.col("_before") + F.col("_k") - 1).withColumn("shard", F.expr(f"row_index div {size}")).drop("_p", "_k", "_before")  # `before`: one row a range
+    """Adds row_index, the place in (order, key), and shard = row_index div size."""
+    return running(rows.withColumn("_one", F.lit(1)), [order, key], pieces, row_index="_one").drop("_one").withColumn("row_index", F.col("row_index") - 1).withColumn("shard", F.expr(f"row_index div {size}"))
 
 
 def shard_manifest(rows: DataFrame) -> DataFrame:
