@@ -113,15 +113,17 @@ def pairs(boxes: DataFrame) -> DataFrame:
     return named("a_").join(named("b_"), "image_id").filter("a_raw_index < b_raw_index")
 
 
-def owners(boxes: DataFrame, least: float = 0.8, margin: float = 0.1) -> DataFrame:
-    """Owner of each part: the other subject's box that holds it best, if it leads the runner-up by `margin`."""
+def owners(boxes: DataFrame, least: float = 0.8, rival: float = 0.55, lead: float = 0.2) -> DataFrame:
+    """Owner of each part (subject A): the only other subject's box of its image, whatever it holds; of several the one that holds
+    it best, if it holds `least` of it and the runner-up holds at most `rival` or trails by `lead`.
+    """
     part = boxes.filter("subject = 'A'").select("image_id", *[F.col(c).alias(f"p_{c}") for c in ("raw_index", "x", "y", "w", "h")])
     whole = boxes.filter("subject <> 'A'").select("image_id", *[F.col(c).alias(f"o_{c}") for c in ("raw_index", "x", "y", "w", "h")])
     held = part.join(whole, "image_id").select("image_id", "p_raw_index", "o_raw_index", containment("p_", "o_").alias("held"))
-    top = F.slice(F.sort_array(F.collect_list(F.struct("held", (-F.col("o_raw_index")).alias("i"))), asc=False), 1, 2)  # boxes of one image
-    best = held.groupBy("image_id", "p_raw_index").agg(top.alias("top"))
-    lead = (F.size("top") < 2) | (F.col("top")[0]["held"] - F.element_at("top", -1)["held"] >= margin)
-    return best.filter((F.col("top")[0]["held"] >= least) & lead).select("image_id", F.col("p_raw_index").alias("part"), (-F.col("top")[0]["i"]).alias("owner"), F.round(F.col("top")[0]["held"], 6).alias("held"))
+    top = F.slice(F.sort_array(F.collect_list(F.struct("held", F.col("o_raw_index").alias("i"))), asc=False), 1, 2)  # boxes of one image
+    best = held.groupBy("image_id", "p_raw_index").agg(top.alias("top")).withColumns({"one": F.col("top")[0]["held"], "two": F.try_element_at("top", F.lit(2))["held"]})
+    clear = F.col("two").isNull() | ((F.col("one") >= least) & ((F.col("two") <= rival) | (F.col("one") - F.col("two") >= lead)))
+    return best.filter(clear).select("image_id", F.col("p_raw_index").alias("part"), F.col("top")[0]["i"].alias("owner"), F.round("one", 6).alias("held"))
 
 
 def _pairs(s, d):
@@ -189,8 +191,8 @@ ORACLES = {
       WHEN total = 3 AND horizontal THEN list_value('left-side', 'central', 'right-side')[rank] WHEN total = 3 THEN list_value('upper', 'middle', 'lower')[rank]
       ELSE rank || CASE WHEN rank % 100 IN (11, 12, 13) THEN 'th' WHEN rank % 10 = 1 THEN 'st' WHEN rank % 10 = 2 THEN 'nd' WHEN rank % 10 = 3 THEN 'rd' ELSE 'th' END || '-from-' || CASE WHEN horizontal THEN 'left' ELSE 'top' END END AS label FROM r""",
     "box_owners": f"""WITH {A.BOXES}, h AS (SELECT a.image_id, a.raw_index AS part, b.raw_index AS owner, coalesce({_i} / nullif({_aa}, 0), 0) AS held FROM boxes a JOIN boxes b ON a.image_id = b.image_id AND a.subject = 'A' AND b.subject <> 'A'),
-      k AS (SELECT *, row_number() OVER w AS n, lead(held) OVER w AS second FROM h WINDOW w AS (PARTITION BY image_id, part ORDER BY held DESC, owner))
-      SELECT image_id, part, owner, round(held, 6) AS held FROM k WHERE n = 1 AND held >= 0.8 AND (second IS NULL OR held - second >= 0.1)""",
+      k AS (SELECT *, row_number() OVER w AS n, lead(held) OVER w AS second FROM h WINDOW w AS (PARTITION BY image_id, part ORDER BY held DESC, owner DESC))
+      SELECT image_id, part, owner, round(held, 6) AS held FROM k WHERE n = 1 AND (second IS NULL OR held >= 0.8 AND (second <= 0.55 OR held - second >= 0.2))""",
     "box_consistency": f"""WITH {A.BOXES}, p AS (SELECT a.image_id, a.raw_index, b.raw_index AS ci, coalesce({_i} / nullif({_aa} + {_ab} - {_i}, 0), 0) AS iou, coalesce(coalesce({_i} / nullif(least({_aa}, {_ab}), 0), 0) >= 0.1, false) AND b.raw_index IS NOT NULL AS near
       FROM (SELECT * FROM boxes WHERE subject = 'A') a LEFT JOIN (SELECT * FROM boxes WHERE subject <> 'A') b ON a.image_id = b.image_id),
       g AS (SELECT image_id, raw_index, count(ci) AS candidates, count(*) FILTER (near) AS in_region, coalesce(max(iou) FILTER (near AND iou > 0), 0.0) AS best, arg_min(ci, (-iou, ci)) FILTER (near AND iou > 0) AS bi FROM p GROUP BY 1, 2)

@@ -124,23 +124,40 @@ def color_for_index(index: int) -> tuple[int, int, int]:
     """Golden-ratio hues."""
     import colorsys
 
-    return tuple(int(round(255 * c)) for c in colorsys.hsv_to_rgb((index * 0.61803398875) % 1.0, 0.75, 1.0))
-
-
-def inverse_background(pixels: np.ndarray, candidates: np.ndarray | None = None) -> tuple[tuple[int, int, int], dict]:
-    """The fill colour farthest from a sample of the foreground, by low quantiles and mean of distances and luma contrast."""
-    if candidates is None:
-        candidates = np.array([[r, g, b] for r in (0, 255) for g in (0, 255) for b in (0, 255)] + [[255, 128, 0], [128, 0, 255], [0, 255, 128], [128, 128, 128]], float)
-    px = pixels[np.linspace(0, len(pixels) - 1, min(len(pixels), 32_768)).astype(int)].astype(float)
-    luma = np.array([0.299, 0.587, 0.114])
-    scored = []
-    for c in candidates:
-        dist = np.linalg.norm(px - c, axis=1)
-        q10, q25 = np.quantile(dist, [0.1, 0.25])
-        score = q10 + 0.5 * q25 + 0.25 * dist.mean() + 0.25 * abs(float(px.mean(0) @ luma - c @ luma)) - 100 * float((dist < 48).mean())
-        scored.append((score, tuple(map(int, c)), {"distance_q10": float(q10), "distance_q25": float(q25), "distance_mean": float(dist.mean())}))
-    _, rgb, facts = max(scored, key=lambda x: (x[0], x[1]))
-    return rgb, facts
+    return tuple(int(255 * c) for c in colorsys.hsv_to_rgb((index * 0.61803398875) % 1.0, 0.75, 1.0))
+
+
+# Fill colours to choose from, luma factors, and what a colour's distances to the foreground weigh.
+FILLS = ((0, 0, 0), (255, 255, 255), (255, 0, 0), (0, 255, 0), (0, 0, 255), (255, 255, 0), (0, 255, 255), (255, 0, 255), (255, 96, 0), (96, 0, 255))
+LUMA = (0.2126, 0.7152, 0.0722)
+FILL_WEIGHTS = {"distance_q10": 0.50, "distance_q25": 0.22, "distance_mean": 0.18, "luma_contrast": 0.10, "near_fraction": -80.0}
+
+
+def inverse_background(pixels: np.ndarray, most: int = 32_768, near: float = 48.0) -> dict:
+    """The fill colour that a foreground (RGB pixels) has least near it, with its facts; FILLS and the foreground's complements compete.
+
+    More than `most` pixels are sampled at even steps.  No pixels: black with score 0.  Ties: the larger colour.
+    """
+    px = np.asarray(pixels, np.float32).reshape(-1, 3)
+    if not len(px):
+        return {"rgb": [0, 0, 0], "score": 0.0, "foreground_median_rgb": [0, 0, 0], "foreground_mean_rgb": [0, 0, 0], "foreground_sample_count": 0}
+    if len(px) > most:
+        px = px[np.linspace(0, len(px) - 1, most, dtype=np.int64)]
+    whole = lambda x: tuple(np.clip(x, 0, 255).round().astype(int).tolist())
+    centre, mean = np.median(px, axis=0), px.mean(axis=0)
+    fills = np.array(list(dict.fromkeys([*FILLS, whole(255.0 - centre), whole(255.0 - mean)])), np.float32)
+    dist = np.linalg.norm(px[:, None] - fills[None], axis=2)  # pixel, colour
+    luma = np.array(LUMA, np.float32)
+    facts = {
+        "distance_q10": np.quantile(dist, 0.10, axis=0), "distance_q25": np.quantile(dist, 0.25, axis=0), "distance_mean": dist.mean(axis=0),
+        "luma_contrast": np.abs(fills @ luma - np.median(px @ luma)), "near_fraction": (dist < near).mean(axis=0),
+    }
+    score = sum(w * facts[k].astype(float) for k, w in FILL_WEIGHTS.items())
+    best = max(range(len(fills)), key=lambda i: (score[i], tuple(fills[i])))
+    return {
+        "rgb": fills[best].astype(int).tolist(), "score": float(score[best]), "foreground_median_rgb": list(whole(centre)), "foreground_mean_rgb": list(whole(mean)),
+        "foreground_sample_count": len(px), **{k: float(v[best]) for k, v in facts.items()},
+    }
 
 
 def _pairs(s, d) -> DataFrame:
@@ -168,6 +185,12 @@ ORACLES = {
       CAST(coalesce(max(i // 8) FILTER (v = 1) - min(i // 8) FILTER (v = 1) + 1, 0) AS INT) AS w, CAST(coalesce(max(i % 8) FILTER (v = 1) - min(i % 8) FILTER (v = 1) + 1, 0) AS INT) AS h FROM p GROUP BY 1""",
     "mask_overlaps": f"""WITH {A.MASKS}, o AS (SELECT a.mask_id AS a, b.mask_id AS b, {_N} AS n, {_U} AS u, least(list_sum(a.px), list_sum(b.px)) AS m FROM masks a JOIN masks b ON a.subject = b.subject AND a.mask_id < b.mask_id)
       SELECT a, b, round(n / u, 6) AS iou, round(coalesce(n / nullif(m, 0), 0), 6) AS held FROM o WHERE n / u >= 0.45""",
+    "mask_coco_counts": f"""WITH {A.MASKS}, p AS (SELECT mask_id, px[i] AS v, i, coalesce(px[i - 1], 0) AS b FROM (SELECT mask_id, px, unnest(range(1, 65)) AS i FROM masks)),
+      e AS (SELECT mask_id, i - 1 AS z FROM p WHERE v <> b UNION ALL SELECT mask_id, 64 FROM masks),
+      r AS (SELECT mask_id, z - coalesce(lag(z) OVER w, 0) AS n, row_number() OVER w AS k FROM e WINDOW w AS (PARTITION BY mask_id ORDER BY z)),
+      d AS (SELECT mask_id, k, n - CASE WHEN k > 3 THEN lag(n, 2) OVER (PARTITION BY mask_id ORDER BY k) ELSE 0 END AS x FROM r),
+      c AS (SELECT mask_id, k, CASE WHEN x BETWEEN -16 AND 15 THEN chr(48 + CAST(x & 31 AS INT)) ELSE chr(48 + 32 + CAST(x & 31 AS INT)) || chr(48 + CAST((x >> 5) & 31 AS INT)) END AS t FROM d)
+      SELECT mask_id, string_agg(t, '' ORDER BY k) AS counts FROM c GROUP BY 1""",
     "mask_components": f"""WITH RECURSIVE {A.MASKS}, p AS (SELECT mask_id, i - 1 AS i FROM masks, range(1, 65) r(i) WHERE px[i] = 1),
       e AS (SELECT a.mask_id, a.i AS u, b.i AS v FROM p a JOIN p b ON a.mask_id = b.mask_id AND abs(a.i // 8 - b.i // 8) + abs(a.i % 8 - b.i % 8) <= 1),
       r(mask_id, u, v) AS (SELECT mask_id, u, v FROM e UNION SELECT r.mask_id, r.u, e.v FROM r JOIN e ON e.mask_id = r.mask_id AND e.u = r.v),

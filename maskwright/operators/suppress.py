@@ -28,16 +28,19 @@ def sparse_components(rows: DataFrame, most: int = 12, fill: float = 0.18) -> Da
     return rows.withColumn("tangled", (F.col("component_count") > most) & (F.col("bbox_fill") < fill))
 
 
-def contained_partial(boxes: DataFrame, size_ratio: float = 0.5, margin: float = 10_000.0, cover: float = 0.6) -> DataFrame:
-    """Boxes that a strictly larger one of their image holds (an equi-join with a residual)."""
+def contained_partial(masks: DataFrame, size_ratio: float = 0.5, margin: float = 0.1, mask_cover: float = 0.9, box_cover: float = 0.9) -> DataFrame:
+    """Masks that a strictly larger one of their image holds, by mask and by box, with the largest such (of equal ones the first by mask_id).
+
+    masks: image_id, mask_id, area, score, bits, x, y, w, h.  An equi-join with a residual; areas are the masks'.
+    """
     from ..functions.geometry import containment
 
-    small = boxes.select("image_id", *[F.col(c).alias(f"s_{c}") for c in ("raw_index", "x", "y", "w", "h", "score")])
-    large = boxes.select("image_id", *[F.col(c).alias(f"l_{c}") for c in ("raw_index", "x", "y", "w", "h", "score")])
-    both = small.join(large, "image_id").filter(
-        (bbox_area("s_") < bbox_area("l_")) & (ratio(bbox_area("s_"), bbox_area("l_")) <= size_ratio) & (F.col("l_score") >= F.col("s_score") - margin) & (containment("s_", "l_") >= cover)
-    )
-    return both.groupBy("image_id", F.col("s_raw_index").alias("raw_index")).agg(F.min("l_raw_index").alias("container"), F.count(F.lit(1)).alias("containers"))
+    side = lambda p: masks.select("image_id", *[F.col(c).alias(f"{p}{c}") for c in ("mask_id", "area", "score", "bits", "x", "y", "w", "h")])
+    held = ratio(F.bit_count(F.col("s_bits").bitwiseAND(F.col("l_bits"))), F.bit_count("s_bits"))
+    both = side("s_").join(side("l_"), "image_id").filter("s_area < l_area").withColumns({"ratio": ratio(F.col("s_area"), F.col("l_area")), "mask_held": held, "box_held": containment("s_", "l_")})
+    both = both.filter((F.col("ratio") <= size_ratio) & (F.col("l_score") >= F.col("s_score") - margin) & (F.col("mask_held") >= mask_cover) & (F.col("box_held") >= box_cover))
+    best = both.groupBy("image_id", F.col("s_mask_id").alias("mask_id")).agg(F.max_by(F.struct(F.col("l_mask_id").alias("container"), "ratio", "mask_held", "box_held"), F.struct("l_area", -F.col("l_mask_id"))).alias("r"))
+    return best.select("image_id", "mask_id", "r.*")
 
 
 def top_per_group(rows: DataFrame, key: str, score: str, tie: str, k: int) -> DataFrame:
@@ -79,11 +82,18 @@ def even_sample(rows: DataFrame, order: str, n: int) -> DataFrame:
     return numbered.join(F.broadcast(rows.sparkSession.createDataFrame(places, "row_index long")), "row_index")  # n rows
 
 
+def _contained(s, d):
+    from ..functions.masks import area, word_bbox
+
+    m = A.masks(s, d).select("image_id", "mask_id", "score", "bits", area(F.col("bits")).alias("area"), word_bbox(F.col("bits")).alias("b")).select("*", "b.x", "b.y", "b.w", "b.h")
+    return contained_partial(m, 0.95, 0.2, 0.6, 0.6).select("image_id", "mask_id", "container", *[F.round(c, 6).alias(c) for c in ("ratio", "mask_held", "box_held")])
+
+
 _B = f"WITH {A.BOXES}"
 _HIT = "greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y))"
 QUERIES = {
     "box_filter": lambda s, d: filtered(A.boxes(s, d), 64, 48, min_area=20).select("image_id", "raw_index", "reject_reason"),
-    "box_contained": lambda s, d: contained_partial(A.boxes(s, d)),
+    "box_contained": _contained,
     "box_top_k": lambda s, d: top_per_group(A.boxes(s, d), "image_id", "score", "raw_index", 2).select("image_id", "raw_index", "place"),
     "box_capped": lambda s, d: capped(A.boxes(s, d), 3, 500).select("image_id", "raw_index", "score"),
     "box_greedy_nms": lambda s, d: greedy_nms(A.boxes(s, d).withColumns({"x": F.expr("x % 40"), "y": F.expr("y % 30")}), 0.3),
@@ -92,8 +102,12 @@ QUERIES = {
 ORACLES = {
     "box_filter": f"""{_B} SELECT image_id, raw_index, CASE WHEN area < greatest(20, CAST(round_even(64 * 48 * 0.0005, 0) AS BIGINT)) THEN 'small_area' WHEN area / (w * h) < 0.08 THEN 'sparse_fragment'
       WHEN area / (64 * 48) > 0.7 THEN 'giant_mask' WHEN w * h / (64 * 48) > 0.9 THEN 'giant_bbox' ELSE '' END AS reject_reason FROM boxes""",
-    "box_contained": f"""{_B} SELECT a.image_id, a.raw_index, min(b.raw_index) AS container, count(*) AS containers FROM boxes a JOIN boxes b ON a.image_id = b.image_id AND a.w * a.h < b.w * b.h
-      AND (a.w * a.h) / (b.w * b.h) <= 0.5 AND b.score >= a.score - 10000 AND {_HIT} / (a.w * a.h) >= 0.6 GROUP BY 1, 2""",
+    "box_contained": f"""WITH {A.MASKS}, p AS (SELECT mask_id, unnest(range(0, 64)) AS i, unnest(px) AS v FROM masks),
+      f AS (SELECT m.*, q.* EXCLUDE (mask_id) FROM masks m JOIN (SELECT mask_id, sum(v) AS area, min(i // 8) FILTER (v = 1) AS x, min(i % 8) FILTER (v = 1) AS y, max(i // 8) FILTER (v = 1) - min(i // 8) FILTER (v = 1) + 1 AS w, max(i % 8) FILTER (v = 1) - min(i % 8) FILTER (v = 1) + 1 AS h FROM p GROUP BY 1) q USING (mask_id)),
+      o AS (SELECT a.image_id, a.mask_id, b.mask_id AS container, b.area AS big, a.area / b.area AS ratio, list_sum(list_transform(range(1, 65), lambda i: a.px[i] * b.px[i])) / a.area AS mask_held, {_HIT} / (a.w * a.h) AS box_held
+        FROM f a JOIN f b ON a.image_id = b.image_id AND a.area < b.area AND b.score >= a.score - 0.2)
+      SELECT image_id, mask_id, container, round(ratio, 6) AS ratio, round(mask_held, 6) AS mask_held, round(box_held, 6) AS box_held FROM o WHERE ratio <= 0.95 AND mask_held >= 0.6 AND box_held >= 0.6
+      QUALIFY row_number() OVER (PARTITION BY image_id, mask_id ORDER BY big DESC, container) = 1""",
     "box_top_k": f"{_B} SELECT image_id, raw_index, CAST(row_number() OVER w AS INT) AS place FROM boxes WINDOW w AS (PARTITION BY image_id ORDER BY score DESC, raw_index) QUALIFY row_number() OVER w <= 2",
     "box_capped": f"""{_B}, k AS (SELECT * FROM boxes QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY score DESC, raw_index) <= 3)
       SELECT image_id, raw_index, score FROM k ORDER BY score DESC, image_id, raw_index LIMIT 500""",
