@@ -7,7 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .. import adapters as A
 
@@ -26,6 +26,9 @@ CLAUSES = (
     r"\s*,?\s*(?:shown|seen|viewed|pictured)\s+(?:from|in|at)\s+[^,.;]{0,48}?\bview\b[^,.;]*",
     r"\s*,?\s*(?:in|within)\s+(?:(?:an?|the|this)\s+)?(?:image|photo(?:graph)?|picture|frame|scene)\b[^,.;]*",
 )
+PUNCTUATION = ((r"\s+([,.;:!?])", "$1"), (r",\s*([.;])", "$1"), (r"\s*,\s*$", ""), (r"(?i)\b(?:and|with|while|against)\s*$", ""))
+OWNERS = {"her": ("woman", "girl"), "his": ("man", "boy")}
+INPUT_LIMITS = (r"at most\s+\d+\s+image\(s\) may be provided", r"maximum context length", r"longer than the maximum model length")
 
 
 def _case(pairs: dict[str, str], value: Column, other: Column) -> Column:
@@ -63,20 +66,36 @@ def is_plural(surface: Column) -> Column:
 def punctuated(text: Column) -> Column:
     """White space, punctuation, a trailing connective, capital and final period put right."""
     t = F.trim(F.regexp_replace(text, r"\s+", " "))
-    for pattern, to in ((r"\s+([,.;:!?])", "$1"), (r",\s*([.;])", "$1"), (r"\s*,\s*$", ""), (r"(?i)\b(?:and|with|while|against)\s*$", "")):
+    for pattern, to in PUNCTUATION:
         t = F.regexp_replace(t, pattern, to)
     t = F.regexp_replace(t, r"^[ ,]+|[ ,]+$", "")
     return F.when(t == "", "").otherwise(F.concat(F.upper(F.left(t, F.lit(1))), F.substr(t, F.lit(2)), F.when(t.rlike(r"[.!?]$"), "").otherwise(".")))
 
 
+@F.pandas_udf(StructType([StructField("caption", StringType()), StructField("corrections", ArrayType(StringType()))]))
+def _without_clauses(texts: pd.Series) -> pd.DataFrame:
+    """Captions without view preamble and background clauses, each pattern applied until it is gone; and what was taken out, in order."""
+    lead, rest = re.compile(LEADING_VIEW, re.I), [re.compile(c, re.I) for c in CLAUSES]
+
+    def one(text: str) -> tuple[str, list[str]]:
+        out = []
+        if m := lead.match(text):
+            out, text = [f"removed crop/view preamble: {m[0].strip()}"], text[m.end() :]
+        for pattern in rest:
+            while m := pattern.search(text):
+                out.append(f"removed background/view clause: {m[0].strip()}")
+                text = text[: m.start()] + text[m.end() :]
+        return text, out
+
+    return pd.DataFrame([one(t or "") for t in texts], columns=["caption", "corrections"])
+
+
 def cleaned_caption(text: Column) -> Column:
-    """struct(original, caption, changed, valid): view preamble and background clauses removed (no parser: pattern core only)."""
+    """struct(original, caption, changed, corrections, valid): view preamble and background clauses removed (no parser: pattern core only)."""
     original = F.trim(F.coalesce(text, F.lit("")))
-    t = F.regexp_replace(original, f"(?i){LEADING_VIEW}", "")
-    for c in CLAUSES:
-        t = F.regexp_replace(t, f"(?i){c}", "")
-    caption = punctuated(t)
-    return F.struct(original.alias("original"), caption.alias("caption"), (caption != original).alias("changed"), (caption != "").alias("valid"))
+    cut = _without_clauses(original)
+    caption = punctuated(cut["caption"])
+    return F.struct(original.alias("original"), caption.alias("caption"), (caption != original).alias("changed"), cut["corrections"].alias("corrections"), (caption != "").alias("valid"))
 
 
 def cleaned_attributes(values: Column) -> Column:
@@ -117,24 +136,28 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def possessive(owner: Column) -> Column:
-    w = F.lower(owner)
-    return F.when(w.rlike(r"\b(?:woman|girl|lady|mother|wife|bride)\b"), "her").when(w.rlike(r"\b(?:man|boy|gentleman|father|husband|groom)\b"), "his").otherwise("their")
+    words = F.regexp_extract_all(F.lower(owner), F.lit("[a-z]+"), F.lit(0))
+    out = F
+    for pronoun, nouns in OWNERS.items():
+        out = out.when(F.arrays_overlap(words, F.array(*map(F.lit, nouns))), pronoun)
+    return out.otherwise("their")
 
 
 def not_gibberish(text: Column) -> Column:
-    """Long enough, printable, and no token that dominates."""
+    """Not blank, eight characters or more, printable but for 2 % (line feeds and tabs are not), and no word that dominates."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    sorted_words = F.array_sort(words)
     runs = F.aggregate(
-        sorted_words, F.struct(F.lit("").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("most")),
+        F.array_sort(words), F.struct(F.lit("").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("most")),
         lambda acc, x: F.struct(x.alias("w"), F.when(x == acc["w"], acc["n"] + 1).otherwise(1).alias("n"), F.greatest(acc["most"], F.when(x == acc["w"], acc["n"] + 1).otherwise(1)).alias("most")),
     )
-    printable = F.length(F.regexp_replace(text, r"[\p{Cntrl}&&[^\n\t\r]]", "")) / F.greatest(F.lit(1), F.length(text))
-    return (F.length(F.trim(text)) >= 8) & (printable >= 0.98) & (runs["most"] < F.greatest(F.lit(20.0), 0.55 * F.size(words)))
+    printable = F.length(F.regexp_replace(text, r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Zs}\p{Zl}\p{Zp}&&[^ ]]", "")) / F.greatest(F.lit(1), F.length(text))
+    return text.rlike(r"[^\s]") & (F.length(text) >= 8) & (printable >= 0.98) & (runs["most"] < F.greatest(F.lit(20.0), 0.55 * F.size(words)))
 
 
-def input_limit_error(error: Column) -> Column:
-    return F.when(error.rlike(r"(?i)(?:maximum|max).{0,40}(?:context|model) ?len"), "context_length").when(error.rlike(r"(?i)(?:decoder )?prompt.{0,40}(?:longer|too long|exceed)"), "prompt_length").when(error.rlike(r"(?i)multi.?modal.{0,40}(?:limit|exceed)"), "visual_tokens").otherwise("")
+def input_limit_error(error: Column, cause: Column | None = None) -> Column:
+    """The error's text if it, or what caused it, says that a request is too large; else null."""
+    both = F.concat_ws("\n", error, cause) if cause is not None else F.coalesce(error, F.lit(""))
+    return F.when(both.rlike("(?i)" + "|".join(INPUT_LIMITS)), error)
 
 
 @F.pandas_udf(ArrayType(IntegerType()))
@@ -173,34 +196,41 @@ def paired_text(values: Column) -> Column:
     return F.slice(F.array_distinct(F.filter(tidy, lambda v: v != "")), 1, 8)
 
 
-def _words(s, d, whole: bool = False) -> DataFrame:
-    """First and last word of each document, and its text: the first 60 characters, or all of it."""
+def _words(s, d) -> DataFrame:
+    """First and last word of each document, and its whole text."""
     w = F.split(F.col("text"), " ")
-    return A.table(s, d, "documents").select("doc_id", F.lower(F.regexp_replace(F.slice(w, 1, 1)[0], "[^A-Za-z]", "")).alias("w1"), F.regexp_replace(F.element_at(w, -1), "[^A-Za-z]", "").alias("w2"), (F.col("text") if whole else F.left("text", F.lit(60))).alias("t"))
+    return A.table(s, d, "documents").select("doc_id", F.lower(F.regexp_replace(F.slice(w, 1, 1)[0], "[^A-Za-z]", "")).alias("w1"), F.regexp_replace(F.element_at(w, -1), "[^A-Za-z]", "").alias("w2"), F.col("text").alias("t"))
+
+
+def _every_word(s, d) -> DataFrame:
+    """Each word of each text, letters only, with its place; `p` is a phrase of it."""
+    w = F.split(F.regexp_replace("text", "[^A-Za-z ]", ""), " +")
+    t = A.table(s, d, "documents").select("doc_id", F.posexplode(w).alias("at", "word")).filter("word <> ''")
+    noun = F.when(F.col("at") % 7 == 0, "children").when(F.col("at") % 7 == 1, "Puppies").when(F.col("at") % 7 == 2, "glass").when(F.col("at") % 7 == 3, "old man").otherwise(F.col("word"))
+    return t.withColumn("p", F.concat_ws(" ", "word", noun))
 
 
 def _terms(s, d):
-    c = _words(s, d).withColumn("p", F.concat("w1", F.lit(" "), F.when(F.col("doc_id") % 5 == 0, "children").when(F.col("doc_id") % 5 == 1, "Puppies").when(F.col("doc_id") % 5 == 2, "glass").otherwise(F.col("w2"))))
     last = head(F.col("p"))
-    return c.select("doc_id", term(F.col("p")).alias("term"), term(last).alias("head_term"), pluralized(F.lower("p")).alias("plural"), is_plural(F.col("p")).alias("is_plural"), possessive(F.col("p")).alias("owner"))
+    return _every_word(s, d).select("doc_id", "at", term(F.col("p")).alias("term"), term(last).alias("head_term"), pluralized(F.lower("p")).alias("plural"), is_plural(F.col("p")).alias("is_plural"), possessive(F.col("p")).alias("owner"))
 
 
-def _captions(s, d, whole: bool = False):
+def _captions(s, d):
     t = F.concat(F.lit("a photo of "), F.regexp_replace("t", "[^A-Za-z ]", ""), F.when(F.col("doc_id") % 2 == 0, " standing against a plain background").otherwise(" , and"))
-    return _words(s, d, whole).select("doc_id", cleaned_caption(t).alias("c")).select("doc_id", "c.caption", "c.changed", "c.valid")
+    return _words(s, d).select("doc_id", cleaned_caption(t).alias("c")).select("doc_id", "c.caption", "c.changed", "c.valid", F.size("c.corrections").alias("corrections"))
 
 
-def _tokens(s, d, whole: bool = False):
+def _tokens(s, d):
     both = tokens(F.concat("w1", F.lit(" "), "w2"))
-    return _words(s, d, whole).select("doc_id", F.array_join(F.array_sort(tokens(F.col("t"))), " ").alias("tokens"), F.round(jaccard(tokens(F.col("t")), both), 6).alias("jaccard"))
+    return _words(s, d).select("doc_id", F.array_join(F.array_sort(tokens(F.col("t"))), " ").alias("tokens"), F.round(jaccard(tokens(F.col("t")), both), 6).alias("jaccard"))
 
 
-def _occurrences(s, d, whole: bool = False):
-    return _words(s, d, whole).select("doc_id", F.array_join(occurrences(F.col("t"), F.left("t", F.lit(2))), ",").alias("at"))
+def _occurrences(s, d):
+    return _words(s, d).select("doc_id", F.array_join(occurrences(F.col("t"), F.left("t", F.lit(2))), ",").alias("at"))
 
 
-def _paired(s, d, whole: bool = False):
-    return _words(s, d, whole).select("doc_id", F.array_join(paired_text(F.array("t", F.concat("t", F.lit("  ")), "w1", F.lit(None).cast("string"), "w2")), "|").alias("texts"))
+def _paired(s, d):
+    return _words(s, d).select("doc_id", F.array_join(paired_text(F.array("t", F.concat("t", F.lit("  ")), "w1", F.lit(None).cast("string"), "w2")), "|").alias("texts"))
 
 
 def _idents(s, d):
@@ -209,7 +239,15 @@ def _idents(s, d):
     return t.select("page_id", F.array_join(F.array_sort(identifier_variants(url)), "|").alias("variants"), safe_id(url).alias("safe"), member_key(url)["suffix"].alias("suffix"))
 
 
-_W = """w AS (SELECT doc_id, lower(regexp_replace(string_split(text, ' ')[1], '[^A-Za-z]', '', 'g')) AS w1, regexp_replace(string_split(text, ' ')[-1], '[^A-Za-z]', '', 'g') AS w2, left(text, 60) AS t FROM documents)"""
+def _limits(s, d):
+    """Errors that quote each document's text; every third is a limit, some only by what caused them."""
+    t = F.col("text")
+    error = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("At most "), F.col("doc_id").cast("string"), F.lit(" image(s) may be provided: "), t)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("failed on "), t)).otherwise(F.concat(F.lit("model load: "), t))
+    cause = F.when(F.col("doc_id") % 6 == 1, F.lit("the prompt is LONGER than the maximum model length"))
+    return A.table(s, d, "documents").select("doc_id", F.coalesce(F.length(input_limit_error(error, cause)), F.lit(-1)).alias("length"))
+
+
+_W = """w AS (SELECT doc_id, lower(regexp_replace(string_split(text, ' ')[1], '[^A-Za-z]', '', 'g')) AS w1, regexp_replace(string_split(text, ' ')[-1], '[^A-Za-z]', '', 'g') AS w2, text AS t FROM documents)"""
 
 
 def _sql_term(v: str) -> str:
@@ -235,25 +273,22 @@ QUERIES = {
     "text_tokens": _tokens,
     "text_occurrences": _occurrences,
     "text_fill": lambda s, d: A.table(s, d, "labels").select("doc_id", fill("doc {doc_id}: q={quality} t={toxic}", {c: F.col(c) for c in ("doc_id", "quality", "toxic")}).alias("prompt")),
-    "text_attributes": lambda s, d: _words(s, d).select("doc_id", F.array_join(cleaned_attributes(F.array("w1", F.lit(" a scene "), "w2", "w1", F.lit("Close-up"))), "|").alias("attributes")),
+    "text_attributes": lambda s, d: A.table(s, d, "documents").select("doc_id", F.array_join(cleaned_attributes(F.split("text", r"[,.\n]")), "|").alias("attributes")),
     "text_paired": _paired,
     "text_gibberish": lambda s, d: A.table(s, d, "documents").select("doc_id", not_gibberish(F.col("text")).alias("ok")),
-    "text_captions_whole": lambda s, d: _captions(s, d, True),
-    "text_tokens_whole": lambda s, d: _tokens(s, d, True),
-    "text_occurrences_whole": lambda s, d: _occurrences(s, d, True),
-    "text_paired_whole": lambda s, d: _paired(s, d, True),
+    "text_input_limits": _limits,
 }
-_P = "w1 || ' ' || CASE doc_id % 5 WHEN 0 THEN 'children' WHEN 1 THEN 'Puppies' WHEN 2 THEN 'glass' ELSE w2 END"
 _L = "regexp_extract(lower(p), '([^ ]*)$', 1)"
 ORACLES = {
-    "text_terms": f"""WITH {_W}, q AS (SELECT doc_id, {_P} AS p FROM w) SELECT doc_id, {_sql_term('p')} AS term, {_sql_term("regexp_extract(p, '([^ ]*)$', 1)")} AS head_term,
+    "text_terms": f"""WITH t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS "at" FROM (SELECT doc_id, string_split_regex(regexp_replace(text, '[^A-Za-z ]', '', 'g'), ' +') AS w FROM documents)),
+      q AS (SELECT doc_id, CAST("at" AS INT) AS "at", word || ' ' || CASE "at" % 7 WHEN 0 THEN 'children' WHEN 1 THEN 'Puppies' WHEN 2 THEN 'glass' WHEN 3 THEN 'old man' ELSE word END AS p FROM t WHERE word <> '') SELECT doc_id, "at", {_sql_term('p')} AS term, {_sql_term("regexp_extract(p, '([^ ]*)$', 1)")} AS head_term,
       left(lower(p), length(p) - length({_L})) || CASE {_L} {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in PLURALS.items())} ELSE CASE WHEN regexp_matches({_L}, '(s|x|z|ch|sh)$') THEN {_L} || 'es'
       WHEN regexp_matches({_L}, '[^aeiou]y$') THEN left({_L}, length({_L}) - 1) || 'ies' ELSE {_L} || 's' END END AS plural,
       lower(p) IN ({', '.join(f"'{x}'" for x in PLURAL_ONLY)}) OR {_L} IN ({', '.join(f"'{x}'" for x in IRREGULAR)}) OR ({_L} LIKE '%s' AND NOT regexp_matches({_L}, '(ss|us|is)$')) AS is_plural,
-      CASE WHEN regexp_matches(lower(p), '\\b(woman|girl|lady|mother|wife|bride)\\b') THEN 'her' WHEN regexp_matches(lower(p), '\\b(man|boy|gentleman|father|husband|groom)\\b') THEN 'his' ELSE 'their' END AS owner FROM q""",
+      CASE WHEN list_has_any(regexp_extract_all(lower(p), '[a-z]+'), ['woman', 'girl']) THEN 'her' WHEN list_has_any(regexp_extract_all(lower(p), '[a-z]+'), ['man', 'boy']) THEN 'his' ELSE 'their' END AS owner FROM q""",
     "text_captions": f"""WITH {_W}, q AS (SELECT doc_id, trim('a photo of ' || regexp_replace(t, '[^A-Za-z ]', '', 'g') || CASE WHEN doc_id % 2 = 0 THEN ' standing against a plain background' ELSE ' , and' END) AS o FROM w),
-      c AS (SELECT doc_id, o, {_sql_clean('o')} AS t FROM q), f AS (SELECT doc_id, o, CASE WHEN t = '' THEN '' ELSE upper(left(t, 1)) || substr(t, 2) || CASE WHEN regexp_matches(t, '[.!?]$') THEN '' ELSE '.' END END AS caption FROM c)
-      SELECT doc_id, caption, caption <> o AS changed, caption <> '' AS valid FROM f""",
+      c AS (SELECT doc_id, o, {_sql_clean('o')} AS t, 1 + (doc_id % 2 = 0)::INT AS n FROM q), f AS (SELECT doc_id, o, n, CASE WHEN t = '' THEN '' ELSE upper(left(t, 1)) || substr(t, 2) || CASE WHEN regexp_matches(t, '[.!?]$') THEN '' ELSE '.' END END AS caption FROM c)
+      SELECT doc_id, caption, caption <> o AS changed, caption <> '' AS valid, CAST(n AS INT) AS corrections FROM f""",
     "text_identifiers": """WITH u AS (SELECT page_id, trim(regexp_replace(url, '[?#].*$', '')) AS raw FROM pages), n AS (SELECT *, regexp_extract(raw, '([^/]*)/*$', 1) AS name FROM u),
       s AS (SELECT *, CASE WHEN regexp_matches(name, '[^.]\\.[^.]+$') THEN regexp_replace(name, '\\.[^.]+$', '') ELSE name END AS stem FROM n)
       SELECT page_id, array_to_string(list_sort(list_filter(list_distinct([raw, name, stem, CASE WHEN stem <> name THEN left(raw, length(raw) - (length(name) - length(stem))) END]), lambda v: v <> '')), '|') AS variants,
@@ -263,12 +298,12 @@ ORACLES = {
       SELECT doc_id, array_to_string(list_sort(a), ' ') AS tokens, round(len(list_intersect(a, b)) / greatest(1, len(list_distinct(list_concat(a, b)))), 6) AS jaccard FROM q""",
     "text_occurrences": f"""WITH {_W} SELECT doc_id, array_to_string(list_filter(range(0, length(t) - 1), lambda i: substr(t, i + 1, 2) = left(t, 2)), ',') AS at FROM w""",
     "text_fill": "SELECT doc_id, 'doc ' || doc_id || ': q=' || quality || ' t=' || toxic AS prompt FROM labels",
-    "text_attributes": f"WITH {_W} SELECT doc_id, CASE WHEN w1 = '' THEN w2 WHEN w2 = '' OR w2 = w1 THEN w1 ELSE w1 || '|' || w2 END AS attributes FROM w",
+    "text_attributes": f"""WITH a AS (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '[,.\\n]'), lambda v: trim(v)), lambda v: v <> '' AND NOT regexp_matches(lower(v), '{"|".join(BACKGROUND + VIEWS + MASK_TERMS)}')) AS v FROM documents)
+      SELECT doc_id, array_to_string(list_filter(v, lambda x, i: list_position(v, x) = i), '|') AS attributes FROM a""",
+    "text_input_limits": """SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN length('At most ' || doc_id || ' image(s) may be provided: ' || text) WHEN doc_id % 6 = 1 THEN length('failed on ' || text) ELSE -1 END AS INT) AS length FROM documents""",
     "text_paired": f"""WITH {_W}, q AS (SELECT doc_id, list_filter([trim(regexp_replace(t, '\\s+', ' ', 'g')), w1, w2], lambda v: v <> '') AS v FROM w)
       SELECT doc_id, array_to_string(list_filter(v, lambda x, i: list_position(v, x) = i), '|') AS texts FROM q""",
     "text_gibberish": """WITH t AS (SELECT doc_id, text, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS w FROM documents), c AS (SELECT doc_id, w, count(*) AS n FROM t GROUP BY 1, 2),
       m AS (SELECT doc_id, max(n) AS most, sum(n) AS total FROM c GROUP BY 1)
-      SELECT d.doc_id, length(trim(text)) >= 8 AND coalesce(most, 0) < greatest(20.0, 0.55 * coalesce(total, 0)) AS ok FROM documents d LEFT JOIN m USING (doc_id)""",
+      SELECT d.doc_id, regexp_matches(text, '\\S') AND length(text) >= 8 AND length(regexp_replace(replace(text, ' ', 'x'), '[\\p{C}\\p{Z}]', '', 'g')) / greatest(1, length(text)) >= 0.98 AND coalesce(most, 0) < greatest(20.0, 0.55 * coalesce(total, 0)) AS ok FROM documents d LEFT JOIN m USING (doc_id)""",
 }
-#: the same SQL over whole texts; occurrences has none (its substr for each character is too slow there), a fixture holds it
-ORACLES |= {f"{k}_whole": ORACLES[k].replace("left(text, 60)", "text") for k in ("text_captions", "text_tokens", "text_paired")}

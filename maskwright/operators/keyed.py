@@ -57,8 +57,3 @@ def set_mismatch(expected: DataFrame, actual: DataFrame, key: str, examples: int
 
 def first_seen_distinct(df: DataFrame, key: str, order: str = "_ord") -> DataFrame:
     return df.groupBy(key).agg(F.min(order).alias("first_ord"))
-
-
-def ordered_distinct(values: Column) -> Column:
-    """An array without its later duplicates, in order."""
-    return F.array_distinct(values)

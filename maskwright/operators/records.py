@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 from .. import adapters as A
 from .keyed import counts, last_wins, remaining
 
-# Fragments of tag errors, and which stages each stage may follow.
-TAG_ERRORS = ("already open", "without opening", "crossed tags", "never closed", "empty span")
-FORBIDDEN = (r"phrase '([^']+)' is forbidden", r"avoid the phrase '([^']+)'", r"stock predicate '([^']+)'", r"remove '([^']+)'")
+# Fragments of tag errors, the wordings that quote a phrase to avoid, ordinals, and which stages each stage may follow.
+TAG_ERRORS = ("has an unclosed opening tag", "has a closing tag without an opening tag", "inline tags are crossed", "has nested self-overlap", "has an empty inline mention")
+_Q = r"(['\"])(.*?)"
+FORBIDDEN = (
+    rf"unmasked concrete noun phrase {_Q}\1 at ",
+    rf"unsupported-object evasion {_Q}\1;",
+    rf"adjacent duplicate linked phrase {_Q}\1;",
+    rf"plural collection mask ID \d+ needs a descriptive phrase, not {_Q}\1",
+)
+ORDINALS = ("first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth", "eleventh", "twelfth")
 PREREQUISITES = {"sam3": ["image-review"], "mask-captions": ["sam3"], "mask-qa": ["mask-captions"], "consistency": ["mask-qa", "mask-captions"], "bcc-draft": ["consistency"], "bcc-audit": ["bcc-draft"], "bcc-rewrite": ["bcc-audit"]}
 
 
@@ -34,8 +41,8 @@ def tag_errors(errors: Column) -> Column:
 
 def forbidden_phrases(errors: Column) -> Column:
     """Quoted phrases by the known wordings, each once, in order."""
-    every = F.flatten(F.transform(errors, lambda e: F.array(*[F.regexp_extract(e, p, 1) for p in FORBIDDEN])))
-    return F.array_distinct(F.filter(every, lambda x: x != ""))
+    every = F.flatten(F.transform(errors, lambda e: F.array(*[F.when(e.rlike(p), F.regexp_extract(e, p, 2)) for p in FORBIDDEN])))
+    return F.array_distinct(F.filter(every, lambda x: x.isNotNull()))
 
 
 def located(groups: Column, archive: Column) -> Column:
@@ -48,11 +55,6 @@ def overlay_numbers(groups: Column, ids: Column) -> Column:
     return F.transform(groups, lambda g: F.array_position(ids, g["mask_id"]).cast("int"))
 
 
-def nested_index(*levels: Column) -> Column:
-    """The first index found through nested records."""
-    return F.coalesce(*levels)
-
-
 def first_terms(*fields: Column) -> Column:
     """The first field that has terms."""
     out = None
@@ -66,9 +68,11 @@ def allowed_nouns(expected: Column, alternatives: Column, anchor: Column) -> Col
 
 
 def selector(index: Column, total: Column) -> Column:
-    """one / the other for two, an ordinal word for more, nothing for one."""
-    words = F.array(*map(F.lit, ("first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth")))
-    return F.when(total <= 1, "").when(total == 2, F.when(index == 1, "one").otherwise("the other")).otherwise(F.concat(F.lit("the "), F.coalesce(F.try_element_at(words, index), index.cast("string"))))
+    """one / the other for two, an ordinal for more (in words up to twelve), nothing for one."""
+    suffix = F.when((index % 100).isin(11, 12, 13), "th").otherwise(F.coalesce(F.try_element_at(F.array(*map(F.lit, ("st", "nd", "rd"))), F.nullif(index % 10, F.lit(0))), F.lit("th")))
+    word = F.when(index.between(1, len(ORDINALS)), F.try_element_at(F.array(*map(F.lit, ORDINALS)), F.nullif(index, F.lit(0)))).otherwise(F.concat(index.cast("string"), suffix))
+    pair = (total == 2) & index.isin(1, 2)
+    return F.when(total <= 1, "").when(pair, F.when(index == 1, "one").otherwise("the other")).otherwise(F.concat(F.lit("the "), word))
 
 
 def packet(source: Column, crops: Column) -> Column:
@@ -132,9 +136,16 @@ def _recovery(s, d):
 
 
 def _errors(s, d):
-    e = F.array(F.concat(F.lit("tag "), F.col("doc_id").cast("string"), F.lit(" is already open")), F.when(F.col("toxic") == 1, "remove 'the thing' now").otherwise("phrase 'a b' is forbidden"), F.lit("other"), F.lit("avoid the phrase 'a b'"))
-    t = A.table(s, d, "labels").withColumn("e", e)
-    return t.select("doc_id", F.array_join(tag_errors(F.col("e")), "|").alias("tags"), F.array_join(forbidden_phrases(F.col("e")), "|").alias("phrases"), selector((F.col("doc_id") % 4 + 1).cast("int"), (F.col("doc_id") % 5).cast("int")).alias("selector"))
+    """Messages around the words of each labelled document's text."""
+    t = A.table(s, d, "labels").join(A.table(s, d, "documents").select("doc_id", F.regexp_replace("text", "[^a-z ]", "").alias("t")), "doc_id")
+    q = lambda c, a, b: F.concat(F.lit(a), F.lit("'"), c, F.lit("'"), F.lit(b))
+    e = F.array(
+        F.concat(F.lit("mask ID "), F.col("doc_id").cast("string"), F.lit(" has an unclosed opening tag")), q(F.col("t"), "unmasked concrete noun phrase ", " at 3"),
+        F.when(F.col("toxic") == 1, q(F.lit("the thing"), "unsupported-object evasion ", "; name it")).otherwise(q(F.lit("a b"), "plural collection mask ID 7 needs a descriptive phrase, not ", "")),
+        F.lit("other"), q(F.col("t"), "adjacent duplicate linked phrase ", "; say it once"), F.lit("inline tags are crossed: 1 and 2"),
+    )
+    t = t.withColumn("e", e)
+    return t.select("doc_id", F.array_join(tag_errors(F.col("e")), "|").alias("tags"), F.array_join(forbidden_phrases(F.col("e")), "|").alias("phrases"), selector((F.col("doc_id") % 130 + 1).cast("int"), (F.col("doc_id") % 7).cast("int")).alias("selector"))
 
 
 def _packets(s, d):
@@ -152,8 +163,8 @@ from .spans import _T as _TAGGED  # noqa: E402
 
 _S = f"WITH {A.SOURCES}, {A.REVIEWS}"
 QUERIES = {
-    "index_gaps": lambda s, d: contiguous(A.sources(s, d).filter("source_manifest_index % 50 <> 7").select("source_manifest_index"), "source_manifest_index"),
-    "review_completeness": lambda s, d: one_review_each(A.sources(s, d).filter("n_chars % 2 = 0"), A.reviews(s, d)),
+    "index_gaps": lambda s, d: contiguous(A.reviews(s, d).select(F.col("_ord").alias("source_manifest_index")), "source_manifest_index"),
+    "review_completeness": lambda s, d: one_review_each(A.sources(s, d), A.reviews(s, d).unionByName(A.table(s, d, "conversations").select(F.concat(F.lit("c"), F.col("conv_id")).alias("image_id"), F.lit(1).alias("_ord")), allowMissingColumns=True)),
     "merge_barrier": _barrier,
     "recovery_order": _recovery,
     "error_fragments": _errors,
@@ -162,13 +173,15 @@ QUERIES = {
     "smallest_cover": lambda s, d: smallest_cover(_links(s, d).filter("id = 2").select("image_id", "start", "end"), _links(s, d)),
 }
 ORACLES = {
-    "index_gaps": "WITH k AS (SELECT doc_id AS source_manifest_index, lag(doc_id) OVER (ORDER BY doc_id) AS b FROM documents WHERE doc_id % 50 <> 7) SELECT source_manifest_index FROM k WHERE source_manifest_index <> coalesce(b, -1) + 1",
-    "review_completeness": f"{_S} SELECT image_id, 'missing' AS problem FROM sources WHERE n_chars % 2 = 0 AND image_id NOT IN (SELECT image_id FROM reviews) UNION ALL SELECT image_id, 'extra' FROM reviews WHERE image_id NOT IN (SELECT image_id FROM sources WHERE n_chars % 2 = 0)",
+    "index_gaps": "WITH k AS (SELECT doc_id AS source_manifest_index, lag(doc_id) OVER (ORDER BY doc_id) AS b FROM labels) SELECT source_manifest_index FROM k WHERE source_manifest_index <> coalesce(b, -1) + 1",
+    "review_completeness": f"{_S} SELECT image_id, 'missing' AS problem FROM sources WHERE image_id NOT IN (SELECT image_id FROM reviews) UNION ALL SELECT DISTINCT 'c' || conv_id, 'extra' FROM conversations",
     "merge_barrier": "SELECT DISTINCT doc_id // 8 AS unit, CASE WHEN doc_id // 8 % 3 = 0 THEN 'done' WHEN doc_id // 8 % 5 = 0 THEN 'quarantined' ELSE 'missing' END AS state FROM documents",
     "recovery_order": f"""{_S}, n AS (SELECT CAST(conv_id AS VARCHAR) AS image_id, count(*) AS n FROM conversations GROUP BY 1)
       SELECT campaign_unit % 10 AS campaign, image_id, CAST(row_number() OVER (PARTITION BY campaign_unit % 10 ORDER BY n_chars % 2, coalesce(n, 0), source_manifest_index, image_id) AS INT) AS place FROM sources LEFT JOIN n USING (image_id)""",
-    "error_fragments": """SELECT doc_id, 'tag ' || doc_id || ' is already open' AS tags, CASE WHEN toxic = 1 THEN 'the thing|a b' ELSE 'a b' END AS phrases,
-      CASE WHEN doc_id % 5 <= 1 THEN '' WHEN doc_id % 5 = 2 THEN CASE WHEN doc_id % 4 = 0 THEN 'one' ELSE 'the other' END ELSE 'the ' || ['first', 'second', 'third', 'fourth'][doc_id % 4 + 1] END AS selector FROM labels""",
+    "error_fragments": f"""WITH t AS (SELECT doc_id, toxic, regexp_replace(text, '[^a-z ]', '', 'g') AS t, doc_id % 130 + 1 AS i, doc_id % 7 AS n FROM labels JOIN documents USING (doc_id))
+      SELECT doc_id, 'mask ID ' || doc_id || ' has an unclosed opening tag|inline tags are crossed: 1 and 2' AS tags, t || '|' || CASE WHEN toxic = 1 THEN 'the thing' ELSE 'a b' END AS phrases,
+      CASE WHEN n <= 1 THEN '' WHEN n = 2 AND i = 1 THEN 'one' WHEN n = 2 AND i = 2 THEN 'the other' WHEN i <= 12 THEN 'the ' || {list(ORDINALS)}[i]
+      ELSE 'the ' || i || CASE WHEN i % 100 IN (11, 12, 13) THEN 'th' WHEN i % 10 = 1 THEN 'st' WHEN i % 10 = 2 THEN 'nd' WHEN i % 10 = 3 THEN 'rd' ELSE 'th' END END AS selector FROM t""",
     "image_packets": """SELECT doc_id, CAST(n AS INT) AS n, CASE n WHEN 1 THEN 'source' WHEN 2 THEN 'overlay' ELSE 'crop' END AS role, CASE n WHEN 1 THEN 'img/' || doc_id WHEN 2 THEN 'img/' || doc_id || '.overlay' ELSE 'c' || (n - 2) END AS path
       FROM labels, LATERAL (SELECT unnest(range(1, doc_id % 3 + 4)) AS n)""",
     "phrases_repeated": f"WITH {_TAGGED} SELECT image_id, lower(surface) AS phrase, count(DISTINCT id) AS groups FROM links GROUP BY 1, 2 HAVING count(DISTINCT id) >= 2",

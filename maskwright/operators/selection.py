@@ -89,8 +89,9 @@ def checked_rows(rows: DataFrame, required: list[str]) -> DataFrame:
 
 
 def _mism(s, d):
-    src = A.sources(s, d)
-    return set_mismatch(src.filter("source_manifest_index % 7 <> 0"), src.filter("source_manifest_index % 5 <> 0"), "source_manifest_index").select("kind", "n", F.array_join("examples", ",").alias("examples"))
+    """Documents against conversations, by number."""
+    members = A.table(s, d, "conversations").select((F.col("conv_id") * 3).alias("source_manifest_index"))
+    return set_mismatch(A.sources(s, d), members, "source_manifest_index").select("kind", "n", F.array_join("examples", ",").alias("examples"))
 
 
 def _terminal(s, d):
@@ -109,19 +110,19 @@ QUERIES = {
     "terminal_images": _terminal,
     "groups_enriched": _enriched,
     "preview_index": lambda s, d: A.sources(s, d).select("image_id", preview_index(F.col("image_id")).alias("preview")),
-    "versions_merged": lambda s, d: versions_merged(A.sources(s, d).filter("n_chars % 3 = 0").select("image_id", "n_chars"), A.sources(s, d).filter("n_chars % 2 = 0").select("image_id", "n_chars"), ["image_id"]),
+    "versions_merged": lambda s, d: versions_merged(A.reviews(s, d).select("image_id", F.lit(1).alias("n_chars")), A.sources(s, d).select("image_id", "n_chars"), ["image_id"]),
     "funnel": lambda s, d: funnel(A.sources(s, d), A.reviews(s, d), A.audits(s, d)).select("stage", F.round("value", 6).alias("value")),
     "stream_rows": lambda s, d: summary({"sources": A.sources(s, d), "reviews": A.reviews(s, d), "audits": A.audits(s, d), "exclusions": A.exclusions(s, d)}),
     "resume_rows": lambda s, d: remaining(A.sources(s, d), [A.audits(s, d), A.exclusions(s, d)], "image_id").select("image_id"),
     "checked_rows": lambda s, d: checked_rows(A.audits(s, d), ["image_id", "caption", "reason_code"]).select("image_id", F.array_join("errors", ",").alias("errors")),
 }
 ORACLES = {
-    "set_mismatch": """WITH o AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'missing' ELSE 'extra' END AS kind FROM documents WHERE (doc_id % 7 <> 0) <> (doc_id % 5 <> 0))
-      SELECT kind, count(*) AS n, array_to_string(list_sort(list(doc_id))[1:10], ',') AS examples FROM o GROUP BY 1""",
+    "set_mismatch": """WITH c AS (SELECT DISTINCT conv_id * 3 AS i FROM conversations), o AS (SELECT doc_id AS i, 'missing' AS kind FROM documents WHERE doc_id NOT IN (SELECT i FROM c) UNION ALL SELECT i, 'extra' FROM c WHERE i NOT IN (SELECT doc_id FROM documents))
+      SELECT kind, count(*) AS n, array_to_string(list_sort(list(i))[1:10], ',') AS examples FROM o GROUP BY 1""",
     "terminal_images": f"{_S} SELECT CAST(l_partkey % 1000 AS VARCHAR) AS image_id FROM lineitem GROUP BY 1 HAVING count(*) >= 10 AND image_id NOT IN (SELECT image_id FROM audits) AND image_id NOT IN (SELECT image_id FROM exclusions)",
     "groups_enriched": f"{_S} SELECT image_id, array_to_string(list_transform(list_filter(linked, lambda m, i: list_position(linked, m) = i), lambda m: m || ':' || CAST(substr(m, 2) AS INT) * 10), ',') AS groups FROM audits",
     "preview_index": f"{_S} SELECT image_id, CAST(CAST('0x' || left(sha256(image_id), 12) AS BIGINT) + 1125899906842624 AS BIGINT) AS preview FROM sources",
-    "versions_merged": f"{_S} SELECT image_id, n_chars, CASE WHEN n_chars % 3 = 0 THEN 'after' ELSE 'before' END AS version FROM sources WHERE n_chars % 3 = 0 OR n_chars % 2 = 0",
+    "versions_merged": f"{_S} SELECT image_id, 1 AS n_chars, 'after' AS version FROM reviews UNION ALL SELECT image_id, n_chars, 'before' FROM sources WHERE image_id NOT IN (SELECT image_id FROM reviews)",
     "funnel": f"""{_S} SELECT 'sources' AS stage, CAST(count(*) AS DOUBLE) AS value FROM sources UNION ALL SELECT 'reviews', count(*) FROM reviews UNION ALL SELECT 'accepted', count(*) FILTER (accepted) FROM reviews
       UNION ALL SELECT 'audits', count(*) FROM audits UNION ALL SELECT 'acceptance_rate', round(avg(CAST(accepted AS INT)), 6) FROM reviews""",
     "stream_rows": f"""{_S} SELECT 'sources' AS stream, count(*) AS rows FROM sources UNION ALL SELECT 'reviews', count(*) FROM reviews UNION ALL SELECT 'audits', count(*) FROM audits UNION ALL SELECT 'exclusions', count(*) FROM exclusions""",
