@@ -8,6 +8,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..functions.text import identifier_variants
+from ..operators.incremental import running
 
 # Headers of an exclusion list.
 EXCLUSION_HEADERS = ("identifier", "id", "image_id", "file", "file_name", "filename", "pair_key", "source_key")
@@ -19,23 +20,24 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 
 def positioned(df: DataFrame, into: str = "_ord") -> DataFrame:
-    """Adds each row's place in file order as one number: (file, block start, place in the block) packed by Spark's scan order."""
-    return df.withColumn(into, F.monotonically_increasing_id())
+    """Adds each row's place over all files: 0, 1, 2, ... by file name, then the order in the file."""
+    at = df.withColumns({"_f": F.col("_metadata.file_path"), "_b": F.col("_metadata.file_block_start"), "_i": F.monotonically_increasing_id(), "_one": F.lit(1)})
+    return running(at, ["_f", "_b", "_i"], 16, **{into: "_one"}).withColumn(into, F.col(into) - 1).drop("_f", "_b", "_i", "_one")
 
 
 def read_source_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A CSV or JSON-lines manifest: empty cells as missing; image_id from id, the file name's stem or the place; pair_key from image_id."""
     if path.lower().endswith(".csv"):
         raw = spark.read.option("header", True).option("multiLine", True).option("encoding", "UTF-8").csv(path)
-        raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
+        rows = positioned(raw)
+        rows = rows.toDF(*[c.lstrip("﻿") for c in rows.columns])
     else:
-        raw = spark.read.option("mode", "FAILFAST").json(path)
-        if "source_context" in raw.columns:
-            inner = [f.name for f in raw.schema["source_context"].dataType.fields]
-            raw = raw.select(*[c for c in raw.columns if c not in inner and c != "source_context"], "source_context.*")
-    have = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) if c in raw.columns else F.lit(None).cast("string")
+        rows = positioned(spark.read.option("mode", "FAILFAST").json(path))
+        if "source_context" in rows.columns:
+            inner = [f.name for f in rows.schema["source_context"].dataType.fields]
+            rows = rows.select(*[c for c in rows.columns if c not in inner and c != "source_context"], "source_context.*")
+    have = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) if c in rows.columns else F.lit(None).cast("string")
     stem = F.regexp_replace(F.regexp_extract(have("file_name"), r"([^/\\]*)$", 1), r"(?<=[^.])\.[^.]+$", "")
-    rows = positioned(raw)
     place = F.format_string("image_%09d", F.col("_ord"))
     image_id = F.coalesce(have("image_id"), have("id"), F.nullif(stem, F.lit("")), place)
     meta = have("metadata_json")
@@ -60,10 +62,13 @@ def load_exclusions(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
 
 def without_excluded(rows: DataFrame, exclusions: DataFrame, columns: list[str]) -> DataFrame:
     """Rows none of whose columns' variants is on the list."""
-    keyed = rows.withColumn("_row", F.xxhash64(*[F.col(c).cast("string") for c in columns]))
     every = F.flatten(F.array(*[identifier_variants(F.col(c).cast("string")) for c in columns]))
-    hit = keyed.select("_row", F.explode(every).alias("identifier")).join(exclusions, "identifier", "left_semi").select("_row").distinct()
-    return keyed.join(hit, "_row", "left_anti").drop("_row")
+    values = rows.select(*columns).distinct()
+    hit = values.select(*columns, F.explode(every).alias("identifier")).join(exclusions, "identifier", "left_semi").select(*[F.col(c).alias(f"_x_{c}") for c in columns]).distinct()
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_x_{c}"))
+    return rows.join(hit, same, "left_anti")
 
 
 def sliced(rows: DataFrame, start: int, limit: int, order: str = "_ord") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.export import shard_manifest, sharded
+from ..shared import remove, written
 
 
 def write_jsonl(df: DataFrame, path: str, compression: str = "none") -> None:
@@ -23,28 +24,42 @@ def write_csv(df: DataFrame, path: str, fields: list[str]) -> None:
 
 
 def write_parquet_shards(df: DataFrame, path: str, key: str, order: str, rows: int) -> DataFrame:
-    """Shards of `rows` rows in stable order, one folder each; returns the manifest.  Shards whose manifest row and row count
-    are unchanged are left as they are.
+    """Shards of `rows` rows in stable order, one folder each; returns the manifest with a digest of each shard's content.
+
+    Shards whose digest on disk is that of the manifest are left as they are; others are written anew, and folders of shards
+    that the table no longer has are deleted.
     """
     spark = df.sparkSession
     numbered = sharded(df, key, order, rows)
-    manifest = shard_manifest(numbered)
-    done = valid_shards(spark, path, manifest)
-    todo = numbered.join(done.select("shard"), "shard", "left_anti") if done is not None else numbered
+    manifest = shard_manifest(numbered).join(_digests(numbered, df.columns), "shard")
+    old = _shards_on_disk(spark, path)
+    if old is None:
+        todo = numbered
+    else:
+        same = _digests(old, df.columns).join(manifest.select("shard", "digest"), ["shard", "digest"], "left_semi") if set(df.columns) <= set(old.columns) else None
+        todo = numbered.join(same.select("shard"), "shard", "left_anti") if same is not None else numbered
+        gone = old.select("shard").distinct().join(manifest, "shard", "left_anti").collect()  # a number a shard
+        todo = written(todo, "shards")
+        for r in gone:
+            remove(spark, f"{path}/shard={r['shard']}")
     todo.repartitionByRange("shard").sortWithinPartitions("shard", "row_index").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("shard").parquet(path)
     return manifest
 
 
-def valid_shards(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame | None:
-    """Shards on disk whose footers hold as many rows as the manifest says."""
+def _digests(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """A digest of each shard: its rows' digests, added up; a row's is over its place and values."""
+    row = F.sha2(F.to_json(F.struct("row_index", *sorted(columns)), {"ignoreNullFields": "false"}), 256)
+    part = lambda k: F.sum(F.conv(F.substring(row, 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+    return rows.groupBy("shard").agg(F.concat_ws("-", F.count(F.lit(1)).cast("string"), *[part(k) for k in range(4)]).alias("digest"))
+
+
+def _shards_on_disk(spark: SparkSession, path: str) -> DataFrame | None:
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return None
     there = spark.read.parquet(path)
-    if "shard" not in there.columns:
-        return None
-    return there.groupBy("shard").agg(F.count(F.lit(1)).alias("found")).join(manifest, "shard").filter("found = rows").select("shard")
+    return there.withColumn("shard", F.col("shard").cast("long")) if {"shard", "row_index"} <= set(there.columns) else None
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:
