@@ -2,6 +2,7 @@ import os
 import sys
 from pathlib import Path
 
+import pandas as pd
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -35,7 +36,7 @@ def duck():
 
 def texts(frame):
     """Rows as sorted texts, columns by name, numbers and nulls alike."""
-    one = lambda v: "null" if v is None or v != v else str(round(float(v), 6)) if isinstance(v, (int, float)) and not isinstance(v, bool) or type(v).__name__.startswith(("int", "float")) else str(v)
+    one = lambda v: "null" if v is None or v is pd.NA or v != v else str(round(float(v), 6)) if isinstance(v, (int, float)) and not isinstance(v, bool) or type(v).__name__.startswith(("int", "float")) else str(v)
     return sorted("|".join(map(one, r)) for r in frame[sorted(frame.columns)].astype(object).values.tolist())
 
 

@@ -36,17 +36,100 @@ def test_components():
     assert masks.significant_components(np.ones((3, 3), bool)) == 1
 
 
-def test_composite_of_two_children():
-    a, b = np.zeros((12, 12), bool), np.zeros((12, 12), bool)
-    a[:, :6], b[:, 6:] = True, True
-    found = canonical.composites([(1, a), (2, b), (3, a | b)])
-    assert [(f["container"], f["children"]) for f in found] == [(3, [1, 2])]
+def _word(m):
+    return int.from_bytes(masks.pack(m), "little", signed=True)
+
+
+def test_composite_of_two_children(spark):
+    a, b, c = np.zeros((8, 8), bool), np.zeros((8, 8), bool), np.zeros((8, 8), bool)
+    a[:, :4], b[:, 4:], c[:, 1:5] = True, True, True
+    rows = spark.createDataFrame([(1, 0, "x", _word(a)), (2, 0, "x", _word(b)), (3, 0, "x", _word(a | b)), (4, 0, "x", _word(c)), (5, 1, "x", _word(a)), (6, 0, None, _word(a))], "mask_id long, image_id long, subject string, bits long")
+    assert [(r["container"], r["children"]) for r in canonical.composite_masks(rows).collect()] == [(3, "1,2")]
 
 
 def test_inverse_background_is_far():
     px = np.full((500, 3), 10) + np.arange(500)[:, None] % 5
-    rgb, facts = masks.inverse_background(px)
-    assert facts["distance_q10"] > 150 and rgb != (10, 10, 10)
+    r = masks.inverse_background(px)
+    assert r["distance_q10"] > 150 and r["rgb"] == [255, 255, 255] and r["foreground_sample_count"] == 500
+    assert masks.inverse_background(np.zeros((0, 3)))["rgb"] == [0, 0, 0] and masks.inverse_background(np.zeros((40_000, 3)))["foreground_sample_count"] == 32_768
+    assert masks.color_for_index(0) == (255, 63, 63)
+
+
+def test_contained_partial_names_the_largest(spark):
+    from maskwright.operators.suppress import contained_partial
+
+    small, mid, big, far = (np.zeros((8, 8), bool) for _ in range(4))
+    small[2:4, 2:4], mid[1:5, 1:5], big[0:7, 0:7], far[7:8, 7:8] = True, True, True, True
+    rows = [(i, _word(m), int(m.sum()), sc, *box) for i, (m, sc, box) in enumerate([(mid, 0.5, (1, 1, 4, 4)), (big, 0.5, (0, 0, 7, 7)), (small, 0.5, (2, 2, 2, 2)), (far, 0.9, (7, 7, 1, 1))])]
+    df = spark.createDataFrame(rows, "mask_id int, bits long, area int, score double, x int, y int, w int, h int").withColumn("image_id", F.lit(1))
+    assert {r["mask_id"]: r["container"] for r in contained_partial(df).collect()} == {0: 1, 2: 1}
+    assert contained_partial(df.withColumn("score", F.when(F.col("mask_id") == 1, 0.1).otherwise(F.col("score")))).collect()[0]["container"] == 0
+
+
+def test_owner_rules(spark):
+    from maskwright.functions.geometry import owners
+
+    box = lambda img, i, sub, x, w: (img, i, sub, x, 0, w, 10)
+    rows = [box(1, 0, "A", 0, 10), box(1, 1, "B", 50, 10), box(2, 0, "A", 0, 10), box(2, 1, "B", 0, 10), box(2, 2, "C", 0, 7), box(3, 0, "A", 0, 10), box(3, 1, "B", 0, 10), box(3, 2, "B", 0, 9), box(4, 0, "A", 0, 10), box(4, 1, "B", 0, 7), box(4, 2, "B", 50, 9)]
+    df = spark.createDataFrame(rows, "image_id int, raw_index int, subject string, x int, y int, w int, h int")
+    assert sorted((r["image_id"], r["owner"]) for r in owners(df).collect()) == [(1, 1), (2, 1)]
+
+
+def test_text_rules(spark):
+    from maskwright.functions import text
+    from maskwright.operators import records
+
+    df = spark.createDataFrame([("a close-up of a cat seen against a wall background set on a red background, in a photo",), ("line one\nabc\ndefgh\n",), ("Women and a girlish man",), ("At most 4 image(s) may be provided",)], "t string")
+    r = df.select(text.cleaned_caption(F.col("t")).alias("c"), text.not_gibberish(F.col("t")).alias("ok"), text.possessive(F.col("t")).alias("p"), text.input_limit_error(F.col("t")).alias("e")).collect()
+    assert r[0]["c"]["caption"] == "A cat." and len(r[0]["c"]["corrections"]) == 3 and r[0]["c"]["corrections"][0] == "removed crop/view preamble: a close-up of"
+    assert [x["ok"] for x in r] == [True, False, True, True] and r[2]["p"] == "his" and r[3]["e"] == "At most 4 image(s) may be provided" and r[0]["e"] is None
+    one = spark.range(1)
+    pick = lambda i, n: one.select(records.selector(F.lit(i), F.lit(n))).first()[0]
+    assert [pick(1, 1), pick(1, 2), pick(2, 2), pick(3, 2), pick(11, 20), pick(12, 20), pick(13, 20), pick(21, 30), pick(111, 200)] == ["", "one", "the other", "the third", "the eleventh", "the twelfth", "the 13th", "the 21st", "the 111th"]
+
+
+def test_places_at_size(spark, tmp_path):
+    """A million rows in eight files: places are 0 .. n-1, each once."""
+    from maskwright.plans.export import sharded
+
+    spark.range(1_000_000).select(((F.col("id") * 7919) % 1_000_003).alias("k")).repartition(8).write.parquet(str(tmp_path / "k"))
+    r = sharded(spark.read.parquet(str(tmp_path / "k")), "k", "k", 1000)
+    f = r.agg(F.count_distinct("row_index").alias("n"), F.min("row_index").alias("a"), F.max("row_index").alias("b"), F.count_distinct("shard").alias("s")).first()
+    assert tuple(f) == (1_000_000, 0, 999_999, 1000)
+    ordered = r.select("k", "row_index", F.lag("row_index").over(__import__("pyspark").sql.Window.partitionBy("shard").orderBy("k")).alias("before"))
+    assert ordered.filter("before IS NOT NULL AND before <> row_index - 1").isEmpty()
+
+
+def test_byte_shards_start_anew(spark):
+    rows = spark.createDataFrame([(i, b) for i, b in enumerate([50, 50, 50, 50, 70, 10])], "unit long, bytes long")
+    assert [r["shard"] for r in incremental.byte_shards(rows.repartition(3), 60).orderBy("unit").collect()] == [0, 0, 1, 1, 2, 3]
+
+
+def test_manifest_places_over_files(spark, tmp_path):
+    (tmp_path / "m.csv").mkdir()
+    for k in range(3):
+        (tmp_path / "m.csv" / f"p{k}.csv").write_text("image_id,file_name\n" + ",\n" * 0 + "".join(f",\nx{k}{i},\n" for i in range(2)))
+    ids = [r["image_id"] for r in manifest.read_source_manifest(spark, str(tmp_path / "m.csv")).orderBy("_ord").collect()]
+    assert ids[::2] == [f"image_{i:09d}" for i in range(0, 12, 2)] and ids[1::2] == ["x00", "x01", "x10", "x11", "x20", "x21"]
+
+
+def test_stream_state_survives_a_crash(spark, tmp_path):
+    from maskwright.streaming import logs
+
+    state = str(tmp_path / "s")
+    batch = lambda rows: spark.createDataFrame(rows, "k int, _ord int, v string")
+    logs.upsert_latest(batch([(i, 1, "a") for i in range(200)]), 0, state, "k", "_ord", 8)
+    broken = spark.createDataFrame([(5, 2, "b")], "k int, _ord int, v string")
+    (tmp_path / "s" / "v=1-dead").mkdir()  # what a crash in the write leaves behind
+    (tmp_path / "s" / "lists" / "000000000001").mkdir()
+    for _ in range(2):  # the batch comes again, also a second time
+        logs.upsert_latest(broken, 1, state, "k", "_ord", 8)
+    logs.upsert_latest(batch([(5, 1, "late"), (7, 3, "c")]), 2, state, "k", "_ord", 8)
+    got = {r["k"]: r["v"] for r in logs.state_table(spark, state).collect()}
+    assert got == {i: "a" for i in range(200)} | {5: "b", 7: "c"}
+    assert not (tmp_path / "s" / "v=1-dead").exists()
+    logs.upsert_latest(batch([]), 3, state, "k", "_ord", 8)
+    assert logs.state_table(spark, state).count() == 200
 
 
 def test_tags():
@@ -122,6 +205,14 @@ def test_shards_are_reused(spark, tmp_path):
     sinks.write_parquet_shards(df, str(tmp_path / "s"), "k", "k", 10)
     assert {p: p.stat().st_mtime_ns for p in (tmp_path / "s").rglob("*.parquet")} == stamp
     assert spark.read.parquet(str(tmp_path / "s")).count() == 25
+    new = df.withColumn("v", F.lit("new"))
+    for label in ("old", "new"):
+        sinks.write_parquet_shards(new.withColumn("v", F.when(F.col("k") < 10, "same").otherwise(label)), str(tmp_path / "t"), "k", "k", 10)
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet") if "shard=0" in str(p)}
+    sinks.write_parquet_shards(new.filter("k < 15").withColumn("v", F.when(F.col("k") < 10, "same").otherwise("newer")), str(tmp_path / "t"), "k", "k", 10)
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 15 and {r["v"] for r in back.select("v").distinct().collect()} == {"same", "newer"}
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet") if "shard=0" in str(p)} == kept
 
 
 def test_jsonl_round_trip(spark, tmp_path):
@@ -141,16 +232,16 @@ def test_nms_is_partition_invariant(spark):
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
 
 
-def test_whole_texts_past_60_characters(spark, tmp_path):
+def test_whole_texts(spark, tmp_path):
     from maskwright.functions import text
 
     long = "ab " + "x" * 70 + " ab zebra ab"
     spark.createDataFrame([(1, long), (2, "aaa"), (3, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     rows = lambda name, col: {r["doc_id"]: r[col] for r in text.QUERIES[name](spark, str(tmp_path)).collect()}
-    assert rows("text_occurrences_whole", "at") == {1: "0,74,83", 2: "0,1", 3: ""}
-    assert rows("text_tokens_whole", "tokens")[1] == "ab " + "x" * 70 + " zebra"
-    assert rows("text_paired_whole", "texts")[1] == f"{long}|ab"
-    assert "zebra ab" in rows("text_captions_whole", "caption")[1]
+    assert rows("text_occurrences", "at") == {1: "0,74,83", 2: "0,1", 3: ""}
+    assert rows("text_tokens", "tokens")[1] == "ab " + "x" * 70 + " zebra"
+    assert rows("text_paired", "texts")[1] == f"{long}|ab"
+    assert "zebra ab" in rows("text_captions", "caption")[1]
 
 
 def test_publish_all_units(spark, tmp_path):
@@ -158,13 +249,13 @@ def test_publish_all_units(spark, tmp_path):
 
     docs = spark.range(1603).selectExpr("id AS doc_id", "'t' AS text", "'en' AS lang", "'s' AS source", "3L AS n_chars")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    rows = incremental.QUERIES["publish_pairs_all"](spark, str(tmp_path)).collect()
+    rows = incremental.QUERIES["publish_pairs"](spark, str(tmp_path)).collect()
     assert sorted(r["pair_index"] for r in rows) == list(range(1600)) and max(r["unit"] for r in rows) == 199
 
 
 def test_canonical_long_chain(spark):
     from maskwright.operators.canonical import canonical
 
-    masks = spark.range(60).selectExpr("id AS mask_id", "cast(id AS double) AS score")
+    masks = spark.range(60).selectExpr("id AS mask_id", "cast(id AS double) AS score", "IF(id = 7, 0.5, null) AS best_iou", "1 AS area")
     rows = canonical(masks, spark.range(59).selectExpr("id AS u", "id + 1 AS v")).collect()
-    assert {(r["canonical_id"], r["members"]) for r in rows} == {(59, 60)} and sum(r["kept"] for r in rows) == 1
+    assert {(r["canonical_id"], r["members"]) for r in rows} == {(7, 60)} and sum(r["kept"] for r in rows) == 1
