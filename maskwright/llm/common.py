@@ -2,58 +2,30 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import drop_written, shared_dir, written
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only where the session has none (tests in local mode) a local one is set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="maskwright-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
+__all__ = ["body", "drop_written", "parallelism", "shared_dir", "table", "text_batches", "unused", "written"]
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
-    except Exception:  # the session has ended; the folder goes with its cluster  # noqa: BLE001
-        pass
 
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """`df` as a Parquet table in the shared folder: lineage ends here and survives a lost executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_written(df: DataFrame) -> None:
-    """Deletes the files of a table of `written` that no later plan reads."""
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        _remove(df.sparkSession, folder)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until no column has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def body(col: str = "text"):
     """The text, empty where it is null."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -23,8 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import drop_written, parallelism, table, written
-from .components import components
 
 K, TREES, LEAF, PART = 12, 6, 128, 384
 ROUNDS, BLOCK = 2, 1024
