@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a minimal acyclic transducer as lexicon.
 
-A pass over all documents counts words (lossy counting a task, then exact sums) and keeps the LEXICON most frequent.  Their
-ids come from exact merges once; the words are compiled into a minimal acyclic automaton, whose arcs carry numbers that
-add up to the word's number and so to its ids.  The automaton is one file, sent to each executor and memory-mapped by its
+A pass over all documents counts words (lossy counting a task, then exact sums) and keeps the LEXICON most frequent, but for
+those of more than LONGEST bytes.  Their ids come from exact merges once; the words are compiled into a minimal acyclic
+automaton, whose arcs carry numbers that add up to the word's number and so to its ids.  The automaton is one file, sent to each executor and memory-mapped by its
 workers.  New words of a slice walk the automaton together; words that it doesn't hold are merged exactly.
 
 Encoding equals the tokenizers library on the same file with add_special_tokens=False (special-token strings in a text are
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
 import json
 import os
 import tempfile
@@ -28,6 +29,8 @@ from .common import body, table, text_batches
 from .words import Pieces, char_hash, clip_spans, code_points, odd_texts
 
 LEXICON = 32_768
+#: Longer words (in bytes) are merged each time: the lexicon's size is bounded by words, not by their lengths.
+LONGEST = 64
 SLICE = 1_200_000
 
 
@@ -54,23 +57,27 @@ class Merges:
         self.last = [vocab[c + end] for c in chars]
 
     def encode(self, word: bytes) -> list[int]:
-        """Merges the pair of the lowest rank, the leftmost first, until none is left."""
+        """Merges the pair of the lowest rank, the leftmost first, until none is left; n log n in the word's length."""
         ids = [self.inner[b] for b in word[:-1]]
         ids.append(self.last[word[-1]])
-        none, get = (1 << 30, 0), self.merge.get
-        pairs = [get(a << 20 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
-        while pairs:
-            best = min(pairs)
-            if best is none:
-                break
-            i = pairs.index(best)
-            ids[i : i + 2] = [best[1]]
-            del pairs[i]
-            if i < len(pairs):
-                pairs[i] = get(ids[i] << 20 | ids[i + 1], none)
-            if i:
-                pairs[i - 1] = get(ids[i - 1] << 20 | ids[i], none)
-        return ids
+        n, get = len(ids), self.merge.get
+        ahead, back = [*range(1, n), -1], [-1, *range(n - 1)]
+        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := get(ids[i] << 20 | ids[i + 1]))]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b, made = heapq.heappop(heap)
+            j = ahead[i]
+            if ids[i] != a or j < 0 or ids[j] != b:
+                continue  # one of the two has been merged
+            ids[i], ids[j], k, h = made, -1, ahead[j], back[i]
+            ahead[i] = k
+            if k >= 0:
+                back[k] = i
+                if m := get(made << 20 | ids[k]):
+                    heapq.heappush(heap, (m[0], i, made, ids[k], m[1]))
+            if h >= 0 and (m := get(ids[h] << 20 | made)):
+                heapq.heappush(heap, (m[0], h, ids[h], made, m[1]))
+        return [i for i in ids if i >= 0]
 
 
 def compile_lexicon(words: list[bytes]) -> dict[str, np.ndarray]:
@@ -105,13 +112,13 @@ def compile_lexicon(words: list[bytes]) -> dict[str, np.ndarray]:
             if t not in number:
                 number[t] = len(order)
                 order.append(t)
-    size: dict[int, int] = {}
-
-    def count(s: int) -> int:  # words that end in or below a state
-        if s not in size:
-            size[s] = final[s] + sum(count(t) for t in arcs[s].values())
-        return size[s]
-
+    size, todo = {}, [0]  # words that end in or below a state
+    while todo:
+        s = todo[-1]
+        if s not in size and (below := [t for t in arcs[s].values() if t not in size]):
+            todo += below
+            continue
+        size[todo.pop()] = final[s] + sum(size[t] for t in arcs[s].values())
     used = sorted({b for s in order for b in arcs[s]})
     klass = np.zeros(256, np.uint8)
     klass[used] = np.arange(1, len(used) + 1)
@@ -120,7 +127,7 @@ def compile_lexicon(words: list[bytes]) -> dict[str, np.ndarray]:
         before = int(final[s])
         for b, t in sorted(arcs[s].items()):
             target[number[s], klass[b]], output[number[s], klass[b]] = number[t], before
-            before += count(t)
+            before += size[t]
     return {"target": target, "output": output, "final": np.array([final[s] for s in order]), "klass": klass}
 
 
@@ -236,7 +243,7 @@ class Coder:
         def resolve(new):
             return self.word_ids([joined[s:e].encode() for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
 
-        ids, lengths = self.pieces.ids(self.pieces.find(char_hash().spans(cps, starts, ends), resolve))
+        ids, lengths = self.pieces.ids(self.pieces.find(cps, starts, ends, resolve))
         cut = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, at)]
         out = [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
         for i in np.flatnonzero(odd):
@@ -249,7 +256,10 @@ class Coder:
 
 
 def _counts(batches, path: str, most: int):
-    """Lossy counting: after slice b, words seen at most b times less what came before are forgotten."""
+    """Lossy counting: after slice b, words seen at most b times less what came before are forgotten.
+
+    Words are counted by hash; it only matters for which words the lexicon holds, not for ids.
+    """
     import pyarrow as pa
 
     coder, words, counts, b = Coder(path), {}, {}, 0
@@ -277,7 +287,7 @@ def frequent_words(docs: DataFrame, path: str, most: int = LEXICON, text_col: st
 
 
 def build_lexicon(words: list[str], path: str) -> bytes:
-    merges, raw = Merges(path), sorted({w.encode() for w in words})
+    merges, raw = Merges(path), sorted({b for w in words if 0 < len(b := w.encode()) <= LONGEST})
     ids = [merges.encode(w) for w in raw]
     arrays = compile_lexicon(raw) | {"ids": np.array([x for i in ids for x in i], np.uint32), "cut": np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)}
     with tempfile.TemporaryDirectory() as folder:

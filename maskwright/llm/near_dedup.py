@@ -8,7 +8,11 @@
    count leave candidates, which join sets into groups; within a group all pairs across components that sizes and sketches
    allow are confirmed on full sets.  Buckets and groups are dealt out as pairs of blocks, and a block returns at most one
    edge a row.  Pairs inside the largest component need no look, as they can't change the result.
-So no link between texts that share a bucket is lost; a pair at the threshold of 0.75 shares none with a chance of 5e-6.
+A pair at the threshold of 0.75 shares no bucket with a chance of 5e-6.  Of pairs that share one, step 3 can lose a link at 0.75
+with a chance under 1e-6, when the sketches differ in more than CUT bits.
+
+Words are compared in full and stand in shingles as keyed 64-bit hashes; a set holds 64-bit hashes of its shingles.  Two given
+shingles of different words have one hash with a chance of 2**-64.
 
 Nulls: a null or blank text has an empty set and no links; a null id links with nothing.  Repeated rows (one id) are one
 document.  Empty table: empty result.  Only `id_col` and `text_col` are read.
@@ -17,14 +21,15 @@ document.  Empty table: empty result.  Only `id_col` and `text_col` are read.
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import body, parallelism, table, text_batches, written
-from .components import components
-from .words import Hash, mixed
+from .words import Values, code_points, mixed
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -39,25 +44,35 @@ SLICE = 1_500_000
 
 @functools.cache
 def _tables():
-    lower = np.arange(256, dtype=np.uint8)
-    lower[65:91] += 32
-    blank = np.zeros(256, bool)
+    blank = np.zeros(1 << 7, bool)
     blank[[32, 9, 10, 11, 12, 13]] = True
     rng = np.random.default_rng(11)
     odd = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return lower, blank, Hash(256, 3), odd(WORDS), odd(BANDS * ROWS), rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64), odd(ROWS), odd(1 << 9)
+    return blank, odd(WORDS), odd(BANDS * ROWS), rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64), odd(ROWS), odd(1 << 9)
+
+
+@functools.cache
+def _words() -> Values:
+    """Of a worker process: its words with keyed 64-bit hashes of theirs."""
+    return Values(np.uint64)
+
+
+def _word_hash(word: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(word.tobytes(), digest_size=8, key=b"shingles").digest(), "little")
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the texts' distinct shingles, text by text and ascending, and where each text's begin."""
-    lower, blank, hasher, powers, *_ = _tables()
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = lower[np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)]
-    space = np.concatenate([[True], blank[data]])
+    blank, powers, *_ = _tables()
+    _, cps, at = code_points(texts)
+    cps = np.where((cps > 64) & (cps < 91), cps + np.uint32(32), cps)
+    space = np.concatenate([[True], blank[np.minimum(cps, 127)]])
     edge = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edge[0::2], edge[1::2]
-    word = hasher.spans(data, starts, ends)
-    at = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
+    words = _words()
+    resolve = lambda new: np.array([_word_hash(cps[s:e]) for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)], np.uint64)
+    found = words.find(cps, starts, ends, resolve)
+    word = words.values[found]
     first = np.searchsorted(starts, at)  # each text's first word
     n, words = np.diff(first), WORDS
     doc = np.repeat(np.arange(len(texts)), n)
@@ -86,7 +101,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each set: fingerprint (two words), band keys, odd sketch.  Empty sets give zeros."""
-    *_, mult, add, rows, parity = _tables()
+    _, _, mult, add, rows, parity = _tables()
     n = np.diff(at)
     full = np.flatnonzero(n > 0)
     starts = at[:-1][full]

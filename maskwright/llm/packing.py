@@ -1,9 +1,11 @@
 """Sum-of-squares online packing.
 
 A level array N holds how many open windows are filled to each level.  A document first fills whole windows; what is left
-goes, as it comes, into the open level that makes the sum of the squares of N smallest (level 0: a new window).  At the
-end of a task its open windows are poured together, cutting where a window is full, so a task leaves one partly filled
-window at most.  Each scan task packs its own rows: no shuffle, and a lost task repeats itself exactly.
+goes, as it comes, where the sum of the squares of N gets smallest: into an open level that it fits, or into a new window
+while fewer than OPEN are open.  Where neither is possible it is cut: it fills a window up, chosen by the same measure, and
+the rest goes on as an item of its own.  At the end of a task its last open windows (OPEN at most) are poured together,
+cutting where a window is full, so a task leaves one partly filled window at most; `poured` marks the pieces of this step.
+Each scan task packs its own rows: no shuffle, and a lost task repeats itself exactly.
 
 Token ids: byte-level BPE as the tokenizers library gives them (a special-token string in a text is that token), then
 id 1.  Texts are split in numpy; each distinct word is merged once by tiktoken's core with the same vocabulary.
@@ -22,46 +24,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import body, table, text_batches
-from .words import Pieces, byte_level_spans, char_hash, code_points, odd_texts
+from .words import Pieces, byte_level_spans, code_points, odd_texts
 
 WINDOW = 2048
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Open windows a task may hold.
+OPEN = 32
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, poured boolean"
 
 
 class LevelPacker:
     """The level array and, for each level, the open windows filled to it."""
 
-    def __init__(self, window: int = WINDOW) -> None:
-        self.window, self.count, self.next = window, np.zeros(window + 1, np.int64), 0
-        self.open: list[list[int]] = [[] for _ in range(window + 1)]
-
-    def place(self, size: int) -> tuple[int, int]:
-        """Window and offset for an item of `size` < window."""
-        w, n = self.window, self.count
-        # item into level h: N[h]-1, N[h+size]+1; N[h+size] grows unless the window is full then
-        gain = 2 * n[size : w + 1] + 1  # what level h+size adds, for h = 0 .. w-size
-        gain[-1] = 0  # a full window is no longer counted
-        gain[1:] -= 2 * n[1 : w - size + 1] - 1
-        ok = n[: w - size + 1] > 0
-        ok[0] = True
-        h = int(np.argmin(np.where(ok, gain, np.iinfo(np.int64).max)))
-        if h:
-            where = self.open[h].pop()
-            n[h] -= 1
+    def __init__(self, window: int = WINDOW, most: int = OPEN) -> None:
+        self.window, self.most, self.next, self.held = window, most, 0, 0
+        self.count = [0] * (window + 1)
+        self.open: dict[int, list[int]] = {}  # levels with windows
+
+    def place(self, size: int) -> list[tuple[int, int, int]]:
+        """(window, offset, length) of the pieces of an item of `size` < window."""
+        out, n, full = [], self.count, self.window
+        while True:
+            fits = [(2 * (n[h + size] if h + size < full else -0.5) - 2 * n[h] + 2, -h, h) for h in self.open if h + size <= full]
+            if self.held < self.most:
+                fits.append((2 * n[size] + 1, 0, 0))
+            if fits:
+                h = min(fits)[2]
+                return [*out, (self._put(h, size), h, size)]
+            h = max(self.open, key=lambda h: (n[h], h))
+            out.append((self._put(h, full - h), h, full - h))
+            size -= full - h
+
+    def _put(self, level: int, size: int) -> int:
+        """Moves a window (level 0: a new one) up by `size`."""
+        if level:
+            where = self.open[level].pop()
+            self.count[level] -= 1
+            self.held -= 1
+            if not self.open[level]:
+                del self.open[level]
         else:
-            where, self.next = self.next, self.next + 1
-        self.put(where, h + size)
-        return where, h
+            where = self.fresh()
+        if level + size < self.window:
+            self.count[level + size] += 1
+            self.held += 1
+            self.open.setdefault(level + size, []).append(where)
+        return where
 
     def fresh(self) -> int:
         self.next += 1
         return self.next - 1
 
-    def put(self, where: int, level: int) -> None:
-        if level < self.window:
-            self.count[level] += 1
-            self.open[level].append(where)
-
 
 @functools.cache
 def _encoder(path: str, ranks: str):
@@ -97,13 +109,12 @@ class ByteLevel:
         if odd.any():
             use = ~odd[np.searchsorted(at, starts, "right") - 1]
             starts, ends = starts[use], ends[use]
-        hashes = char_hash().spans(cps, starts, ends)
 
         def resolve(new):
             one = self.core.encode_single_piece
             return [one(joined[s:e].encode()) for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
 
-        words = self.pieces.find(hashes, resolve)
+        words = self.pieces.find(cps, starts, ends, resolve)
         ids, lengths = self.pieces.ids(words)
         cut = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, at)]
         out = [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
@@ -119,11 +130,11 @@ def _pack(batches, window: int, end: int):
     code, packer = ByteLevel(), LevelPacker(window)
     base = TaskContext.get().partitionId() << 40
     held: dict[int, list] = {}  # the rows of open windows
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
 
-    def done(rows):
+    def done(rows, poured):
         columns = list(zip(*rows, strict=True)) or [[]] * 7
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns], pa.array([poured] * len(rows), pa.bool_())], names=names)
 
     crc = lambda ids: zlib.crc32(ids.astype("<u4").tobytes())
     for batch in text_batches(batches, "text", 1_200_000):
@@ -131,14 +142,15 @@ def _pack(batches, window: int, end: int):
         for doc, ids in zip(batch.column(0).to_pylist(), code.encode(batch.column(1).to_pylist()), strict=True):
             ids = np.append(ids, np.uint32(end))
             n = len(ids)
-            for s in range(0, n - n % window, window):
+            start = n - n % window
+            for s in range(0, start, window):
                 rows.append((doc, s, window, crc(ids[s : s + window]), n, base + packer.fresh(), 0))
-            if s := n % window:
-                where, level = packer.place(s)
-                held.setdefault(where, []).append((doc, n - s, ids[n - s :], n, level))
-                if level + s == window:
+            for where, level, size in packer.place(n - start) if start < n else ():
+                held.setdefault(where, []).append((doc, start, ids[start : start + size], n, level))
+                start += size
+                if level + size == window:
                     rows += [(d, a, len(x), crc(x), t, base + where, o) for d, a, x, t, o in held.pop(where)]
-        yield done(rows)
+        yield done(rows, False)
     rows, where, level = [], packer.fresh(), 0  # pours what is open together, fullest windows first
     for k in sorted(held, key=lambda k: (-sum(len(x[2]) for x in held[k]), k)):
         for doc, start, ids, n, _ in held.pop(k):
@@ -148,7 +160,7 @@ def _pack(batches, window: int, end: int):
                 ids, start, level = ids[len(take) :], start + len(take), level + len(take)
                 if level == window:
                     where, level = packer.fresh(), 0
-    yield done(rows)
+    yield done(rows, True)
 
 
 def pack(docs: DataFrame, window: int = WINDOW, end: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

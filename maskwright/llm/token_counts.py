@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import body, table, text_batches
-from .words import Pieces, char_hash, code_points
+from .words import Pieces, code_points
 
 BLANK = "▁"
 SLICE = 1_200_000
@@ -98,7 +98,7 @@ class Counter:
         real = ~np.isin(starts, at[1:] - 1)
         starts, ends = starts[real], ends[real]
         resolve = lambda new: [[self.model.count(joined[s:e])] for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
-        ids, _ = self.pieces.ids(self.pieces.find(char_hash().spans(cps, starts, ends), resolve))
+        ids, _ = self.pieces.ids(self.pieces.find(cps, starts, ends, resolve))
         sums = np.concatenate([[0], np.cumsum(ids, dtype=np.int64)])
         return np.diff(sums[np.searchsorted(starts, at)]).tolist()
 

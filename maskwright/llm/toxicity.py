@@ -1,22 +1,28 @@
 """Toxicity by a support vector machine over a subsequence string kernel with Nystroem landmarks.
 
-Kernel of a token and a landmark: gap-weighted common subsequences of ORDER characters (a start mark is one) over a span of SPAN at
-most, weighted DECAY for each character skipped, as a part of the landmark's own.  Gaps tolerate inserted and dropped characters; look-alike
-digits count as letters, other characters are left out, and runs of single characters are read as one token.  Kernel of a
-text and a landmark: the largest of its tokens', if at least NEAR.
-
-Landmarks are tokens and token heads that stand in toxic training rows far more than in clean ones, and the clean tokens
-nearest to these.  The machine has squared hinge loss on the Nystroem features (kernel times K**-1/2 of the landmarks) of
-whole texts and is solved by Newton steps; a sigmoid fitted on out-of-fold margins turns margins into scores.
-
-Training uses at most MOST labelled rows of either class, the first in hash order.  Rows whose crc32(id as text) mod 3 is 1
-are never trained on.  Conflicting labels of an id: toxic wins.  Without both classes the score is 0 for all.  Nulls: a
-null text counts as empty and is scored; null labels don't count.  Repeated rows are scored alike.  Empty table: empty
-result.  Only id and text are read.
+Token kernel: the gap-weighted subsequence kernel.  A token, between a start and an end mark, has a feature for each
+subsequence of three characters that lies within SPAN places, weighted DECAY for each place skipped and summed over its
+occurrences; k(s, t) is the cosine of two tokens' features.  Gaps tolerate inserted and dropped characters; look-alike digits
+count as letters, other characters are left out, and runs of single characters are read as one token.
+Text kernel: K(X, Y) = sum of k(s, t) ** POWER over the distinct tokens s of X and t of Y.  Powers and sums of a positive
+semidefinite kernel are positive semidefinite, so K is.
+
+Nystroem: landmarks Z are texts of one token each: tokens that stand in toxic training rows far more than in clean ones, the
+clean tokens nearest to these, and the commonest clean tokens.  The features of a text are K(Z, Z) ** -1/2 K(Z, X), without
+directions whose eigenvalue is under EIGEN of the largest.  The machine has squared hinge loss on them and is solved by
+Newton steps; a sigmoid fitted on out-of-fold margins turns margins into scores.  A text's margin is a sum over its distinct
+tokens, so a worker resolves each distinct token once in its life; sums are of whole numbers (2**-32), in any order alike.
+
+Training uses at most MOST labelled rows of either class, the first in hash order, in one task; landmarks, weights and
+sigmoid are all that reaches the driver.  Rows whose crc32(id as text) mod 3 is 1 are never trained on.  Conflicting labels
+of an id: toxic wins.  Without both classes the score is 0 for all.  Nulls: a null text counts as empty and is scored; null
+labels don't count.  Repeated rows are scored alike.  Empty table: empty result.  Only id and text are read.
 """
 
 from __future__ import annotations
 
+import functools
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,16 +33,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .common import body, table, text_batches
-from .words import SPACE, Pieces, char_hash, classes, code_points
+from .words import SPACE, Values, classes, code_points, ranges
 
-ORDER, SPAN, DECAY, NEAR = 3, 5, 0.6, 0.5
-LANDMARKS, HARD = 192, 64
-POWER, RIDGE, FLOOR = 2, 1.0, 1.0
+SPAN, DECAY, POWER = 5, 0.6, 3
+TOXIC, NEAR, COMMON = 128, 64, 64
+RIDGE, EIGEN = 100.0, 1e-6
 MOST = 3_000
 SLICE = 1_000_000
-#: ends of tokens: the whole token, or the head of a longer one
-WHOLE, MORE, MARK = "\x01", "\x02", 2.0
-_GAPS = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
+UNIT = float(1 << 32)
+START, END = "\x01", "\x02"
+_GAPS = [(a, b, b - 2) for b in range(2, SPAN) for a in range(1, b)]
+_WEIGHTS = DECAY ** np.arange(4)
 _LIKE = str.maketrans("013457@$", "oieastas")
 
 
@@ -69,37 +76,31 @@ def spans(cps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Subsequences of tokens that end in WHOLE or MORE: token number, code (three code points), weight.
-
-    The end mark follows the last two characters only.  Any other two neighbours are followed by MORE as well.
-    """
-    text = "".join("^" + t for t in tokens)
-    cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    n = len(cps)
-    owner = np.repeat(np.arange(len(tokens)), [len(t) + 1 for t in tokens])
-    mark = (cps == ord(WHOLE)) | (cps == ord(MORE))
-    out = []
-    for a, b, w in _GAPS:
-        if n > b:
-            ok = (owner[: n - b] == owner[b:]) & ~mark[b:]
-            code = cps[: n - b] << 42 | cps[a : n - b + a] << 21 | cps[b:]
-            out.append((owner[: n - b][ok], code[ok], np.full(int(ok.sum()), w, np.float32)))
-    if n > 2:
-        ok = owner[: n - 2] == owner[2:]
-        code = cps[: n - 2] << 42 | cps[1 : n - 1] << 21 | np.where(mark[2:], cps[2:], ord(MORE))
-        out.append((owner[: n - 2][ok], code[ok], np.full(int(ok.sum()), MARK, np.float32)))
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def landmark_features(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As features, with no MORE but at the end."""
-    owner, code, weight = features(tokens)
-    last = np.array([ord(t[-2]) if len(t) > 1 else 0 for t in tokens], np.int64)[owner] if tokens else owner
-    ends = np.array([ord(t[-3]) if len(t) > 2 else ord("^") for t in tokens], np.int64)[owner] if tokens else owner
-    inner = (code & (1 << 21) - 1 == ord(MORE)) & ~((code >> 21 & (1 << 21) - 1 == last) & (code >> 42 == ends) & np.array([t.endswith(MORE) for t in tokens], bool)[owner])
-    return owner[~inner], code[~inner], weight[~inner]
+    """The tokens' features of length 1: token number, code (three code points), weight; by token, then code."""
+    text = "".join(START + t + END for t in tokens)
+    cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    alphabet, small = np.unique(cps, return_inverse=True)
+    n, bits = len(cps), max(int(len(alphabet) - 1).bit_length(), 1)
+    owner = np.repeat(np.arange(len(tokens), dtype=np.uint64), [len(t) + 2 for t in tokens])
+    if 3 * bits + 2 + int(len(tokens)).bit_length() > 64:  # too many different characters for one key
+        half = len(tokens) // 2
+        parts = features(tokens[:half]), features(tokens[half:])
+        return tuple(np.concatenate([p, q + half if k == 0 else q]) for k, (p, q) in enumerate(zip(*parts, strict=True)))
+    small, b = small.astype(np.uint64), np.uint64(bits)
+    keys = []
+    for x, y, w in _GAPS:  # one number a feature: token, code, weight
+        if n > y:
+            ok = owner[: n - y] == owner[y:]
+            keys.append(((((owner[: n - y] << b | small[: n - y]) << b | small[x : n - y + x]) << b | small[y:]) << np.uint64(2) | np.uint64(w))[ok])
+    key = np.sort(np.concatenate(keys))
+    weight, key = _WEIGHTS[(key & np.uint64(3)).astype(np.int64)], key >> np.uint64(2)
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    weight, key = np.add.reduceat(weight, at) if len(at) else weight, key[at]
+    low = np.uint64((1 << bits) - 1)
+    owner = (key >> (b * np.uint64(3))).astype(np.int64)
+    a, c, d = (alphabet[(key >> (b * np.uint64(k)) & low).astype(np.int64)].astype(np.int64) for k in (2, 1, 0))
+    norm = np.sqrt(np.bincount(owner, weight * weight, len(tokens)))
+    return owner, a << 42 | c << 21 | d, weight / norm[owner]
 
 
 _MIX, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 20
@@ -110,71 +111,33 @@ def _slot(code: np.ndarray) -> np.ndarray:
 
 
 class Landmarks:
-    """Kernels of tokens with fixed landmarks: the part of a landmark's subsequences that the token holds."""
+    """Token kernels with fixed landmarks."""
 
     def __init__(self, tokens: list[str]) -> None:
-        self.tokens = tokens = sorted(tokens)
-        owner, code, weight = landmark_features(tokens)
-        self.codes, place = np.unique(code, return_inverse=True)
-        own = np.zeros((len(self.codes), len(tokens)), np.float32)
-        np.maximum.at(own, (place, owner), weight)
-        self.rows = own / np.maximum((own**2).sum(0), 1e-9)
-        self.group = np.maximum.reduceat(self.rows, np.arange(0, len(tokens), 8), axis=1)
+        self.tokens = tokens
+        owner, code, weight = features(tokens)
+        order = np.lexsort((owner, code))
+        self.codes, first = np.unique(code[order], return_index=True)
+        self.first, self.many = first, np.diff(np.append(first, len(order)))  # each code's places in the lists below
+        self.owner, self.weight = owner[order], weight[order]
         self.seen = np.zeros(1 << _SLOTS, bool)
         self.seen[_slot(self.codes)] = True
 
-    def kernel(self, tokens: list[str], least: float = 0.0) -> np.ndarray:
-        """Kernels; those under `least` may come out as 0."""
-        out = np.zeros((len(tokens), len(self.tokens)), np.float32)
-        owner, code, weight = features(tokens)
-        hit = np.flatnonzero(self.seen[_slot(code)])
-        owner, code, weight = owner[hit], code[hit], weight[hit]
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        hit = self.codes[at] == code
-        owner, at, weight = owner[hit], at[hit], weight[hit]
-        order = np.lexsort((-weight, at, owner))
-        owner, at, weight = owner[order], at[order], weight[order]
-        new = np.ones(len(owner), bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (at[1:] != at[:-1])
-        owner, at, weight = owner[new], at[new], weight[new]
-        if least and len(owner):  # a bound for eight landmarks at a time
-            who, first = np.unique(owner, return_index=True)
-            can = np.zeros(len(tokens), bool)
-            can[who] = (np.add.reduceat(self.group[at] * weight[:, None], first) >= least).any(1)
-            owner, at, weight = owner[can[owner]], at[can[owner]], weight[can[owner]]
-        who, first = np.unique(owner, return_index=True)
-        if len(who):
-            out[who] = np.add.reduceat(self.rows[at] * weight[:, None], first)
-        return np.minimum(out, 1.0)
-
-
-class Texts:
-    """Kernels of whole texts with the landmarks, token by distinct token."""
-
-    def __init__(self, landmarks: Landmarks) -> None:
-        self.landmarks, self.pieces = landmarks, Pieces()
-
-    def _near(self, tokens: list[str]) -> list[list[int]]:
-        """For each token the landmarks at NEAR or above, as number * 256 + kernel * 255."""
-        out = []
-        for k in range(0, len(tokens), 2048):
-            kernel = self.landmarks.kernel([clean(t) + WHOLE for t in tokens[k : k + 2048]], NEAR)
-            i, j = np.nonzero(kernel >= NEAR)
-            values = (j * 256 + np.round(kernel[i, j] * 255).astype(np.int64)).tolist()
-            cut = np.searchsorted(i, np.arange(len(kernel) + 1)).tolist()
-            out += [values[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        return out
-
-    def kernel(self, texts: list[str]) -> np.ndarray:
-        joined, cps, at = code_points(texts)
-        starts, ends = spans(cps)
-        out = np.zeros((len(texts), len(self.landmarks.tokens)), np.float32)
-        if len(starts):
-            resolve = lambda new: self._near([joined[s:e] for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-            ids, lengths = self.pieces.ids(self.pieces.find(char_hash().spans(cps, starts, ends), resolve))
-            doc = np.repeat(np.searchsorted(at, starts, "right") - 1, lengths)
-            np.maximum.at(out, (doc, (ids >> 8).astype(np.int64)), (ids & 255).astype(np.float32) / 255)
-        return out
+    def kernel(self, tokens: list[str]) -> np.ndarray:
+        """k(token, landmark) ** POWER."""
+        m, out = len(self.tokens), np.zeros((len(tokens), len(self.tokens)))
+        for k in range(0, len(tokens), 1024):
+            owner, code, weight = features(tokens[k : k + 1024])
+            hit = np.flatnonzero(self.seen[_slot(code)])
+            at = np.minimum(np.searchsorted(self.codes, code[hit]), len(self.codes) - 1)
+            same = self.codes[at] == code[hit]
+            hit, at = hit[same], at[same]
+            many = self.many[at]
+            to = ranges(self.first[at], many)
+            n = min(1024, len(tokens) - k)
+            sums = np.bincount(np.repeat(owner[hit] * m, many) + self.owner[to], np.repeat(weight[hit], many) * self.weight[to], n * m)
+            out[k : k + n] = sums.reshape(n, m)
+        return out**POWER
 
 
 def _tokens(text: str) -> set[str]:
@@ -182,33 +145,50 @@ def _tokens(text: str) -> set[str]:
     return {t for t in (clean(joined[s:e]) for s, e in zip(*map(np.ndarray.tolist, spans(cps)), strict=True)) if len(t) > 2}
 
 
-def choose(texts: list[str], toxic: np.ndarray, most: int = LANDMARKS, hard: int = HARD) -> list[str]:
-    """Landmarks: tokens and heads by toxic texts less four times the clean ones (in proportion),
-    then the clean tokens nearest to them.
+def choose(sets: list[set[str]], toxic: np.ndarray) -> list[str]:
+    """Landmarks: TOXIC tokens by toxic texts less four times the clean ones (in proportion), the NEAR clean tokens nearest
+    to them, and the COMMON commonest of the others.
     """
-    def candidates(text: str) -> set[str]:
-        tokens = _tokens(text)
-        return {w + WHOLE for w in tokens} | {w[:k] + MORE for w in tokens for k in range(4, 9) if len(w) > k}
-
-    dirty_df: Counter[str] = Counter()
-    for t, y in zip(texts, toxic, strict=True):
-        if y:
-            dirty_df.update(candidates(t))
-    few = max(2, round(0.01 * int(toxic.sum())))
-    dirty_df = Counter({c: k for c, k in dirty_df.items() if k >= few or c[-1] == WHOLE})
-    clean_df: Counter[str] = Counter()  # of heads only those that may become landmarks
-    for t, y in zip(texts, toxic, strict=True):
-        if not y:
-            clean_df.update(c for c in candidates(t) if c[-1] == WHOLE or c in dirty_df)
+    dirty, clear = Counter(), Counter()
+    for tokens, y in zip(sets, toxic, strict=True):
+        (dirty if y else clear).update(tokens)
     scale = max(int(toxic.sum()), 1) / max(int((~toxic).sum()), 1)
-    good = {c for c, k in dirty_df.items() if k >= few and k > 4 * scale * clean_df[c] + 1}
-    chosen = sorted(good, key=lambda c: (4 * scale * clean_df[c] - dirty_df[c], -len(c), c))[:most]
-    if chosen and hard:
-        seen = [c for c, k in sorted((x for x in clean_df.items() if x[0][-1] == WHOLE), key=lambda x: (-x[1], x[0]))[:20_000] if dirty_df[c] <= 2 * scale * k + 1]
-        if seen:
-            near = np.concatenate([Landmarks(chosen).kernel(seen[k : k + 2048]).max(1) for k in range(0, len(seen), 2048)])
-            chosen += [seen[i] for i in np.argsort(-near, kind="stable")[:hard] if near[i] < 0.999]
-    return chosen
+    good = {t for t, k in dirty.items() if k > 1 and k > 4 * scale * clear[t] + 1}
+    chosen = sorted(good, key=lambda t: (4 * scale * clear[t] - dirty[t], -len(t), t))[:TOXIC]
+    if not chosen:
+        return []
+    others = sorted(t for t, k in clear.items() if t not in good and dirty[t] <= 2 * scale * k + 1)
+    land = Landmarks(chosen)
+    like = np.concatenate([land.kernel(others[k : k + 8192]).max(1) for k in range(0, len(others), 8192)]) if others else np.zeros(0)
+    near = [others[i] for i in np.argsort(-like, kind="stable")[:NEAR]]
+    rest = sorted(set(others) - set(near), key=lambda t: (-clear[t], t))
+    return chosen + near + rest[:COMMON]
+
+
+def text_kernel(land: Landmarks, sets: list[set[str]]) -> np.ndarray:
+    """K(text, landmark) of texts given as sets of tokens."""
+    number: dict[str, int] = {}
+    pairs = [(number.setdefault(t, len(number)), i) for i, tokens in enumerate(sets) for t in sorted(tokens)]
+    word, text = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
+    order = np.argsort(word, kind="stable")
+    word, text, every = word[order], text[order], list(number)
+    out = np.zeros((len(sets), len(land.tokens)))
+    for k in range(0, len(every), 8192):
+        kernel = land.kernel(every[k : k + 8192])
+        a, b = np.searchsorted(word, [k, k + 8192])
+        part = np.argsort(text[a:b], kind="stable") + a
+        for c in range(0, len(part), 8192):
+            some = part[c : c + 8192]
+            who, first = np.unique(text[some], return_index=True)
+            out[who] += np.add.reduceat(kernel[word[some] - k], first)
+    return out
+
+
+def root_inverse(kernel: np.ndarray) -> np.ndarray:
+    """K ** -1/2 on the directions whose eigenvalue is at least EIGEN of the largest."""
+    values, vectors = np.linalg.eigh((kernel + kernel.T) / 2)
+    on = values >= EIGEN * values[-1]
+    return (vectors[:, on] / np.sqrt(values[on])) @ vectors[:, on].T
 
 
 def solve(x: np.ndarray, y: np.ndarray, ridge: float | None = None, rounds: int = 30) -> np.ndarray:
@@ -245,21 +225,16 @@ def sigmoid_fit(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 class Model:
-    """Fitted landmarks, weights and sigmoid."""
+    """Landmark tokens, their weights, bias and sigmoid; without tokens every score is 0."""
 
     def __init__(self, texts: list[str], toxic: list[int]) -> None:
-        y = np.array(toxic, bool)
-        self.landmarks, self.weights = None, None
-        tokens = choose(texts, y) if y.any() and not y.all() else []
-        if not tokens:
+        y, sets = np.array(toxic, bool), [_tokens(t) for t in texts]
+        self.tokens = choose(sets, y) if y.any() and not y.all() else []
+        if not self.tokens:
             return
-        self.landmarks = Landmarks(tokens)
-        own = self.landmarks.kernel(self.landmarks.tokens).astype(float) ** POWER
-        values, vectors = np.linalg.eigh((own + own.T) / 2)
-        root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, FLOOR))) @ vectors.T
-        reader = Texts(self.landmarks)
-        kernel = np.concatenate([reader.kernel(texts[k : k + 200]) for k in range(0, len(texts), 200)]).astype(float)
-        x, sign = kernel**POWER @ root, np.where(y, 1.0, -1.0)
+        land = Landmarks(self.tokens)
+        root = root_inverse(land.kernel(self.tokens))
+        x, sign = text_kernel(land, sets) @ root, np.where(y, 1.0, -1.0)
         fold = np.arange(len(y)) % 5
         margins = np.zeros(len(y))
         for k in range(5):
@@ -267,40 +242,76 @@ class Model:
                 w = solve(x[fold != k], sign[fold != k])
                 margins[fold == k] = x[fold == k] @ w[:-1] + w[-1]
         w = solve(x, sign)
-        self.weights, self.bias = root @ w[:-1], w[-1]
-        self.scale, self.shift = sigmoid_fit(margins, sign)
+        self.weights, self.bias = root @ w[:-1], float(w[-1])
+        self.scale, self.shift = map(float, sigmoid_fit(margins, sign))
+
+
+class Scorer:
+    """Scores of whole texts; keeps the parts that distinct tokens add to a margin."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        if model.tokens:
+            self.land, self.words = Landmarks(model.tokens), Values(np.int64)
+
+    def parts(self, tokens: list[str]) -> np.ndarray:
+        """What each token adds, in units of 1 / UNIT; tokens of less than three letters nothing."""
+        plain = [clean(t) for t in tokens]
+        some = np.flatnonzero(np.fromiter(map(len, plain), np.int64, len(plain)) > 2)
+        out = np.zeros(len(tokens), np.int64)
+        for k in range(0, len(some), 8192):
+            at = some[k : k + 8192]
+            out[at] = np.rint(self.land.kernel([plain[i] for i in at]) @ self.model.weights * UNIT)
+        return out
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        m = self.model
+        if not m.tokens:
+            return np.zeros(len(texts))
+        joined, cps, at = code_points(texts)
+        starts, ends = spans(cps)
+        total = np.zeros(len(texts), np.int64)
+        if len(starts):
+            resolve = lambda new: self.parts([joined[s:e] for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            numbers = self.words.find(cps, starts, ends, resolve)
+            text = np.searchsorted(at, starts, "right") - 1
+            some = np.flatnonzero(self.words.values[numbers])
+            pairs = np.unique(text[some] << 32 | numbers[some])
+            np.add.at(total, pairs >> 32, self.words.values[pairs & 0xFFFFFFFF])
+        return 1 / (1 + np.exp(-np.clip(m.scale * (total / UNIT + m.bias) + m.shift, -35, 35)))
+
+
+@functools.lru_cache(maxsize=2)
+def _scorer(model: bytes) -> Scorer:
+    """One for the life of a worker process."""
+    return Scorer(pickle.loads(model))  # noqa: S301  made by `fit`
+
+
+def _fit(batches):
+    import pyarrow as pa
 
-    def scorer(self):
-        if self.landmarks is None:
-            return lambda texts: np.zeros(len(texts))
-        reader = Texts(self.landmarks)
-        return lambda texts: 1 / (1 + np.exp(-np.clip(self.scale * (reader.kernel(texts) ** POWER @ self.weights + self.bias) + self.shift, -35, 35)))
+    rows = sorted(((i, text, y) for b in batches for i, text, y in zip(*map(pa.Array.to_pylist, b.columns), strict=True)), key=lambda r: (str(r[0]), r[1]))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model([r[1] for r in rows], [r[2] for r in rows]))], pa.binary())], names=["model"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MOST) -> Model:
-    """A model from at most `most` labelled rows of either class; these rows' texts reach the driver."""
-    spark = docs.sparkSession
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MOST) -> bytes:
+    """A pickled Model from at most `most` labelled rows of either class, fitted in one task."""
     ids = F.col(id_col)
     known = labels.select(ids.alias("_id"), F.col(label_col).cast("int").alias("_y")).filter("_id IS NOT NULL AND _y IN (0, 1)").filter(F.crc32(F.col("_id").cast("string")) % 3 != 1)
     known = known.groupBy("_id").agg(F.max("_y").alias("_y"))
-    parts = [known.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(most) for y in (1, 0)]
-    rows = [tuple(r) for p in parts for r in p.collect()]
-    if not rows:
-        return Model([], [])
-    sample = F.broadcast(spark.createDataFrame(rows, known.schema))  # 2 * most rows
-    found = docs.select(ids.alias("_id"), body(text_col).alias("_text")).join(sample, "_id").select("_id", "_text", "_y").collect()
-    found.sort(key=lambda r: (r["_id"], r["_text"]))
-    return Model([r["_text"] for r in found], [r["_y"] for r in found])
+    up, down = (known.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(most) for y in (1, 0))
+    found = docs.select(ids.alias("_id"), body(text_col).alias("_text")).join(F.broadcast(up.union(down)), "_id")  # 2 * most rows
+    made = found.select("_id", "_text", "_y").coalesce(1).mapInArrow(_fit, "model binary").first()
+    return made["model"] if made else pickle.dumps(Model([], []))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id and score (0 to 1)."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
 
-        scorer = held.value.scorer()
+        scorer = _scorer(model)
         for batch in text_batches(batches, "text", SLICE):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer(batch.column(1).to_pylist()), pa.float64())], names=["_id", "score"])
 
@@ -309,13 +320,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, f"_id {kind}, score double").withColumnRenamed("_id", id_col)
 
 
-def with_score(docs: DataFrame, model: Model, into: str = "toxicity", text_col: str = "text") -> DataFrame:
+def with_score(docs: DataFrame, model: bytes, into: str = "toxicity", text_col: str = "text") -> DataFrame:
     """`docs` with a column `into`: the score of each row's text."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(DoubleType())
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = held.value.scorer()
+        scorer = _scorer(model)
         for texts in batches:
             cut = np.cumsum(texts.str.len().to_numpy()) // SLICE
             yield pd.concat([pd.Series(scorer(part.tolist())) for _, part in texts.groupby(cut)], ignore_index=True) if len(texts) else pd.Series([], dtype=float)

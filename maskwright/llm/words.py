@@ -1,8 +1,8 @@
 """Vectorised pre-tokenization: character classes, word spans and word hashes of whole slices of text in numpy.
 
 Texts with characters whose class depends on the Unicode version, or with special-token strings, are told apart (`odd`);
-callers send these through the tokenizer library's own splitter.  Equal words have equal 64-bit hashes (a random
-polynomial over random character values, with the length); different words share one with a chance of 2**-64 a pair.
+callers send these through the tokenizer library's own splitter.  Words are looked up by a 64-bit hash; on each hit the word
+itself is compared, character by character, so that words which share a hash are never taken for one another.
 """
 
 from __future__ import annotations
@@ -72,6 +72,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def room(row: np.ndarray, n: int) -> np.ndarray:
+    """`row`, or a longer copy of it with at least `n` places."""
+    if n <= len(row):
+        return row
+    out = np.zeros(n + n // 2, row.dtype)
+    out[: len(row)] = row
+    return out
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range in turn."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+
+
 @functools.cache
 def char_hash() -> Hash:
     return Hash(_WIDE)
@@ -142,45 +156,97 @@ def byte_level_spans(cps: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts[real], ends[real]
 
 
-class Pieces:
-    """Id lists of words by hash; `look` turns new words into ids.  Bounded: beyond `most` words it starts anew."""
+class Words:
+    """Numbers of distinct words, each with a payload that `resolve` gives.  Bounded: beyond `most` words, or `most_chars`
+    characters in them, it starts anew.
+    """
 
-    def __init__(self, most: int = 500_000) -> None:
-        self.most = most
+    def __init__(self, most: int = 500_000, most_chars: int = 16_000_000) -> None:
+        self.most, self.most_chars = most, most_chars
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.offset, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-
-    def find(self, hashes: np.ndarray, resolve) -> np.ndarray:
-        """Word numbers of `hashes`; resolve(places in hashes) gives a list of ids for each new one."""
-        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.index) + len(unique) > self.most and self.index:
+        self.index: dict[int, int] = {}  # by hash
+        self.others: dict[bytes, int] = {}  # words whose hash another word holds
+        self.count, self.used = 0, 0
+        self.chars = np.zeros(1 << 16, np.uint32)
+        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def add(self, places: np.ndarray, payload) -> None:
+        """Takes the payload of new words, whose numbers follow those known; subclasses keep it."""
+        raise NotImplementedError
+
+    def _keep(self, cps: np.ndarray, starts: np.ndarray, ends: np.ndarray, payload) -> np.ndarray:
+        """Numbers of new words."""
+        size, first = ends - starts, self.count
+        total = int(size.sum())
+        self.chars = room(self.chars, self.used + total)
+        self.at, self.size = room(self.at, first + len(size)), room(self.size, first + len(size))
+        self.chars[self.used : self.used + total] = cps[ranges(starts, size)]
+        self.at[first : first + len(size)] = self.used + np.cumsum(size) - size
+        self.size[first : first + len(size)] = size
+        self.used, self.count = self.used + total, first + len(size)
+        self.add(np.arange(first, self.count), payload)
+        return np.arange(first, self.count)
+
+    def find(self, cps: np.ndarray, starts: np.ndarray, ends: np.ndarray, resolve) -> np.ndarray:
+        """Numbers of the words cps[start:end]; resolve(places) gives the payload of the new ones among them."""
+        unique, first, inverse = np.unique(char_hash().spans(cps, starts, ends), return_index=True, return_inverse=True)
+        if self.count and (self.count + len(unique) > self.most or self.used > self.most_chars):
             self.clear()
-        get = self.index.get
-        known = np.fromiter(map(get, unique.tolist(), itertools.repeat(-1)), np.int64, len(unique))
-        new = np.flatnonzero(known < 0)
-        if len(new):
-            lists, count = resolve(first[new]), len(self.index)
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            total = int(lengths.sum())
-            while count + len(new) > len(self.offset):
-                self.offset, self.length = np.resize(self.offset, 2 * len(self.offset)), np.resize(self.length, 2 * len(self.length))
-            while self.used + total > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, total)
-            self.offset[count : count + len(new)] = self.used + np.cumsum(lengths) - lengths
-            self.length[count : count + len(new)] = lengths
-            self.used += total
-            known[new] = np.arange(count, count + len(new))
+        known = np.fromiter(map(self.index.get, unique.tolist(), itertools.repeat(-1)), np.int64, len(unique))
+        if len(new := np.flatnonzero(known < 0)):
+            known[new] = self._keep(cps, starts[first[new]], ends[first[new]], resolve(first[new]))
             self.index.update(zip(unique[new].tolist(), known[new].tolist(), strict=True))
-        return known[inverse]
+        numbers, size = known[inverse], ends - starts
+        other = self.size[numbers] != size
+        even = np.flatnonzero(~other)
+        if not len(size):
+            return numbers
+        unlike = self.chars[ranges(self.at[numbers[even]], size[even])] != cps[ranges(starts[even], size[even])]
+        if unlike.any():
+            other[even[np.repeat(np.arange(len(even)), size[even])[unlike]]] = True
+        for i in np.flatnonzero(other).tolist():
+            word = cps[starts[i] : ends[i]].tobytes()
+            if word not in self.others:
+                self.others[word] = int(self._keep(cps, starts[i : i + 1], ends[i : i + 1], resolve(np.array([i])))[0])
+            numbers[i] = self.others[word]
+        return numbers
+
+
+class Pieces(Words):
+    """Words with a list of ids each."""
+
+    def clear(self) -> None:
+        super().clear()
+        self.flat, self.filled = np.zeros(1 << 16, np.uint32), 0
+        self.offset, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def add(self, places: np.ndarray, payload: list) -> None:
+        lengths = np.fromiter(map(len, payload), np.int64, len(payload))
+        total, stop = int(lengths.sum()), int(places[-1]) + 1
+        self.flat, self.offset, self.length = room(self.flat, self.filled + total), room(self.offset, stop), room(self.length, stop)
+        self.flat[self.filled : self.filled + total] = np.fromiter(itertools.chain.from_iterable(payload), np.uint32, total)
+        self.offset[places], self.length[places] = self.filled + np.cumsum(lengths) - lengths, lengths
+        self.filled += total
 
     def ids(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words in turn, and how many each word has."""
         lengths = self.length[words]
-        total = int(lengths.sum())
-        where = np.repeat(self.offset[words] - (np.cumsum(lengths) - lengths), lengths) + np.arange(total)
-        return self.flat[where], lengths
+        return self.flat[ranges(self.offset[words], lengths)], lengths
+
+
+class Values(Words):
+    """Words with one number each."""
+
+    def __init__(self, kind, most: int = 500_000) -> None:
+        self.kind = kind
+        super().__init__(most)
+
+    def clear(self) -> None:
+        super().clear()
+        self.values = np.zeros(1 << 14, self.kind)
+
+    def add(self, places: np.ndarray, payload: np.ndarray) -> None:
+        self.values = room(self.values, int(places[-1]) + 1)
+        self.values[places] = payload
