@@ -1,9 +1,9 @@
 """Exact dedup by content sort (native: DataFrame functions only).
 
-Rows are dealt by sampled splitters over (first bytes, 64-bit hash, piece) of the text and sorted externally by the whole
-text, so equal texts lie next to each other; a window whose partition key is the whole text compares each text with its
-neighbour in full.  Texts that thousands of rows share are known from a pre-aggregated count of digests and are dealt out
-in pieces; their totals come from that count.
+Rows are dealt by sampled splitters over (first bytes, 64 bits of a digest, piece) of the text and sorted externally by the
+whole text, so equal texts lie next to each other; a window whose partition key is the whole text compares each text with its
+neighbour in full.  Texts that many rows share are known from a pre-aggregated count of digests and are dealt out in pieces;
+the first row of each run in a piece is sorted and compared in full once more, which joins the runs of one text.
 
 Nulls: a null text counts as empty; a null id never wins over another id.  Repeated rows: each is returned.  Ties (equal
 ids with equal texts): all rows with the winning id are kept.  Empty table: empty result.  Only `id_col` and `text_col`
@@ -15,9 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import body, parallelism, table
+from .common import body, parallelism, table, written
 
-#: At most so many digests are dealt out in pieces; any other text then has less than 1/HOT of all rows.
+#: At most so many digests are dealt out in pieces of some PIECE_ROWS; any other text then has less than 1/HOT of all rows.
 HOT = 4096
 PIECE_ROWS = 256
 
@@ -36,23 +36,26 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("keep: smallest or largest; normalise: none or fold")
     spark, best = docs.sparkSession, F.max if keep == "largest" else F.min
     rows = docs.select(F.col(id_col).alias("_id"), normalised(body(text_col), normalise).alias("_body"))
-    digests = rows.select("_id", F.sha2("_body", 256).alias("_sha")).groupBy("_sha").agg(F.count(F.lit(1)).alias("_n"), best("_id").alias("_best"))
-    top = digests.filter(F.col("_n") > PIECE_ROWS).orderBy(F.desc("_n"), "_sha").limit(HOT).collect()  # HOT rows at most
-    hot = spark.createDataFrame([tuple(r) for r in top], digests.schema)
+    rows = rows.withColumn("_sha", F.sha2("_body", 256))
+    top = rows.groupBy("_sha").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > PIECE_ROWS).orderBy(F.desc("_n"), "_sha").limit(HOT).collect()  # HOT rows at most
+    hot = spark.createDataFrame([tuple(r) for r in top], "_sha string, _n long")
     n = parallelism(spark)
-    piece = F.when(F.col("_n").isNotNull(), F.pmod(F.xxhash64("_id"), F.ceil(F.col("_n") / PIECE_ROWS))).otherwise(F.lit(0)).cast("long")
     dealt = (
-        rows.withColumn("_sha", F.sha2("_body", 256))
-        .join(F.broadcast(hot), "_sha", "left")
-        .withColumns({"_head": F.substring("_body", 1, 24), "_hash": F.substring("_sha", 1, 16), "_piece": piece})
+        rows.join(F.broadcast(hot), "_sha", "left")
+        .withColumns({"_head": F.substring("_body", 1, 24), "_hash": F.substring("_sha", 1, 16), "_piece": F.coalesce(F.pmod(F.xxhash64("_id"), F.ceil(F.col("_n") / PIECE_ROWS)), F.lit(-1)).cast("long")})
         .repartitionByRange(n, "_head", "_hash", "_piece")
     )
     same = Window.partitionBy("_head", "_hash", "_piece", "_body")
-    return (
-        dealt.withColumns({"_best2": best("_id").over(same), "_n2": F.count(F.lit(1)).over(same)})
-        .withColumns({"_keep": F.when(F.col("_n").isNotNull(), F.col("_best")).otherwise(F.col("_best2")), "_size": F.coalesce("_n", "_n2")})
-        .select(F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"), F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"), F.col("_sha").alias("text_sha256"))
-    )
+    first = F.row_number().over(same.orderBy(F.col("_id").desc() if keep == "largest" else F.col("_id").asc_nulls_last())) == 1
+    runs = dealt.withColumns({"_best": best("_id").over(same), "_size": F.count(F.lit(1)).over(same), "_first": first})
+    if top:
+        # one row each, and of a hot text's runs one text each; a run is known by its digest, piece and best id
+        runs = written(runs.select("_id", "_sha", "_piece", "_best", "_size", F.when(F.col("_first") & (F.col("_piece") >= 0), F.col("_body")).alias("_body")), "runs")
+        heads = runs.filter("_body IS NOT NULL").withColumns({"_head": F.substring("_body", 1, 24), "_hash": F.substring("_sha", 1, 16)}).repartitionByRange(n, "_head", "_hash")
+        equal = Window.partitionBy("_head", "_hash", "_body")
+        totals = heads.select(F.col("_sha").alias("_s"), F.col("_piece").alias("_p"), F.col("_best").alias("_b"), best("_best").over(equal).alias("_best2"), F.sum("_size").over(equal).alias("_size2"))
+        runs = runs.join(totals, F.expr("_sha = _s AND _piece = _p AND _best <=> _b"), "left").withColumns({"_best": F.when(F.col("_s").isNull(), F.col("_best")).otherwise(F.col("_best2")), "_size": F.coalesce("_size2", "_size")})
+    return runs.select(F.col("_id").alias(id_col), F.col("_best").alias("keep_id"), F.col("_size").alias("group_size"), F.col("_id").eqNullSafe(F.col("_best")).alias("kept"), F.col("_sha").alias("text_sha256"))
 
 
 def query(spark, sf_dir):
