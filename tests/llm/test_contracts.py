@@ -71,6 +71,55 @@ def test_tokens_without_repeated_words(spark):
     assert [bytes(r["ids"]) for r in got] == [np.array(want, "<u4").tobytes()]
 
 
+def _twins():
+    """Two words of 2,048 letters that every polynomial hash modulo 2 ** 64 takes for one."""
+    a = "a"
+    while len(a) < 2048:
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def _hard_texts():
+    import random
+
+    a, b = _twins()
+    long = "".join(random.Random(1).choice("abcdefghij") for _ in range(200_000))
+    return [f"{a} {b}", f"{b} x {a}", *[f"it's {long[:3000]} and {long[:3000]}"] * 3, long, f"ünï 漢字 {b}", a, b]
+
+
+def test_bpe_hard_words(spark):
+    t, texts = _bpe_reference(), _hard_texts()
+    got = bpe_lexicon.encode_decode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: bytes(r["ids"]) for r in got} == {i: np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for i, x in enumerate(texts)}
+
+
+def test_hard_words_elsewhere(spark):
+    """The same words in packing, counts, near-dedup and toxicity."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts, (a, b) = _hard_texts(), _twins()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _check_pieces(packing.pack(docs).collect(), list(enumerate(texts)))
+    model = token_counts._viterbi(public_tokenizers.path("piece_bpe_32k.model"))
+    assert token_counts.Counter(model).counts(texts) == [model.count(token_counts.normalised(x)) for x in texts]
+    tails = [f"{a} b c d e", f"{b} b c d e", f"{a} b c d e"]
+    got = near_dedup.near_dedup(spark.createDataFrame(list(enumerate(tails)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {0: 0, 1: 1, 2: 0}
+    m = toxicity.Model([f"idiot x{k}" for k in range(9)] + [f"calm x{k}" for k in range(9)], [1] * 9 + [0] * 9)
+    both = toxicity.Scorer(m)
+    assert both(texts).tolist() == [toxicity.Scorer(m)([x])[0] for x in texts]
+    assert Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_long_words_stay_out_of_the_lexicon(tmp_path):
+    path = tmp_path / "l"
+    path.write_bytes(bpe_lexicon.build_lexicon(["ab", "x" * 3000], __import__("public_tokenizers").path("word_bpe_49k.json")))
+    assert bpe_lexicon.Lexicon(str(path)).places([b"ab", b"x" * 3000]).tolist() == [0, -1]
+    deep = bpe_lexicon.compile_lexicon([b"a" * 2999, b"a" * 3000])
+    assert deep["final"].sum() == 2
+
+
 def test_lexicon_is_minimal_and_exact(tmp_path):
     words = sorted({w.encode() for w in ("tap", "taps", "top", "tops", "stop", "stops", "é", "a")})
     arrays = bpe_lexicon.compile_lexicon(words)
@@ -147,6 +196,17 @@ def test_exact_dedup_hot_group(spark):
     df = spark.range(3000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'same', concat('t', id)) AS text")
     got = exact_dedup.exact_dedup(df, keep="largest")
     assert got.filter("kept").count() == 2001 and got.filter("group_size = 1000 AND keep_id = 2997").count() == 1000
+    null_ids = df.selectExpr("IF(doc_id < 9, NULL, doc_id) AS doc_id", "text").union(spark.sql("SELECT 12 AS doc_id, 'same' AS text"))
+    small = exact_dedup.exact_dedup(null_ids, keep="smallest").filter("group_size = 1001")
+    assert small.count() == 1001 and small.filter("keep_id = 9").count() == 1001 and small.filter("kept").count() == 1
+
+
+def test_exact_dedup_compares_hot_texts(spark, monkeypatch):
+    """Different texts of one digest, both frequent: the texts decide, not the digest."""
+    monkeypatch.setattr(exact_dedup.F, "sha2", lambda c, n: exact_dedup.F.lit("0" * 64))
+    df = spark.range(1400).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'even', 'odd') AS text")
+    got = exact_dedup.exact_dedup(df, keep="smallest").groupBy("keep_id", "group_size").count().collect()
+    assert sorted(tuple(r) for r in got) == [(0, 700, 700), (1, 700, 700)]
 
 
 # ---- 4
@@ -227,25 +287,36 @@ def _check_pieces(rows, documents):
         assert [r["offset"] for r in w] == np.cumsum([0, *[r["length"] for r in w[:-1]]]).tolist() and w[-1]["offset"] + w[-1]["length"] <= 2048
     part = sum(w[-1]["offset"] + w[-1]["length"] < 2048 for w in windows.values())
     assert part <= len({k >> 40 for k in windows})
+    assert len({r["sequence_id"] for r in rows if r["poured"]}) <= packing.OPEN * len({k >> 40 for k in windows})
 
 
 def test_levels_follow_sum_of_squares():
     rng = np.random.default_rng(1)
-    p = packing.LevelPacker(64)
-    for size in rng.integers(1, 64, 400).tolist():
-        n = p.count.copy()
-        best = None
-        for h in range(64 - size + 1):
-            if h and not n[h]:
-                continue
-            m = n.copy()
-            m[h] -= bool(h)
-            m[h + size] += h + size < 64
-            total = int((m[1:64] ** 2).sum())
-            if best is None or total < best:
-                best = total
-        p.place(size)
-        assert int((p.count[1:64] ** 2).sum()) == best
+    p = packing.LevelPacker(64, 10)
+    levels = collections.Counter()
+    for size in rng.integers(1, 64, 2000).tolist():
+        left = size
+        for _, h, k in p.place(size):
+            assert h == 0 or levels[h] > 0
+            options = {a: 2 * (levels[a + left] if a + left < 64 else -0.5) - 2 * levels[a] + 2 for a in levels if levels[a] and a + left <= 64}
+            if levels.total() < 10:
+                options[0] = 2 * levels[left] + 1
+            if options:
+                cost = 2 * levels[left] + 1 if not h else options[h]
+                assert k == left and cost == min(options.values())
+            else:
+                assert h + k == 64 and levels[h] == max(levels.values())
+            levels[h] -= bool(h)
+            levels[h + k] += h + k < 64
+            left -= k
+        assert left == 0 and levels.total() <= 10 and +levels == collections.Counter({h: n for h, n in enumerate(p.count) if n})
+
+
+def test_few_windows_are_poured(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8, "doc_id")
+    r = packing.pack(docs).groupBy("poured").agg(packing.F.countDistinct("sequence_id").alias("n")).collect()
+    n = {x["poured"]: x["n"] for x in r}
+    assert n[True] < 0.05 * (n[True] + n[False])
 
 
 # ---- 6
@@ -260,12 +331,61 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_kernel_tolerates_gaps():
-    land = toxicity.Landmarks(["idiot" + toxicity.WHOLE])
-    k = land.kernel([w + toxicity.WHOLE for w in ("idiot", "idxiot", "idot", "meadow")])[:, 0]
-    assert k[0] == 1 and k[1] > 0.4 and k[2] > 0.4 and k[3] < 0.1
+    land = toxicity.Landmarks(["idiot"])
+    k = land.kernel(["idiot", "idxiot", "idot", "meadow"])[:, 0] ** (1 / toxicity.POWER)
+    assert abs(k[0] - 1) < 1e-12 and k[1] > 0.4 and k[2] > 0.4 and k[3] < 0.1
     assert toxicity.clean("1d.10t!") == "idiot" and toxicity.clean("123") == ""
 
 
+def _plain_kernel(s, t):
+    """Cosine of gap-weighted subsequences of three characters, by enumeration."""
+    def counts(w):
+        w, out = f"\x01{w}\x02", collections.Counter()
+        for i in range(len(w)):
+            for k in range(i + 2, min(i + toxicity.SPAN, len(w))):
+                for j in range(i + 1, k):
+                    out[w[i] + w[j] + w[k]] += toxicity.DECAY ** (k - i - 2)
+        return out
+
+    a, b = counts(s), counts(t)
+    norm = lambda c: sum(v * v for v in c.values()) ** 0.5
+    return sum(v * b[u] for u, v in a.items()) / (norm(a) * norm(b))
+
+
+def test_toxicity_equals_plain_version():
+    """Kernels, Nystroem features, machine and margins against plain loops; the kernel is symmetric and positive semidefinite."""
+    rng = np.random.default_rng(9)
+    words = sorted({"".join(rng.choice(list("abcdeé漢"), rng.integers(3, 9))) for _ in range(60)} | {"idiot", "idiots", "idxiot", "aaaaaaa"})
+    plain = np.array([[_plain_kernel(a, b) for b in words] for a in words])
+    assert np.allclose(toxicity.Landmarks(words).kernel(words), plain**toxicity.POWER, atol=1e-12)
+    assert np.allclose(plain, plain.T) and np.linalg.eigvalsh(plain**toxicity.POWER).min() > -1e-9
+    texts = [" ".join(rng.choice(words, rng.integers(1, 12))) for _ in range(80)]
+    y = np.array(["idiot" in t for t in texts])
+    sets = [toxicity._tokens(t) for t in texts]
+    land = toxicity.Landmarks(words[:20])
+    assert np.allclose(toxicity.text_kernel(land, sets), [[sum(_plain_kernel(t, z) ** toxicity.POWER for t in s) for z in words[:20]] for s in sets])
+    kzz = plain[:20, :20] ** toxicity.POWER
+    assert np.allclose(toxicity.root_inverse(kzz) @ kzz @ toxicity.root_inverse(kzz), np.eye(20), atol=1e-6)
+    x, sign = toxicity.text_kernel(land, sets) @ toxicity.root_inverse(kzz), np.where(y, 1.0, -1.0)
+    w = toxicity.solve(x, sign)
+    weight = np.where(y, 1 / y.sum(), 1 / (~y).sum()) * len(y) / 2
+    loss = lambda v: (weight * np.maximum(0, 1 - sign * (x @ v[:-1] + v[-1])) ** 2).sum() + toxicity.RIDGE * (v[:-1] ** 2).sum() + 1e-6 * v[-1] ** 2
+    assert all(loss(w) <= loss(w + 1e-3 * rng.standard_normal(len(w))) for _ in range(200))
+    m = toxicity.Model(texts, y.tolist())
+    want = [1 / (1 + np.exp(-(m.scale * (sum(_plain_kernel(t, z) ** toxicity.POWER * a for t in s for z, a in zip(m.tokens, m.weights, strict=True)) + m.bias) + m.shift))) for s in sets]
+    assert np.allclose(toxicity.Scorer(m)(texts), want, atol=1e-6)
+
+
+def test_toxicity_ties_and_repeats(spark):
+    rows = [(i, "you idiot clown" if i % 3 == 0 else f"a calm word{i % 5} here") for i in range(60)] * 2
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] * 2, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = collections.defaultdict(set)
+    for r in toxicity.score(docs.repartition(5), model).collect():
+        got[dict(rows)[r["doc_id"]]].add(r["score"])
+    assert all(len(s) == 1 for s in got.values()) and min(got["you idiot clown"]) > max(max(s) for t, s in got.items() if "calm" in t)
+
+
 def test_toxicity_awkward(spark, awkward, empty):
     labels = spark.createDataFrame([(4, 1), (6, 0), (8, 0), (5, None), (None, 1)], "doc_id long, toxic int")
     for m in (toxicity.fit(awkward, labels), toxicity.fit(awkward, labels.limit(0))):
@@ -368,9 +488,11 @@ def test_lines(spark, awkward, empty):
     assert got[9] == ("a\nb\nc\nd", 4, 0) and got[10] == ("z", 4, 3) and got[1][0] is None and got[7] == (LONG + " tail", 1, 0)
     assert line_dedup.dedup_lines(empty).count() == 0
     long = " ".join(f"p{k}" for k in range(60))
-    df = spark.createDataFrame([(1, f"u\n{long}\nv"), (2, f"x\n{long}\ny"), (3, "r\nr\nr\nr\nr")], "doc_id long, text string")
+    rows = [(1, f"u\n{long}\n{long}1\n{long}2\nv", 7), (2, f"x\n{long}\n{long}1\n{long}2\ny", 8), (3, "r\nr\nr\nr\nr", 9), (4, f"a\n{long}\nb", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_lines int")
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
-    assert got == {1: f"u\n{long}\nv", 2: "x\ny", 3: "r"}
+    assert got == {1: rows[0][1], 2: "x\ny", 3: "r", 4: rows[3][1]}
+    assert {r["n_lines"] for r in line_dedup.dedup_lines(df, counts=False).collect()} == {7, 8, 9, 1}
 
 
 # ---- 10
