@@ -40,6 +40,8 @@ BLOCK = 1024
 #: Up to so many ids (and the ids they are compared with first) are sent to every executor to pick texts; beyond, texts are shuffled.
 BROADCAST_ROWS = 1_000_000
 SLICE = 1_500_000
+#: Distinct words a worker process keeps.
+KEPT = 300_000
 
 
 @functools.cache
@@ -54,7 +56,7 @@ def _tables():
 @functools.cache
 def _words() -> Values:
     """Of a worker process: its words with keyed 64-bit hashes of theirs."""
-    return Values(np.uint64)
+    return Values(np.uint64, KEPT, 12 * KEPT)
 
 
 def _word_hash(word: np.ndarray) -> int:

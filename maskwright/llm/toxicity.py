@@ -40,6 +40,8 @@ TOXIC, NEAR, COMMON = 128, 64, 64
 RIDGE, EIGEN = 100.0, 1e-6
 MOST = 3_000
 SLICE = 1_000_000
+#: Distinct tokens whose parts a worker process keeps.
+KEPT = 800_000
 UNIT = float(1 << 32)
 START, END = "\x01", "\x02"
 _GAPS = [(a, b, b - 2) for b in range(2, SPAN) for a in range(1, b)]
@@ -252,7 +254,7 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
         if model.tokens:
-            self.land, self.words = Landmarks(model.tokens), Values(np.int64)
+            self.land, self.words = Landmarks(model.tokens), Values(np.int64, KEPT, 12 * KEPT)
 
     def parts(self, tokens: list[str]) -> np.ndarray:
         """What each token adds, in units of 1 / UNIT; tokens of less than three letters nothing."""

@@ -83,7 +83,7 @@ def room(row: np.ndarray, n: int) -> np.ndarray:
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of each range in turn."""
-    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+    return np.repeat(starts - (np.cumsum(lengths, dtype=np.int64) - lengths), lengths) + np.arange(int(lengths.sum()))
 
 
 @functools.cache
@@ -166,11 +166,11 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}  # by hash
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes, ascending, and their words
         self.others: dict[bytes, int] = {}  # words whose hash another word holds
         self.count, self.used = 0, 0
         self.chars = np.zeros(1 << 16, np.uint32)
-        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.at, self.size = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def add(self, places: np.ndarray, payload) -> None:
         """Takes the payload of new words, whose numbers follow those known; subclasses keep it."""
@@ -194,10 +194,14 @@ class Words:
         unique, first, inverse = np.unique(char_hash().spans(cps, starts, ends), return_index=True, return_inverse=True)
         if self.count and (self.count + len(unique) > self.most or self.used > self.most_chars):
             self.clear()
-        known = np.fromiter(map(self.index.get, unique.tolist(), itertools.repeat(-1)), np.int64, len(unique))
+        at = np.searchsorted(self.keys, unique)
+        there = np.flatnonzero(at < len(self.keys))
+        there = there[self.keys[at[there]] == unique[there]]
+        known = np.full(len(unique), -1, np.int64)
+        known[there] = self.numbers[at[there]]
         if len(new := np.flatnonzero(known < 0)):
             known[new] = self._keep(cps, starts[first[new]], ends[first[new]], resolve(first[new]))
-            self.index.update(zip(unique[new].tolist(), known[new].tolist(), strict=True))
+            self.keys, self.numbers = np.insert(self.keys, at[new], unique[new]), np.insert(self.numbers, at[new], known[new])
         numbers, size = known[inverse], ends - starts
         other = self.size[numbers] != size
         even = np.flatnonzero(~other)
@@ -239,9 +243,9 @@ class Pieces(Words):
 class Values(Words):
     """Words with one number each."""
 
-    def __init__(self, kind, most: int = 500_000) -> None:
+    def __init__(self, kind, most: int = 500_000, most_chars: int = 16_000_000) -> None:
         self.kind = kind
-        super().__init__(most)
+        super().__init__(most, most_chars)
 
     def clear(self) -> None:
         super().clear()
