@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.llm import line_dedup, near_dedup, packing, pii, toxicity
-from maskwright.llm.common import table, written
+from maskwright.llm.common import table, unused, written
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -23,18 +23,19 @@ def _measured(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score 0.7 or more; the model learns from the labels of `sf_dir`."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, model, "_toxicity").filter("_toxicity < 0.7").drop("_toxicity")
+    score = unused(docs, "_toxicity")
+    return toxicity.with_score(docs, model, score).filter(F.col(score) < 0.7).drop(score)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out later occurrences of line windows."""
-    return _measured(line_dedup.dedup_lines(docs).drop("n_lines", "n_removed"))
+    return _measured(line_dedup.dedup_lines(docs, counts=False))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies."""
-    groups = near_dedup.near_dedup(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(groups, docs["doc_id"] == groups["_gone"], "left_anti")
+    gone = near_dedup.near_dedup(docs).filter("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
