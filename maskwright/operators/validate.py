@@ -1,13 +1,17 @@
-"""The correspondence validator: model text to caption, groups and ordered findings, one image a row.
+"""The correspondence validator: a model's answer to caption, groups of spans and ordered findings, one image a row.
 
-Without a parser: mentions are the groups' own surfaces, and semantic rules compare normalised terms.  The pure functions
-are tested on their own; the frame operator is one vectorised call a batch.
+An answer has inline tags ([3]a cup[/3]) or detached groups (mask ids with texts).  Groups are (mask, spans); their texts are
+always the caption's.  What needs a parser or a lexicon is asked of injected objects (see `lexicon`).  The rules are plain
+functions over a `Case`; the frame operator is one vectorised call a batch.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import re
+from collections import defaultdict
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,120 +19,779 @@ from pyspark.sql import functions as F
 
 from .. import adapters as A
 from ..functions.jsonx import salvage
-from .spans import parse_tags, repair_span
-
-# Stock predicates and the wording of counts that findings are made of.
-STOCK = ("is visible", "is shown", "is present", "appears")
-PRONOUNS = {"it", "they", "them", "he", "she", "him", "her", "its", "their", "his"}
-
-
-def resolve_id(raw: str, ids: list[str]) -> str | None:
-    """A mask id as given, by its overlay number, or by a suffix that only one mask has."""
-    raw = str(raw).strip()
-    if raw in ids:
-        return raw
-    if raw.isdigit() and 1 <= int(raw) <= len(ids):
-        return ids[int(raw) - 1]
-    m = re.search(r"_p\d+_m\d+$", raw)
-    found = [i for i in ids if m and i.endswith(m[0])]
+from .context import Mask, mask_context
+from .lexicon import COLLECTIVES, PERSON_REFERENCES, PLURAL_SURFACES, REFERENCES, Lexicon, PlainParser, looks_plural, normal, plural, terms
+from .spans import parse_tags, repair_span, sentence_cased
+
+# Wording of findings, in the order of the rules.
+SAY = {
+    "not_text": "tagged_caption must be a string",
+    "empty": "caption is empty",
+    "context": "caption contains forbidden image/background wording: {!r}",
+    "not_list": "links/groups must be a list",
+    "not_object": "link list position {} is not an object",
+    "twice": "link ID {} appears more than once",
+    "no_text": "link ID {} has no referential text",
+    "no_span": "span {} does not extract {!r}",
+    "absent": "mention text is absent from caption: {!r}",
+    "partial": "contains partially overlapping spans",
+    "no_noun": "has no concrete identity noun phrase",
+    "compound": "body-part identity phrase contains a conflicting concrete compound noun {}",
+    "incompatible": "identity phrase is incompatible with mask subject (expected {}, got {})",
+    "shared": "same-type instance links share singular/noncollective phrase {!r}; use one plural collective span or separate natural phrases",
+    "composite": "composite mask ID {} must link one collective span enclosing a linked mention of every child ID {}; do not describe the union mask as an additional instance",
+    "composite_twice": "composite mask ID {} repeats every child immediately outside its collective span; mention each child once inside the composite link",
+    "selector": "grammatical selector: plural collection mask ID {} needs a descriptive phrase, not {!r}",
+    "number": "grammatical number: single-component repeated mask ID {} needs singular identity {!r}, not {!r}",
+    "same_words": "caption quality: duplicate identity wording for link IDs {}: {}; repeated instances need distinct natural phrases",
+    "ordinal_part": "caption quality: ordinal body-part identity for link ID {}: {!r}; use ownership or a visible distinction",
+    "catalog": "caption quality: mechanical ordinal catalog for {} across link IDs {}; use connected prose and visible selectors",
+    "contact": "caption quality: unsupported contact relation {!r} between link IDs {} and {}; mask-box gap is {:.3f} image diagonals",
+    "inventory": "caption quality: one-sentence-per-mask inventory; at least one sentence must jointly describe two or more linked entities",
+    "stock": "caption quality: repeated stock visibility/presence predicates ({}; maximum before rewrite is 1)",
+    "evasion": "caption quality: unsupported-object evasion {!r}; describe a supported pose instead",
+    "adjacent": "caption quality: adjacent duplicate linked phrase {!r}; mention it once, nesting any composite tag around that single occurrence",
+    "misordered": "caption quality: malformed repeated-instance selector phrase {!r}; put article, modifiers, and selector in natural order",
+    "punctuation": "caption quality: malformed punctuation {!r}; proofread the sentence boundary",
+    "possessive": "caption quality: fused or repeated possessive wording {!r}; restore natural word boundaries or omit the awkward mask reference",
+    "reference": "caption mention coverage: unlinked referring expression {!r} at [{},{}); possible link IDs: {}",
+    "unlinked": "caption mention coverage: unlinked accepted-entity noun phrase {!r} at [{},{}); compatible link IDs: {}",
+    "unmasked": "caption mention coverage: unmasked concrete noun phrase {!r} at [{},{}); omit it because no accepted mask/link exists",
+    "few": "only {} valid groups; need at least {}",
+    "missing": "{} accepted masks are missing groups; required link IDs: {}",
+    "unknown": "unknown link/reference dropped from model output: {!r}",
+    "keep": "pass-two keep must be true",
+    "reject": "pass-one reject must be false",
+    "rewrite": "model decision reject must be false after the one rewrite",
+}
+# Patterns that decide findings.
+_BODY = r"(?:heads?|hair|faces?|necks?|shoulders?|torsos?|bodies?)"
+_OWN = r"(?:his|her|their|its)\s+(?:other\s+)?"
+CONTEXT = re.compile(
+    r"\b(?:background|backdrop|foreground|synthetic\s+(?:fill|color)|(?:image|photo(?:graph)?|picture|crop|frame)\s+(?:shows?|depicts?|contains?|of)|"
+    r"(?:shown|seen|pictured|visible)\s+in\s+(?:the|this)\s+(?:image|photo(?:graph)?|picture|crop|frame)|(?:close[- ]?up|cropped|profile|side)\s+view)\b", re.I)
+ROLE = re.compile(r"\s+(?:is|are|was|were)\s+(?:part\s+of|(?:visible|seen|shown|located|positioned)\s+in)\s+the\s+background\b", re.I)
+MOTION = re.compile(r"\bcaptured in motion\b", re.I)
+PHRASES = (
+    (re.compile(r"^\s*(?:in|within)\s+(?:the\s+)?(?:immediate\s+)?(?:background|foreground)\b\s*,?\s*", re.I), ""),
+    (re.compile(r"^\s*(?:(?:an?|the)\s+)?(?:low[- ]angle|high[- ]angle|close[- ]?up)\s+view\s+(?:captures?|shows?|depicts?)\s+", re.I), "There is "),
+    (re.compile(r"\b(?:hangs?|stands?|sits?|appears?|remains?)\s+in\s+the\s+(?:background|foreground)\b", re.I), "is visible"),
+    (re.compile(r"\s+(?:in|against|before)\s+(?:the\s+)?(?:immediate\s+)?(?:background|backdrop|foreground)\b", re.I), ""),
+    (re.compile(r"\s+toward\s+(?:the\s+)?scene\b", re.I), ""),
+)
+PREDICATE = re.compile(r"\b(fills?|lines?)\s+(?:the\s+)?(?:background|backdrop|foreground)\b", re.I)
+STOCK = re.compile(r"\b(?:(?:is|are|was|were)\s+(?:clearly\s+)?(?:visible|seen|shown|present|depicted)|appears?|is\s+displayed)\b", re.I)
+ORDINAL = re.compile(r"\b(?:first|second|third|fourth|fifth|sixth|seventh|eighth|ninth|tenth|eleventh|twelfth|\d+(?:st|nd|rd|th))\b", re.I)
+PUNCTUATION = re.compile(r"[.!?]\s*,|,\s*[.!?]")
+POSSESSIVES = (
+    re.compile(r"\b(?:her|his|their|its)(?:her|his|their|its)?(?:hair|face|nose|hand|arm|leg|head|eye|ear|mouth|neck|shirt|pants|shoe|coat|dress|body|torso|foot|feet)\b", re.I),
+    re.compile(r"\b(her|his|their|its)\s+\1\b", re.I),
+)
+EVASIONS = (
+    re.compile(r"\b(?:(?:holds?|carries?|grasps?|clutches?)\s+nothing|empty[- ]handed)\b", re.I),
+    re.compile(rf"\b(?:holds?|holding|carries?|carrying|grasps?|grasping|clutches?|clutching|grips?|gripping)\s+(?:one\s+of\s+)?{_OWN}(?:hands?|arms?|shoulders?|heads?|hair|necks?|faces?|mouths?|torsos?|bodies?|legs?|knees?|feet|foot)\b", re.I),
+    re.compile(rf"\b(?:one\s+of\s+)?{_OWN}(?:hands?|arms?)\s+(?:(?:is|are|was|were)\s+(?:positioned|placed|resting)\s+(?:on|against)|(?:rests?|rested|lies?|lay|presses?|pressed)\s+(?:on|against)|(?:touches?|touched))\s+{_OWN}{_BODY}\b", re.I),
+    re.compile(rf"\b(?:rests?|resting|places?|placing|positions?|positioning|presses?|pressing)\s+(?:one\s+of\s+)?{_OWN}(?:hands?|arms?)\s+(?:on|against)\s+{_OWN}{_BODY}\b", re.I),
+    re.compile(r"\b(?:plays?|playing|played)\s+(?:(?:a|an|the|his|her|their|its)\s+)?microphones?\b", re.I),
+)
+MISORDERED = frozenset(("one", "first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth", "eleventh", "twelfth"))
+COUNTS = re.compile(r"\b(?:both|several|multiple|many|few|pair|group|row|cluster|two|three|four|five|six|seven|eight|nine|ten|\d+)\b")
+NO_ENTITY = frozenset(("area", "atmosphere", "background", "center", "color", "corner", "detail", "design", "edge", "form", "foreground", "group", "kind", "left", "manner", "middle", "moment", "mood", "pair", "part", "pattern", "pose", "right", "row", "scene", "set", "setting", "side", "style", "surface", "texture", "time", "type", "view", "way"))
+GENERIC_HEADS = frozenset(("group", "pair", "part", "piece", "row", "set"))
+DETERMINERS = frozenset(("a", "an", "the", "his", "her", "its", "their", "this", "that"))
+MALFORMED = ("has an unclosed opening tag", "has a closing tag without an opening tag", "inline tags are crossed", "has nested self-overlap", "has an empty inline mention")
+NEAR_TEXT, NEAR_BOX = 96, 0.06
+
+Span = tuple[int, int]
+
+
+@dataclass
+class Group:
+    """The spans of one mask (place from 0) in the caption."""
+
+    mask: int
+    spans: list[Span]
+    evidence: dict = field(default_factory=dict)
+
+    def covers(self, start: int, end: int) -> bool:
+        return any(s <= start and end <= e for s, e in self.spans)
+
+
+@dataclass
+class Case:
+    """An answer being checked."""
+
+    masks: list[Mask]
+    lexicon: Lexicon
+    parser: object
+    caption: str = ""
+    groups: list[Group] = field(default_factory=list)
+    mentions: list[dict] = field(default_factory=list)
+    size: tuple[int, int] | None = None
+
+    def expected(self, group: Group) -> set[str]:
+        return set(self.masks[group.mask].expected)
+
+    def said(self, span: Span) -> str:
+        return self.caption[span[0] : span[1]]
+
+    def person(self, group: Group) -> bool:
+        return self.lexicon.any_is(self.expected(group), "person")
+
+    def sentence_break(self, start: int, end: int) -> bool:
+        return any(c in ".!?" for c in self.caption[start:end])
+
+
+# ---- from an answer to groups
+def close_composites(tagged: str, masks: list[Mask]) -> tuple[str, list[dict]]:
+    """Closes the tag around a composite that was opened once, never closed, and holds exactly its children, joined by connectives."""
+    place, repairs = {m.mask_id: i + 1 for i, m in enumerate(masks)}, []
+    for number, mask in enumerate(masks, 1):
+        children = {place[c] for c in mask.children if c in place}
+        tags = [(m.start(), m.end(), int(m[2]), bool(m[1])) for m in re.finditer(r"\[(/?)(\d+)\]", tagged)]
+        own = [k for k, t in enumerate(tags) if t[2] == number]
+        if len(children) < 2 or len(own) != 1 or tags[own[0]][3]:
+            continue
+        end, found = tags[own[0]][1], []
+        for start, stop, link in _blocks(tags[own[0] + 1 :]):
+            if link not in children or link in found or not re.fullmatch(r"(?:\s|,|;|&|\band\b|\bor\b)*", tagged[end:start], re.I):
+                break
+            found.append(link)
+            end = stop
+            if set(found) == children:
+                tagged = f"{tagged[:end]}[/{number}]{tagged[end:]}"
+                repairs.append({"id": number, "child_ids": sorted(children), "inserted_tag": f"[/{number}]", "reason": "closed_geometry_proven_composite_after_all_child_tags"})
+                break
+    return tagged, repairs
+
+
+def _blocks(tags):
+    """(start, end, id) of the balanced blocks that follow one another at the top level, up to the first imbalance."""
+    stack: list[tuple[int, int]] = []
+    for start, end, link, closing in tags:
+        if not closing:
+            stack.append((link, start))
+        elif not stack or stack[-1][0] != link:
+            return
+        else:
+            _, begin = stack.pop()
+            if not stack:
+                yield begin, end, link
+
+
+def sanitized(caption: str) -> tuple[str, list[str]]:
+    """The caption without image-level wording, its punctuation and capitals put right, and what was corrected."""
+    notes = []
+
+    def note(text: str, n: int) -> None:
+        if n:
+            notes.append(text.format(n))
+
+    caption, n = ROLE.subn(" is present", caption)
+    note("removed {} image-level background-role clause(s)", n)
+    caption, n = MOTION.subn("moving", caption)
+    note("removed {} image-capture phrase(s)", n)
+    for pattern, to in PHRASES:
+        caption, n = pattern.subn(to, caption)
+        note("removed {} background phrase(s)", n)
+    caption, n = PREDICATE.subn(lambda m: "is visible" if m[1].lower().endswith("s") else "are visible", caption)
+    note("removed {} image-level background predicate(s)", n)
+    caption, a = re.subn(r"([.!?])\s*[,;:]+\s*", r"\1 ", re.sub(r"\s+([.,;:!?])", r"\1", caption))
+    caption, b = re.subn(r"[,;:]\s*([.!?])", r"\1", caption)
+    note("repaired {} malformed punctuation pair(s)", a + b)
+    caption = re.sub(r"[ \t]{2,}", " ", caption).strip()
+    if (cased := sentence_cased(caption)) != caption:
+        notes.append("restored sentence-initial capitalization after cleanup")
+    return cased, notes
+
+
+def resolve_id(link: dict, ids: list[str]) -> tuple[int | None, str]:
+    """Place of the mask that a link names, by overlay number, id, or a suffix that only one id has; and the name as given."""
+    number = link.get("id", link.get("overlay_number"))
+    if number is not None:
+        try:
+            k = int(number)
+        except (TypeError, ValueError):
+            return None, str(number)
+        return (k - 1 if 1 <= k <= len(ids) else None), str(number)
+    given = str(link.get("mask_id") or "").strip()
+    if given in ids:
+        return ids.index(given), given
+    tail = re.search(r"_p\d+_m\d+$", given)
+    found = [i for i, known in enumerate(ids) if tail and known.endswith(tail[0])]
+    return (found[0] if len(found) == 1 else None), given
+
+
+def pattern_of(text: str) -> str:
+    return (r"(?<!\w)" if text[:1].isalnum() else "") + re.escape(text) + (r"(?!\w)" if text[-1:].isalnum() else "")
+
+
+def without_nested(texts: list[str]) -> tuple[list[str], list[dict]]:
+    """Texts that stand as words in a longer one go; reference words stay."""
+    texts, kept, gone = [t.strip().rstrip(".,;:!?") for t in texts], [], []
+    for i, text in enumerate(texts):
+        if not text:
+            continue
+        outer = None
+        if text.lower() not in REFERENCES:
+            outer = next((o for k, o in enumerate(texts) if k != i and len(o) > len(text) and re.search(pattern_of(text), o, re.I)), None)
+        if outer is None:
+            kept.append(text)
+        else:
+            gone.append({"dropped_text": text, "nested_in": outer, "reason": "redundant_lexically_nested_model_mention"})
+    return kept, gone
+
+
+def relaxed(caption: str, text: str) -> Span | None:
+    """The only place of a text without its leading determiner."""
+    first, _, rest = text.partition(" ")
+    found = [m.span() for m in re.finditer(pattern_of(" ".join(rest.split())), caption, re.I)] if rest.strip() and first.lower() in DETERMINERS else []
     return found[0] if len(found) == 1 else None
 
 
-def without_nested(spans: list[tuple[int, int]], caption: str) -> list[tuple[int, int]]:
-    """Spans that lie in a longer one go, pronouns stay."""
-    inside = lambda s: any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans)
-    return [s for s in spans if caption[s[0] : s[1]].lower() in PRONOUNS or not inside(s)]
-
-
-def quality_findings(caption: str, links: list[dict]) -> list[str]:
-    """Sentence rules: stock predicates, inventories, punctuation."""
-    out, cuts, at = [], [], 0
-    for m in re.finditer(r"[.!?](?:\s+|$)", caption):
-        cuts.append((at, m.end()))
-        at = m.end()
-    if at < len(caption):
-        cuts.append((at, len(caption)))
-    per = [len({k["id"] for k in links if k["start"] < e and s < k["end"]}) for s, e in cuts]
-    groups = len({k["id"] for k in links})
-    if groups >= 4 and sum(caption.lower().count(p) for p in STOCK) >= 2:
-        out.append("caption quality: stock predicate repeated")
-    if groups >= 4 and per and max(per) < 2:
-        out.append("caption quality: inventory, one-sentence-per-mask")
-    if re.search(r"\s[,.;]|,,|\.\.", caption):
-        out.append("malformed punctuation")
+def located(caption: str, texts: list[str]) -> tuple[list[Span], list[str]]:
+    """Spans of texts; a text given again takes the next place, or none if there is no other."""
+    spans, errors, after = [], [], {}
+    for text in (t.strip().rstrip(".,;:!?") for t in texts):
+        if not text:
+            continue
+        key = text.lower()
+        every = [m.span() for m in re.finditer(pattern_of(text), caption, re.I)]
+        span = next((s for s in every if s[0] >= after.get(key, 0)), None)
+        if span is None and every and key in after:
+            continue
+        span = span or relaxed(caption, text)
+        if span is None:
+            errors.append(SAY["absent"].format(text))
+        else:
+            spans.append(span)
+            after[key] = span[1]
+    return spans, errors
+
+
+def repaired(caption: str, texts: list[str], wanted: list) -> tuple[list[Span], list[str]]:
+    """Spans of texts near the places wanted, none over another."""
+    spans, errors = [], []
+    for i, text in enumerate(texts):
+        want = tuple(wanted[i]) if i < len(wanted) and isinstance(wanted[i], (list, tuple)) and len(wanted[i]) == 2 and all(isinstance(x, int) for x in wanted[i]) else None
+        span = repair_span(caption, text, want, spans)
+        if span is None:
+            errors.append(SAY["no_span"].format(i, text))
+        else:
+            spans.append(span)
+    return spans, errors
+
+
+def within(spans: list[Span]) -> tuple[list[Span], list[int], int]:
+    """Spans without those inside another (of equal ones the later), sorted; the places dropped; how many pairs overlap in part."""
+    holds = lambda a, b: a[0] <= b[0] and b[1] <= a[1]
+    size = lambda s: s[1] - s[0]
+    gone = [i for i, s in enumerate(spans) if any(k != i and holds(o, s) and (size(o) > size(s) or (size(o) == size(s) and k < i)) for k, o in enumerate(spans))]
+    partial = sum(max(a[0], b[0]) < min(a[1], b[1]) and not holds(a, b) and not holds(b, a) for i, a in enumerate(spans) for b in spans[i + 1 :])
+    return sorted(s for i, s in enumerate(spans) if i not in gone), gone, partial
+
+
+# ---- what words mean
+def evidence(case: Case, mask: Mask, texts: list[str]) -> tuple[dict, str | None]:
+    """How a group's words fit its mask's subject, and what is wrong, if anything."""
+    lex, expected, joined = case.lexicon, set(mask.expected), " ".join(texts)
+    said = terms(case.parser, joined)
+    said |= {normal(w) for w in set(re.findall(r"[a-z]+", joined.lower())) if lex.fits(expected, {normal(w)})}
+    pairs = [(e, s, r) for e in sorted(expected) for s in sorted(said) if (r := lex.relation(e, s))]
+    side = {"side"} if re.search(r"\b(?:left|right)-side\b", joined, re.I) else set()
+    clash = sorted(w for w in said - side if not lex.fits(expected, {w})) if lex.body_parts(expected) else []
+    fits = (bool(pairs) if expected else bool(said)) and not clash
+    out = {
+        "expected_source": mask.source, "expected_terms": sorted(expected), "mention_terms": sorted(said), "matched_terms": sorted({e for e, _, _ in pairs}),
+        "matches": [{"expected": e, "mentioned": s, "relation": r} for e, s, r in pairs], "compatible": fits, "conflicting_compound_terms": clash,
+    }
+    if not said:
+        return out, SAY["no_noun"]
+    if clash:
+        return out, SAY["compound"].format(clash)
+    return out, None if fits or not expected else SAY["incompatible"].format(sorted(expected), sorted(said))
+
+
+def suits(case: Case, mention: dict, mask: Mask) -> bool:
+    """Whether a mention's head, not a modifier in it, can name the mask."""
+    lex, expected, head = case.lexicon, set(mask.expected), str(mention.get("head") or "").lower()
+    heads = terms(case.parser, head)
+    if not expected:
+        return bool(heads)
+    if lex.fits(expected, heads):
+        side = {"side"} if re.search(r"\b(?:left|right)-side\b", mention["text"], re.I) else set()
+        others = {normal(w) for w in mention.get("noun_terms") or [] if len(w) > 1} - side
+        return not (lex.body_parts(expected) and any(not lex.fits(expected, {w}) for w in others))
+    if lex.clothing(expected) and lex.clothing(heads):
+        return True
+    if head in GENERIC_HEADS:
+        found, wrong = evidence(case, mask, [mention["text"]])
+        return wrong is None and found["compatible"]
+    return False
+
+
+def collective(case: Case, phrase: str, kind: set[str]) -> bool:
+    """Whether a phrase names several things of a kind."""
+    text = re.sub(r"\s+", " ", phrase.strip().lower())
+    heads = "|".join(COLLECTIVES)
+    if not text or (re.match(r"(?:a|an|one)\b", text) and not re.match(rf"(?:a|an|one)\s+(?:[a-z-]+\s+){{0,3}}(?:{heads})\s+of\b", text)):
+        return False
+    if any(looks_plural(w) and case.lexicon.fits(kind, terms(case.parser, w)) for w in re.findall(r"[a-z]+", text)):
+        return True
+    has = lambda word: re.search(rf"(?<!\w){re.escape(word)}(?!\w)", text)
+    if any(plural(k) != k and has(plural(k)) for k in kind if k):
+        return True
+    return bool(COUNTS.search(text)) and any(has(k) for k in kind if looks_plural(k))
+
+
+def common(case: Case, sets: list[set[str]]) -> set[str]:
+    """Terms of the first set that fit all others; none if one is empty."""
+    if not sets or not all(sets):
+        return set()
+    out = set(sets[0])
+    for other in sets[1:]:
+        out = {t for t in out if case.lexicon.fits({t}, other)}
     return out
 
 
-def validate(raw: str, ids: list[str], minimum: int = 1) -> dict:
-    """caption, links (mask ids with spans), findings in order, parseable."""
-    record = salvage(raw)
-    if record is None:
-        return {"caption": "", "links": [], "findings": ["no JSON object in the answer"], "parseable": False}
-    findings: list[str] = []
-    if record.get("tagged_caption"):
-        parsed = parse_tags(str(record["tagged_caption"]))
-        caption, found = parsed["caption"], [(str(k["id"]), (k["start"], k["end"])) for k in parsed["links"]]
-        findings += parsed["errors"]
+def share_collective(case: Case, left: Group, right: Group) -> bool:
+    kind = common(case, [case.expected(left), case.expected(right)])
+    return bool(kind) and any(s in right.spans and collective(case, case.said(s), kind) for s in left.spans)
+
+
+# ---- repairs
+def _joined(text: str) -> bool:
+    return bool(re.search(r"\b(?:and|or)\b", text, re.I))
+
+
+def complete(case: Case) -> list[dict]:
+    """Links mentions that no group covers and that only one mask can mean."""
+    people = [i for i, m in enumerate(case.masks) if case.lexicon.any_is(m.expected, "person")]
+    by, repairs = {g.mask: g for g in case.groups}, []
+    for m in case.mentions:
+        s, e = m["start"], m["end"]
+        if any(g.covers(s, e) for g in case.groups):
+            continue
+        if m["kind"] == "person_reference":
+            fit = people if m["text"].lower() in PERSON_REFERENCES else list(range(len(case.masks)))
+        elif m.get("head") in NO_ENTITY or _joined(m["text"]):
+            continue
+        else:
+            fit = [i for i, mask in enumerate(case.masks) if suits(case, m, mask)]
+        if len(fit) != 1:
+            continue
+        group = by.get(fit[0])
+        if group is None:
+            if m["kind"] == "person_reference" or evidence(case, case.masks[fit[0]], [m["text"]])[1]:
+                continue
+            group = by[fit[0]] = Group(fit[0], [])
+            case.groups.append(group)
+        if _widen(case, group, (s, e)):
+            repairs.append({"overlay_number": fit[0] + 1, "text": m["text"], "char_span": [s, e], "reason": "unambiguous_spacy_mention_completion"})
+    case.groups.sort(key=lambda g: g.mask)
+    return repairs
+
+
+def _widen(case: Case, group: Group, span: Span) -> bool:
+    """Adds a span to a group in place of those inside it; not if one overlaps it in part."""
+    inside = [s for s in group.spans if span[0] <= s[0] and s[1] <= span[1]]
+    rest = [s for s in group.spans if s not in inside]
+    if any(max(span[0], s[0]) < min(span[1], s[1]) for s in rest):
+        return False
+    group.spans = sorted([*rest, span])
+    group.evidence, _ = evidence(case, case.masks[group.mask], [case.said(s) for s in group.spans])
+    return True
+
+
+def expand(case: Case) -> list[dict]:
+    """Widens a link to the whole noun phrase around it where only one group fits."""
+    repairs = []
+    for m in case.mentions:
+        s, e = m["start"], m["end"]
+        if m["kind"] != "noun_phrase" or _joined(m["text"]) or any(g.covers(s, e) for g in case.groups):
+            continue
+        part = lambda g: any(max(s, a) < min(e, b) and not (s <= a and b <= e) for a, b in g.spans)  # noqa: B023, E731
+        fit = [g for g in case.groups if suits(case, m, case.masks[g.mask]) and any(s <= a and b <= e for a, b in g.spans) and not part(g)]
+        if len(fit) != 1:
+            continue
+        replaced = [list(x) for x in fit[0].spans if s <= x[0] and x[1] <= e]
+        if _widen(case, fit[0], (s, e)):
+            repairs.append({"overlay_number": fit[0].mask + 1, "text": m["text"], "char_span": [s, e], "replaced_spans": replaced, "reason": "tagged_identity_expanded_to_full_noun_phrase"})
+    return repairs
+
+
+# ---- rules: each gives findings in order
+def shared_spans(case: Case) -> list[str]:
+    users: dict[Span, list[Group]] = defaultdict(list)
+    for g in case.groups:
+        for s in g.spans:
+            users[s].append(g)
+    out = []
+    for span, groups in users.items():
+        kind = common(case, [case.expected(g) for g in groups]) if len(groups) > 1 else set()
+        if kind and not collective(case, case.said(span), kind):
+            out.append(SAY["shared"].format(case.said(span)))
+    return out
+
+
+def composite_links(case: Case) -> list[str]:
+    by, place, out = {g.mask: g for g in case.groups}, {m.mask_id: i for i, m in enumerate(case.masks)}, []
+    for i, mask in enumerate(case.masks):
+        children = [place.get(c) for c in mask.children]
+        if len(children) < 2 or i not in by or any(c not in by for c in children):
+            continue
+        kids = [by[c].spans for c in children]
+        around = [(s, e) for s, e in by[i].spans if all(any(s <= a and b <= e for a, b in spans) for spans in kids)]
+        if not around:
+            out.append(SAY["composite"].format(i + 1, [c + 1 for c in children]))
+        near = lambda a, b: 0 <= b - a <= NEAR_TEXT and not case.sentence_break(a, b)
+        for s, e in around:
+            if all(any(near(b, s) for _, b in spans) for spans in kids) or all(any(near(e, a) for a, _ in spans) for spans in kids):
+                out.append(SAY["composite_twice"].format(i + 1))
+                break
+    return out
+
+
+def instance_numbers(case: Case) -> list[str]:
+    by, out = {g.mask: g for g in case.groups}, []
+    for i, item in enumerate(mask_context(case.masks, case.lexicon, case.parser, case.size)):
+        if i not in by or item["same_subject_total"] <= 1 or item["composite_of_ids"]:
+            continue
+        noun, group = item["surface_identity_noun"].lower(), by[i]
+        has = lambda word, text: re.search(rf"(?<!\w){re.escape(word)}(?!\w)", text, re.I)
+        texts = [case.said(s) for s in group.spans]
+        if looks_plural(noun) and (bad := [t for t in texts if ORDINAL.search(t) and has(noun, t)]):
+            out.append(SAY["selector"].format(i + 1, bad[0]))
+        many = plural(noun)
+        if item["significant_component_count"] > 1 or noun in PLURAL_SURFACES or not noun or many == noun or any(has(noun, t) for t in texts):
+            continue
+        others = [g for g in case.groups if g is not group]
+        bad = [
+            t for t, s in zip(texts, group.spans, strict=True)
+            if has(many, t) and not re.search(r"\bone\s+of\b", t, re.I) and not any(s in g.spans and share_collective(case, group, g) for g in others)
+        ]
+        if bad:
+            out.append(SAY["number"].format(i + 1, noun, bad[0]))
+    return out
+
+
+def identity_style(case: Case) -> list[str]:
+    alike, ordinal, parts = defaultdict(list), defaultdict(list), []
+    for g in case.groups:
+        expected = case.expected(g)
+        if not expected:
+            continue
+        phrases = [case.said(s) for s in g.spans if case.lexicon.fits(terms(case.parser, case.said(s)), expected)]
+        key = tuple(sorted(expected))
+        alike[key].append((g, {re.sub(r"\s+", " ", p).strip().lower() for p in phrases if p.strip()}))
+        if said := [p for p in phrases if ORDINAL.search(p)]:
+            ordinal[key].append(g.mask + 1)
+            if case.lexicon.body_parts(expected):
+                parts.append((g.mask + 1, said[0]))
+    out = []
+    for entries in alike.values():
+        for k, (left, words) in enumerate(entries):
+            out += [SAY["same_words"].format([left.mask + 1, right.mask + 1], sorted(words)) for right, other in entries[k + 1 :] if words and words == other and not share_collective(case, left, right)]
+    out += [SAY["ordinal_part"].format(*p) for p in parts]
+    return out + [SAY["catalog"].format(list(key), numbers) for key, numbers in ordinal.items() if len(numbers) > 1]
+
+
+def span_group(case: Case, span, people: bool = False) -> Group | None:
+    """The group of the smallest span around a given one."""
+    if span is None:
+        return None
+    found = [(e - s, k, g) for k, g in enumerate(case.groups) if not people or case.person(g) for s, e in g.spans if s <= span[0] and span[1] <= e]
+    return min(found, key=lambda x: x[:2])[2] if found else None
+
+
+def beside(case: Case, verb: Span) -> tuple[Group | None, Group | None]:
+    """In a verb's sentence the last person before it and the first thing after it."""
+    start = max(case.caption.rfind(c, 0, verb[0]) for c in ".!?") + 1
+    ends = [k for c in ".!?" if (k := case.caption.find(c, verb[1])) >= 0]
+    stop = min(ends) + 1 if ends else len(case.caption)
+    before = [(e, -k, g) for k, g in enumerate(case.groups) if case.person(g) for s, e in g.spans if start <= s and e <= verb[0]]
+    after = [(s, k, g) for k, g in enumerate(case.groups) if not case.person(g) for s, _ in g.spans if verb[1] <= s < stop]
+    return (max(before, key=lambda x: x[:2])[2] if before else None), (min(after, key=lambda x: x[:2])[2] if after else None)
+
+
+def contacts(case: Case) -> list[str]:
+    """Contact that boxes too far apart don't bear out."""
+    boxes = [m.bbox for m in case.masks]
+    width, height = case.size or (max([1, *[b[0] + b[2] for b in boxes]]), max([1, *[b[1] + b[3] for b in boxes]]))
+    out = []
+    for r in case.parser.relations(case.caption):
+        subject, thing = span_group(case, r.get("subject_span"), True), span_group(case, r.get("object_span"))
+        if subject is None or thing is None:
+            a, b = beside(case, r["verb_span"])
+            subject, thing = subject or a, thing or b
+        if subject is None or thing is None or subject is thing:
+            continue
+        a, b = boxes[subject.mask], boxes[thing.mask]
+        gap = [max(0, a[k] - b[k] - b[k + 2], b[k] - a[k] - a[k + 2]) for k in (0, 1)]
+        far = math.hypot(*gap) / max(1.0, math.hypot(width, height))
+        if far > NEAR_BOX:
+            out.append(SAY["contact"].format(r["verb"], subject.mask + 1, thing.mask + 1, far))
+    return out
+
+
+def adjacent_twice(case: Case) -> list[str]:
+    out = []
+    for g in case.groups:
+        spans = sorted(g.spans)
+        for a, b in zip(spans, spans[1:], strict=False):
+            if case.said(a).lower() == case.said(b).lower() and re.fullmatch(r"\s*[,;:]?\s*", case.caption[a[1] : b[0]]):
+                out.append(case.caption[a[0] : b[1]])
+    return [SAY["adjacent"].format(p) for p in dict.fromkeys(out)]
+
+
+def misordered(case: Case) -> list[str]:
+    out = []
+    for m in case.mentions:
+        words = re.findall(r"[a-z]+", m["text"].lower())
+        if m["kind"] == "noun_phrase" and len(words) > 3 and words[0] in ("a", "an") and (MISORDERED & set(words[2:-1]) or any(words[k : k + 2] == ["the", "other"] for k in range(2, len(words) - 2))):
+            out.append(m["text"])
+    return [SAY["misordered"].format(p) for p in dict.fromkeys(out)]
+
+
+def prose(case: Case) -> list[str]:
+    """Inventories, stock predicates, evasions, repeated and misordered wording, punctuation, possessives."""
+    sentences = [m.span() for m in re.finditer(r"[^.!?]+(?:[.!?]+|$)", case.caption) if m[0].strip()]
+    most = max((sum(any(a < e and s < b for a, b in g.spans) for g in case.groups) for s, e in sentences), default=0)
+    many, stock, out = len(case.groups) >= 4, len(STOCK.findall(case.caption)), []
+    if many and most < 2:
+        out.append(SAY["inventory"])
+    if many and stock > 1:
+        out.append(SAY["stock"].format(stock))
+    found = sorted((m for p in EVASIONS for m in p.finditer(case.caption)), key=lambda m: m.start())
+    out += [SAY["evasion"].format(m[0]) for m in found] + adjacent_twice(case) + misordered(case)
+    out += [SAY["punctuation"].format(m[0]) for m in PUNCTUATION.finditer(case.caption)]
+    return out + [SAY["possessive"].format(m[0]) for p in POSSESSIVES for m in p.finditer(case.caption)]
+
+
+def coverage(case: Case) -> list[str]:
+    """Mentions that no fitting group covers."""
+    out = []
+    for m in case.mentions:
+        s, e = m["start"], m["end"]
+        numbers = lambda groups: [g.mask + 1 for g in groups]
+        if m["kind"] == "person_reference":
+            if not any(g.covers(s, e) for g in case.groups):
+                fit = [g for g in case.groups if case.person(g)] if m["text"].lower() in PERSON_REFERENCES else case.groups
+                out.append(SAY["reference"].format(m["text"], s, e, numbers(fit)))
+            continue
+        fit = [g for g in case.groups if suits(case, m, case.masks[g.mask])]
+        if any(g.covers(s, e) for g in fit) or any(case.expected(g) and any(a <= s and e <= b and collective(case, case.said((a, b)), case.expected(g)) for a, b in g.spans) for g in case.groups):
+            continue
+        if fit:
+            out.append(SAY["unlinked"].format(m["text"], s, e, numbers(fit)))
+        elif m.get("head") not in NO_ENTITY:
+            out.append(SAY["unmasked"].format(m["text"], s, e))
+    return out
+
+
+def missing(case: Case) -> list[str]:
+    gone = [i for i in range(len(case.masks)) if i not in {g.mask for g in case.groups}]
+    names = ", ".join(f"{i + 1}:{case.masks[i].anchor or 'unknown'}" for i in gone[:12]) + "…" * (len(gone) > 12)
+    return [SAY["missing"].format(len(gone), names)] if gone else []
+
+
+# ---- the whole
+def _links_of(record: dict, errors: list[str]) -> list:
+    links = record.get("links") if "links" in record else record.get("groups")
+    if links is None or isinstance(links, list):
+        return links or []
+    errors.append(SAY["not_list"])
+    return []
+
+
+def normalise(record: dict, masks: list[Mask], lexicon: Lexicon, parser, minimum: int = 1, all_masks: bool = True, keep_incompatible: bool = False, size: tuple[int, int] | None = None) -> dict:
+    """caption, groups, findings in order, and every repair."""
+    case, errors = Case([m.name(parser) for m in masks], lexicon, parser, size=size), []
+    closed, inline = [], "tagged_caption" in record
+    if inline and isinstance(record["tagged_caption"], str):
+        tagged, closed = close_composites(record["tagged_caption"], masks)
+        parsed = parse_tags(tagged)
+        original, errors = parsed["caption"].strip(), list(parsed["errors"])
+        by: dict[int, list[Span]] = defaultdict(list)
+        for k in parsed["links"]:
+            by[k["id"]].append((k["start"], k["end"]))
+        links = [{"id": n, "text": [parsed["caption"][s:e] for s, e in spans], "char_spans": spans} for n, spans in sorted(by.items())]
+    elif inline:
+        original, links, errors = "", [], [SAY["not_text"]]
     else:
-        caption, found, taken = str(record.get("caption") or ""), [], {}
-        for g in record.get("groups") or []:
-            own = taken.setdefault(str(g.get("mask_id")), [])
-            spans = g.get("char_spans") or []
-            for k, text in enumerate(g.get("text") or []):
-                want = tuple(spans[k]) if k < len(spans) else None
-                span = repair_span(caption, str(text), want, own)
-                if span is None:
-                    findings.append(f"text entry {text!r} has no free occurrence")
-                else:
-                    own.append(span)
-                    found.append((str(g.get("mask_id")), span))
-    links: list[dict] = []
-    for raw_id, (s, e) in found:
-        mask = resolve_id(raw_id, ids)
+        original = str(record.get("caption") or "").strip()
+        links = None
+    case.caption, corrections = sanitized(original)
+    if not case.caption:
+        errors.append(SAY["empty"])
+    elif found := CONTEXT.search(case.caption):
+        errors.append(SAY["context"].format(found[0]))
+    links = _links_of(record, errors) if links is None else links
+    ids, seen, repairs, renamed = [m.mask_id for m in masks], set(), [], []
+    for at, link in enumerate(links):
+        if not isinstance(link, dict):
+            errors.append(SAY["not_object"].format(at + 1))
+            continue
+        mask, given = resolve_id(link, ids)
         if mask is None:
-            findings.append(f"unknown mask {raw_id}")
+            repairs.append({"group_index": at, "provided_reference": given, "reason": "unknown_extra_link_dropped"})
+            continue
+        if (own := str(link.get("mask_id") or "").strip()) and own != ids[mask]:
+            renamed.append({"provided": own, "resolved": ids[mask]})
+        if mask in seen:
+            errors.append(SAY["twice"].format(mask + 1))
+            continue
+        seen.add(mask)
+        texts = link.get("text") or link.get("mentions") or []
+        texts = [str(t) for t in ([texts] if isinstance(texts, str) else texts) if str(t)]
+        if not texts:
+            errors.append(SAY["no_text"].format(mask + 1))
+            continue
+        if inline:
+            spans, wrong = repaired(case.caption, texts, link["char_spans"])
         else:
-            links.append({"id": mask, "start": s, "end": e})
-    for mask in dict.fromkeys(k["id"] for k in links):
-        spans = [(k["start"], k["end"]) for k in links if k["id"] == mask]
-        keep = without_nested(spans, caption)
-        links = [k for k in links if k["id"] != mask or (k["start"], k["end"]) in keep]
-        if any(a < d and c < b and a != c for a, b in keep for c, d in keep):
-            findings.append(f"span overlap within mask {mask}")
-    by_span: dict[tuple[int, int], set[str]] = {}
-    for k in links:
-        by_span.setdefault((k["start"], k["end"]), set()).add(k["id"])
-    for (s, e), owners in by_span.items():
-        word = caption[s:e].lower()
-        if len(owners) > 1 and not word.endswith("s"):
-            findings.append(f"same-type instance links share a singular span [{s}, {e})")
-    findings += quality_findings(caption, links)
-    gone = [i for i in ids if i not in {k["id"] for k in links}]
-    if gone:
-        findings.append(f"accepted masks are missing groups: {len(gone)}")
-    if len({k["id"] for k in links}) < minimum:
-        findings.append(f"only {len({k['id'] for k in links})} linked masks")
-    links.sort(key=lambda k: (ids.index(k["id"]), k["start"], k["end"]))
-    return {"caption": caption, "links": links, "findings": list(dict.fromkeys(findings)), "parseable": bool(caption.strip()) and bool(links)}
-
-
-def validated(rows: DataFrame, raw: str = "raw", ids: str = "mask_ids", minimum: int = 1) -> DataFrame:
-    """Adds `checked`: struct(caption, links, findings, parseable)."""
-    kind = "caption string, links array<struct<id:string,start:int,end:int>>, findings array<string>, parseable boolean"
+            texts, nested = without_nested(texts)
+            repairs += [{"overlay_number": mask + 1, **n} for n in nested]
+            spans, wrong = located(case.caption, texts)
+        if spans:  # a text that is nowhere doesn't count where others are found
+            absent = SAY["absent"].split("{")[0]
+            repairs += [{"overlay_number": mask + 1, "detail": w, "reason": "unmatched_model_mention_dropped"} for w in wrong if w.startswith(absent)]
+            wrong = [w for w in wrong if not w.startswith(absent)]
+        kept, gone, partial = within(spans)
+        repairs += [{"overlay_number": mask + 1, "dropped_text": case.said(spans[i]), "dropped_span": list(spans[i]), "reason": "redundant_nested_within_group_mention"} for i in gone]
+        wrong += [SAY["partial"]] * partial
+        facts, misfit = evidence(case, masks[mask], [case.said(s) for s in kept])
+        errors += [f"link ID {mask + 1} {w}" for w in wrong]
+        if misfit:
+            errors.append(f"link ID {mask + 1} {misfit}")
+            facts |= {"valid": False, "retained_with_error": True, "error": misfit}
+        if not wrong and (not misfit or keep_incompatible):
+            case.groups.append(Group(mask, kept, facts))
+    case.mentions = parser.mentions(case.caption)
+    completed, expanded = complete(case), expand(case)
+    composite, numbers = composite_links(case), instance_numbers(case)
+    errors += shared_spans(case) + composite + numbers + identity_style(case) + contacts(case) + prose(case) + coverage(case)
+    if len(case.groups) < minimum:
+        errors.append(SAY["few"].format(len(case.groups), minimum))
+    errors += missing(case) if all_masks else []
+    return {
+        "caption": case.caption, "corrections": corrections, "groups": [{"overlay_number": g.mask + 1, "mask_id": ids[g.mask], "char_spans": [list(s) for s in g.spans], "text": [case.said(s) for s in g.spans], "semantic_validation": g.evidence} for g in case.groups],
+        "findings": errors, "link_repairs": repairs, "mask_id_repairs": renamed, "composite_close_repairs": closed, "mention_completion_repairs": completed, "noun_phrase_span_repairs": expanded,
+        "composite_errors": composite, "instance_errors": numbers,
+    }
+
+
+def decision(record: dict, draft: bool, rewrite: bool = False) -> list[str]:
+    if rewrite:
+        return [] if record.get("reject") is False else [SAY["rewrite"]]
+    if draft:
+        return [] if record.get("reject") is False else [SAY["reject"]]
+    return [] if record.get("keep") is True else [SAY["keep"]]
+
+
+def check_raw(raw: str, masks: list[Mask], lexicon: Lexicon, parser, draft: bool, size: tuple[int, int] | None = None) -> dict:
+    """A model's text under the one-rewrite contract: any subset of masks, unknown links and the decision are findings, broken tags make it unusable."""
+    record = salvage(raw)
+    if record is None:
+        return {"parseable": False, "parse_error": "no JSON object in the answer", "caption": "", "groups": [], "findings": ["JSON parse error: no JSON object in the answer"]}
+    out = normalise(record, masks, lexicon, parser, 1, False, True, size)
+    findings = out["findings"] + [SAY["unknown"].format(r["provided_reference"]) for r in out["link_repairs"] if r["reason"] == "unknown_extra_link_dropped"]
+    findings = decision(record, draft, not draft) + findings
+    broken = [f for f in findings if any(m in f for m in MALFORMED)]
+    return {"parseable": not broken, "parse_error": "malformed inline correspondence tags: " + "; ".join(broken) if broken else "", "caption": out["caption"], "groups": out["groups"], "findings": findings}
+
+
+def mention_audit(caption: str, masks: list[Mask], lexicon: Lexicon, parser) -> list[dict]:
+    """Each mention with its occurrence number, the masks it can mean, and what to do with it."""
+    case, seen, out = Case([m.name(parser) for m in masks], lexicon, parser, caption), defaultdict(int), []
+    people = [i + 1 for i, m in enumerate(masks) if lexicon.any_is(m.expected, "person")]
+    for m in parser.mentions(caption):
+        seen[m["text"].lower()] += 1
+        if m["kind"] == "person_reference":
+            fit = people if m["text"].lower() in PERSON_REFERENCES else list(range(1, len(masks) + 1))
+        else:
+            fit = [i + 1 for i, mask in enumerate(masks) if suits(case, m, mask)]
+        todo = "link_exact_occurrence" if fit else "abstract_or_spatial_not_linked" if m.get("head") in NO_ENTITY else "remove_unmasked_concrete_noun_phrase"
+        out.append({"text": m["text"], "occurrence": seen[m["text"].lower()], "compatible_ids": fit, "instruction": todo})
+    return out
+
+
+# Which findings ask for a rewrite, under which code, with which instruction.
+SIMPLE = ("json parse error", *[m.lower() for m in MALFORMED], "unknown link", "unknown id", "caption mention coverage:", "malformed punctuation", "fused or repeated possessive", "model decision reject")
+REWRITE = (
+    ("caption mention coverage:", "unlinked_or_unmasked_noun_phrase", "Visually verify the phrase, then link the full noun phrase to a compatible mask or remove it and its dependent relation."),
+    ("punctuation", "malformed_punctuation", "Restore ordinary sentence punctuation and smooth grammatical flow."),
+    ("possessive", "malformed_possessive", "Restore spaces and use overlapping owner/owned tags where appropriate."),
+    ("unknown", "unknown_mask_id", "Use only one-based IDs present in ACCEPTED_MASK_CONTEXT."),
+    ("", "schema_or_tag_structure", "Return the required JSON with balanced, properly nested inline tags."),
+)
+UNMASKED = ("unmasked_noun_phrase_candidate", "This spaCy noun phrase has no compatible supplied identity; remove it unless visual inspection identifies an exact compatible mask ID.")
+
+
+def rewrite_findings(findings: list[str], caption: str, masks: list[Mask], lexicon: Lexicon, parser) -> list[dict]:
+    """The objective findings of a draft and its mentions without a mask, each (code, evidence) once."""
+    found: dict[tuple[str, str], str] = {}
+    for f in (str(x).strip() for x in findings):
+        if any(m in f.lower() for m in SIMPLE):
+            code, what = next((c, w) for needle, c, w in REWRITE if needle in f.lower())
+            found.setdefault((code, f), what)
+    for m in mention_audit(caption, masks, lexicon, parser):
+        if m["instruction"] == "remove_unmasked_concrete_noun_phrase":
+            found.setdefault((UNMASKED[0], m["text"]), UNMASKED[1])
+    return [{"code": c, "evidence": e, "instruction": i} for (c, e), i in found.items()]
+
+
+CHECKED = "caption string, groups array<struct<overlay_number:int,mask_id:string,char_spans:array<array<int>>,text:array<string>>>, findings array<string>, parseable boolean, parse_error string"
+
+
+def validated(rows: DataFrame, raw: str, masks: str, lexicon: Lexicon, parser, draft: bool = True) -> DataFrame:
+    """Adds `checked` (see CHECKED) for a model's text and an image's masks: array of structs with the fields of Mask."""
+    names = [f.name for f in rows.schema[masks].dataType.elementType.fields]
+
+    def one(text, some) -> str:
+        made = [Mask(**{n: (tuple(m[n]) if n in ("bbox", "children") else m[n]) for n in names if m[n] is not None}) for m in some]
+        return json.dumps(check_raw(text or "", made, lexicon, parser, draft))
 
     @F.pandas_udf("string")
-    def run(texts: pd.Series, masks: pd.Series) -> pd.Series:
-        return pd.Series([json.dumps(validate(t or "", [str(x) for x in m], minimum)) for t, m in zip(texts, masks, strict=True)])
+    def run(texts: pd.Series, several: pd.Series) -> pd.Series:
+        return pd.Series([one(t, m) for t, m in zip(texts, several, strict=True)])
+
+    return rows.withColumn("checked", F.from_json(run(raw, masks), CHECKED))
+
 
-    return rows.withColumn("checked", F.from_json(run(raw, ids), kind))
+#: Masks, lexicon and answers of the query: every answer goes on with the whole text of a document, of which no word is a noun.
+_MASKS = [("a_p000_m0001", "dog", (300, 300, 20, 20)), ("a_p000_m0002", "cup", (500, 400, 10, 10)), ("a_p000_m0003", "cup", (480, 390, 10, 10)), ("a_p001_m0001", "man", (0, 0, 10, 10))]
+_LEXICON = Lexicon([("man", "man"), ("person", "person"), ("dog", "dog"), ("cup", "cup")], [("man", "person")])
+_PARSER = PlainParser(("dog", "cup", "man", "hat"))
+#: answer up to the text, plain caption's length, groups, usable, findings
+_ANSWERS = [
+    ("[1]A dog[/1] sits near [4]a man[/4].", 22, 2, True, ""),
+    ("[1]A dog[/1] sits near a hat.", 22, 1, True, SAY["unmasked"].format("a hat", 16, 21)),
+    ("[1]A dog sits.", 11, 1, False, "link ID 1 has an unclosed opening tag"),
+    ("[1]A dog [2]and a cup[/1][/2].", 16, 2, False, "inline tags are crossed: expected [/2], got [/1]; link ID 1 has an unclosed opening tag"),
+    ("[2][3]a cup[/3][/2] stands.", 13, 2, True, SAY["shared"].format("A cup") + "; " + SAY["same_words"].format([2, 3], ["a cup"])),
+    ("[2][3]two cups[/3][/2] stand.", 15, 2, True, ""),
+    ("[9]A thing[/9] and [1]a dog[/1] rest.", 23, 1, True, SAY["unknown"].format("9")),
+    ("[1]A cup[/1] stands.", 13, 1, True, "link ID 1 " + SAY["incompatible"].format(["dog"], ["cup"]) + "; " + SAY["unmasked"].format("A cup", 0, 5)),
+    ("[4]A man[/4] holds nothing.", 20, 1, True, SAY["evasion"].format("holds nothing")),
+    ("[1]A dog[/1] sits ,. [4]a man[/4] rests herhair.", 32, 2, True, SAY["possessive"].format("herhair")),
+    ("[4]A man[/4] holds [2]a cup[/2].", 18, 2, True, SAY["contact"].format("holds", 4, 2, math.hypot(490, 390) / math.hypot(510, 410))),
+]
 
 
-def _rows(s, d):
-    t = A.table(s, d, "documents").select("doc_id", F.filter(F.slice(F.split(F.regexp_replace("text", r"[^\p{L} ]", ""), " +"), 1, 6), lambda x: x != "").alias("w"))
-    w = lambda i: F.coalesce(F.try_element_at("w", F.lit(i)), F.lit("x"))
-    raw = F.concat(F.lit('note {"tagged_caption": "[1]'), w(1), F.lit("[/1] near [2]"), w(2), F.lit("[/2]"), F.when(F.col("doc_id") % 3 == 0, " and [7]thing[/7]").otherwise(""), F.lit('."}'))
-    return t.select("doc_id", raw.alias("raw"), F.array(F.lit("a_p000_m0001"), F.lit("a_p000_m0002"), F.lit("a_p001_m0001")).alias("mask_ids"))
+def _rows(s, d) -> DataFrame:
+    text = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z ]", ""), " +", " "), "([A-Za-z]+)", "q$1"))
+    answer = F.element_at(F.array(*[F.lit(a[0]) for a in _ANSWERS]), (F.col("doc_id") % len(_ANSWERS) + 1).cast("int"))
+    mask = lambda m: F.struct(F.lit(m[0]).alias("mask_id"), F.lit(m[1]).alias("main_candidate"), F.array(*map(F.lit, m[2])).alias("bbox"))
+    raw = F.concat(F.lit('note {"reject": '), F.when(F.col("doc_id") % 5 == 0, "true").otherwise("false"), F.lit(', "tagged_caption": "'), answer, F.lit(" "), text, F.lit('."} end'))
+    return A.table(s, d, "documents").select("doc_id", raw.alias("raw"), F.array(*map(mask, _MASKS)).alias("masks"))
 
 
-QUERIES = {"validator": lambda s, d: validated(_rows(s, d)).select("doc_id", F.size("checked.links").alias("links"), F.array_join("checked.findings", "; ").alias("findings"), "checked.parseable")}
-ORACLES = {"validator": "SELECT doc_id, CAST(2 AS INT) AS links, CASE WHEN doc_id % 3 = 0 THEN 'unknown mask 7; ' ELSE '' END || 'accepted masks are missing groups: 1' AS findings, true AS parseable FROM documents"}
+QUERIES = {"validator": lambda s, d: validated(_rows(s, d), "raw", "masks", _LEXICON, _PARSER).select("doc_id", F.length("checked.caption").alias("length"), F.size("checked.groups").alias("groups"), F.array_join("checked.findings", "; ").alias("findings"), "checked.parseable")}
+_Q = lambda t: "'" + t.replace("'", "''") + "'"
+_FOUND = ", ".join(f"({i}, {n}, {g}, {str(ok).lower()}, {_Q(f)})" for i, (_, n, g, ok, f) in enumerate(_ANSWERS))
+ORACLES = {
+    "validator": f"""WITH a(k, n, groups, ok, said) AS (VALUES {_FOUND}), t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '[^A-Za-z ]', '', 'g'), ' +', ' ', 'g'), '([A-Za-z]+)', 'q\\1', 'g')) AS t FROM documents)
+      SELECT doc_id, CAST(n + length(t) + CASE WHEN t = '' THEN 1 ELSE 2 END AS INT) AS length, groups, concat_ws('; ', CASE WHEN doc_id % 5 = 0 THEN 'pass-one reject must be false' END, nullif(said, '')) AS findings, ok AS parseable
+      FROM t JOIN a ON k = doc_id % {len(_ANSWERS)}""",
+}
