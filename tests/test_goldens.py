@@ -134,10 +134,10 @@ def test_stream_state_survives_a_crash(spark, tmp_path):
 
 def test_tags():
     r = spans.parse_tags("[1]a [2]dog[/2][/1] runs")
-    assert r["caption"] == "A dog runs" and r["links"] == [{"id": 1, "start": 0, "end": 5}, {"id": 2, "start": 2, "end": 5}] and not r["errors"]
-    assert spans.parse_tags("[1]a [2]b[/1][/2]")["errors"][0].startswith("crossed")
-    assert spans.parse_tags("[/3]x")["errors"] and spans.parse_tags("[1]x")["errors"] and spans.parse_tags("[1][/1]x")["errors"]
-    assert spans.parse_tags("é [1]😀x[/1]")["links"] == [{"id": 1, "start": 2, "end": 4}]
+    assert r["caption"] == "A dog runs" and r["links"] == [{"id": 1, "start": 0, "end": 5, "surface": "A dog"}, {"id": 2, "start": 2, "end": 5, "surface": "dog"}] and not r["errors"]
+    assert spans.parse_tags("[1]a [2]b[/1][/2]")["errors"][0] == "inline tags are crossed: expected [/2], got [/1]"
+    assert spans.parse_tags("[/3]x")["errors"] and spans.parse_tags("[1]x")["errors"] and spans.parse_tags("[1][/1]x")["errors"] == ["link ID 1 has an empty inline mention"]
+    assert spans.parse_tags("é [1]😀x[/1]")["links"] == [{"id": 1, "start": 2, "end": 4, "surface": "😀x"}]
 
 
 def test_span_repair():
@@ -259,3 +259,85 @@ def test_canonical_long_chain(spark):
     masks = spark.range(60).selectExpr("id AS mask_id", "cast(id AS double) AS score", "IF(id = 7, 0.5, null) AS best_iou", "1 AS area")
     rows = canonical(masks, spark.range(59).selectExpr("id AS u", "id + 1 AS v")).collect()
     assert {(r["canonical_id"], r["members"]) for r in rows} == {(7, 60)} and sum(r["kept"] for r in rows) == 1
+
+
+# ---- the validator
+def _case(raw, masks, known=("dog", "cup", "cups", "man", "woman", "hand", "hat", "person", "shoe", "sneaker", "hair"), **kw):
+    from maskwright.operators import validate as v
+    from maskwright.operators.context import Mask
+    from maskwright.operators.lexicon import Lexicon, PlainParser
+
+    lex = Lexicon([("man", "man"), ("woman", "woman"), ("person", "person"), ("dog", "dog"), ("puppy", "puppy"), ("cup", "cup"), ("hand", "hand")], [("man", "person"), ("woman", "person"), ("puppy", "dog")])
+    made = [Mask(f"a_p000_m{i:04d}", **m) if isinstance(m, dict) else Mask(f"a_p000_m{i:04d}", m) for i, m in enumerate(masks)]
+    return v.normalise(raw, made, lex, PlainParser(known), **{"all_masks": False, **kw})
+
+
+def test_validator_composites():
+    a, b, both = "a_p000_m0000", "a_p000_m0001", {"main_candidate": "cups", "children": ("a_p000_m0000", "a_p000_m0001")}
+    masks = ["cup", "cup", both]
+    r = _case({"tagged_caption": "[3][1]one cup[/1] and [2]the other cup[/2] stand"}, masks)
+    assert r["composite_close_repairs"][0]["child_ids"] == [1, 2] and r["caption"] == "One cup and the other cup stand" and not r["composite_errors"]
+    assert [g["char_spans"] for g in r["groups"]] == [[[0, 7]], [[12, 25]], [[0, 25]]]
+    for broken in ("[3][1]one cup[/1] beside [2]the other cup[/2] stand", "[3][1]one cup[/1] stands", "[3][1]one cup[/2] and [2]x[/1]"):
+        assert not _case({"tagged_caption": broken}, masks)["composite_close_repairs"]
+    r = _case({"tagged_caption": "[1]one cup[/1], [2]the other cup[/2], [3]cups[/3]"}, masks)
+    assert r["composite_errors"][0].startswith("composite mask ID 3 must link one collective span") and a != b
+    r = _case({"tagged_caption": "[3][1]one cup[/1] and [2]the other cup[/2][/3], [1]one cup[/1] and [2]the other cup[/2] stand"}, masks)
+    assert any("repeats every child immediately outside" in e for e in r["composite_errors"])
+
+
+def test_validator_mentions():
+    r = _case({"caption": "A red dog and the man rest. The dog sleeps.", "groups": [{"mask_id": "other_p000_m0000", "text": ["dog", "a red dog", "the dog"]}, {"id": 2, "text": "a man"}, {"id": 9, "text": ["x"]}, 5, {"id": 2, "text": "man"}, {"id": 1}]}, ["dog", "man"])
+    assert [(g["overlay_number"], g["text"]) for g in r["groups"]] == [(1, ["A red dog", "The dog"]), (2, ["the man"])]
+    assert r["mask_id_repairs"] == [{"provided": "other_p000_m0000", "resolved": "a_p000_m0000"}]
+    assert {x["reason"] for x in r["link_repairs"]} == {"unknown_extra_link_dropped", "redundant_lexically_nested_model_mention"}
+    assert r["findings"] == ["link list position 4 is not an object", "link ID 2 appears more than once", "link ID 1 appears more than once"]
+    assert r["mention_completion_repairs"] == [{"overlay_number": 2, "text": "the man", "char_span": [14, 21], "reason": "unambiguous_spacy_mention_completion"}]
+    r = _case({"tagged_caption": "the shiny [1]cup[/1] and [2]another cup[/2]"}, ["cup", "cup"])
+    assert r["noun_phrase_span_repairs"] == [{"overlay_number": 1, "text": "The shiny cup", "char_span": [0, 13], "replaced_spans": [[10, 13]], "reason": "tagged_identity_expanded_to_full_noun_phrase"}]
+    r = _case({"tagged_caption": "[1]a puppy[/1] sits near a man"}, ["dog", "man"])
+    assert [g["text"] for g in r["groups"]] == [["A puppy"], ["a man"]] and r["mention_completion_repairs"][0]["text"] == "a man" and not r["findings"]
+
+
+def test_validator_rules():
+    say = lambda raw, masks, **kw: _case({"tagged_caption": raw}, masks, **kw)["findings"]
+    assert say("[1]A dog[/1] sleeps in the background.", ["dog"]) == [] and _case({"tagged_caption": "[1]A dog[/1] sleeps in the background."}, ["dog"])["caption"] == "A dog sleeps."
+    assert say("", ["dog"])[:2] == ["caption is empty", "only 0 valid groups; need at least 1"]
+    assert say("[1]A dog[/1] shown in the image.", ["dog"]) == ["caption contains forbidden image/background wording: 'shown in the image'"]
+    assert say("[1]A dog[/1]", ["dog", "cup", "hat"], all_masks=True) == ["2 accepted masks are missing groups; required link IDs: 2:cup, 3:hat"]
+    four = say("[1]A dog[/1] is visible. [2]A cup[/2] is shown. [3]A hat[/3] appears. [4]A man[/4] is seen.", ["dog", "cup", "hat", "man"])
+    assert [f.split(";")[0].split("(")[0] for f in four] == ["caption quality: one-sentence-per-mask inventory", "caption quality: repeated stock visibility/presence predicates "]
+    assert say("[1]The dog[/1] [1]the dog[/1] rests.", ["dog"])[0].startswith("caption quality: adjacent duplicate linked phrase 'The dog the dog'")
+    assert any(f.startswith("grammatical number: single-component repeated mask ID 1 needs singular identity 'cup', not 'Cups'") for f in say("[1]cups[/1] and [2]the other cup[/2]", ["cup", "cup"]))
+    assert any("mechanical ordinal catalog for ['cup'] across link IDs [1, 2]" in f for f in say("[1]the first cup[/1], [2]the second cup[/2]", ["cup", "cup"]))
+    assert any("ordinal body-part identity for link ID 1: 'The first hand'" in f for f in say("[1]the first hand[/1]", ["hand"]))
+    assert any("conflicting concrete compound noun ['hat']" in f for f in say("[1]a hat hand[/1]", ["hand"]))
+    assert any(f.startswith("caption mention coverage: unlinked referring expression 'She'") for f in say("[1]A dog[/1] and [2]a cup[/2]. She rests.", ["dog", "cup"]))
+
+
+def test_mask_context():
+    from maskwright.operators.context import Mask, mask_context, model_context
+    from maskwright.operators.lexicon import Lexicon, PlainParser
+
+    lex, parser = Lexicon([("man", "m"), ("person", "p"), ("hand", "h")], [("m", "p")]), PlainParser(("man", "hand", "cup", "cups"))
+    masks = [Mask("a", "man", bbox=(0, 0, 50, 100)), Mask("b", "hand", bbox=(0, 40, 10, 10)), Mask("c", "hand", bbox=(40, 40, 10, 10)), Mask("d", "cup", bbox=(80, 0, 5, 5)), Mask("e", "cup", bbox=(90, 0, 5, 5)), Mask("f", "cups", bbox=(80, 0, 15, 5), children=("d", "e"))]
+    c = mask_context([m.name(parser) for m in masks], lex, parser)
+    assert [x["required_owner_id"] for x in c] == [None, 1, 1, None, None, None]
+    assert c[1]["safe_tagged_phrase"] == "[2]one of [1]his[/1] hands[/2]" and c[2]["safe_tag_phrase"] == "the other hand" and c[2]["safe_tagged_phrase"] == "[3][1]his[/1] other hand[/3]"
+    assert c[3]["same_subject_total"] == 3 and c[3]["safe_tag_phrase"] == "the first cup"
+    assert c[5]["composite_link_example"] == "[6][4]the first cup[/4] and [5]the second cup[/5][/6]"
+    assert model_context(masks, lex, parser)[1]["collective_candidate_ids"] == [2, 3] and "safe_tag_phrase" not in model_context(masks, lex, parser)[0]
+
+
+def test_rewrite_findings_and_audit():
+    from maskwright.operators import validate as v
+    from maskwright.operators.context import Mask
+    from maskwright.operators.lexicon import Lexicon, PlainParser
+
+    parser, masks = PlainParser(("dog", "hat")), [Mask("a", "dog")]
+    audit = v.mention_audit("A dog wears a hat. The dog sleeps. A dog!", masks, Lexicon(), parser)
+    assert [(m["text"], m["occurrence"], m["instruction"]) for m in audit] == [("A dog", 1, "link_exact_occurrence"), ("a hat", 1, "remove_unmasked_concrete_noun_phrase"), ("The dog", 1, "link_exact_occurrence"), ("A dog", 2, "link_exact_occurrence")]
+    got = v.rewrite_findings(["caption quality: malformed punctuation '.,'", "style only", "link ID 1 has an unclosed opening tag", "unknown link x", "unknown link x"], "a hat", masks, Lexicon(), parser)
+    assert [g["code"] for g in got] == ["malformed_punctuation", "schema_or_tag_structure", "unknown_mask_id", "unmasked_noun_phrase_candidate"]
+    assert v.check_raw("no json", masks, Lexicon(), parser, True)["parseable"] is False
+    assert v.check_raw('{"reject": true, "tagged_caption": "[1]a dog[/1]"}', masks, Lexicon(), parser, False)["findings"] == ["model decision reject must be false after the one rewrite"]
