@@ -49,13 +49,27 @@ def significant_components(mask: np.ndarray) -> int:
     return len(sizes) if len(sizes) <= 1 else sum(s >= max(8, int(mask.sum()) // 100) for s in sizes)
 
 
+# What the internal codec says of itself.
+CODEC = {"order": "F", "bitorder": "little", "encoding": "zlib-packbits-base64-v1"}
+
+
 def encode_rle(mask: np.ndarray) -> dict:
     """The internal codec: packed bits, deflated, as text."""
-    return {"size": list(mask.shape), "pixel_count": int(mask.size), "data": base64.b64encode(zlib.compress(pack(mask), 7)).decode()}
+    return {"size": list(mask.shape), "pixel_count": int(mask.size), **CODEC, "data": base64.b64encode(zlib.compress(pack(mask), 7)).decode()}
 
 
 def decode_rle(rle: dict) -> np.ndarray:
-    return unpack(zlib.decompress(base64.b64decode(rle["data"])), *rle["size"])
+    """A mask from the internal codec, in either bit and pixel order."""
+    if rle.get("encoding", CODEC["encoding"]) != CODEC["encoding"]:
+        raise ValueError(f"unknown mask encoding {rle['encoding']!r}")
+    bits = np.unpackbits(np.frombuffer(zlib.decompress(base64.b64decode(rle["data"])), np.uint8), bitorder=rle.get("bitorder") or "little")
+    h, w = rle["size"]
+    return bits[: int(rle.get("pixel_count", h * w))].astype(bool).reshape((h, w), order=rle.get("order") or "F")
+
+
+def rle_to_coco(rle: dict) -> dict:
+    mask = decode_rle(rle)
+    return {"size": list(mask.shape), "counts": coco_counts(mask)}
 
 
 def coco_counts(mask: np.ndarray) -> str:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,31 @@ def append_jsonl(df: DataFrame, path: str) -> None:
     df.select(*sorted(df.columns)).write.mode("append").option("ignoreNullFields", False).json(path)
 
 
+def write_json(spark: SparkSession, value, path: str) -> None:
+    """A small JSON document, keys sorted; written beside and renamed, so a reader sees the old one or the new one."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    to, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    fs = to.getFileSystem(conf)
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray((json.dumps(value, ensure_ascii=False, sort_keys=True, indent=2) + "\n").encode()))
+    finally:
+        out.close()
+    if fs.exists(to):
+        fs.delete(to, False)
+    if not fs.rename(beside, to):
+        raise OSError(f"could not put {path} in place")
+
+
+def read_json(spark: SparkSession, path: str, default=None):
+    """A JSON document; `default` where there is none."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return default
+    return json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
+
+
 def write_csv(df: DataFrame, path: str, fields: list[str]) -> None:
     """Fixed columns with a header; a ledger report of the driver's size is one file."""
     df.select(*fields).write.mode("overwrite").option("header", True).csv(path)
