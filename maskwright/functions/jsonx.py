@@ -79,21 +79,79 @@ def portable_text(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else json.dumps(portable(json.loads(t)), sort_keys=True, ensure_ascii=False))
 
 
-def audit(text: Column, masks: int) -> Column:
-    """A visual audit that never fails: unreadable text is a failed audit with one rewrite finding; severities and decisions outside the
-    lists are put right or dropped, ids out of range removed, accuracy clamped to 0..100.
+# Lists of a visual audit and what stands for one that can't be read.
+SEVERITIES, DECISIONS = ("fatal", "rewrite", "style"), ("keep", "drop", "add_if_natural")
+UNREADABLE = {
+    "audit_unparseable": ("The audit response was unparseable; the rewrite must independently recheck the draft.", "Recheck the full visual packet and rulebook independently."),
+    "audit_wrong_json_shape": ("The audit response had the wrong JSON shape; the rewrite must independently recheck the draft.", "Recheck the full visual packet and rulebook independently."),
+}
+REBUILD = "Independently rebuild a valid natural tagged caption."
+AUDIT = "audit_parseable boolean, audit_parse_error string, audit_pass boolean, task_accuracy_percent double, summary string, issues array<struct<code:string,severity:string,caption_evidence:string,mask_ids:array<int>,explanation:string,rewrite_instruction:string>>, mask_decisions array<struct<id:int,decision:string,reason:string>>, rewrite_plan string"
+
+
+def visual_audit(raw: str, masks: int) -> dict:
+    """A visual audit in normal form; it never fails: what can't be read is a failed audit with one finding that asks for a rewrite.
+
+    Severities and decisions outside the lists become rewrite and drop, mask numbers out of 1..masks go, accuracy lies in 0..100.
     """
-    kind = "pass BOOLEAN, accuracy DOUBLE, issues ARRAY<STRUCT<severity: STRING, mask: INT, note: STRING>>, decisions ARRAY<STRUCT<mask: INT, decision: STRING>>"
-    j = F.from_json(text, kind, {"mode": "PERMISSIVE"})
-    good = j.isNotNull() & (j["issues"].isNotNull() | j["pass"].isNotNull() | j["accuracy"].isNotNull())
-    known = lambda n: (n >= 1) & (n <= masks)
-    failed = F.array(F.struct(F.lit("rewrite").alias("severity"), F.lit(None).cast("int").alias("mask"), F.lit("unparseable audit").alias("note")))
-    issues = F.transform(F.coalesce(j["issues"], F.array()), lambda x: F.struct(F.when(x["severity"].isin("minor", "rewrite", "reject"), x["severity"]).otherwise("rewrite").alias("severity"), F.when(known(x["mask"]), x["mask"]).alias("mask"), x["note"].alias("note")))
-    decisions = F.filter(F.coalesce(j["decisions"], F.array()), lambda x: x["decision"].isin("keep", "drop", "relink") & known(x["mask"]))
-    return F.struct(
-        F.coalesce(good & j["pass"], F.lit(False)).alias("audit_pass"), F.when(good, F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.coalesce(j["accuracy"], F.lit(0.0))))).otherwise(0.0).alias("accuracy"),
-        F.when(good, issues).otherwise(failed).alias("issues"), F.when(good, decisions).otherwise(F.array()).alias("decisions"),
-    )
+    found = salvage(raw or "")
+    if not isinstance(found, dict):
+        code = "audit_unparseable" if found is None else "audit_wrong_json_shape"
+        summary, todo = UNREADABLE[code]
+        issue = {"code": code, "severity": "rewrite", "caption_evidence": "", "mask_ids": [], "explanation": "no JSON object in the answer", "rewrite_instruction": todo}
+        return {"audit_parseable": False, "audit_parse_error": "no JSON object in the answer", "audit_pass": False, "task_accuracy_percent": 0.0, "summary": summary, "issues": [issue], "mask_decisions": [], "rewrite_plan": REBUILD}
+    text = lambda x, k, other="": str(x.get(k) or other)
+    pick = lambda value, known, other: value if value in known else other
+    objects = lambda k: [x for x in found.get(k) or [] if isinstance(x, dict)]
+    number = lambda v: isinstance(v, (int, float)) and 1 <= int(v) <= masks
+
+    def link(x) -> int:
+        try:
+            return int(x.get("id"))
+        except (TypeError, ValueError):
+            return 0
+
+    try:
+        accuracy = float(found.get("task_accuracy_percent") or 0.0)
+    except (TypeError, ValueError):
+        accuracy = 0.0
+    return {
+        "audit_parseable": True, "audit_parse_error": "", "audit_pass": found.get("audit_pass") is True, "task_accuracy_percent": min(100.0, max(0.0, accuracy)), "summary": text(found, "summary"),
+        "issues": [
+            {
+                "code": text(x, "code", "model_audit_finding"), "severity": pick(text(x, "severity", "rewrite"), SEVERITIES, "rewrite"), "caption_evidence": text(x, "caption_evidence"),
+                "mask_ids": [int(v) for v in x.get("mask_ids") or [] if number(v)], "explanation": text(x, "explanation"), "rewrite_instruction": text(x, "rewrite_instruction"),
+            }
+            for x in objects("issues")
+        ],
+        "mask_decisions": [{"id": link(x), "decision": pick(text(x, "decision", "drop"), DECISIONS, "drop"), "reason": text(x, "reason")} for x in objects("mask_decisions") if 1 <= link(x) <= masks],
+        "rewrite_plan": text(found, "rewrite_plan"),
+    }
+
+
+@F.pandas_udf(StringType())
+def _audit_text(texts: pd.Series, masks: pd.Series) -> pd.Series:
+    return pd.Series([json.dumps(visual_audit(t, int(m)), ensure_ascii=False) for t, m in zip(texts, masks, strict=True)])
+
+
+def audit(text: Column, masks: Column) -> Column:
+    """struct as AUDIT of a model's text about `masks` masks."""
+    return F.from_json(_audit_text(text, masks), AUDIT)
+
+
+# The keys that make up what an answer says.
+CONTENT = ("keep", "reject", "tagged_caption", "caption", "links", "groups")
+
+
+@F.pandas_udf(StringType())
+def fingerprint(texts: pd.Series) -> pd.Series:
+    """What an answer says, as canonical text: answers that differ in other keys only are alike."""
+
+    def one(t: str | None) -> str | None:
+        found = salvage(t or "")
+        return json.dumps({k: found[k] for k in CONTENT if k in found}, ensure_ascii=False, sort_keys=True, separators=(",", ":")) if isinstance(found, dict) else None
+
+    return texts.map(one)
 
 
 def closed_keys(text: Column, allowed: list[str]) -> Column:
@@ -125,10 +183,20 @@ def _texts(s, d) -> DataFrame:
 
 
 def _audits(s, d):
-    e = A.table(s, d, "events").select("event_id", "value", F.get_json_object("props", "$.k").cast("int").alias("k"))
-    t = F.when(F.col("event_id") % 7 == 0, "not json").otherwise(F.format_string('{"pass": %s, "accuracy": %s, "issues": [{"severity": "%s", "mask": %s, "note": "n"}], "decisions": [{"mask": %s, "decision": "%s"}]}', (F.col("k") % 2 == 0).cast("string"), (F.col("k") * 3 - 20).cast("string"), F.when(F.col("k") % 3 == 0, "odd").otherwise("minor"), (F.col("k") % 9).cast("string"), (F.col("k") % 11).cast("string"), F.when(F.col("k") % 4 == 0, "burn").otherwise("keep")))
-    a = e.select("event_id", audit(t, 6).alias("a"))
-    return a.select("event_id", "a.audit_pass", "a.accuracy", F.col("a.issues")[0]["severity"].alias("severity"), F.coalesce(F.col("a.issues")[0]["mask"], F.lit(-1)).alias("mask"), F.size("a.decisions").alias("decisions"))
+    e = A.table(s, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    t = F.when(F.col("event_id") % 7 == 0, "not json").otherwise(
+        F.format_string('so {"audit_pass": %s, "task_accuracy_percent": %s, "issues": [{"severity": "%s", "mask_ids": [%s, "x", 99]}, 5], "mask_decisions": [{"id": %s, "decision": "%s"}, {"id": "z"}], "rewrite_plan": "p"}',
+                        (F.col("k") % 2 == 0).cast("string"), (F.col("k") * 3 - 20).cast("string"), F.when(F.col("k") % 3 == 0, "odd").otherwise("style"), (F.col("k") % 9).cast("string"), (F.col("k") % 11).cast("string"), F.when(F.col("k") % 4 == 0, "burn").otherwise("keep"))
+    )
+    a = e.select("event_id", audit(t, F.lit(6)).alias("a"))
+    one = F.col("a.issues")[0]
+    return a.select("event_id", "a.audit_parseable", "a.audit_pass", F.col("a.task_accuracy_percent").alias("accuracy"), one["code"].alias("code"), one["severity"].alias("severity"), F.array_join(one["mask_ids"], ",").alias("masks"), F.array_join(F.transform("a.mask_decisions", lambda x: x["decision"]), ",").alias("decisions"), "a.rewrite_plan")
+
+
+def _fingerprints(s, d):
+    k = F.get_json_object("props", "$.k").cast("int")
+    t = F.format_string('x {"note": %s, "keep": %s, "caption": "%s"} y', F.col("event_id").cast("string"), (k % 2 == 0).cast("string"), F.col("event_type"))
+    return A.table(s, d, "events").select(fingerprint(t).alias("said")).groupBy("said").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _reviews(s, d):
@@ -139,12 +207,13 @@ def _reviews(s, d):
 
 
 _K = "e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)"
-QUERIES = {"json_salvage": lambda s, d: _texts(s, d).select("event_id", F.coalesce(F.get_json_object(salvaged("raw"), "$.k").cast("int"), F.lit(-1)).alias("k")), "json_audit": _audits, "json_review": _reviews}
+QUERIES = {"json_salvage": lambda s, d: _texts(s, d).select("event_id", F.coalesce(F.get_json_object(salvaged("raw"), "$.k").cast("int"), F.lit(-1)).alias("k")), "json_audit": _audits, "json_fingerprint": _fingerprints, "json_review": _reviews}
 ORACLES = {
     "json_salvage": f"WITH {_K} SELECT event_id, CASE WHEN event_id % 5 = 4 THEN -1 ELSE k END AS k FROM e",
-    "json_audit": f"""WITH {_K} SELECT event_id, event_id % 7 <> 0 AND k % 2 = 0 AS audit_pass, CAST(CASE WHEN event_id % 7 = 0 THEN 0 ELSE greatest(0, least(100, k * 3 - 20)) END AS DOUBLE) AS accuracy,
-      CASE WHEN event_id % 7 = 0 OR k % 3 = 0 THEN 'rewrite' ELSE 'minor' END AS severity, CASE WHEN event_id % 7 <> 0 AND k % 9 BETWEEN 1 AND 6 THEN k % 9 ELSE -1 END AS mask,
-      CASE WHEN event_id % 7 <> 0 AND k % 4 <> 0 AND k % 11 BETWEEN 1 AND 6 THEN 1 ELSE 0 END AS decisions FROM e""",
+    "json_audit": f"""WITH {_K} SELECT event_id, event_id % 7 <> 0 AS audit_parseable, event_id % 7 <> 0 AND k % 2 = 0 AS audit_pass, CAST(CASE WHEN event_id % 7 = 0 THEN 0 ELSE greatest(0, least(100, k * 3 - 20)) END AS DOUBLE) AS accuracy,
+      CASE WHEN event_id % 7 = 0 THEN 'audit_unparseable' ELSE 'model_audit_finding' END AS code, CASE WHEN event_id % 7 = 0 OR k % 3 = 0 THEN 'rewrite' ELSE 'style' END AS severity, CASE WHEN event_id % 7 <> 0 AND k % 9 BETWEEN 1 AND 6 THEN CAST(k % 9 AS VARCHAR) ELSE '' END AS masks,
+      CASE WHEN event_id % 7 = 0 OR k % 11 NOT BETWEEN 1 AND 6 THEN '' WHEN k % 4 = 0 THEN 'drop' ELSE 'keep' END AS decisions, CASE WHEN event_id % 7 = 0 THEN '{REBUILD}' ELSE 'p' END AS rewrite_plan FROM e""",
+    "json_fingerprint": f"""WITH {_K.replace('SELECT event_id,', 'SELECT event_id, event_type,')} SELECT '{{"caption":"' || event_type || '","keep":' || CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END || '}}' AS said, count(*) AS n FROM e GROUP BY 1""",
     "json_review": f"""WITH {_K}, r AS (SELECT event_id, k, CASE WHEN k % 5 = 0 THEN 'reject_type' WHEN k % 7 = 0 THEN 'not_worth_segmenting' WHEN k < 10 THEN 'too_few_objects' WHEN k <= 24 AND k % 2 = 0 THEN 'borderline_rationale' ELSE '' END AS w FROM e)
       SELECT event_id, w = '' AS accepted, w AS reject_reason, k AS estimated, CASE WHEN w = '' THEN 'a b|c' ELSE '' END AS prompts FROM r""",
 }

@@ -85,23 +85,43 @@ def quality_tier(issues: Column) -> Column:
 
 
 def composite_statistics(groups: Column) -> Column:
-    """Per record: composites, children, mean union IoU over composites.  Groups: struct(children, union_iou)."""
-    composite = F.filter(groups, lambda g: g["children"] >= 2)
-    total = lambda c: F.aggregate(composite, F.lit(0.0), lambda a, g: a + g[c].cast("double"))
-    return F.struct(F.size(composite).alias("composites"), total("children").cast("int").alias("children"), F.coalesce(F.try_divide(total("union_iou"), F.size(composite).cast("double")), F.lit(0.0)).alias("mean_iou"))
+    """Per record: composites (groups with children or of several components), children, components, and mean union IoU and coverage
+    of composites that have them (null if none has).  Groups: struct(children, components, union_iou, coverage).
+    """
+    one = lambda g: F.coalesce(F.nullif(g["components"], F.lit(0)), F.lit(1))
+    composite = F.filter(groups, lambda g: (g["children"] > 0) | (one(g) > 1))
+    total = lambda of, f: F.aggregate(of, F.lit(0.0), lambda a, g: a + f(g).cast("double"))
+    known = lambda c: F.filter(composite, lambda g: g[c].isNotNull())
+    mean = lambda c: F.try_divide(total(known(c), lambda g: g[c]), F.size(known(c)).cast("double"))
+    return F.struct(
+        F.size(composite).alias("composites"), total(composite, lambda g: g["children"]).cast("int").alias("children"), total(groups, one).cast("int").alias("components"),
+        mean("union_iou").alias("mean_iou"), mean("coverage").alias("mean_coverage"),
+    )
 
 
 def aggregate_audits(rows: DataFrame) -> DataFrame:
-    """Corpus totals as (metric, value): counts and rates of outcomes and tiers, means, medians, fatal sums, code counts."""
-    n = F.count(F.lit(1))
+    """Corpus totals as (metric, value): counts and rates of outcomes and tiers, means, medians, fatal sums, code counts before and
+    after, and totals of omitted masks and composites.
+
+    rows: included, parseable, before_n, after_n, outcome, tier, fatal, codes_before, codes_after, omitted, composites, children,
+    components, mean_iou, mean_coverage.
+    """
+    n, d = F.count(F.lit(1)), lambda c: c.cast("double")
     one = rows.agg(
-        n.cast("double").alias("records"), F.avg("before_n").alias("before_mean"), F.avg("after_n").alias("after_mean"), F.median("before_n").alias("before_median"), F.median("after_n").alias("after_median"),
-        F.avg(F.col("after_n") - F.col("before_n")).alias("mean_delta"), F.sum("fatal").cast("double").alias("fatal_sum"),
+        d(n).alias("records"), d(F.count_if("included")).alias("included"), d(F.count_if(~F.col("included"))).alias("excluded"), d(F.count_if("parseable")).alias("after_parseable"),
+        F.avg("before_n").alias("before_mean"), F.avg("after_n").alias("after_mean"), F.median("before_n").alias("before_median"), F.median("after_n").alias("after_median"),
+        F.avg(F.col("after_n") - F.col("before_n")).alias("mean_delta"), d(F.sum("fatal")).alias("fatal_sum"), d(F.sum("omitted")).alias("omitted"),
+        d(F.sum("composites")).alias("composites"), d(F.sum("children")).alias("children"), d(F.sum("components")).alias("components"), F.avg("mean_iou").alias("union_iou_mean"), F.avg("mean_coverage").alias("coverage_mean"),
     )
     scalars = one.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, one.columns)), F.array(*one.columns))).alias("metric", "value"))
-    by = lambda c, p: rows.groupBy(F.concat(F.lit(p), F.col(c)).alias("metric")).agg(n.cast("double").alias("value"))
-    codes = rows.select(F.explode("codes").alias("c")).groupBy(F.concat(F.lit("code:"), F.col("c")).alias("metric")).agg(n.cast("double").alias("value"))
-    return scalars.unionByName(by("outcome", "outcome:")).unionByName(by("tier", "tier:")).unionByName(codes)
+    by = lambda df, c, p: df.groupBy(F.concat(F.lit(p), F.col(c)).alias("metric")).agg(n.cast("double").alias("value"))
+    outcome, total = by(rows, "outcome", "outcome:"), one.select(F.col("records").alias("_n"))
+    rates = outcome.crossJoin(F.broadcast(total)).select(F.replace("metric", F.lit("outcome:"), F.lit("rate:")).alias("metric"), (F.col("value") / F.col("_n")).alias("value"))  # total: one row
+    codes = [by(rows.select(F.explode(f"codes_{w}").alias("c")), "c", f"{w}:") for w in ("before", "after")]
+    out = scalars.unionByName(outcome).unionByName(rates).unionByName(by(rows, "tier", "tier:"))
+    for c in codes:
+        out = out.unionByName(c)
+    return out
 
 
 #: Messages in the style of checkers, for the test queries.
@@ -132,10 +152,22 @@ def _both(s, d):
 
 
 def _totals(s, d):
-    r = _both(s, d).select(F.size("bi").alias("before_n"), F.size("issues").alias("after_n"), F.col("c.outcome").alias("outcome"), quality_tier(F.col("issues")).alias("tier"), F.size(F.filter("issues", lambda x: x["severity"] == "fatal")).alias("fatal"), F.transform("issues", lambda x: x["code"]).alias("codes"))
+    g = A.boxes(s, d).groupBy((F.col("image_id") % 997).alias("doc_id")).agg(F.collect_list(_group()).alias("g")).select("doc_id", composite_statistics(F.col("g")).alias("s"))
+    codes = lambda c: F.transform(c, lambda x: x["code"])
+    r = _both(s, d).join(g, "doc_id", "left").select(
+        (F.col("quality") == 1).alias("included"), (F.col("toxic") == 0).alias("parseable"), F.size("bi").alias("before_n"), F.size("issues").alias("after_n"), F.col("c.outcome").alias("outcome"), quality_tier(F.col("issues")).alias("tier"),
+        F.size(F.filter("issues", lambda x: x["severity"] == "fatal")).alias("fatal"), codes(F.col("bi")).alias("codes_before"), codes(F.col("issues")).alias("codes_after"), (F.col("doc_id") % 4).alias("omitted"),
+        "s.composites", "s.children", "s.components", "s.mean_iou", "s.mean_coverage",
+    )
     return aggregate_audits(r).select("metric", F.round("value", 6).alias("value"))
 
 
+def _group() -> Column:
+    """A group of each box: children, components, and union IoU and coverage where it has children."""
+    some = F.col("w") % 4 >= 2
+    return F.struct(F.when(some, F.col("w") % 4).otherwise(0).alias("children"), (F.col("h") % 3).alias("components"), F.when(some, F.col("h") / 50).alias("union_iou"), F.when(some & (F.col("x") % 2 == 0), F.col("x") / 640).alias("coverage"))
+
+
 _LIST = "[" + ", ".join(f"'{m}'" for m in MESSAGES) + "]"
 _CODE = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(lower(m), '{n}')" for n in needles) + f" THEN '{code}'" for code, _, needles in RULES) + " ELSE 'other_checker_finding' END"
 _FATAL = ", ".join(f"'{c}'" for c, s, _ in RULES if s == "fatal")
@@ -145,12 +177,14 @@ _MSG = f"""src AS (SELECT doc_id, quality, toxic, list_transform(range(0, doc_id
 _CMP = f"""{_MSG}, n AS (SELECT s.doc_id, s.quality, s.toxic, coalesce(x.bn, 0) AS bn, coalesce(x.an, 0) AS an, coalesce(x.bf, 0) AS bf, coalesce(x.af, 0) AS af FROM src s LEFT JOIN (SELECT doc_id, count(*) FILTER (side = 'b') AS bn, count(*) FILTER (side = 'a') AS an, count(*) FILTER (side = 'b' AND fatal) AS bf, count(*) FILTER (side = 'a' AND fatal) AS af FROM f GROUP BY 1) x USING (doc_id)),
   o AS (SELECT *, CASE WHEN quality = 0 AND toxic = 0 THEN 'recovered_parse' WHEN quality = 1 AND toxic = 1 THEN 'lost_parse' WHEN an < bn THEN 'improved' WHEN an > bn THEN 'worsened' ELSE 'same' END AS outcome,
     CASE WHEN af > 0 THEN 'fatal_flagged' WHEN an > 0 THEN 'nonfatal_flagged' ELSE 'clean' END AS tier FROM n)"""
+_COMP = f"""{A.BOXES}, cg AS (SELECT {{key}} AS k, CASE WHEN w % 4 >= 2 THEN w % 4 ELSE 0 END AS c, CASE WHEN h % 3 = 0 THEN 1 ELSE h % 3 END AS n, CASE WHEN w % 4 >= 2 THEN h / 50 END AS iou, CASE WHEN w % 4 >= 2 AND x % 2 = 0 THEN x / 640 END AS cov FROM boxes),
+  cs AS (SELECT k, CAST(count(*) FILTER (c > 0 OR n > 1) AS INT) AS composites, CAST(sum(c) AS INT) AS children, CAST(sum(n) AS INT) AS components, avg(iou) AS mean_iou, avg(cov) AS mean_coverage FROM cg GROUP BY 1)"""
 QUERIES = {
     "issue_records": _records,
     "issue_comparison": lambda s, d: _both(s, d).select("doc_id", "c.*", quality_tier(F.col("issues")).alias("tier")),
     "audit_totals": _totals,
     "issue_priority": lambda s, d: _rows(s, d).select("doc_id", F.array_join(prioritized(F.col("after"), 3), "|").alias("first")),
-    "composite_statistics": lambda s, d: A.boxes(s, d).groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("raw_index", (F.col("w") % 4).alias("children"), (F.col("h") / 50).alias("union_iou")))).alias("g")).select("image_id", composite_statistics(F.col("g")).alias("s")).select("image_id", "s.composites", "s.children", F.round("s.mean_iou", 6).alias("mean_iou")),
+    "composite_statistics": lambda s, d: A.boxes(s, d).groupBy("image_id").agg(F.collect_list(_group()).alias("g")).select("image_id", composite_statistics(F.col("g")).alias("s")).select("image_id", "s.composites", "s.children", "s.components", F.round("s.mean_iou", 6).alias("mean_iou"), F.round("s.mean_coverage", 6).alias("mean_coverage")),
 }
 ORACLES = {
     "issue_records": f"""WITH {_MSG} SELECT doc_id, left(sha1('{CHECKER_VERSION}' || chr(0) || code || chr(0) || m), 16) AS issue_id, code, CASE WHEN fatal THEN 'fatal' ELSE 'nonfatal' END AS severity, m AS message,
@@ -159,11 +193,14 @@ ORACLES = {
     "issue_comparison": f"""WITH {_CMP}, k AS (SELECT doc_id, m, bool_or(side = 'b') AS b, bool_or(side = 'a') AS a FROM f GROUP BY 1, 2)
       SELECT o.doc_id, outcome, CAST(count(*) FILTER (b AND NOT a) AS INT) AS resolved, CAST(count(*) FILTER (b AND a) AS INT) AS persisting, CAST(count(*) FILTER (a AND NOT b) AS INT) AS new,
       CAST(an - bn AS INT) AS issue_delta, CAST(af - bf AS INT) AS fatal_delta, tier FROM o LEFT JOIN k USING (doc_id) GROUP BY ALL""",
-    "audit_totals": f"""WITH {_CMP} SELECT metric, round(value, 6) AS value FROM (
-      SELECT unnest(['records', 'before_mean', 'after_mean', 'before_median', 'after_median', 'mean_delta', 'fatal_sum']) AS metric, unnest([count(*), avg(bn), avg(an), median(bn), median(an), avg(an - bn), sum(af)]) AS value FROM o
-      UNION ALL SELECT 'outcome:' || outcome, count(*) FROM o GROUP BY 1 UNION ALL SELECT 'tier:' || tier, count(*) FROM o GROUP BY 1 UNION ALL SELECT 'code:' || code, count(*) FROM f WHERE side = 'a' GROUP BY 1)""",
+    "audit_totals": f"""WITH {_CMP}, {_COMP.format(key="image_id % 997")}, y AS (SELECT o.*, doc_id % 4 AS omitted, composites, children, components, mean_iou, mean_coverage FROM o LEFT JOIN cs ON cs.k = doc_id)
+      SELECT metric, round(value, 6) AS value FROM (
+      SELECT unnest(['records', 'included', 'excluded', 'after_parseable', 'before_mean', 'after_mean', 'before_median', 'after_median', 'mean_delta', 'fatal_sum', 'omitted', 'composites', 'children', 'components', 'union_iou_mean', 'coverage_mean']) AS metric,
+        unnest([count(*), count(*) FILTER (quality = 1), count(*) FILTER (quality <> 1), count(*) FILTER (toxic = 0), avg(bn), avg(an), median(bn), median(an), avg(an - bn), sum(af), sum(omitted), sum(composites), sum(children), sum(components), avg(mean_iou), avg(mean_coverage)]) AS value FROM y
+      UNION ALL SELECT 'outcome:' || outcome, count(*) FROM o GROUP BY 1 UNION ALL SELECT 'rate:' || outcome, count(*) / (SELECT count(*) FROM o) FROM o GROUP BY 1 UNION ALL SELECT 'tier:' || tier, count(*) FROM o GROUP BY 1
+      UNION ALL SELECT CASE side WHEN 'a' THEN 'after:' ELSE 'before:' END || code, count(*) FROM f GROUP BY 1)""",
     "issue_priority": f"""WITH {_MSG}, p AS (SELECT doc_id, unnest(al) AS m, generate_subscripts(al, 1) AS i FROM src),
       k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN {' OR '.join(f"contains(m, '{n}')" for n in COMPLETENESS)} THEN 0 WHEN {' OR '.join(f"contains(m, '{n}')" for n in REPAIR)} THEN 1 ELSE 2 END, i) AS r FROM p)
       SELECT doc_id, string_agg(m, '|' ORDER BY r) AS first FROM k WHERE r <= 3 GROUP BY 1""",
-    "composite_statistics": f"""WITH {A.BOXES} SELECT image_id, CAST(count(*) FILTER (w % 4 >= 2) AS INT) AS composites, CAST(coalesce(sum(w % 4) FILTER (w % 4 >= 2), 0) AS INT) AS children, round(coalesce(avg(h / 50) FILTER (w % 4 >= 2), 0), 6) AS mean_iou FROM boxes GROUP BY 1""",
+    "composite_statistics": f"WITH {_COMP.format(key='image_id')} SELECT k AS image_id, composites, children, components, round(mean_iou, 6) AS mean_iou, round(mean_coverage, 6) AS mean_coverage FROM cs",
 }
