@@ -2,14 +2,15 @@
 
 1. One scan shingles each whole text (five words; fewer words: the sequence), and writes the set's size and fingerprint,
    BANDS band keys of ROWS MinHash samples each, and the odd sketch: the samples' parity bitmap.
-2. Equal sets collapse to the smallest id.  In each band bucket the set that shares buckets with most others leads; each
-   set is confirmed on full sets against its most central lead, and confirmed links give first components.
-3. Buckets that still hold several components are searched across components: sizes and the sketches' XOR population
-   count leave candidates, which join sets into groups; within a group all pairs across components that sizes and sketches
-   allow are confirmed on full sets.  Buckets and groups are dealt out as pairs of blocks, and a block returns at most one
-   edge a row.  Pairs inside the largest component need no look, as they can't change the result.
-A pair at the threshold of 0.75 shares no bucket with a chance of 5e-6.  Of pairs that share one, step 3 can lose a link at 0.75
-with a chance under 1e-6, when the sketches differ in more than CUT bits.
+2. Equal sets collapse to the smallest id.  In each band bucket the set that shares buckets with most others leads.  Each set
+   and its most central lead are confirmed on full sets if sizes and the sketches' XOR population count allow a link; confirmed
+   links give first components.
+3. Buckets that still hold several components are searched across components: sizes and sketches leave candidates, which join
+   sets into groups; within a group all pairs across components that sizes and sketches allow are confirmed on full sets.
+   Buckets and groups are dealt out as pairs of blocks, bounded in rows and bytes, and a block returns at most one edge a row.
+   Pairs inside the largest component need no look, as they can't change the result.
+A pair at the threshold of 0.75 shares no bucket with a chance of 5e-6.  Of pairs that share one, a link at 0.75 is lost with a
+chance under 1e-6, when the sketches differ in more than CUT bits.  `recall` measures what is found against all sets.
 
 Words are compared in full and stand in shingles as keyed 64-bit hashes; a set holds 64-bit hashes of its shingles.  Two given
 shingles of different words have one hash with a chance of 2**-64.
@@ -29,16 +30,15 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from .common import body, parallelism, table, text_batches, written
-from .words import Values, code_points, mixed
+from .words import Values, code_points, mixed, ranges
 
 WORDS = 5
 BANDS, ROWS = 32, 4
 BITS = 512
 #: Sketches of sets at 0.75 differ in 57 bits on average; more than CUT differ with a chance under 1e-6.
 CUT = 98
-BLOCK = 1024
-#: Up to so many ids (and the ids they are compared with first) are sent to every executor to pick texts; beyond, texts are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: A block holds some BLOCK sets, or less if they come to more than BLOCK_BYTES.
+BLOCK, BLOCK_BYTES = 1024, 32_000_000
 SLICE = 1_500_000
 #: Distinct words a worker process keeps.
 KEPT = 300_000
@@ -126,6 +126,14 @@ def signatures(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return finger, keys, np.packbits(bits, axis=1)
 
 
+def _lists(rows: np.ndarray):
+    """Rows of a matrix as an Arrow column of lists of 64-bit words."""
+    import pyarrow as pa
+
+    words = np.ascontiguousarray(rows).view(np.int64).reshape(len(rows), -1)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, words.size + 1, words.shape[1], dtype=np.int32)), pa.array(words.reshape(-1)))
+
+
 def _sign(batches):
     import pyarrow as pa
 
@@ -133,9 +141,9 @@ def _sign(batches):
         h, at = shingles(batch.column(1).to_pylist())
         finger, keys, sketch = signatures(h, at)
         flat = lambda a: pa.array(np.ascontiguousarray(a).view(np.int64))
-        bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), flat(keys.reshape(-1)))
+        bands = _lists(keys)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(at)), flat(finger[:, 0]), flat(finger[:, 1]), bands, pa.array([x.tobytes() for x in sketch], pa.binary())], names=["id", "n", "f1", "f2", "bands", "sketch"]
+            [batch.column(0), pa.array(np.diff(at)), flat(finger[:, 0]), flat(finger[:, 1]), bands, _lists(sketch)], names=["id", "n", "f1", "f2", "bands", "sketch"]
         )
 
 
@@ -143,8 +151,8 @@ def _sets(batches):
     import pyarrow as pa
 
     for batch in text_batches(batches, "text", SLICE):
-        h, at = shingles(batch.column(2).to_pylist())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([h[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "lead", "words"])
+        h, at = shingles(batch.column(1).to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "words"])
 
 
 def _linked(percent: int):
@@ -183,7 +191,7 @@ def _candidates(rows, percent: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(left) or not len(right):
         return left[:0], right[:0]
     comp, n = rows.comp.to_numpy(), rows.n.to_numpy()
-    sketch = np.frombuffer(b"".join(rows.sketch), np.uint64).reshape(len(rows), BITS // 64)
+    sketch = np.stack(rows.sketch.to_list()).astype(np.int64).view(np.uint64)
     x, y = n[left][:, None], n[right][None, :]
     i, j = np.nonzero((comp[left][:, None] != comp[right][None, :]) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y)))
     near = np.bitwise_count(sketch[left[i]] ^ sketch[right[j]]).sum(1) <= CUT
@@ -252,11 +260,12 @@ def _in_groups(percent: int, exact: bool):
 
 
 def _blocks(rows: DataFrame, carry: list[str]) -> DataFrame:
-    """Deals rows (group, id, comp, ...) out as pairs of blocks: all rows (side 0) against those outside the group's largest component (side 1)."""
-    parts = rows.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("k"))
-    open_groups = parts.groupBy("group").agg(F.sum("k").alias("all"), F.max(F.struct("k", "comp")).alias("top")).filter("all > top.k")
+    """Deals rows (group, id, comp, n, ...) out as pairs of blocks: all rows (side 0) against those outside the group's largest component (side 1)."""
+    parts = rows.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("size"))
+    open_groups = parts.groupBy("group").agg(F.sum("k").alias("all"), F.sum("size").alias("whole"), F.max(F.struct("k", "comp", "size")).alias("top")).filter("all > top.k")
     rows = rows.join(open_groups, "group")
-    blocks, minor = F.ceil(F.col("all") / BLOCK), F.ceil((F.col("all") - F.col("top.k")) / BLOCK)
+    cut = lambda k, size: F.ceil(F.greatest(k / BLOCK, 8 * size / BLOCK_BYTES))
+    blocks, minor = cut(F.col("all"), F.col("whole")), cut(F.col("all") - F.col("top.k"), F.col("whole") - F.col("top.size"))
     rows = rows.withColumns({"bi": F.pmod(F.xxhash64("id"), blocks), "bj": F.pmod(F.xxhash64("id"), minor), "blocks": blocks, "minors": minor})
     out = [F.col(c) for c in ["group", "id", "comp", *carry]]
     left = rows.select(*out, F.lit(0).alias("side"), F.col("bi").alias("i"), F.explode(F.expr("sequence(0L, minors - 1)")).alias("j"))
@@ -267,7 +276,7 @@ def _blocks(rows: DataFrame, carry: list[str]) -> DataFrame:
 def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_shingles, component_id (smallest id reachable over links), kept."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), body(text_col).alias("text"))
-    signed = written(rows.mapInArrow(_sign, "id long, n long, f1 long, f2 long, bands array<long>, sketch binary"), "signed")
+    signed = written(rows.mapInArrow(_sign, "id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>"), "signed")
     heads = signed.filter("n > 0 AND id IS NOT NULL").groupBy("f1", "f2", "n").agg(F.min("id").alias("id"))
     sets = signed.join(heads, ["id", "f1", "f2", "n"], "left_semi").select("id", "n", "bands", "sketch").dropDuplicates(["id", "n"])
     banded = sets.select("id", F.explode("bands").alias("band"))
@@ -276,12 +285,13 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
     degree = members.groupBy("id").agg(F.sum("k").alias("degree"))
     ranked = members.join(degree, "id")
     leads = ranked.groupBy("band").agg(F.max(F.struct("degree", F.col("id").alias("lead"))).alias("top"))
-    pairs = members.join(leads, "band").groupBy("id").agg(F.max("top").alias("top")).select("id", F.col("top.lead").alias("lead"))
-    wanted = written(pairs.union(pairs.select(F.col("lead").alias("id"), "lead")).groupBy("id").agg(F.max_by("lead", F.col("lead") != F.col("id")).alias("lead")), "wanted")
-    few = wanted.count() <= BROADCAST_ROWS
-    full = written(rows.join(F.broadcast(wanted) if few else wanted, "id").select("id", "lead", "text").mapInArrow(_sets, "id long, lead long, words binary"), "sets")
-    own, lead = full.filter("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v"), F.col("words").alias("a")), full.select(F.col("id").alias("v"), F.col("words").alias("b"))
-    links = written(own.join(lead, "v").select("u", "v", "a", "b").mapInArrow(_linked(percent), "u long, v long"), "links")
+    pairs = members.join(leads, "band").groupBy("id").agg(F.max("top").alias("top")).select("id", F.col("top.lead").alias("lead")).filter("id <> lead")
+    facts = lambda p: sets.select(F.col("id").alias(p), F.col("n").alias(f"{p}_n"), F.col("sketch").alias(f"{p}_sketch"))
+    apart = "aggregate(zip_with(u_sketch, v_sketch, (x, y) -> bit_count(x ^ y)), 0, (a, b) -> a + b)"
+    near = pairs.select(F.col("id").alias("u"), F.col("lead").alias("v")).join(facts("u"), "u").join(facts("v"), "v")
+    near = written(near.filter(f"100 * least(u_n, v_n) >= {percent} * greatest(u_n, v_n) AND {apart} <= {CUT}").select("u", "v"), "leads")
+    full = written(_read_sets(rows, near.select(F.col("u").alias("id")).union(near.select("v"))), "sets")
+    links = written(near.join(full.select(F.col("id").alias("u"), F.col("words").alias("a")), "u").join(full.select(F.col("id").alias("v"), F.col("words").alias("b")), "v").select("u", "v", "a", "b").mapInArrow(_linked(percent), "u long, v long"), "links")
     found = components(links)
     comp_of = lambda ids: ids.join(found.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     in_bands = comp_of(members.select(F.col("band").alias("group"), "id"))
@@ -289,8 +299,8 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
     hints = components(_blocks(few_in_bands, ["n", "sketch"]).mapInPandas(_in_groups(percent, False), "u long, v long"))
     groups = written(hints.select(F.col("u").alias("id"), F.col("v").alias("group")).union(hints.select("v", "v").distinct()), "groups")
     if not groups.isEmpty():
-        at_hand = comp_of(groups).join(sets.select("id", "n", "sketch"), "id").join(full.select("id", "words"), "id")
-        more = _blocks(at_hand, ["n", "sketch", "words"]).mapInPandas(_in_groups(percent, True), "u long, v long")
+        at_hand = comp_of(groups).join(sets.select("id", "n", "sketch"), "id").join(_read_sets(rows, groups.select("id")), "id")
+        more = _blocks(written(at_hand, "grouped"), ["n", "sketch", "words"]).mapInPandas(_in_groups(percent, True), "u long, v long")
         found = components(more.union(found.select("u", "v")))
     of_set = heads.join(found.select(F.col("u").alias("id"), F.col("v").alias("c")), "id", "left").select("f1", "f2", "n", F.coalesce("c", "id").alias("c"))
     out = signed.select("id", "n", "f1", "f2").join(of_set, ["f1", "f2", "n"], "left")
@@ -298,6 +308,41 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
+def _read_sets(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and words (the full set) of some documents, from their whole texts; of repeated rows one."""
+    return rows.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets, "id long, words binary")
+
+
+def recall(docs: DataFrame, found: DataFrame, asked: int = 200, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> tuple[int, int]:
+    """(links of `asked` documents, in hash order, to all others; those of them within one component of `found`), by comparing full sets."""
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), body(text_col).alias("text"))
+    some = [(r["id"], r["text"]) for r in rows.orderBy(F.xxhash64("id"), "id").limit(asked).collect()]  # `asked` rows
+
+    def run(batches):
+        import pyarrow as pa
+
+        own, cut = shingles([t for _, t in some])
+        holder, size = np.repeat(np.arange(len(some)), np.diff(cut)), np.diff(cut)
+        order = np.argsort(own, kind="stable")
+        keys, holder = own[order], holder[order]
+        for batch in text_batches(batches, "text", SLICE):
+            h, at = shingles(batch.column(1).to_pylist())
+            lo, hi = np.searchsorted(keys, h), np.searchsorted(keys, h, "right")
+            doc = np.repeat(np.repeat(np.arange(len(at) - 1), np.diff(at)), hi - lo)
+            who = holder[ranges(lo, hi - lo)]
+            pair, same = np.unique(doc * len(some) + who, return_counts=True)
+            d, w = pair // max(len(some), 1), pair % max(len(some), 1)
+            ids = np.array(batch.column(0).to_pylist(), np.int64)
+            asked_ids = np.array([i for i, _ in some], np.int64)
+            on = (100 * same >= percent * (np.diff(at)[d] + size[w] - same)) & (ids[d] != asked_ids[w])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[d[on]]), pa.array(asked_ids[w[on]])], names=["u", "v"])
+
+    true = rows.mapInArrow(run, "u long, v long").distinct()
+    of = lambda p: found.select(F.col(id_col).alias(p), F.col("component_id").alias(f"{p}_c")).distinct()
+    r = true.join(of("u"), "u").join(of("v"), "v").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("u_c") == F.col("v_c")).alias("k")).first()
+    return r["n"], r["k"]
+
+
 def _open(rows: DataFrame) -> DataFrame:
     """The rows (group, id, comp) of groups that hold more than one component."""
     mixed_groups = rows.groupBy("group").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("group")
