@@ -16,4 +16,4 @@ QUERIES = {
     "op9_line_windows": line_dedup.query,
     "op10_kd_tree_shards": kd_shards.query,
 }
-ORACLES = {"op2_odd_sketches": near_dedup.ORACLE, "op3_content_sort": exact_dedup.ORACLE, "op9_line_windows": line_dedup.ORACLE}
+ORACLES = {"op2_odd_sketches": near_dedup.ORACLE, "op3_content_sort": exact_dedup.ORACLE, "op7_nn_descent": vector_dedup.ORACLE, "op9_line_windows": line_dedup.ORACLE}

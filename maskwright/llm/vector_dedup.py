@@ -5,12 +5,13 @@
    in a part start each vector's list of its K nearest.
 3. Rounds of neighbours of neighbours: around each vector its neighbours and those that name it meet, and a pair enters a
    list if it beats the list's last place.  Hubs are dealt out in parts.
-4. Pairs at the threshold are edges.  A vector whose K places are all edges is saturated: it may have more links than its
-   list holds, so it is compared exactly, in double precision, with all vectors of its label, block against block; links to
-   other components become edges.  Within components all pairs are compared the same way; only counts come out.
+4. Pairs at the threshold are edges.  A vector whose places are all edges is saturated: its list is enlarged, twice as long each
+   time up to WIDEST, from neighbours of neighbours around the saturated ones.  What is saturated then is compared exactly, in
+   double precision, with all vectors of its label, block against block; links to other components become edges.  Within
+   components all pairs of blocks are compared once the same way; only counts come out.
 5. Audit: AUDIT vectors in hash order are compared with all vectors of their labels; while under LEAST of their links lie
    within components, trees with new hyperplanes join in.  If the last try stays under it, all vectors are compared as the
-   saturated ones are.
+   saturated ones are.  The recall of each try is logged.
 
 Nulls: vectors that are null, empty, zero or hold null or non-finite components, and rows without label or id, link with
 nothing.  Repeated rows (equal id and vector) count once each as links of one another.  Vectors of different length never
@@ -19,6 +20,8 @@ link.  Empty table: empty result.  Only id, vector and label are read.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,26 +29,34 @@ from pyspark.sql import functions as F
 from ..operators.components import components
 from .common import drop_written, parallelism, table, written
 
-K, TREES, LEAF, PART = 12, 6, 128, 384
+log = logging.getLogger(__name__)
+
+K, WIDEST, TREES, LEAF, PART = 12, 48, 6, 128, 384
 ROUNDS, BLOCK = 2, 1024
 AUDIT, LEAST = 200, 0.98
 
 
 def _units(batches):
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     for batch in batches:
-        out, short, size = [], [], []
-        for x in batch.column(2).to_pylist():
-            v = np.array([np.nan if c is None else c for c in x], float) if x else np.zeros(0)
+        lists = batch.column(2)
+        dim = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)  # nulls as NaN
+        at, out, short, size = np.cumsum(dim) - dim, [None] * len(dim), [None] * len(dim), np.zeros(len(dim), np.int64)
+        for d in np.unique(dim[dim > 0]).tolist():
+            on = np.flatnonzero(dim == d)
+            v = flat[at[on][:, None] + np.arange(d)]
             with np.errstate(all="ignore"):
-                v = v / np.abs(v).max() if len(v) and np.isfinite(v).all() and v.any() else v[:0]
-                v = v / np.linalg.norm(v) if len(v) else v
-            v = v + 0.0  # no negative zeros
-            out.append(v.tobytes() if len(v) else None)
-            short.append(v.astype(np.float32).tobytes() if len(v) else None)
-            size.append(len(v))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary()), pa.array(short, pa.binary()), pa.array(size, pa.int64())], names=["id", "label", "vec", "short", "dim"])
+                top = np.abs(v).max(1)
+                good = np.isfinite(v).all(1) & (top > 0)
+                on, v = on[good], v[good] / top[good][:, None]
+                v = v / np.linalg.norm(v, axis=1)[:, None] + 0.0  # no negative zeros
+            size[on] = d
+            for i, x, y in zip(on.tolist(), v, v.astype(np.float32), strict=True):
+                out[i], short[i] = x.tobytes(), y.tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary()), pa.array(short, pa.binary()), pa.array(size)], names=["id", "label", "vec", "short", "dim"])
 
 
 def _codes(trees: int, seed: int):
@@ -142,13 +153,14 @@ def start(units: DataFrame, k: int, trees: int, seed: int) -> DataFrame:
     return dealt.mapInPandas(_nearest(k, keys), "u long, v long, cos double")
 
 
-def descend(units: DataFrame, lists: DataFrame, k: int) -> DataFrame:
-    """Pairs that enter a list, from neighbours of neighbours."""
-    edges = lists.select(F.col("u").alias("w"), F.explode("near.v").alias("m"))
+def descend(units: DataFrame, lists: DataFrame, k: int, around: DataFrame | None = None) -> DataFrame:
+    """Pairs that enter a list of k places, from neighbours of neighbours; `around`: only from those of these lists."""
+    centres = lists if around is None else around
+    edges = centres.select(F.col("u").alias("w"), F.explode("near.v").alias("m"))
     back = edges.select(F.col("m").alias("w"), F.col("w").alias("m"))
     hubs = back.groupBy("w").agg(F.ceil(F.count(F.lit(1)) / (2 * k)).alias("parts"))
     back = back.join(hubs, "w").select("w", "m", F.pmod(F.xxhash64("m", "w"), "parts").alias("part"))
-    ahead = edges.union(lists.select("u", "u")).join(hubs, "w", "left").select("w", "m", F.explode(F.expr("sequence(0L, coalesce(parts, 1L) - 1)")).alias("part"))
+    ahead = edges.union(centres.select("u", "u")).join(hubs, "w", "left").select("w", "m", F.explode(F.expr("sequence(0L, coalesce(parts, 1L) - 1)")).alias("part"))
     known = units.select("id", "short").join(lists.select(F.col("u").alias("id"), F.when(F.size("near") < k, -1.0).otherwise(F.element_at("near", -1)["cos"]).alias("floor")), "id")
     rows = back.unionByName(ahead).withColumnRenamed("m", "id").join(known, "id")
     keys = ["w", "part"]
@@ -162,16 +174,18 @@ def _degrees(threshold: float):
 
         parts, held = [], 0
         for rows in _runs(frames, ["comp", "i", "j"]):
-            side, many = rows.side.to_numpy(), rows.many.to_numpy()
+            side, many, ids = rows.side.to_numpy(), rows.many.to_numpy(), rows.id.to_numpy()
             x = np.stack([np.frombuffer(b, np.float64) for b in rows.vec])
             left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            if not len(left) or not len(right):
-                continue
-            ids = rows.id.to_numpy()
-            near = (x[left] @ x[right].T >= threshold) & (ids[left][:, None] != ids[right][None, :])
-            parts.append(pd.DataFrame({"id": ids[left], "links": near @ many[right]}))
-            held += len(left)
-            if held > 50_000:
+            if rows.i.iloc[0] == rows.j.iloc[0]:  # a block with itself
+                near = x[left] @ x[left].T >= threshold
+                np.fill_diagonal(near, False)
+                parts.append(pd.DataFrame({"id": ids[left], "links": near @ many[left]}))
+            elif len(left) and len(right):
+                near = x[left] @ x[right].T >= threshold
+                parts.append(pd.DataFrame({"id": np.concatenate([ids[left], ids[right]]), "links": np.concatenate([near @ many[right], many[left] @ near])}))
+            held += len(rows)
+            if held > 50_000 and parts:
                 yield pd.concat(parts)
                 parts, held = [], 0
         if parts:
@@ -181,14 +195,16 @@ def _degrees(threshold: float):
 
 
 def degrees(units: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
-    """For each vector of a component: links to other vectors of it (id, links), multiplicities counted."""
+    """For each vector of a component: links to other vectors of it (id, links), multiplicities counted.
+
+    Each pair of blocks is compared once and counts for both sides: n * n / 2 comparisons in a component of n vectors.
+    """
     found = comps.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(comps.select("v", "v").distinct())
     rows = units.select("id", "vec", "many").join(found, "id")
     sizes = found.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     rows = rows.join(sizes, "comp").withColumn("at", F.pmod(F.xxhash64("id"), "blocks"))
-    every = F.explode(F.expr("sequence(0L, blocks - 1)"))
-    left = rows.select("comp", "id", "vec", "many", F.lit(0).alias("side"), F.col("at").alias("i"), every.alias("j"))
-    right = rows.select("comp", "id", "vec", "many", F.lit(1).alias("side"), every.alias("i"), F.col("at").alias("j"))
+    left = rows.select("comp", "id", "vec", "many", F.lit(0).alias("side"), F.col("at").alias("i"), F.explode(F.expr("sequence(at, blocks - 1)")).alias("j"))
+    right = rows.filter("at > 0").select("comp", "id", "vec", "many", F.lit(1).alias("side"), F.explode(F.expr("sequence(0L, at - 1)")).alias("i"), F.col("at").alias("j"))
     keys = ["comp", "i", "j"]
     dealt = left.unionByName(right).repartition(parallelism(units.sparkSession), *keys).sortWithinPartitions(*keys)
     return dealt.mapInPandas(_degrees(threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
@@ -263,7 +279,7 @@ def audit(units: DataFrame, comps: DataFrame, threshold: float, most: int = AUDI
     return r["k"] / r["n"] if r["n"] else 1.0
 
 
-def vector_dedup(vectors: DataFrame, threshold: float = 0.93, k: int = K, trees: int = TREES, rounds: int = ROUNDS, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", most_tries: int = 4) -> DataFrame:
+def vector_dedup(vectors: DataFrame, threshold: float = 0.93, k: int = K, trees: int = TREES, rounds: int = ROUNDS, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", most_tries: int = 4, widest: int = WIDEST) -> DataFrame:
     """Per vector: id, n_links, component_id (smallest id reachable over links), kept."""
     kind = dict(vectors.dtypes)[label_col]
     given = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("x"))
@@ -280,14 +296,21 @@ def vector_dedup(vectors: DataFrame, threshold: float = 0.93, k: int = K, trees:
             drop_written(better)
             if gained <= 0.01 * k * max(lists.count(), 1):
                 break
+        full_at = lambda places: lists.filter((F.size("near") >= places) & (F.element_at("near", -1)["cos"] >= threshold - 1e-5)).select(F.col("u").alias("id"))  # noqa: B023, E731
+        places = k
+        while places < widest and not (full := full_at(places)).isEmpty():
+            places *= 2
+            some = lists.join(full.select(F.col("id").alias("u")), "u", "left_semi")
+            lists = _merged(descend(units, lists, places, some), lists, places)
         near = lists.select("u", F.explode("near").alias("x")).filter(F.col("x.cos") >= threshold - 1e-5).select("u", F.col("x.v").alias("v"))
         vec = units.select("id", "vec")
         exact = near.join(vec.select(F.col("id").alias("u"), F.col("vec").alias("a")), "u").join(vec.select(F.col("id").alias("v"), F.col("vec").alias("b")), "v").select("u", "v", "a", "b")
         comps = components(exact.mapInArrow(_at_least(threshold), "u long, v long"))
-        full = lists.filter((F.size("near") >= k) & (F.element_at("near", -1)["cos"] >= threshold - 1e-5)).select(F.col("u").alias("id"))
-        if not full.isEmpty():
+        if not (full := full_at(places)).isEmpty():
             comps = components(comps.union(across(units, full, comps, threshold)))
-        if audit(units, comps, threshold) >= LEAST:
+        found = audit(units, comps, threshold)
+        log.info("audit of try %d: %.4f of the links lie within components", attempt, found)
+        if found >= LEAST:
             break
     else:
         comps = components(comps.union(across(units, units, comps, threshold)))
@@ -312,3 +335,13 @@ def _at_least(threshold: float):
 
 def query(spark, sf_dir):
     return vector_dedup(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE = """
+WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS MATERIALIZED (SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+r(u, v) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.u, p.v FROM r JOIN p ON r.v = p.u),
+c AS (SELECT u, min(v) AS component_id FROM r GROUP BY 1), n AS (SELECT u, count(*) AS n FROM p GROUP BY 1)
+SELECT c.u AS vec_id, coalesce(n, 0) AS n_links, component_id, c.u = component_id AS kept FROM c LEFT JOIN n ON n.u = c.u
+"""
