@@ -7,6 +7,8 @@ where the leaves halve).  Quantiles come from distributed histograms that narrow
 are ordered by a hash of the row, so a node splits between any two rows and a group of copies never has to stay whole.
 The driver holds a tree node for each leaf and at most COLLECT histogram bins a pass, never rows of documents.
 
+Copies of a text are rows like others: neither law could hold if a group that makes up a third of all rows stayed whole.
+
 Nulls: a null text has size 8 and CRC 0; null metadata lies at 0.  Repeated rows are separate rows.  Empty table: empty
 result.  Other columns aren't read.
 """
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import body, parallelism, table, written
+from .common import body, drop_written, parallelism, table, written
 
 GRID = 1 << 20
 TIES = 1 << 32
@@ -109,7 +111,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     grid = F.array(*[F.least(F.floor((F.col("_at")[i] - lo) / width * (GRID - 1)), F.lit(GRID - 1)).cast("long") for i, (lo, width) in enumerate(scale)])
     rows = meta.select("_id", "_size", "_crc", "_row", "_tie", grid.alias("_grid"), F.lit(0).cast("long").alias("_node"))
     leaves, boxes, made, tolerance = {0: shards}, {0: [(0, GRID)] * n}, 1, float(ends["w"] or 0) / shards / 2_000
-    weights = {0: float(ends["w"] or 0)}
+    weights, held = {0: float(ends["w"] or 0)}, None
     while any(k > 1 for k in leaves.values()) and ends["w"]:
         live = [k for k, c in leaves.items() if c > 1]
         aims = {}
@@ -126,7 +128,10 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
             weights |= {made: left, made + 1: weights[k] - left}
             splits.append((k, d, last, made, made + 1))
             made += 2
-        rows = _node(rows, splits)
+        level = written(_node(rows, splits), "kd-level")  # the next passes read each row's node instead of all joins so far
+        if held is not None:
+            drop_written(held)
+        rows = held = level
     order = {k: i for i, k in enumerate(sorted(leaves))}
     names = F.broadcast(_small(spark, ["_node", "shard"], list(order.items())))
     pieces = parallelism(spark)
