@@ -11,6 +11,7 @@ that the caller may choose.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -114,10 +115,16 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int, float]]:
-    out = []
+    out, taken = [], []  # base spans, joined where they overlap
+    for _, s, e in sorted(base, key=lambda x: x[1]):
+        if taken and s < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+        else:
+            taken.append((s, e))
     for kind, spans, score, check in (("iban", _ibans, 0.3, True), ("national", _spans_of(_NATIONAL), 0.2, False), ("local", _spans_of(_NUMBER), 0.2, False)):
         for s, e in spans(text):
-            if any(a < e and s < b for _, a, b in base):
+            i = bisect.bisect_left(taken, (e,)) - 1  # the last that starts before e
+            if i >= 0 and taken[i][1] > s:
                 continue
             near = bool(_NEAR[kind].search(text, max(0, s - CONTEXT), s) or _NEAR[kind].search(text, e, e + CONTEXT))
             if (total := score + 0.4 * check + 0.4 * near) >= THRESHOLD:
