@@ -12,11 +12,13 @@ separate rows.  Empty table: empty result.  Other columns aren't read.
 
 from __future__ import annotations
 
+import atexit
 import functools
 import hashlib
 import heapq
 import json
 import os
+import shutil
 import tempfile
 import unicodedata
 import uuid
@@ -299,7 +301,8 @@ def build_lexicon(words: list[str], path: str) -> bytes:
 def ship(spark, data: bytes) -> str:
     """Sends a file to every executor; its name there (SparkFiles.get)."""
     name = f"lexicon-{hashlib.sha256(data).hexdigest()[:16]}-{uuid.uuid4().hex[:8]}.bin"
-    folder = tempfile.mkdtemp(prefix="maskwright-")
+    folder = tempfile.mkdtemp(prefix="maskwright-")  # the driver's own; Spark serves the file from it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     with open(path := f"{os.path.realpath(folder)}/{name}", "wb") as f:
         f.write(data)
     spark.sparkContext.addFile(path)
