@@ -179,6 +179,16 @@ def test_near_dedup_family(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: c for i, (_, c) in want.items()}
 
 
+def test_near_dedup_recall(spark):
+    """Against all sets of the table: every link of 300 documents lies within a component, and the measure sees what is missing."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = near_dedup.near_dedup(docs).persist()
+    links, within = near_dedup.recall(docs, found, 300)
+    assert links > 20 and within == links
+    alone = found.withColumn("component_id", near_dedup.F.col("doc_id"))
+    assert near_dedup.recall(docs, alone, 300) == (links, 0)
+
+
 # ---- 3
 def test_exact_dedup_awkward(awkward, empty):
     groups = collections.defaultdict(list)
@@ -458,6 +468,27 @@ def test_vectors_failing_audit_compares_all(spark, monkeypatch):
     assert got == _links(rows, 0.93)
 
 
+def test_vector_units():
+    import pyarrow as pa
+
+    rows = [[3.0, 4.0], None, [0.0, 0.0], [1.0, None], [float("nan"), 1.0], [], [-0.0, -2.0], [1.0, 2.0, 2.0], [1e300, 1e300]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([0] * len(rows)), pa.array(rows, pa.list_(pa.float64()))], names=["id", "label", "x"])
+    got = next(iter(vector_dedup._units([batch])))
+    vec = [None if v is None else np.frombuffer(v).round(6).tolist() for v in got.column(2).to_pylist()]
+    assert vec == [[0.6, 0.8], None, None, None, None, None, [0.0, -1.0], [0.333333, 0.666667, 0.666667], [0.707107, 0.707107]]
+    assert got.column(4).to_pylist() == [2, 0, 0, 0, 0, 0, 2, 3, 2]
+
+
+def test_vectors_over_several_blocks(spark, monkeypatch):
+    """Components of many blocks: each pair of blocks counts for both sides, copies with their number."""
+    monkeypatch.setattr(vector_dedup, "BLOCK", 16)
+    rows = _blobs([70, 40], 9)
+    rows += [(200 + i, rows[i][1], 0) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.vector_dedup(df).collect()}
+    assert got == _links(rows, 0.93)
+
+
 # ---- 8
 def test_counts_equal_library(spark, documents):
     import public_tokenizers
@@ -509,7 +540,64 @@ def test_shards(spark, documents, law):
     if law == "rows":
         assert max(size.values()) - min(size.values()) <= 1
     else:
-        assert max(size.values()) - min(size.values()) <= 5 * max(r["size"] for r in rows)
+        assert max(size.values()) - min(size.values()) <= max(r["size"] for r in rows)
+
+
+def _plain_tree(rows, shards, law):
+    """A k-d tree by sorting: rows are (row, size, tie, grid); the place of each row's leaf."""
+    wide = kd_shards.TIES
+    weight = (lambda r: r[1]) if law == "bytes" else (lambda r: 1)
+    leaves, out = [(rows, [(0, kd_shards.GRID)] * len(rows[0][3]), shards)], []
+    while any(c > 1 for *_, c in leaves):
+        then = []
+        for node in leaves:
+            some, box, c = node
+            if c == 1:
+                out.append((node, None))
+                then.append(node)
+                continue
+            d = max(range(len(box)), key=lambda i: (box[i][1] - box[i][0], -i))
+            order = sorted(some, key=lambda r: r[3][d] * wide + r[2])
+            aim, before, cut = sum(map(weight, some)) * (c // 2) / c, 0.0, 0
+            for r in order:
+                w = weight(r)
+                if before + w > aim and aim - before < w / 2:
+                    break
+                before, cut = before + w, cut + 1
+                if before > aim:
+                    break
+            key = order[cut - 1][3][d] * wide + order[cut - 1][2] if cut else box[d][0] * wide - 1
+            left, right = list(box), list(box)
+            left[d], right[d] = (box[d][0], min(box[d][1], key // wide + 1)), (max(box[d][0], (key + 1) // wide), box[d][1])
+            then += [(order[:cut], left, c // 2), (order[cut:], right, c - c // 2)]
+        leaves = then
+    return {r[0]: i for i, (some, *_) in enumerate(leaves) for r in some}
+
+
+@pytest.mark.parametrize("law", ["bytes", "rows"])
+def test_shards_equal_a_plain_tree(spark, law):
+    """The same leaves as a tree that sorts all rows at each node: which rows lie together, and how leaves are filled."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    dims = ["doc_id", "lang", "source"]
+    meta = [r.asDict() for r in kd_shards.metadata(docs, "doc_id", "text", dims).collect()]
+    ends = [(min(r["_at"][i] for r in meta), max(r["_at"][i] for r in meta)) for i in range(4)]
+    grid = lambda r: [min(int((x - lo) / max(hi - lo, 1e-300) * (kd_shards.GRID - 1)), kd_shards.GRID - 1) for x, (lo, hi) in zip(r["_at"], ends, strict=True)]
+    for shards in (2, 5, 8):
+        plain = _plain_tree([(r["_id"], r["_size"], r["_tie"], grid(r)) for r in meta], shards, law)
+        got = {r["doc_id"]: r["shard"] for r in kd_shards.kd_shards(docs, shards=shards, law=law).collect()}
+        groups = lambda of: {frozenset(i for i in of if of[i] == s) for s in set(of.values())}
+        a, b = groups(plain), groups(got)
+        moved = sum(min(len(x ^ y) for y in b) for x in a)
+        assert moved == 0 if law == "rows" else moved <= 2 * shards  # by bytes a bin within the tolerance may stay whole
+
+
+def test_copies_are_rows_like_others(spark):
+    """A text that makes up a third of all rows is spread, so that sizes stay near equal."""
+    docs = spark.range(900).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'copy of one text', concat('t', id)) AS text")
+    by = collections.Counter()
+    for r in kd_shards.kd_shards(docs, shards=6).collect():
+        by[r["shard"]] += r["size"]
+    assert max(by.values()) - min(by.values()) <= 2 * 24
 
 
 def test_shards_awkward(spark, awkward, empty):
