@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -19,6 +21,7 @@ def ship(spark: SparkSession) -> None:
         return
     root = Path(__file__).resolve().parent
     folder = os.path.realpath(tempfile.mkdtemp(prefix="maskwright-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     with zipfile.ZipFile(path := f"{folder}/maskwright-{os.getpid()}-{len(_sent)}.zip", "w") as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f.relative_to(root.parent))
