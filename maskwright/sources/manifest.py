@@ -81,7 +81,7 @@ def shard_of(rows: DataFrame, index: int, count: int, order: str = "_row_index")
 
 
 class TarSource(DataSource):
-    """Members of tar archives: archive, member, offset, size, bytes.  One partition an archive; the archive is read once, in place."""
+    """Members of tar archives: archive, member, offset, size, bytes (null with option bytes=false).  One partition an archive; it is read once, in place."""
 
     @classmethod
     def name(cls) -> str:
@@ -97,6 +97,7 @@ class TarSource(DataSource):
 class TarReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.paths = [p for p in options.get("paths", options.get("path", "")).split(",") if p]
+        self.bytes = options.get("bytes", "true").lower() == "true"
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in self.paths]
@@ -107,7 +108,7 @@ class TarReader(DataSourceReader):
         with tarfile.open(partition.value) as tar:
             for m in tar:
                 if m.isfile() and not m.name.startswith("/") and ".." not in m.name.split("/"):
-                    yield partition.value, m.name, m.offset_data, m.size, tar.extractfile(m).read()
+                    yield partition.value, m.name, m.offset_data, m.size, tar.extractfile(m).read() if self.bytes else None
 
 
 def read_tars(spark: SparkSession, paths: list[str]) -> DataFrame:
