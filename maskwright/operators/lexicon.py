@@ -20,6 +20,12 @@ COLLECTIVES = ("audience", "band", "bunch", "class", "cluster", "collection", "c
 STOP = ("a", "an", "and", "are", "as", "at", "by", "for", "from", "in", "is", "of", "on", "or", "the", "to", "was", "were", "with")
 
 
+BACKGROUND = ("background", "backdrop", "foreground", "scene", "setting", "surrounding", "surroundings")
+VIEWS = ("close-up", "closeup", "frame", "image", "photo", "photograph", "picture", "view")
+VIEW_TERMS = ("close", "profile", "side", "cropped", "image", "photo", "picture")
+PREPOSITIONS = ("against", "amid", "among", "before", "in", "on", "over", "with")
+
+
 @functools.lru_cache(maxsize=65_536)
 def normal(word: str) -> str:
     """A noun phrase in lookup form: lower case, single blanks, its end singular."""
@@ -165,6 +171,27 @@ class PlainParser:
         s, e = words[first][0], words[last][1]
         return {"start": s, "end": e, "text": caption[s:e], "kind": "noun_phrase", "head": words[last][2], "noun_terms": sorted({normal(w) for _, _, w in words[first : last + 1] if self._is_noun(w)})}
 
+    def backgrounds(self, text: str) -> list[tuple[int, int]]:
+        """Ranges of background and view noun phrases with the preposition before them."""
+        words = [(m.start(), m.end(), m[0].lower()) for m in self._PHRASE.finditer(text)]
+        out = []
+        for k, (_, end, word) in enumerate(words):
+            lead = [w for _, _, w in words[max(0, k - 3) : k]]
+            if word in BACKGROUND or (word in VIEWS and any(any(t in w for t in VIEW_TERMS) for w in lead)):
+                first = next((i for i in range(k - 1, max(-1, k - 5), -1) if words[i][2] in PREPOSITIONS), None)
+                start = words[first][0] if first is not None else next((words[i][0] for i in range(k - 1, max(-1, k - 4), -1) if words[i][2] in ("a", "an", "the")), words[k][0])
+                out.append((start, end))
+        return out
+
+    def candidate(self, text: str) -> str:
+        """The noun that a description is about: the head of its first noun phrase, else its last word that isn't a stop word."""
+        found = [m for m in self.mentions(text) if m["kind"] == "noun_phrase"]
+        if found:
+            head = found[0]["noun_terms"]
+            return " ".join(w for w in (normal(x.lower()) for x in re.findall(r"[A-Za-z]+", found[0]["text"])) if w in head)
+        words = [w.lower() for w in re.findall(r"[A-Za-z]+", text) if w.lower() not in STOP]
+        return words[-1] if words else ""
+
     def relations(self, caption: str) -> list[dict]:
         return [{"verb": m[0].lower(), "verb_span": (m.start(), m.end()), "subject_span": None, "object_span": None} for m in self._PHRASE.finditer(caption) if m[0].lower() in self.verbs]
 

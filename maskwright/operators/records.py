@@ -106,6 +106,15 @@ def barrier(units: DataFrame, done: DataFrame, quarantine: DataFrame) -> DataFra
     return units.join(d, "unit", "left").join(q, "unit", "left").select("unit", F.when(F.col("_d").isNotNull(), "done").when(F.col("_q").isNotNull(), "quarantined").otherwise("missing").alias("state"))
 
 
+def require_merged(states: DataFrame) -> None:
+    """Raises where a unit isn't done: names quarantined ones, else says how many are missing."""
+    bad = states.filter("state = 'quarantined'").orderBy("unit").limit(10).collect()
+    if bad:
+        raise RuntimeError(f"quarantined units: {[r['unit'] for r in bad]}")
+    if n := states.filter("state = 'missing'").count():
+        raise RuntimeError(f"{n} units aren't done yet")
+
+
 def recovery_order(rows: DataFrame) -> DataFrame:
     """Place in a recovery run of each image: those with a candidate first, then fewest masks, manifest order, id."""
     w = Window.partitionBy("campaign").orderBy(F.col("has_candidate").desc(), "n_masks", "source_manifest_index", "image_id")
@@ -153,6 +162,37 @@ def _packets(s, d):
     return t.select("doc_id", "p.n", "p.role", "p.path")
 
 
+def _drafts(s, d):
+    """Drafts of the audits: two errors at most, a stored and a current list of masks, two fields of terms."""
+    a = A.audits(s, d)
+    errors = F.slice(F.array(F.lit("x"), F.lit("y")), 1, F.col("issues") % 3)
+    stored = F.transform("linked", lambda m: F.struct(F.lit("mask").alias("role"), m.alias("mask_id")))
+    other = F.struct(F.lit("overlay").alias("role"), F.lit("o").alias("mask_id"))
+    return a.select(
+        "image_id", "caption", errors.alias("errors"), (F.col("issues") == 3).alias("rejected"), F.size("linked").alias("groups"), F.array_append(stored, other).alias("stored"),
+        F.when(F.col("issues") == 1, F.reverse("linked")).otherwise(F.col("linked")).alias("current"), F.when(F.col("issues") == 2, F.col("linked")).alias("first"), F.array(F.lit("z"), F.lit("m3")).alias("second"), F.col("parseable"),
+        F.array_distinct("linked").alias("linked"),
+    )
+
+
+def _draft_rules(s, d):
+    return _drafts(s, d).select(
+        "image_id", qa_eligible().alias("eligible"), decision_error(F.col("parseable"), F.col("rejected")).alias("error"), same_manifest(F.col("stored"), F.col("current")).alias("same"),
+        F.array_join(first_terms(F.col("first"), F.col("second")), ",").alias("terms"), F.array_join(allowed_nouns(F.coalesce("first", F.array().cast("array<string>")), F.col("second"), F.array(F.lit("a"))), ",").alias("allowed"),
+    )
+
+
+def _locators(s, d):
+    t = _drafts(s, d).withColumn("g", F.transform("linked", lambda m: F.struct(m.alias("mask_id"))))
+    where = F.transform(located(F.col("g"), F.concat(F.lit("u/"), F.col("image_id"), F.lit(".tar"))), lambda x: x["locator"])
+    return t.select("image_id", F.array_join(where, ",").alias("locators"), F.array_join(overlay_numbers(F.col("g"), F.array(F.lit("m3"), F.lit("m1"), F.lit("m5"))), ",").alias("numbers"))
+
+
+def _prerequisites(s, d):
+    t = A.table(s, d, "conversations").groupBy("conv_id").agg(F.collect_set(F.element_at(F.array(*map(F.lit, ["image-review", "sam3", "mask-captions", "mask-qa"])), (F.col("turn") % 4 + 1).cast("int"))).alias("done"))
+    return t.select("conv_id", *[prerequisite_met(F.col("done"), stage).alias(stage.replace("-", "_")) for stage in ("image-review", "sam3", "consistency", "bcc-draft")])
+
+
 def _links(s, d):
     from .spans import QUERIES as S
 
@@ -166,6 +206,9 @@ QUERIES = {
     "index_gaps": lambda s, d: contiguous(A.reviews(s, d).select(F.col("_ord").alias("source_manifest_index")), "source_manifest_index"),
     "review_completeness": lambda s, d: one_review_each(A.sources(s, d), A.reviews(s, d).unionByName(A.table(s, d, "conversations").select(F.concat(F.lit("c"), F.col("conv_id")).alias("image_id"), F.lit(1).alias("_ord")), allowMissingColumns=True)),
     "merge_barrier": _barrier,
+    "draft_rules": _draft_rules,
+    "draft_locators": _locators,
+    "stage_prerequisites": _prerequisites,
     "recovery_order": _recovery,
     "error_fragments": _errors,
     "image_packets": _packets,
@@ -175,6 +218,11 @@ QUERIES = {
 ORACLES = {
     "index_gaps": "WITH k AS (SELECT doc_id AS source_manifest_index, lag(doc_id) OVER (ORDER BY doc_id) AS b FROM labels) SELECT source_manifest_index FROM k WHERE source_manifest_index <> coalesce(b, -1) + 1",
     "review_completeness": f"{_S} SELECT image_id, 'missing' AS problem FROM sources WHERE image_id NOT IN (SELECT image_id FROM reviews) UNION ALL SELECT DISTINCT 'c' || conv_id, 'extra' FROM conversations",
+    "draft_rules": f"""WITH {A.SOURCES}, {A.AUDITS} SELECT image_id, issues % 3 > 0 AND issues <> 3 AND trim(caption) <> '' AND len(linked) >= 10 AS eligible, CASE WHEN NOT parseable THEN 'keep must be true' WHEN issues = 3 THEN 'reject must be false' ELSE '' END AS error,
+      issues <> 1 OR list_reverse(linked) = linked AS same, CASE WHEN issues = 2 THEN array_to_string(linked, ',') ELSE 'z,m3' END AS terms, array_to_string(list_sort(list_distinct(list_concat(CASE WHEN issues = 2 THEN linked ELSE [] END, ['z', 'm3', 'a']))), ',') AS allowed FROM audits""",
+    "draft_locators": f"""WITH {A.SOURCES}, {A.AUDITS}, u AS (SELECT image_id, list_filter(linked, lambda m, i: list_position(linked, m) = i) AS l FROM audits)
+      SELECT image_id, array_to_string(list_transform(l, lambda m: 'u/' || image_id || '.tar::masks/' || m || '.png'), ',') AS locators, array_to_string(list_transform(l, lambda m: coalesce(list_position(['m3', 'm1', 'm5'], m), 0)), ',') AS numbers FROM u""",
+    "stage_prerequisites": """SELECT conv_id, true AS image_review, bool_or(turn % 4 = 0) AS sam3, bool_or(turn % 4 IN (2, 3)) AS consistency, false AS bcc_draft FROM conversations GROUP BY 1""",
     "merge_barrier": "SELECT DISTINCT doc_id // 8 AS unit, CASE WHEN doc_id // 8 % 3 = 0 THEN 'done' WHEN doc_id // 8 % 5 = 0 THEN 'quarantined' ELSE 'missing' END AS state FROM documents",
     "recovery_order": f"""{_S}, n AS (SELECT CAST(conv_id AS VARCHAR) AS image_id, count(*) AS n FROM conversations GROUP BY 1)
       SELECT campaign_unit % 10 AS campaign, image_id, CAST(row_number() OVER (PARTITION BY campaign_unit % 10 ORDER BY n_chars % 2, coalesce(n, 0), source_manifest_index, image_id) AS INT) AS place FROM sources LEFT JOIN n USING (image_id)""",

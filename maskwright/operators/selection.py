@@ -88,6 +88,18 @@ def checked_rows(rows: DataFrame, required: list[str]) -> DataFrame:
     return rows.withColumn("errors", F.filter(F.array(*[F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", F.lit(f"missing {c}")) for c in required]), lambda e: e.isNotNull()))
 
 
+def sampled(rows: DataFrame, n: int, seed: int, key: str, excluded: DataFrame | None = None) -> DataFrame:
+    """n rows in an order that only seed and key decide, without excluded keys; raises where there are fewer."""
+    from .incremental import running
+
+    rest = rows if excluded is None else rows.join(excluded.select(key), key, "left_anti")
+    ordered = rest.withColumns({"_h": F.sha2(F.concat_ws("\0", F.lit(str(seed)), F.col(key).cast("string")), 256), "_one": F.lit(1)})
+    taken = running(ordered, ["_h", key], 16, place="_one").filter(F.col("place") <= n).drop("_h", "_one")
+    if (found := taken.count()) < n:
+        raise ValueError(f"a sample of {n} asked for, {found} rows left")
+    return taken.withColumn("place", F.col("place") - 1)
+
+
 def _mism(s, d):
     """Documents against conversations, by number."""
     members = A.table(s, d, "conversations").select((F.col("conv_id") * 3).alias("source_manifest_index"))
@@ -104,10 +116,67 @@ def _enriched(s, d):
     return enriched(a, m, ["area"]).select("image_id", F.array_join(F.transform("groups", lambda g: F.concat(g["mask_id"], F.lit(":"), g["area"].cast("string"))), ",").alias("groups"))
 
 
+def _sampled(s, d):
+    src, gone = A.sources(s, d).select("image_id"), A.reviews(s, d)
+    return sampled(src, (src.count() - gone.count()) // 2, 17, "image_id", gone)
+
+
+def _keys(s, d):
+    t = A.sources(s, d).withColumns({"context_pair_key": F.when(F.col("n_chars") % 3 == 0, F.col("source_pair_key")).otherwise(""), "pair_key": F.when(F.col("n_chars") % 2 == 0, F.col("source_dataset"))})
+    score = mask_score(F.when(F.col("n_chars") % 2 == 0, "bad"), F.when(F.col("n_chars") % 3 == 0, F.col("n_chars").cast("string")))
+    return t.select("image_id", source_key().alias("key"), score.alias("score"))
+
+
+def _versions(s, d):
+    e = A.table(s, d, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").alias("k"))
+    return current_only(e, event_type="click", k="7").select("event_id")
+
+
+def _grouped(s, d):
+    from .keyed import first_seen_distinct, grouped
+
+    c = A.changes(s, d)
+    g = grouped(c, "key", "event_type").select("key", F.array_join("values", ",").alias("types"))
+    return g.join(first_seen_distinct(c, "key").select("key", F.col("first_ord.event_id").alias("first")), "key")
+
+
+def _sparse(s, d):
+    from ..functions.masks import components_of_word
+    from .suppress import sparse_components
+
+    m = A.masks(s, d).select("mask_id", components_of_word("bits").alias("component_count"), (F.bit_count("bits") / 64).alias("bbox_fill"))
+    return sparse_components(m, 6, 0.5).select("mask_id", "tangled")
+
+
+def _excluded(s, d):
+    """Pages whose address, name or stem stands on a list made of addresses without query."""
+    from ..functions.text import identifier_variants
+    from ..sources.manifest import without_excluded
+
+    p = A.table(s, d, "pages").select("page_id", F.regexp_replace("url", "[?#].*$", "").alias("url"), F.contains("url", F.lit("?")).alias("q"))
+    names = p.filter("NOT q").select(F.explode(identifier_variants(F.col("url"))).alias("identifier")).distinct()
+    return without_excluded(p, names, ["url"]).select("page_id")
+
+
+def _shards(s, d):
+    from ..sources.manifest import shard_of, stable_order
+
+    o = stable_order(A.sources(s, d), 5, ["image_id"])
+    return shard_of(o, 1, 3, "source_manifest_index").select("image_id", "_shuffle")
+
+
 _S = f"WITH {A.SOURCES}, {A.REVIEWS}, {A.AUDITS}, {A.EXCLUSIONS}"
 QUERIES = {
     "set_mismatch": _mism,
     "terminal_images": _terminal,
+    "sample_seeded": _sampled,
+    "source_keys": _keys,
+    "current_rows": _versions,
+    "log_grouped": _grouped,
+    "mask_sparse": _sparse,
+    "pages_excluded": _excluded,
+    "source_shards": _shards,
+    "masks_omitted": lambda s, d: omitted(A.masks(s, d).select(F.col("image_id").cast("string"), F.concat(F.lit("m"), (F.col("mask_id") % 12).cast("string")).alias("mask_id")).distinct(), A.audits(s, d).select("image_id", F.explode("linked").alias("mask_id"))),
     "groups_enriched": _enriched,
     "preview_index": lambda s, d: A.sources(s, d).select("image_id", preview_index(F.col("image_id")).alias("preview")),
     "versions_merged": lambda s, d: versions_merged(A.reviews(s, d).select("image_id", F.lit(1).alias("n_chars")), A.sources(s, d).select("image_id", "n_chars"), ["image_id"]),
@@ -119,6 +188,19 @@ QUERIES = {
 ORACLES = {
     "set_mismatch": """WITH c AS (SELECT DISTINCT conv_id * 3 AS i FROM conversations), o AS (SELECT doc_id AS i, 'missing' AS kind FROM documents WHERE doc_id NOT IN (SELECT i FROM c) UNION ALL SELECT i, 'extra' FROM c WHERE i NOT IN (SELECT doc_id FROM documents))
       SELECT kind, count(*) AS n, array_to_string(list_sort(list(i))[1:10], ',') AS examples FROM o GROUP BY 1""",
+    "sample_seeded": f"""{_S}, h AS (SELECT image_id, row_number() OVER (ORDER BY sha256('17' || chr(0) || image_id), image_id) - 1 AS place, count(*) OVER () AS n FROM sources WHERE image_id NOT IN (SELECT image_id FROM reviews)) SELECT image_id, place FROM h WHERE place < n // 2""",
+    "source_keys": f"""{_S} SELECT image_id, CASE WHEN n_chars % 3 = 0 THEN source_pair_key WHEN n_chars % 2 = 0 THEN source_dataset ELSE image_id END AS key, CASE WHEN n_chars % 3 = 0 THEN CAST(n_chars AS DOUBLE) ELSE 0.0 END AS score FROM sources""",
+    "current_rows": "SELECT event_id FROM events WHERE event_type = 'click' AND json_extract_string(props, '$.k') = '7'",
+    "log_grouped": "SELECT user_id AS key, string_agg(event_type, ',' ORDER BY ts, event_id) AS types, arg_min(event_id, (ts, event_id)) AS first FROM events GROUP BY 1",
+    "mask_sparse": f"""WITH RECURSIVE {A.MASKS}, p AS (SELECT mask_id, i - 1 AS i FROM masks, range(1, 65) r(i) WHERE px[i] = 1),
+      e AS (SELECT a.mask_id, a.i AS u, b.i AS v FROM p a JOIN p b ON a.mask_id = b.mask_id AND abs(a.i // 8 - b.i // 8) + abs(a.i % 8 - b.i % 8) <= 1),
+      r(mask_id, u, v) AS (SELECT mask_id, u, v FROM e UNION SELECT r.mask_id, r.u, e.v FROM r JOIN e ON e.mask_id = r.mask_id AND e.u = r.v),
+      l AS (SELECT mask_id, u, min(v) AS c FROM r GROUP BY 1, 2), n AS (SELECT mask_id, count(DISTINCT c) AS k, count(DISTINCT u) AS a FROM l GROUP BY 1) SELECT m.mask_id, coalesce(k > 6 AND a / 64 < 0.5, false) AS tangled FROM masks m LEFT JOIN n USING (mask_id)""",
+    "pages_excluded": """WITH u AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS u, contains(url, '?') AS q FROM pages), n AS (SELECT *, regexp_extract(u, '([^/]*)/*$', 1) AS n FROM u),
+      v AS (SELECT page_id, q, unnest(list_distinct([u, n, CASE WHEN regexp_matches(n, '[^.]\\.[^.]+$') THEN regexp_replace(n, '\\.[^.]+$', '') ELSE n END, CASE WHEN regexp_matches(n, '[^.]\\.[^.]+$') THEN regexp_replace(u, '\\.[^.]+$', '') ELSE u END])) AS i FROM n)
+      SELECT page_id FROM u WHERE page_id NOT IN (SELECT page_id FROM v WHERE i <> '' AND i IN (SELECT i FROM v WHERE NOT q AND i <> ''))""",
+    "source_shards": f"{_S} SELECT image_id, sha256('5' || chr(0) || image_id) AS _shuffle FROM sources WHERE source_manifest_index % 3 = 1",
+    "masks_omitted": f"""{_S} SELECT DISTINCT CAST(vec_id // 10 AS VARCHAR) AS image_id, 'm' || (vec_id % 12) AS mask_id FROM embeddings WHERE (CAST(vec_id // 10 AS VARCHAR), 'm' || (vec_id % 12)) NOT IN (SELECT (image_id, m) FROM (SELECT image_id, unnest(linked) AS m FROM audits))""",
     "terminal_images": f"{_S} SELECT CAST(l_partkey % 1000 AS VARCHAR) AS image_id FROM lineitem GROUP BY 1 HAVING count(*) >= 10 AND image_id NOT IN (SELECT image_id FROM audits) AND image_id NOT IN (SELECT image_id FROM exclusions)",
     "groups_enriched": f"{_S} SELECT image_id, array_to_string(list_transform(list_filter(linked, lambda m, i: list_position(linked, m) = i), lambda m: m || ':' || CAST(substr(m, 2) AS INT) * 10), ',') AS groups FROM audits",
     "preview_index": f"{_S} SELECT image_id, CAST(CAST('0x' || left(sha256(image_id), 12) AS BIGINT) + 1125899906842624 AS BIGINT) AS preview FROM sources",

@@ -50,10 +50,10 @@ def top_per_group(rows: DataFrame, key: str, score: str, tie: str, k: int) -> Da
     return ranked.filter(F.col("place") <= k) if k else ranked
 
 
-def capped(rows: DataFrame, per_image: int, overall: int, order: str = "_ord") -> DataFrame:
-    """Top per image, then the best overall, numbered in input order."""
+def capped(rows: DataFrame, per_image: int, overall: int, order: tuple[str, ...] = ("image_id", "raw_index")) -> DataFrame:
+    """The best of each image, then the best overall, numbered by `slot` in input order (`overall` rows at most)."""
     best = top_per_group(rows, "image_id", "score", "raw_index", per_image).orderBy(F.desc("score"), "image_id", "raw_index").limit(overall)
-    return best.drop("place")
+    return best.drop("place").withColumn("slot", F.row_number().over(Window.orderBy(*order)) - 1)
 
 
 def greedy_nms(boxes: DataFrame, threshold: float, key: str = "image_id", order: str = "raw_index") -> DataFrame:
@@ -95,7 +95,7 @@ QUERIES = {
     "box_filter": lambda s, d: filtered(A.boxes(s, d), 64, 48, min_area=20).select("image_id", "raw_index", "reject_reason"),
     "box_contained": _contained,
     "box_top_k": lambda s, d: top_per_group(A.boxes(s, d), "image_id", "score", "raw_index", 2).select("image_id", "raw_index", "place"),
-    "box_capped": lambda s, d: capped(A.boxes(s, d), 3, 500).select("image_id", "raw_index", "score"),
+    "box_capped": lambda s, d: capped(A.boxes(s, d), 3, 500).select("image_id", "raw_index", "score", "slot"),
     "box_greedy_nms": lambda s, d: greedy_nms(A.boxes(s, d).withColumns({"x": F.expr("x % 40"), "y": F.expr("y % 30")}), 0.3),
     "even_sample": lambda s, d: even_sample(A.sources(s, d).select("source_manifest_index"), "source_manifest_index", 37),
 }
@@ -110,7 +110,7 @@ ORACLES = {
       QUALIFY row_number() OVER (PARTITION BY image_id, mask_id ORDER BY big DESC, container) = 1""",
     "box_top_k": f"{_B} SELECT image_id, raw_index, CAST(row_number() OVER w AS INT) AS place FROM boxes WINDOW w AS (PARTITION BY image_id ORDER BY score DESC, raw_index) QUALIFY row_number() OVER w <= 2",
     "box_capped": f"""{_B}, k AS (SELECT * FROM boxes QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY score DESC, raw_index) <= 3)
-      SELECT image_id, raw_index, score FROM k ORDER BY score DESC, image_id, raw_index LIMIT 500""",
+      SELECT image_id, raw_index, score, CAST(row_number() OVER (ORDER BY image_id, raw_index) - 1 AS INT) AS slot FROM (SELECT * FROM k ORDER BY score DESC, image_id, raw_index LIMIT 500)""",
     "box_greedy_nms": f"""WITH RECURSIVE {A.BOXES}, o AS (SELECT image_id, raw_index, x % 40 AS x, y % 30 AS y, w, h, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, raw_index) AS n FROM boxes),
       r AS (SELECT image_id, 1 AS n, [{{'i': raw_index, 'x': x, 'y': y, 'w': w, 'h': h}}] AS kept, raw_index, -1 AS sup FROM o WHERE n = 1
         UNION ALL SELECT b.image_id, r.n + 1, CASE WHEN h.i IS NULL THEN list_append(r.kept, {{'i': b.raw_index, 'x': b.x, 'y': b.y, 'w': b.w, 'h': b.h}}) ELSE r.kept END, b.raw_index, coalesce(h.i, -1)
