@@ -7,6 +7,7 @@ import html
 import json
 import platform
 import time
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,12 +37,18 @@ def funnel(sources: DataFrame, reviews: DataFrame, masks: DataFrame, rejected: D
 
 def caption_html(caption: str, links: list[tuple[int, int, int]]) -> str:
     """A caption in HTML: each stretch between span boundaries (id, start, end) carries the ids that cover it."""
-    cuts = sorted({0, len(caption), *(x for _, s, e in links for x in (s, e))})
-    out = []
+    change: dict[int, list[tuple[int, int]]] = {0: [], len(caption): []}
+    for i, s, e in links:
+        change.setdefault(s, []).append((i, 1))
+        change.setdefault(e, []).append((i, -1))
+    cuts, open_ids, out = sorted(change), Counter(), []
     for a, b in zip(cuts, cuts[1:], strict=False):
-        ids = sorted({i for i, s, e in links if s <= a and b <= e})
+        for i, d in change[a]:
+            open_ids[i] += d
+            if not open_ids[i]:
+                del open_ids[i]
         text = html.escape(caption[a:b])
-        out.append(f'<span class="link" data-ids="{",".join(map(str, ids))}">{text}</span>' if ids else text)
+        out.append(f'<span class="link" data-ids="{",".join(map(str, sorted(open_ids)))}">{text}</span>' if open_ids else text)
     return "".join(out)
 
 
