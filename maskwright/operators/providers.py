@@ -73,6 +73,15 @@ def mock_caption(requests: list[str]) -> list[str]:
     return [json.dumps({"object": r.split(" ")[0], "caption": f"A {r}.", "attributes": ["plain"], "uncertain": False}) for r in requests]
 
 
+def mock_mask_review(requests: list[str]) -> list[str]:
+    """A stand-in for the review of captions: a quarter isn't kept, another gets a new object."""
+    out = []
+    for r in requests:
+        h = int(hashlib.sha256(r.encode()).hexdigest()[:8], 16) % 4
+        out.append(json.dumps({"keep": h != 0, "reason": "fits" if h else "not the mask", "failure_modes": [], "corrected_object": "thing" if h == 1 else ""}))
+    return out
+
+
 def mock_segments(requests: list[str]) -> list[str]:
     """A stand-in for a segmenter: for each request (image and prompt) none to three masks, decided by a digest."""
     out = []
@@ -82,7 +91,7 @@ def mock_segments(requests: list[str]) -> list[str]:
     return out
 
 
-FACTORY: dict[str, Callable[[], Provider]] = {"mock-review": lambda: mock_review, "mock-caption": lambda: mock_caption, "mock-segments": lambda: mock_segments}
+FACTORY: dict[str, Callable[[], Provider]] = {"mock-review": lambda: mock_review, "mock-caption": lambda: mock_caption, "mock-segments": lambda: mock_segments, "mock-mask-review": lambda: mock_mask_review}
 
 
 def create(name: str) -> Provider:

@@ -88,6 +88,42 @@ def checked_rows(rows: DataFrame, required: list[str]) -> DataFrame:
     return rows.withColumn("errors", F.filter(F.array(*[F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", F.lit(f"missing {c}")) for c in required]), lambda e: e.isNotNull()))
 
 
+# What a caption row must hold, and which of its columns are paths.
+REQUIRED = ("area", "attributes", "bbox", "caption", "crop_overlay_path", "full_overlay_path", "image_id", "mask_id", "mask_path", "model", "object", "sam3_score", "source_image_path", "uncertain")
+PATHS = ("source_image_path", "mask_path", "full_overlay_path", "crop_overlay_path", "crop_image_path", "inverse_crop_path")
+
+
+def validated_rows(rows: DataFrame, files: DataFrame | None = None, order: str = "_ord") -> DataFrame:
+    """(order, error) of caption rows: missing keys (then nothing else is looked at), boxes that aren't four numbers, and, with
+    `files` (path), paths that aren't there.  A key is missing where the column is or the value is null.
+    """
+    have = lambda c: F.col(c).isNotNull() if c in rows.columns else F.lit(False)
+    lost = F.filter(F.array(*[F.when(~have(c), F.lit(f"'{c}'")) for c in REQUIRED]), lambda c: c.isNotNull())
+    t = rows.withColumn("_lost", lost)
+    out = t.filter("size(_lost) > 0").select(order, F.concat(F.lit("missing keys: ["), F.array_join("_lost", ", "), F.lit("]")).alias("error"))
+    rest = t.filter("size(_lost) = 0")
+    if "bbox" in rows.columns:
+        out = out.unionByName(rest.filter("size(bbox) <> 4").select(order, F.lit("bbox must be a 4-item list").alias("error")))
+    if files is not None:
+        named = F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("path")) for c in PATHS if c in rows.columns]))
+        each = rest.select(order, named.alias("p")).select(order, "p.*").filter("coalesce(path, '') <> ''")
+        out = out.unionByName(each.join(files.select("path").distinct(), "path", "left_anti").select(order, F.concat(F.lit("missing path for "), "key", F.lit(": "), "path").alias("error")))
+    return out
+
+
+def _validated(s, d):
+    b = A.boxes(s, d)
+    box = F.when(F.col("raw_index") % 5 == 1, F.array("x", "y", "w")).otherwise(F.array("x", "y", "w", "h"))
+    name = lambda p: F.concat(F.lit(f"{p}/"), F.col("image_id").cast("string"))
+    rows = b.select(
+        F.struct("image_id", "raw_index").alias("_ord"), F.when(F.col("raw_index") % 3 != 2, F.lit("c")).alias("caption"), F.when(F.col("subject") != "R", F.col("subject")).alias("object"), box.alias("bbox"), "area", F.array(F.lit("a")).alias("attributes"),
+        F.lit(False).alias("uncertain"), F.col("score").alias("sam3_score"), F.lit("m").alias("model"), "image_id", F.col("raw_index").alias("mask_id"), name("i").alias("source_image_path"), name("m").alias("mask_path"), name("f").alias("full_overlay_path"), name("o").alias("crop_overlay_path"),
+    )
+    every = A.table(s, d, "orders").select(F.explode(F.array(*[F.concat(F.lit(f"{p}/"), F.col("o_orderkey").cast("string")) for p in "ifo"])).alias("path"))
+    some = A.table(s, d, "orders").filter("o_orderstatus <> 'F'").select(F.concat(F.lit("m/"), F.col("o_orderkey").cast("string")).alias("path"))
+    return validated_rows(rows, every.union(some)).select("_ord.*", "error")
+
+
 def sampled(rows: DataFrame, n: int, seed: int, key: str, excluded: DataFrame | None = None) -> DataFrame:
     """n rows in an order that only seed and key decide, without excluded keys; raises where there are fewer."""
     from .incremental import running
@@ -169,6 +205,7 @@ _S = f"WITH {A.SOURCES}, {A.REVIEWS}, {A.AUDITS}, {A.EXCLUSIONS}"
 QUERIES = {
     "set_mismatch": _mism,
     "terminal_images": _terminal,
+    "caption_rows_checked": _validated,
     "sample_seeded": _sampled,
     "source_keys": _keys,
     "current_rows": _versions,
@@ -188,6 +225,10 @@ QUERIES = {
 ORACLES = {
     "set_mismatch": """WITH c AS (SELECT DISTINCT conv_id * 3 AS i FROM conversations), o AS (SELECT doc_id AS i, 'missing' AS kind FROM documents WHERE doc_id NOT IN (SELECT i FROM c) UNION ALL SELECT i, 'extra' FROM c WHERE i NOT IN (SELECT doc_id FROM documents))
       SELECT kind, count(*) AS n, array_to_string(list_sort(list(i))[1:10], ',') AS examples FROM o GROUP BY 1""",
+    "caption_rows_checked": f"""WITH {A.BOXES}, m AS (SELECT image_id, raw_index, array_to_string(list_filter([CASE WHEN raw_index % 3 = 2 THEN '''caption''' END, CASE WHEN subject = 'R' THEN '''object''' END], lambda x: x IS NOT NULL), ', ') AS lost FROM boxes)
+      SELECT image_id, raw_index, 'missing keys: [' || lost || ']' AS error FROM m WHERE lost <> '' UNION ALL SELECT image_id, raw_index, 'bbox must be a 4-item list' FROM m WHERE lost = '' AND raw_index % 5 = 1
+      UNION ALL SELECT image_id, raw_index, 'missing path for ' || k || ': ' || p || '/' || image_id FROM m, (VALUES ('source_image_path', 'i'), ('mask_path', 'm'), ('full_overlay_path', 'f'), ('crop_overlay_path', 'o')) v(k, p)
+        WHERE lost = '' AND image_id NOT IN (SELECT o_orderkey FROM orders WHERE p <> 'm' OR o_orderstatus <> 'F')""",
     "sample_seeded": f"""{_S}, h AS (SELECT image_id, row_number() OVER (ORDER BY sha256('17' || chr(0) || image_id), image_id) - 1 AS place, count(*) OVER () AS n FROM sources WHERE image_id NOT IN (SELECT image_id FROM reviews)) SELECT image_id, place FROM h WHERE place < n // 2""",
     "source_keys": f"""{_S} SELECT image_id, CASE WHEN n_chars % 3 = 0 THEN source_pair_key WHEN n_chars % 2 = 0 THEN source_dataset ELSE image_id END AS key, CASE WHEN n_chars % 3 = 0 THEN CAST(n_chars AS DOUBLE) ELSE 0.0 END AS score FROM sources""",
     "current_rows": "SELECT event_id FROM events WHERE event_type = 'click' AND json_extract_string(props, '$.k') = '7'",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["plans.ledger", "plans.export", "plans.release", "functions.geometry", "functions.text", "functions.masks", "functions.wide", "operators.suppress", "operators.audit", "operators.spans", "operators.canonical", "operators.taxonomy", "functions.jsonx", "operators.incremental", "operators.selection", "operators.records", "operators.providers", "operators.validate", "operators.publisher", "operators.campaign", "operators.captions", "operators.nouns", "plans.reports", "streaming.logs"]
+MODULES = ["plans.ledger", "plans.export", "plans.release", "functions.geometry", "functions.text", "functions.masks", "functions.wide", "operators.suppress", "operators.audit", "operators.spans", "operators.canonical", "operators.taxonomy", "functions.jsonx", "operators.incremental", "operators.selection", "operators.records", "operators.providers", "operators.validate", "operators.publisher", "operators.campaign", "operators.captions", "operators.nouns", "plans.reports", "plans.runner", "streaming.logs"]
 
 
 def queries() -> dict:
