@@ -261,3 +261,36 @@ def test_segments_split_and_isolated(spark, monkeypatch):
     assert len(providers.isolating(providers.halving(small))(["a\tx", "b\tbad", "c\ty", "d\tz"])) == 4
     got = providers.segmented(spark.createDataFrame([("i", ["people", "cups"])], "image_id string, prompts array<string>"), "mock-segments")
     assert [r["raw_index"] for r in got.orderBy("raw_index").collect()] == list(range(got.count()))
+
+
+def test_checkpointed_run(spark, tmp_path):
+    from maskwright.plans.runner import purged, run_checkpointed
+
+    calls = []
+
+    def stage(name, step):
+        def run(_, rows):
+            calls.append(name)
+            return rows.withColumn("n", F.col("n") + step)
+
+        return name, run
+
+    rows = spark.createDataFrame([(1,), (2,)], "n int")
+    go = lambda stages, sign: sorted(r["n"] for r in run_checkpointed(spark, str(tmp_path), stages, rows, sign).collect())
+    assert go([stage("a", 1), stage("b", 10)], "s") == [12, 13] and calls == ["a", "b"]
+    assert go([stage("a", 1), stage("b", 10)], "s") == [12, 13] and calls == ["a", "b"]
+    assert go([stage("a", 1), stage("c", 5)], "s") == [7, 8] and calls == ["a", "b", "c"]
+    assert go([stage("a", 2)], "changed") == [3, 4] and calls[-1] == "a"
+    some = spark.createDataFrame([("x", 1), ("y", 2)], "image_id string, v int")
+    assert [r["v"] for r in purged({"s": some}, some.filter("v = 1"))["s"].collect()] == [2]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from maskwright.__main__ import main
+
+    assert main(["list"]) == 0 and "ledger" in capsys.readouterr().out.split()
+    assert main(["run", "nothing", "x"]) == 2
+    assert main(["run", "ledger_summary", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")]) == 0 and spark.read.parquet(str(tmp_path / "o")).count() > 0
+    assert main(["signature", str(tmp_path / "o")]) == 0 and len(capsys.readouterr().out.strip()) == 64
+    (tmp_path / "c.json").write_text('{"a": 1}')
+    assert main(["config", str(tmp_path / "c.json")]) == 0 and json.loads(capsys.readouterr().out) == {"a": 1}
