@@ -164,6 +164,16 @@ def test_near_dedup_awkward(awkward, empty):
     assert near_dedup.near_dedup(empty).count() == 0
 
 
+def test_near_dedup_long_texts(spark):
+    """Texts of 30,000 different words: a copy, one at the threshold, one below it, and one in capitals."""
+    words = [f"w{k}" for k in range(30_000)]
+    cut = lambda n: words[:n]
+    rows = [(1, " ".join(words)), (2, "\t".join(words).upper()), (3, " ".join(cut(22_501))), (4, " ".join(cut(22_400)) + " end"), (5, " ".join(words)), (6, "x " * 200_000)]
+    want = _near(rows)
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want and want[3][1] == 1
+
+
 def test_near_dedup_family(spark):
     """A family of edited copies whose links form chains: no link is lost, also across blocks and components."""
     rng = np.random.default_rng(4)
@@ -273,6 +283,12 @@ def test_packing_awkward(awkward, empty):
     rows = packing.pack(awkward.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])).collect()
     _check_pieces(rows, [(i, t) for i, t in {i: t for i, t, _ in AWKWARD if i is not None}.items()])
     assert packing.pack(empty).count() == 0
+    every = packing.pack(awkward).collect()  # with a null id and repeated rows, each a document of its own
+    sizes = {r["doc_id"]: r["doc_tokens"] for r in every}
+    tokens = collections.Counter()
+    for r in every:
+        tokens[r["doc_id"]] += r["length"]
+    assert tokens == {i: n * sum(x == i for x, *_ in AWKWARD) for i, n in sizes.items()} and set(tokens) == {i for i, *_ in AWKWARD}
 
 
 def _check_pieces(rows, documents):
@@ -396,6 +412,17 @@ def test_toxicity_ties_and_repeats(spark):
     assert all(len(s) == 1 for s in got.values()) and min(got["you idiot clown"]) > max(max(s) for t, s in got.items() if "calm" in t)
 
 
+def test_toxicity_long_text():
+    """One insult among 30,000 different words counts like one among three; the rest adds what its tokens add, each once."""
+    m = toxicity.Model([f"you idiot x{k}" for k in range(30)] + [f"you calm y{k}" for k in range(30)], [1] * 30 + [0] * 30)
+    words = [f"zq{k:05d}vw" for k in range(30_000)]
+    score = toxicity.Scorer(m)
+    many = " ".join([*words, "idiot", *words])
+    parts = toxicity.Scorer(m).parts(sorted({*words, "idiot"}))
+    want = 1 / (1 + np.exp(-(m.scale * (parts.sum() / toxicity.UNIT + m.bias) + m.shift)))
+    assert abs(score([many])[0] - want) < 1e-12 and score([many, ""]).tolist() == [score([many])[0], score([""])[0]]
+
+
 def test_toxicity_awkward(spark, awkward, empty):
     labels = spark.createDataFrame([(4, 1), (6, 0), (8, 0), (5, None), (None, 1)], "doc_id long, toxic int")
     for m in (toxicity.fit(awkward, labels), toxicity.fit(awkward, labels.limit(0))):
@@ -510,7 +537,12 @@ def test_counts_ties_and_awkward(awkward, empty):
         t = Tokenizer(models.Unigram([("<unk>", 0.0), *[(f"<0x{b:02X}>", 0.0) for b in range(256)], *pieces], 0, True))
         texts = ["", "a", "ababa b a", "zz é ab", "  a  b", "abba" * 20]
         assert c.counts(texts) == [len(t.encode(token_counts.normalised(x)).ids) for x in texts]
-    assert token_counts.count_tokens(awkward).count() == len(AWKWARD) and token_counts.count_tokens(empty).count() == 0
+    import public_tokenizers
+
+    model = token_counts._viterbi(public_tokenizers.path("piece_bpe_32k.model"))
+    want = collections.Counter((i, model.count(token_counts.normalised(x or ""))) for i, x, _ in AWKWARD)
+    assert collections.Counter((r["doc_id"], r["n_tokens"]) for r in token_counts.count_tokens(awkward).collect()) == want
+    assert token_counts.count_tokens(empty).count() == 0
 
 
 # ---- 9
@@ -601,7 +633,13 @@ def test_copies_are_rows_like_others(spark):
 
 
 def test_shards_awkward(spark, awkward, empty):
-    assert kd_shards.kd_shards(awkward, shards=3).count() == len(AWKWARD)
+    got = kd_shards.kd_shards(awkward, shards=3).collect()
+    want = collections.Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, _ in AWKWARD)
+    assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    slots = collections.defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
     assert kd_shards.kd_shards(empty, shards=3).count() == 0
     one = spark.range(200).selectExpr("7 AS doc_id", "'t' AS text")
     by = collections.Counter(r["shard"] for r in kd_shards.kd_shards(one, shards=4).collect())

@@ -32,3 +32,13 @@ def test_awkward(spark):
             rows = stage(spark, rows, "/root/testdata/sf0.001")
             assert rows.columns == docs.columns, name
         assert corpus_pipeline.pack_windows(spark, rows, "").count() == rows.count()
+
+
+def test_extra_columns_pass(spark):
+    """Columns of the names that stages use inside keep their values through the first four stages."""
+    docs = spark.createDataFrame([(1, "a b c d e f", "en", "s", 11), (2, "other words stand here now", "en", "s", 26)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", "7 AS n_lines", "8 AS n_removed", "9 AS _toxicity", "10 AS __toxicity", "11 AS pii", "12 AS score", "13 AS id", "14 AS kept", "15 AS component_id", "16 AS _id")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        rows = docs.collect()
+        assert len(rows) == 2 and all(tuple(r)[5:] == (7, 8, 9, 10, 11, 12, 13, 14, 15, 16) for r in rows), name
