@@ -122,6 +122,17 @@ def integrity(masks: DataFrame, rle: DataFrame) -> DataFrame:
     return empty.unionByName(twice(masks, "duplicate_mask_ids")).unionByName(twice(rle, "duplicate_rle_ids")).unionByName(off)
 
 
+def archive_issues(masks: DataFrame, members: DataFrame, folder: str = "masks") -> DataFrame:
+    """Members of each unit's archive against its masks: lost_members and stray_members with their number.
+
+    masks: unit, mask_id.  members: unit, member, of which those below `folder` are compared.
+    """
+    want = masks.filter("coalesce(mask_id, '') <> ''").select("unit", F.concat(F.lit(f"{folder}/"), "mask_id", F.lit(".png")).alias("member")).distinct().withColumn("_w", F.lit(1))
+    have = members.filter(F.col("member").startswith(f"{folder}/")).select("unit", "member").distinct().withColumn("_h", F.lit(1))
+    off = want.join(have, ["unit", "member"], "full_outer").filter("_w IS NULL OR _h IS NULL")
+    return off.groupBy("unit", F.when(F.col("_h").isNull(), "lost_members").otherwise("stray_members").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def replay_claims(log: DataFrame) -> DataFrame:
     """Owner of each unit from an ordered claim log: a claim wins if the unit is free or its lease (the event's `value` seconds past) ran out.
 
@@ -156,6 +167,12 @@ def _integrity(s, d):
     return integrity(m, r)
 
 
+def _archives(s, d):
+    t = A.table(s, d, "lineitem").select((F.col("l_orderkey") % 97).alias("unit"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("mask_id"), "l_returnflag", "l_linestatus")
+    members = t.filter("l_returnflag <> 'R'").select("unit", F.concat(F.when(F.col("l_returnflag") == "A", "masks/").otherwise("crops/"), F.when(F.col("l_linestatus") == "O", "x").otherwise(""), "mask_id", F.lit(".png")).alias("member"))
+    return archive_issues(t, members)
+
+
 def _extend(s, d):
     """Labelled documents are known, those of toxic label excluded; every other one is wanted."""
     src = A.sources(s, d).select("image_id", F.col("source_pair_key").alias("pair_key"), F.col("source_manifest_index").alias("_ord"))
@@ -181,6 +198,7 @@ QUERIES = {
     "pack_batches": lambda s, d: packed(A.boxes(s, d).select(F.expr("image_id % 500").alias("g"), (F.col("h") / 7).cast("int").alias("rows"), (F.col("w") * 100).cast("long").alias("tokens"), (F.col("image_id") * 100 + F.col("raw_index")).alias("id")), "g", 8, 20_000),
     "merge_byte_shards": lambda s, d: byte_shards(A.sources(s, d).groupBy(F.col("campaign_unit").alias("unit")).agg(F.sum("n_chars").alias("bytes")), 60_000),
     "unit_integrity": _integrity,
+    "unit_archives": _archives,
     "claim_replay": lambda s, d: replay_claims(_claims(s, d)),
 }
 ORACLES = {
@@ -200,6 +218,9 @@ ORACLES = {
       r AS (SELECT unit, bytes, k, 0 AS shard, bytes AS held FROM u WHERE k = 1
         UNION ALL SELECT u.unit, u.bytes, u.k, r.shard + CAST(r.held >= 60000 AS INT), CASE WHEN r.held >= 60000 THEN u.bytes ELSE r.held + u.bytes END FROM r JOIN u ON u.k = r.k + 1)
       SELECT unit, bytes, CAST(shard AS BIGINT) AS shard FROM r""",
+    "unit_archives": """WITH t AS (SELECT l_orderkey % 97 AS unit, l_orderkey || '-' || l_linenumber AS id, l_returnflag AS r, l_linestatus AS o FROM lineitem), w AS (SELECT DISTINCT unit, 'masks/' || id || '.png' AS m FROM t),
+      h AS (SELECT DISTINCT unit, 'masks/' || CASE WHEN o = 'O' THEN 'x' ELSE '' END || id || '.png' AS m FROM t WHERE r = 'A')
+      SELECT unit, 'lost_members' AS code, count(*) AS n FROM w WHERE (unit, m) NOT IN (SELECT (unit, m) FROM h) GROUP BY 1 UNION ALL SELECT unit, 'stray_members', count(*) FROM h WHERE (unit, m) NOT IN (SELECT (unit, m) FROM w) GROUP BY 1""",
     "claim_replay": """WITH RECURSIVE e AS (SELECT user_id % 50 AS unit, user_id % 7 AS worker, CASE event_type WHEN 'purchase' THEN 'claim' WHEN 'signup' THEN 'claim' WHEN 'error' THEN 'release' ELSE 'renew' END AS kind,
         CAST(floor(epoch(ts)) AS BIGINT) AS at, row_number() OVER (PARTITION BY user_id % 50 ORDER BY ts, event_id) AS k FROM events),
       r AS (SELECT unit, 0 AS k, CAST(NULL AS BIGINT) AS worker, CAST(0 AS BIGINT) AS until, 0 AS generation FROM (SELECT DISTINCT unit FROM e)
