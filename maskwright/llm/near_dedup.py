@@ -37,6 +37,8 @@ BANDS, ROWS = 32, 4
 BITS = 512
 #: Sketches of sets at 0.75 differ in 57 bits on average; more than CUT differ with a chance under 1e-6.
 CUT = 98
+#: Up to so many ids are sent to every executor to pick texts; beyond, texts are shuffled to them.
+BROADCAST_ROWS = 1_000_000
 #: A block holds some BLOCK sets, or less if they come to more than BLOCK_BYTES.
 BLOCK, BLOCK_BYTES = 1024, 32_000_000
 SLICE = 1_500_000
@@ -309,8 +311,10 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
 
 
 def _read_sets(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """id and words (the full set) of some documents, from their whole texts; of repeated rows one."""
-    return rows.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets, "id long, words binary")
+    """id and words (the full set) of some documents, from their whole texts, which stay where they are while the ids are few."""
+    ids = written(ids.distinct(), "ids")
+    few = ids.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(_sets, "id long, words binary")
 
 
 def recall(docs: DataFrame, found: DataFrame, asked: int = 200, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> tuple[int, int]:
