@@ -22,8 +22,8 @@ from ..sources.sinks import read_json, write_json
 from .keyed import counts
 from .records import PREREQUISITES
 
-# Schema of the registry and reasons that recovery writes.
-SCHEMA = "gpic-campaign-v1"
+# The version of this registry; fixed values: reasons that recovery writes.
+SCHEMA = "campaign-v1"
 TOO_LARGE, TAIL = "bcc_input_too_large", "bcc_input_too_large_or_interrupted_batch_tail"
 
 

@@ -17,8 +17,8 @@ from ..operators.keyed import counts, last_wins
 from ..shared import shared_dir
 from .export import histogram
 
-# Version and column names of the record, and what each view holds.
-VERSION = "gpic-final-dataset-v1"
+# The version of this export; fixed values: column names of the record, and what each view holds.
+VERSION = "rich-export-v1"
 VIEWS = {"min_10_masks": "included_min_10", "masks_1_to_9": "bcc_parseable AND final_linked_mask_count BETWEEN 1 AND 9", "parseable_1_plus": "bcc_parseable AND final_linked_mask_count >= 1", "audit_all_processed": "true"}
 TRAINING = {"min_10": "final_linked_mask_count >= 10", "1_to_9": "final_linked_mask_count BETWEEN 1 AND 9", "parseable_1_plus": "final_linked_mask_count >= 1"}
 COLUMNS = (
