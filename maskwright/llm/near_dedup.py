@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from .common import body, parallelism, table, text_batches, written
-from .words import Values, code_points, mixed, ranges
+from .words import Values, code_points, lifelong, mixed, ranges
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -40,10 +40,10 @@ CUT = 98
 #: Up to so many ids are sent to every executor to pick texts; beyond, texts are shuffled to them.
 BROADCAST_ROWS = 1_000_000
 #: A block holds some BLOCK sets, or less if they come to more than BLOCK_BYTES.
-BLOCK, BLOCK_BYTES = 1024, 32_000_000
-SLICE = 1_500_000
+BLOCK, BLOCK_BYTES = 1024, 8_000_000
+SLICE = 800_000
 #: Distinct words a worker process keeps.
-KEPT = 300_000
+KEPT = 250_000
 
 
 @functools.cache
@@ -55,10 +55,9 @@ def _tables():
     return blank, odd(WORDS), odd(BANDS * ROWS), rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64), odd(ROWS), odd(1 << 9)
 
 
-@functools.cache
 def _words() -> Values:
     """Of a worker process: its words with keyed 64-bit hashes of theirs."""
-    return Values(np.uint64, KEPT, 12 * KEPT)
+    return lifelong("shingles", lambda: Values(np.uint64, KEPT, 12 * KEPT))
 
 
 def _word_hash(word: np.ndarray) -> int:

@@ -21,7 +21,6 @@ labels don't count.  Repeated rows are scored alike.  Empty table: empty result.
 
 from __future__ import annotations
 
-import functools
 import pickle
 from collections import Counter
 from collections.abc import Iterator
@@ -33,15 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .common import body, table, text_batches
-from .words import SPACE, Values, classes, code_points, ranges
+from .words import SPACE, Values, classes, code_points, lifelong, ranges
 
 SPAN, DECAY, POWER = 5, 0.6, 3
 TOXIC, NEAR, COMMON = 128, 64, 64
 RIDGE, EIGEN = 100.0, 1e-6
 MOST = 3_000
-SLICE = 1_000_000
+SLICE = 700_000
 #: Distinct tokens whose parts a worker process keeps.
-KEPT = 800_000
+KEPT = 600_000
 UNIT = float(1 << 32)
 START, END = "\x01", "\x02"
 _GAPS = [(a, b, b - 2) for b in range(2, SPAN) for a in range(1, b)]
@@ -283,10 +282,9 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(m.scale * (total / UNIT + m.bias) + m.shift, -35, 35)))
 
 
-@functools.lru_cache(maxsize=2)
 def _scorer(model: bytes) -> Scorer:
     """One for the life of a worker process."""
-    return Scorer(pickle.loads(model))  # noqa: S301  made by `fit`
+    return lifelong(model, lambda: Scorer(pickle.loads(model)))  # noqa: S301  made by `fit`
 
 
 def _fit(batches):

@@ -240,6 +240,17 @@ class Pieces(Words):
         return self.flat[ranges(self.offset[words], lengths)], lengths
 
 
+_held: dict = {}
+
+
+def lifelong(owner, make):
+    """What a worker process keeps for `owner` as long as it works for it alone: with another owner what was kept before goes."""
+    if owner not in _held:
+        _held.clear()
+        _held[owner] = make()
+    return _held[owner]
+
+
 class Values(Words):
     """Words with one number each."""
 
