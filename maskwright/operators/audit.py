@@ -162,6 +162,16 @@ def _totals(s, d):
     return aggregate_audits(r).select("metric", F.round("value", 6).alias("value"))
 
 
+def _composites(s, d):
+    """Each image's groups in the table's row order, so that sums don't hang on the shuffle; six decimals by scaling first, as SQL's round
+    does: a half falls where the product of doubles does.
+    """
+    six = lambda c: (F.round(F.col(c) * 1e6) / 1e6).alias(c.split(".")[1])
+    g = A.boxes(s, d).select("image_id", F.struct(F.monotonically_increasing_id().alias("i"), _group().alias("g")).alias("x"))
+    g = g.groupBy("image_id").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["g"]).alias("g")).select("image_id", composite_statistics(F.col("g")).alias("s"))
+    return g.select("image_id", "s.composites", "s.children", "s.components", six("s.mean_iou"), six("s.mean_coverage"))
+
+
 def _group() -> Column:
     """A group of each box: children, components, and union IoU and coverage where it has children."""
     some = F.col("w") % 4 >= 2
@@ -184,7 +194,7 @@ QUERIES = {
     "issue_comparison": lambda s, d: _both(s, d).select("doc_id", "c.*", quality_tier(F.col("issues")).alias("tier")),
     "audit_totals": _totals,
     "issue_priority": lambda s, d: _rows(s, d).select("doc_id", F.array_join(prioritized(F.col("after"), 3), "|").alias("first")),
-    "composite_statistics": lambda s, d: A.boxes(s, d).groupBy("image_id").agg(F.collect_list(_group()).alias("g")).select("image_id", composite_statistics(F.col("g")).alias("s")).select("image_id", "s.composites", "s.children", "s.components", F.round("s.mean_iou", 6).alias("mean_iou"), F.round("s.mean_coverage", 6).alias("mean_coverage")),
+    "composite_statistics": _composites,
 }
 ORACLES = {
     "issue_records": f"""WITH {_MSG} SELECT doc_id, left(sha1('{CHECKER_VERSION}' || chr(0) || code || chr(0) || m), 16) AS issue_id, code, CASE WHEN fatal THEN 'fatal' ELSE 'nonfatal' END AS severity, m AS message,
