@@ -8,8 +8,11 @@ import json
 import platform
 import time
 from collections import Counter
+from collections.abc import Iterator
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -18,6 +21,7 @@ from .. import adapters as A
 from ..functions.jsonx import salvaged
 from ..functions.text import not_gibberish
 from ..operators.providers import answered
+from ..shared import text_slices
 
 
 def funnel(sources: DataFrame, reviews: DataFrame, masks: DataFrame, rejected: DataFrame, captions: DataFrame, final: DataFrame) -> DataFrame:
@@ -52,9 +56,25 @@ def caption_html(caption: str, links: list[tuple[int, int, int]]) -> str:
     return "".join(out)
 
 
-@F.pandas_udf(StringType())
-def caption_markup(captions: pd.Series, links: pd.Series) -> pd.Series:
-    return pd.Series([caption_html(c or "", [(k["id"], k["start"], k["end"]) for k in (some if some is not None else ())]) for c, some in zip(captions, links, strict=True)])
+@F.arrow_udf(StringType())
+def caption_markup(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for captions, links in batches:
+        for at, n in text_slices(captions):
+            some = links.slice(at, n)
+            flat = some.flatten()
+            every, each = list(zip(*(flat.field(k).to_pylist() for k in ("id", "start", "end")), strict=True)), pc.fill_null(pc.list_value_length(some), 0).to_pylist()
+            ends = list(accumulate(each))
+            yield pa.array([caption_html(c or "", every[e - k : e]) for c, k, e in zip(captions.slice(at, n).to_pylist(), each, ends, strict=True)], pa.string())
+
+
+@F.arrow_udf(StringType())
+def tagged_markup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The markup of tagged captions, without their links as a column on the way."""
+    from ..operators.spans import _parsed
+
+    for tagged in batches:
+        for at, n in text_slices(tagged):
+            yield pa.array([caption_html(*_parsed(t or "")[:2]) for t in tagged.slice(at, n).to_pylist()], pa.string())
 
 
 def page(title: str, tables: dict[str, DataFrame], most: int = 1_000) -> str:
@@ -114,10 +134,9 @@ def _funnel(s, d):
 
 
 def _markup(s, d):
-    from ..operators.spans import _tagged, expand_tags
+    from ..operators.spans import _tagged
 
-    t = _tagged(s, d).select("image_id", expand_tags("tagged").alias("t"))
-    return t.select("image_id", caption_markup("t.caption", "t.links").alias("m")).select("image_id", F.size(F.split("m", '<span class="link"')).alias("pieces"), F.length(F.regexp_replace("m", "<[^>]*>", "")).alias("length"))
+    return _tagged(s, d).select("image_id", tagged_markup("tagged").alias("m")).select("image_id", F.size(F.split("m", '<span class="link"')).alias("pieces"), F.length(F.regexp_replace("m", "<[^>]*>", "")).alias("length"))
 
 
 def _prompts(s, d):
