@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import adapters as A
 from .keyed import counts, last_wins, remaining
@@ -127,10 +131,45 @@ def repeated_phrases(links: DataFrame) -> DataFrame:
 
 
 def smallest_cover(mentions: DataFrame, links: DataFrame) -> DataFrame:
-    """The group of the smallest span that covers each mention."""
-    both = mentions.join(links.select("image_id", F.col("id").alias("group"), F.col("start").alias("ls"), F.col("end").alias("le")), "image_id")
-    inside = both.filter("ls <= start AND le >= `end`")
-    return inside.groupBy("image_id", "start", "end").agg(F.min_by("group", F.struct(F.col("le") - F.col("ls"), "group")).alias("group"))
+    """The group of the smallest span that covers each mention (of equal ones the least).
+
+    One pass over an image's spans in order of their starts.  Of the links begun, those with a farther end than all smaller ones
+    are kept, by end; the first that reaches a mention's end is its smallest cover.
+    """
+    of = links.select("image_id", "start", "end", F.col("id").alias("group"), F.lit(0).alias("_k"))
+    return _smallest_cover(of.unionByName(mentions.select("image_id", "start", "end", F.lit(None).cast(of.schema["group"].dataType).alias("group"), F.lit(1).alias("_k"))))
+
+
+def _smallest_cover(both: DataFrame) -> DataFrame:
+    """`smallest_cover` of links (_k = 0) and mentions (_k = 1) in one table."""
+    both = both.filter("image_id IS NOT NULL AND start IS NOT NULL AND `end` IS NOT NULL")
+
+    def run(batches):
+        image, ends, keys, last = None, [], [], None
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                i, s, e, g, mention = row
+                if i != image:
+                    image, ends, keys, last = i, [], [], None
+                k = bisect_left(ends, e)
+                if mention:
+                    if (s, e) != last and k < len(ends):
+                        out.append((i, s, e, keys[k][1]))
+                    last = s, e
+                    continue
+                key = e - s, g
+                if k < len(ends) and keys[k] <= key:
+                    continue
+                to = k + (k < len(ends) and ends[k] == e)
+                while k and keys[k - 1] >= key:
+                    k -= 1
+                ends[k:to], keys[k:to] = [e], [key]
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, batch.schema, strict=False)], batch.schema.names[:4])
+
+    kinds = both.schema
+    return both.repartition("image_id").sortWithinPartitions("image_id", "start", "_k", "end").mapInArrow(run, StructType([kinds[c] for c in ("image_id", "start", "end", "group")]))
 
 
 def _barrier(s, d):
@@ -213,7 +252,7 @@ QUERIES = {
     "error_fragments": _errors,
     "image_packets": _packets,
     "phrases_repeated": lambda s, d: repeated_phrases(_links(s, d)),
-    "smallest_cover": lambda s, d: smallest_cover(_links(s, d).filter("id = 2").select("image_id", "start", "end"), _links(s, d)),
+    "smallest_cover": lambda s, d: _smallest_cover(_links(s, d).select("image_id", "start", "end", F.col("id").alias("group"), F.explode(F.when(F.col("id") == 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_k"))),  # the mentions are links
 }
 ORACLES = {
     "index_gaps": "WITH k AS (SELECT doc_id AS source_manifest_index, lag(doc_id) OVER (ORDER BY doc_id) AS b FROM labels) SELECT source_manifest_index FROM k WHERE source_manifest_index <> coalesce(b, -1) + 1",

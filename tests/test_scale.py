@@ -1,10 +1,11 @@
 """Memory and work of single steps, and their results against plain ones."""
 
+import random
 import tracemalloc
 
 import pyarrow as pa
 
-from maskwright.operators import spans
+from maskwright.operators import records, spans
 
 
 def _peak(run) -> int:
@@ -36,3 +37,15 @@ def test_links_of_equals_parse_tags(spark):
     assert sorted((r[0], *k) for r in df.select("image_id", spans.expand_tags("tagged")["links"].alias("l")).collect() for k in r["l"]) == want
     assert spans.parse_tags("[1][1]b[/1][/1]")["errors"] == ["link ID 1 has nested self-overlap"]
     assert spans.parse_tags("a. b! c")["caption"] == "A. B! C"
+
+
+def test_smallest_cover_of_crossing_spans(spark):
+    rng = random.Random(5)
+    span = lambda: (s := rng.randrange(60), s + rng.randrange(1, 25))
+    links = [(rng.randrange(4), rng.randrange(9), *span()) for _ in range(300)]
+    mentions = [(rng.randrange(5), *span()) for _ in range(300)]
+    want = {(i, s, e, min((b - a, g) for j, g, a, b in links if j == i and a <= s and b >= e)[1]) for i, s, e in mentions if any(j == i and a <= s and b >= e for j, _, a, b in links)}
+    df = records.smallest_cover(spark.createDataFrame(mentions, "image_id long, start int, end int"), spark.createDataFrame(links, "image_id long, id int, start int, end int"))
+    got = [tuple(r) for r in df.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()  # pairs of an image's spans grow with their square
