@@ -68,33 +68,87 @@ def punctuated(text: Column) -> Column:
     t = F.trim(F.regexp_replace(text, r"\s+", " "))
     for pattern, to in PUNCTUATION:
         t = F.regexp_replace(t, pattern, to)
-    t = F.regexp_replace(t, r"^[ ,]+|[ ,]+$", "")
+    return _sentence(F.regexp_replace(t, r"^[ ,]+|[ ,]+$", ""))
+
+
+def _sentence(t: Column) -> Column:
     return F.when(t == "", "").otherwise(F.concat(F.upper(F.left(t, F.lit(1))), F.substr(t, F.lit(2)), F.when(t.rlike(r"[.!?]$"), "").otherwise(".")))
 
 
-@F.pandas_udf(StructType([StructField("caption", StringType()), StructField("corrections", ArrayType(StringType()))]))
-def _without_clauses(texts: pd.Series) -> pd.DataFrame:
-    """Captions without view preamble and background clauses, each pattern applied until it is gone; and what was taken out, in order."""
-    lead, rest = re.compile(LEADING_VIEW, re.I), [re.compile(c, re.I) for c in CLAUSES]
+def tidied(text: str) -> str:
+    """`punctuated` before capital and final period, in Python, where a column would be worked out for each time it is named."""
+    text = _BLANKS.sub(" ", text).strip(" ")
+    for pattern, to in _TIDY:
+        text = pattern.sub(to, text)
+    return _ENDS.sub("", text)
+
+
+def _java(pattern: str) -> re.Pattern:
+    """A pattern as Java reads it: blanks and cases of ASCII, word bounds of Unicode, the end before a last line separator too."""
+    return re.compile(pattern.replace(r"\b", r"(?<![^\W_]|_)" if pattern.startswith("(?i)") else r"\b").replace(r"\s", r"[ \t\n\x0b\f\r]").replace("$", "(?=[\u0085\u2028\u2029]?\\Z)").replace("(?:and|with|while|against)", "(?:[aA][nN][dD]|[wW][iI][tT][hH]|[wW][hH][iI][lL][eE]|[aA][gG][aA][iI][nN][sS][tT])").removeprefix("(?i)"))
+
+
+_BLANKS, _ENDS = _java(r"\s+"), _java(r"^[ ,]+|[ ,]+$")
+_TIDY = [(_java(p), to.replace("$", "\\")) for p, to in PUNCTUATION]
+
+
+def _clauses(flags: int) -> list[tuple]:
+    """Of each clause pattern: the words before its core that may belong to it, the core, and words of which it needs one."""
+    words, out = r"(?:set|shown|seen|standing|sitting|placed|positioned|displayed)", []
+    for c, need in zip(CLAUSES, (("back",), ("back",), ("surrounded", "amid", "among"), ("view",), ("image", "photo", "picture", "frame", "scene")), strict=True):
+        core = c.removeprefix(r"\s*,?\s*")
+        own = core.startswith(words + r"?\s*")
+        out.append((re.compile(words + r"\Z", flags) if own else None, re.compile(core.removeprefix(words + r"?\s*") if own else core, flags), need))
+    return out
+
+
+def _blank_before(text: str, at: int) -> int:
+    while at and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def without_clauses(text: str) -> tuple[str, list[str]]:
+    """A caption without view preamble and background clauses, each pattern applied until it is gone; and what was taken out, in order.
 
-    def one(text: str) -> tuple[str, list[str]]:
-        out = []
-        if m := lead.match(text):
-            out, text = [f"removed crop/view preamble: {m[0].strip()}"], text[m.end() :]
-        for pattern in rest:
-            while m := pattern.search(text):
-                out.append(f"removed background/view clause: {m[0].strip()}")
-                text = text[: m.start()] + text[m.end() :]
-        return text, out
+    A clause is found by its core; the blanks, comma and word before it are looked for to its left.  After a cut the search goes on
+    at the last of [,.;] before it, which no core contains.  ASCII texts are searched in lower case, if a needed word is in them.
+    """
+    out = []
+    if m := _LEAD.match(text):
+        out, text = [f"removed crop/view preamble: {m[0].strip()}"], text[m.end() :]
+    plain = text.isascii()
+    hay = text.lower() if plain else text
+    for word, core, need in _PLAIN if plain else _ANY_CASE:
+        if plain and not any(w in hay for w in need):
+            continue
+        at = 0
+        while m := core.search(hay, at):
+            start = _blank_before(hay, m.start())
+            if word and (w := word.search(hay, max(0, start - 10), start)):
+                start = _blank_before(hay, w.start())
+            if start and hay[start - 1] == ",":
+                start = _blank_before(hay, start - 1)
+            out.append(f"removed background/view clause: {text[start : m.end()].strip()}")
+            text, hay = text[:start] + text[m.end() :], hay[:start] + hay[m.end() :]
+            at = max(hay.rfind(c, 0, start) for c in ",.;") + 1
+    return text, out
 
-    return pd.DataFrame([one(t or "") for t in texts], columns=["caption", "corrections"])
+
+_LEAD, _PLAIN, _ANY_CASE = re.compile(LEADING_VIEW, re.I), _clauses(0), _clauses(re.I)
+
+
+@F.pandas_udf(StructType([StructField("caption", StringType()), StructField("corrections", ArrayType(StringType()))]))
+def _without_clauses(texts: pd.Series) -> pd.DataFrame:
+    cut = [without_clauses(t or "") for t in texts]
+    return pd.DataFrame([(tidied(t), out) for t, out in cut], columns=["caption", "corrections"])
 
 
 def cleaned_caption(text: Column) -> Column:
     """struct(original, caption, changed, corrections, valid): view preamble and background clauses removed (no parser: pattern core only)."""
     original = F.trim(F.coalesce(text, F.lit("")))
     cut = _without_clauses(original)
-    caption = punctuated(cut["caption"])
+    caption = _sentence(cut["caption"])
     return F.struct(original.alias("original"), caption.alias("caption"), (caption != original).alias("changed"), cut["corrections"].alias("corrections"), (caption != "").alias("valid"))
 
 
