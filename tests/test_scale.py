@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from maskwright.functions import text
-from maskwright.operators import records, spans
+from maskwright.operators import canonical, records, spans
 
 
 def _peak(run) -> int:
@@ -105,3 +105,29 @@ def test_backgrounds_of_texts_without_letters(spark, tmp_path):
     for name in ("caption_backgrounds", "caption_mentions", "caption_nouns"):
         a, b = nouns.QUERIES[name](spark, str(tmp_path)).toPandas(), con.sql(nouns.ORACLES[name]).df()
         assert sorted(map(str, a[sorted(a)].values.tolist())) == sorted(map(str, b[sorted(a)].values.tolist()))
+
+
+def test_mask_pairs_in_blocks(spark, monkeypatch):
+    rng, monkey = random.Random(6), monkeypatch.setattr
+    base = [rng.getrandbits(63) for _ in range(6)]
+    rows = [(i, i % 2, rng.choice(["x", "y", " X", "", None]), rng.choice(base) ^ (1 << rng.randrange(63)) if i % 9 else 0, rng.choice([None, "red dog", "red cat", "blue cat runs"])) for i in range(120)]
+    df = spark.createDataFrame(rows, "mask_id long, image_id long, subject string, bits long, description string")
+    words = lambda t: set((t or "").split())
+    want = set()
+    for u, i, s, a, x in rows:
+        for v, j, t, b, y in rows:
+            if u < v and i == j and (s or "").strip().lower() == (t or "").strip().lower() != "":
+                k, both, least = (a & b).bit_count(), (a | b).bit_count(), min(a.bit_count(), b.bit_count())
+                iou, held, alike = k / max(1, both), k / max(1, least), len(words(x) & words(y)) / max(1, len(words(x) | words(y)))
+                if held >= 0.6 and iou >= 0.45 and (iou >= 0.7 or alike >= 0.3):
+                    want.add((i, u, v, round(iou, 9), round(held, 9), round(alike, 9)))
+    made = []
+    for size in (4_096, 7):
+        monkey(canonical, "_BLOCK", size)
+        found = canonical.duplicate_edges(df, 0.6, 0.45, 0.7, 0.3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "bits" not in "".join(x for x in plan.splitlines() if "Join" in x and "Condition" in x) and "array_intersect" not in plan
+        got = [(r[0], r[1], r[2], *(round(x, 9) for x in r[3:])) for r in found.collect()]
+        assert len(got) == len(want) and set(got) == want
+        made.append(sorted(map(tuple, canonical.composite_masks(df, held=0.5, union=0.5, apart=0.9, smaller=1.1).collect())))
+    assert made[0] == made[1] and made[0]
