@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from maskwright.functions import text
-from maskwright.operators import canonical, records, spans
+from maskwright.operators import canonical, records, spans, taxonomy
 
 
 def _peak(run) -> int:
@@ -131,3 +131,17 @@ def test_mask_pairs_in_blocks(spark, monkeypatch):
         assert len(got) == len(want) and set(got) == want
         made.append(sorted(map(tuple, canonical.composite_masks(df, held=0.5, union=0.5, apart=0.9, smaller=1.1).collect())))
     assert made[0] == made[1] and made[0]
+
+
+def test_taxonomy_makes_no_rows_of_pairs(spark):
+    lemmas = spark.createDataFrame([(f"n{i:04}", "s") for i in range(1_500)] + [("n0001", "t"), ("m", "t"), ("thing", "s"), ("alone", "u"), (None, "s"), ("n0002", None)], "lemma string, synset string")
+    plan = taxonomy.alternatives(lemmas)
+    found = {r[0]: r[1].split(",") for r in plan.collect()}
+    names = sorted([f"n{i:04}" for i in range(1_500)] + ["thing"])
+    assert found["n0007"] == [n for n in names if n != "n0007"] and found["n0001"] == ["m"] + [n for n in names if n != "n0001"] and found["m"] == ["n0001"] and "alone" not in found
+    assert "lemma = other" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    edges = spark.createDataFrame([("s", "r"), ("u", "s")], "child string, parent string")
+    pairs = spark.createDataFrame([("n0001", "m"), ("alone", "m"), ("alone", "n0003"), ("n0003", "alone"), ("alone", "thing"), ("no", "no"), ("no", "m"), ("alone", "n0003")], "expected string, mentioned string")
+    matched = taxonomy.matches(pairs, lemmas, edges)
+    assert sorted(map(tuple, matched.collect())) == [("alone", "n0003", "expected_is_direct_hyponym"), ("n0001", "m", "same_synset"), ("n0003", "alone", "expected_is_direct_hypernym"), ("no", "no", "exact_lemma")]
+    assert matched._jdf.queryExecution().optimizedPlan().toString().count("Union") == 0  # each pair is one row throughout
