@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from maskwright.functions import text
-from maskwright.operators import canonical, records, spans, taxonomy
+from maskwright.operators import canonical, lexicon, records, spans, taxonomy
 
 
 def _peak(run) -> int:
@@ -145,3 +145,12 @@ def test_taxonomy_makes_no_rows_of_pairs(spark):
     matched = taxonomy.matches(pairs, lemmas, edges)
     assert sorted(map(tuple, matched.collect())) == [("alone", "n0003", "expected_is_direct_hyponym"), ("n0001", "m", "same_synset"), ("n0003", "alone", "expected_is_direct_hypernym"), ("no", "no", "exact_lemma")]
     assert matched._jdf.queryExecution().optimizedPlan().toString().count("Union") == 0  # each pair is one row throughout
+
+
+def test_candidate_stops_at_the_first_noun():
+    parser = lexicon.PlainParser(("dog", "cup"))
+    calls, is_noun = [], parser._is_noun
+    parser._is_noun = lambda w: calls.append(w) or is_noun(w)
+    assert parser.candidate("She sees a big dog. " + "cup word " * 1_000) == "dog" and len(calls) < 50
+    assert lexicon.terms(parser, "Dogs, pants; Shorts x_jeans topants the CUPS") == {"dog", "cup", "pants", "shorts", "jeans"}
+    assert [m["text"] for m in parser.mentions("This dog and it, the other cup")] == ["This dog", "it", "the other cup"]
